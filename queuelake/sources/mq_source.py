@@ -1,0 +1,209 @@
+"""``spark.readStream.format("mq")``: the queue log as a registered source.
+
+A Python data source over the queue-log layout (see ``queue_log``):
+
+* offset = ``{producer: seq}``, per producer the highest finished append
+  with no unfinished one below it (an append that finishes late is never
+  skipped);
+* ``latestOffset() == start`` -> Spark runs no batch (nothing new);
+* ``partitions(start, end)`` = one partition per parquet file of the appends
+  in between, read in parallel by the executors;
+* a restart resumes from the checkpointed offsets, so a batch whose commit
+  was not logged is replayed (at-least-once into the sink).
+
+Rows are ``value binary``: a report message contributes its correlation id,
+any other its payload.  The schema is fixed; a different user schema is
+rejected.  Splitting into records is done with Spark expressions after the
+source (``streaming.read_mq`` or ``operators.split_records``), so the source
+itself takes no splitter options.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    InputPartition,
+)
+from pyspark.sql.types import StructType
+
+from ..schema import MQMT_REPORT, VALUE_SCHEMA
+
+SOURCE_NAME = "mq"
+_SPLITTER_KEYS = {"fileformat", "split", "headers", "encoding"}
+
+
+def _fs(root: str):
+    from pyarrow import fs
+
+    if "://" in root and not root.startswith("file:"):
+        return fs.FileSystem.from_uri(root)
+    if root.startswith("file:"):
+        root = root[5:]
+        while root.startswith("//"):
+            root = root[1:]
+    return fs.LocalFileSystem(), root
+
+
+def _qdir(options: dict) -> tuple[object, str]:
+    o = {k.lower(): v for k, v in options.items()}
+    root = o.get("path")
+    for need in ("queue", "queuemanager"):
+        if not o.get(need):
+            raise ValueError(f"option '{need}' is required")
+    if not root:
+        raise ValueError("option 'path' (queue-log root) is required")
+    fsys, base = _fs(root)
+    return fsys, f"{base.rstrip('/')}/{o['queuemanager']}/{o['queue']}"
+
+
+def _listing(fsys, qdir: str) -> dict[str, list[tuple[int, str, bool]]]:
+    """producer -> sorted [(seq, dir, finished)]."""
+    from pyarrow import fs
+
+    out: dict[str, list[tuple[int, str, bool]]] = {}
+    for p in fsys.get_file_info(fs.FileSelector(qdir, allow_not_found=True)):
+        if p.type != fs.FileType.Directory or not p.base_name.startswith("producer="):
+            continue
+        producer = p.base_name[len("producer="):]
+        seqs = []
+        for s in fsys.get_file_info(fs.FileSelector(p.path, allow_not_found=True)):
+            if s.type != fs.FileType.Directory or not s.base_name.startswith("seq="):
+                continue
+            done = fsys.get_file_info(s.path + "/_SUCCESS").type == fs.FileType.File
+            seqs.append((int(s.base_name[len("seq="):]), s.path, done))
+        out[producer] = sorted(seqs)
+    return out
+
+
+def _latest(listing) -> dict[str, int]:
+    off = {}
+    for producer, seqs in listing.items():
+        last = None
+        for seq, _, done in seqs:
+            if not done:
+                break
+            last = seq
+        if last is not None:
+            off[producer] = last
+    return off
+
+
+def _files(fsys, directory: str) -> list[str]:
+    from pyarrow import fs
+
+    return sorted(
+        f.path
+        for f in fsys.get_file_info(fs.FileSelector(directory))
+        if f.type == fs.FileType.File and f.base_name.endswith(".parquet")
+    )
+
+
+class _FilePartition(InputPartition):
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.path = path
+
+
+def _read_values(options: dict, partition: _FilePartition):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    fsys, _ = _qdir(options)
+    table = pq.read_table(partition.path, columns=["msg_type", "correl_id", "payload"], filesystem=fsys)
+    is_report = pc.fill_null(pc.equal(table["msg_type"], pa.scalar(MQMT_REPORT, pa.int32())), False)
+    value = pc.if_else(is_report, table["correl_id"], table["payload"])
+    for batch in pa.table({"value": value}).to_batches(max_chunksize=8192):
+        yield batch
+
+
+class MQBatchReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.options = dict(options)
+
+    def partitions(self):
+        fsys, qdir = _qdir(self.options)
+        listing = _listing(fsys, qdir)
+        latest = _latest(listing)
+        parts = []
+        for producer, seqs in listing.items():
+            for seq, d, done in seqs:
+                if done and seq <= latest.get(producer, -1):
+                    parts += [_FilePartition(f) for f in _files(fsys, d)]
+        return parts or [_FilePartition("")]
+
+    def read(self, partition):
+        if not partition.path:
+            return iter(())
+        return _read_values(self.options, partition)
+
+
+class MQStreamReader(DataSourceStreamReader):
+    def __init__(self, options: dict):
+        self.options = dict(options)
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        fsys, qdir = _qdir(self.options)
+        return _latest(_listing(fsys, qdir))
+
+    def partitions(self, start: dict, end: dict):
+        fsys, qdir = _qdir(self.options)
+        listing = _listing(fsys, qdir)
+        parts = []
+        for producer, hi in end.items():
+            lo = start.get(producer, -1)
+            for seq, d, done in listing.get(producer, []):
+                if lo < seq <= hi and done:
+                    parts += [_FilePartition(f) for f in _files(fsys, d)]
+        return parts
+
+    def read(self, partition):
+        return _read_values(self.options, partition)
+
+    def commit(self, end: dict) -> None:
+        """Consumption is recorded by Spark's offset/commit logs; the queue
+        log itself is append-only, so there is nothing to delete here."""
+
+    def stop(self) -> None:
+        pass
+
+
+class MQDataSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return SOURCE_NAME
+
+    def __init__(self, options):
+        super().__init__(options)
+        bad = sorted(k for k in self.options if k.lower() in _SPLITTER_KEYS)
+        if bad:
+            raise ValueError(
+                f"options {bad} split records; apply queuelake.read_mq(...) or "
+                "split_records(...) on the source's 'value' instead"
+            )
+
+    def schema(self):
+        return VALUE_SCHEMA
+
+    def _check(self, schema: StructType) -> None:
+        if StructType.fromJson(schema.jsonValue()) != VALUE_SCHEMA:
+            raise ValueError(f"the mq source has the fixed schema 'value binary', not {schema.simpleString()}")
+
+    def reader(self, schema: StructType):
+        self._check(schema)
+        return MQBatchReader(self.options)
+
+    def streamReader(self, schema: StructType):
+        self._check(schema)
+        return MQStreamReader(self.options)
+
+
+def register(spark: SparkSession) -> None:
+    """Make ``format("mq")`` available in this session."""
+    spark.dataSource.register(MQDataSource)
