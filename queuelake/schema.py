@@ -52,3 +52,12 @@ SPLIT_FIELDS = [
     T.StructField("value", T.BinaryType()),
     T.StructField("error", T.StringType()),
 ]
+
+# Dead-letter messages: the message plus why it failed and the ack request.
+DEAD_LETTER_FIELDS = [
+    T.StructField("error", T.StringType()),
+    T.StructField("reply_to_qmgr", T.StringType()),
+    T.StructField("reply_to_queue", T.StringType()),
+    T.StructField("report", T.ArrayType(T.StringType())),
+]
+DEAD_LETTER_LOG_SCHEMA = T.StructType(MESSAGE_SCHEMA.fields + DEAD_LETTER_FIELDS + LOG_PARTITION_FIELDS)

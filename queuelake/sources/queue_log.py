@@ -19,6 +19,7 @@ import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schema import LOG_SCHEMA, MESSAGE_SCHEMA, MQMT_DATAGRAM
 from .fs import path_exists, write_once
@@ -81,12 +82,14 @@ def read_queue(
     queue_manager: str,
     queue: str,
     num_partitions: int | None = None,
+    schema: StructType = LOG_SCHEMA,
 ) -> DataFrame:
-    """All finished messages of a queue as a batch DataFrame (log schema)."""
+    """All finished messages of a queue as a batch DataFrame (log schema;
+    pass ``DEAD_LETTER_LOG_SCHEMA`` for a dead-letter queue)."""
     qdir = queue_dir(root, queue_manager, queue)
     if not path_exists(spark, qdir):
-        return spark.createDataFrame([], LOG_SCHEMA)
-    df = spark.read.schema(LOG_SCHEMA).option("basePath", qdir).parquet(qdir)
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).option("basePath", qdir).parquet(qdir)
     return with_partitions(df, num_partitions)
 
 
@@ -112,6 +115,7 @@ def read_queue_stream(
     max_bytes_per_trigger: str | None = None,
     clean_source: str | None = None,
     source_archive_dir: str | None = None,
+    schema: StructType = LOG_SCHEMA,
 ) -> DataFrame:
     """Messages of a queue as a stream, on Spark's file source.
 
@@ -121,7 +125,7 @@ def read_queue_stream(
     moving); ``"delete"`` removes them.
     """
     qdir = queue_dir(root, queue_manager, queue)
-    r = spark.readStream.schema(LOG_SCHEMA).option("basePath", qdir)
+    r = spark.readStream.schema(schema).option("basePath", qdir)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if max_bytes_per_trigger:

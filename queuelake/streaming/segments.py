@@ -1,9 +1,12 @@
 """Stateful reassembly of segmented messages on a stream.
 
 Per ``group_id`` the segments seen so far are kept in state.  A group is
-emitted as one message as soon as it is complete; a group that stays
-incomplete past ``timeout`` is emitted with ``error = 'INCOMPLETE_GROUP'``
-and whatever arrived, so it can be dead-lettered instead of waiting forever.
+emitted as one message as soon as it is complete.  Timeouts run on event
+time (the put time): once the watermark passes a group's latest put time
+plus ``delay``, the group is emitted with ``error = 'INCOMPLETE_GROUP'`` and
+whatever arrived, so it can be dead-lettered instead of waiting forever.
+Event time (not processing time) keeps ``availableNow`` runs finite: Spark
+only plans an extra batch when the watermark has moved past a timeout.
 Unsegmented messages pass straight through.
 """
 
@@ -17,6 +20,14 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..operators.segments import INCOMPLETE_GROUP
 from ..schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 
+def _interval_ms(text: str) -> int:
+    n, unit = text.strip().split(None, 1)
+    unit = unit.lower().rstrip("s")
+    # Milliseconds per unit.
+    scale = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+    return int(float(n) * scale[unit])
+
+
 _OUT = T.StructType(MESSAGE_SCHEMA.fields + [T.StructField("error", T.StringType())])
 _STATE = T.StructType(
     [
@@ -27,17 +38,18 @@ _STATE = T.StructType(
         T.StructField("msg_type", T.IntegerType()),
         T.StructField("correl_id", T.BinaryType()),
         T.StructField("put_ts", T.TimestampNTZType()),
+        T.StructField("latest_ms", T.LongType()),
     ]
 )
 
 
-def _make_fn(timeout_ms: int):
+def _make_fn(delay_ms: int):
     def fn(key, pdfs, state):
         import pandas as pd
 
         (group_id,) = key
         if state.hasTimedOut:
-            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts = state.get
+            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts, _ = state.get
             state.remove()
             yield pd.DataFrame(
                 [[msg_id, msg_type, correl_id, group_id, None, None, put_ts, b"".join(payloads), INCOMPLETE_GROUP]],
@@ -46,12 +58,16 @@ def _make_fn(timeout_ms: int):
             return
         segs: dict[int, tuple[bool, bytes]] = {}
         head = None
+        latest = None
         if state.exists:
-            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts = state.get
+            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts, latest = state.get
             for o, l, p in zip(offsets, lasts, payloads):
                 segs[int(o)] = (bool(l), bytes(p))
             head = (msg_id, msg_type, correl_id, put_ts)
         for pdf in pdfs:
+            ms = pdf["__event_ms"].dropna()
+            if len(ms):
+                latest = max(int(ms.max()), latest if latest is not None else int(ms.max()))
             for r in pdf.itertuples(index=False):
                 off = int(r.seg_offset)
                 segs[off] = (bool(r.last_segment), bytes(r.payload))
@@ -80,22 +96,37 @@ def _make_fn(timeout_ms: int):
                 [segs[o][0] for o in order],
                 [segs[o][1] for o in order],
                 *head,
+                latest,
             )
         )
-        state.setTimeoutDuration(timeout_ms)
+        watermark = int(state.getCurrentWatermarkMs())
+        base = latest if latest is not None else watermark
+        state.setTimeoutTimestamp(max(base + delay_ms, watermark + 1))
         if False:
             yield
 
     return fn
 
 
-def assemble_segments_stream(df: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
+def assemble_segments_stream(df: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Reassemble segmented messages of a stream (see module doc).
+
+    ``delay`` is the watermark delay on ``put_ts``; a group that has not
+    completed once the watermark moved ``delay`` past its last update times
+    out.
+    """
+    delay_ms = _interval_ms(delay)
     df = df.select(
         *[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
     )
     plain = df.where(F.col("group_id").isNull()).select(*MESSAGE_COLUMNS, F.lit(None).cast("string").alias("error"))
     seg = df.where(F.col("group_id").isNotNull()).select(*MESSAGE_COLUMNS)
+    seg = (
+        seg.withColumn("__event_ts", F.col("put_ts").cast("timestamp"))
+        .withColumn("__event_ms", F.unix_millis("__event_ts"))
+        .withWatermark("__event_ts", delay)
+    )
     out = seg.groupBy("group_id").applyInPandasWithState(
-        _make_fn(timeout_ms), _OUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        _make_fn(delay_ms), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return plain.unionByName(out)
