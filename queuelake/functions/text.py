@@ -38,15 +38,14 @@ def encode_text(text: str | Column, encoding: str = "UTF-8") -> Column:
 
 
 def split_lines_expr(payload: str | Column, encoding: str = "UTF-8") -> Column:
-    """array<binary> of lines, line scanner semantics.
+    """array<string> of the decoded lines, line scanner semantics.
 
     Empty payload -> no line; a final terminator does not start a new line;
-    blank lines in between are kept; every line is re-encoded in ``encoding``.
+    blank lines in between are kept.  (Splitters re-encode each line in
+    ``encoding`` after exploding.)
     """
     p = _c(payload)
     text = decode_payload(p, encoding)
     body = F.regexp_replace(text, "(?:" + LINE_TERMINATOR + ")\\z", "")
     lines = F.split(body, LINE_TERMINATOR, -1)
-    enc = normalize_charset(encoding)
-    encoded = F.transform(lines, lambda x: encode_text(x, enc))
-    return F.when(F.octet_length(p) == 0, F.array().cast("array<binary>")).otherwise(encoded)
+    return F.when(F.octet_length(p) == 0, F.array().cast("array<string>")).otherwise(lines)

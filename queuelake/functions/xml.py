@@ -41,7 +41,8 @@ def element_regex(tag: str, keep_indent: bool) -> str:
 
 
 def normalize_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\\r\\n?", "\n")
+    """``\\r\\n`` and lone ``\\r`` -> ``\\n`` (the regex only runs when a ``\\r`` is there)."""
+    return F.when(text.contains("\r"), F.regexp_replace(text, "\\r\\n?", "\n")).otherwise(text)
 
 
 def line_layout(element: Column, single_line: Column) -> Column:

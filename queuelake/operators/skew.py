@@ -28,7 +28,13 @@ def chunk_hot_groups(
     hash_cols: Sequence[str],
     chunk_col: str = "chunk",
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+) -> tuple[DataFrame, bool]:
+    """``(df with chunk_col, any_hot)``.
+
+    When no group is hot, ``chunk_col`` is the literal 0 and callers should
+    group by ``keys`` alone, so the aggregate stays hash-partitioned on the
+    keys and a following join on them needs no second shuffle.
+    """
     if max_rows < 1:
         raise ValueError("max_rows must be positive")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
@@ -37,10 +43,31 @@ def chunk_hot_groups(
     )
     n_hot = hot.count()
     if n_hot == 0:
-        return df.withColumn(chunk_col, F.lit(0))
+        return df.withColumn(chunk_col, F.lit(0)), False
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     joined = df.join(side, list(keys), "left")
     chunk = F.when(F.col("__chunks").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.col("__chunks")).cast("int")
     )
-    return joined.withColumn(chunk_col, chunk).drop("__chunks")
+    return joined.withColumn(chunk_col, chunk).drop("__chunks"), True
+
+
+def group_messages(df: DataFrame, keys: Sequence[str], chunked: bool, agg, chunk_col: str = "chunk") -> DataFrame:
+    """``groupBy(keys [+ chunk]).agg(agg)`` with ``chunk_col`` in the output."""
+    if chunked:
+        return df.groupBy(*keys, chunk_col).agg(agg)
+    return df.groupBy(*keys).agg(agg).withColumn(chunk_col, F.lit(0))
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow input over at least ``min_partitions`` tasks.
+
+    Only inputs with fewer partitions than the cluster's parallelism (one
+    small file, one row group) are repartitioned; a large input already has
+    more splits than cores and is returned untouched, without a shuffle.
+    """
+    spark = df.sparkSession
+    want = min_partitions or int(spark.sparkContext.defaultParallelism)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

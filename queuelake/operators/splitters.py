@@ -2,16 +2,20 @@
 
 Every splitter is a ``DataFrame -> DataFrame`` transform with one contract:
 the input has a binary payload column (``payload`` by default); the output
-keeps the input's other columns and adds ``pos int``, ``value binary`` and
-``error string``.
+keeps the input's other columns, drops the payload and adds ``pos int``,
+``value binary`` and ``error string``.
 
 * a good message gives one row per record, ``pos`` 0..n-1, ``error`` null;
 * a message that cannot be split gives exactly one row with ``pos`` null,
   ``value`` = the whole payload and ``error`` set, so the whole message can be
   routed to a dead-letter queue (see ``operators.routing``).
 
-All built-in splitters are native Spark expressions followed by one
-``inline`` generator: scan -> project -> generate, no shuffle, no Python.
+Built-in splitters are native Spark expressions: a projection finds the
+records of each message (regex, JSON or line split), one ``posexplode``
+generates the rows, and a second projection formats each record.  Both
+projections run under whole-stage codegen; the payload is not copied into
+every record row (only failed messages carry it), so a message with many
+records costs linear, not quadratic, memory traffic.  No shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -25,35 +29,60 @@ from pyspark.sql import types as T
 from ..functions import json as jx
 from ..functions import xml as xx
 from ..functions.text import decode_payload, encode_text, split_lines_expr
-from ..options import normalize_charset
 from ..schema import FIXED_WIDTH_FORMAT, JSON_FORMAT, XML_FORMAT
 
-_RECORDS = "__ql_records"
-_ERROR = "__ql_error"
 _OUT = ("pos", "value", "error")
+_TMP = "__ql_"
 
 
-def _emit(df: DataFrame, records: Column, error: Column, payload: str) -> DataFrame:
-    """Explode ``records`` (array<binary>) into rows, or one error row."""
-    keep = [c for c in df.columns if c not in _OUT or c == payload]
-    staged = df.select(*keep, records.alias(_RECORDS), error.alias(_ERROR))
-    items = F.when(
-        F.col(_ERROR).isNull(),
-        F.transform(
-            F.col(_RECORDS),
-            lambda x, i: F.struct(i.cast("int").alias("pos"), x.alias("value")),
-        ),
-    ).otherwise(
-        F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.col(payload).alias("value")))
+def _emit(
+    df: DataFrame,
+    records: Column,
+    error: Column,
+    payload: str,
+    element_type: str = "string",
+    finish: Callable[[Column], Column] | None = None,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Rows from ``records`` (array of ``element_type``), or one error row.
+
+    ``finish`` maps the exploded element to the record bytes; it may use the
+    ``carry`` columns (per-message values such as a formatted header).
+    """
+    keep = [c for c in df.columns if c not in _OUT and c != payload and not c.startswith(_TMP)]
+    staged = df.select(
+        *keep,
+        *carry,
+        records.alias("__ql_r"),
+        error.alias("__ql_e"),
+        F.when(error.isNotNull(), F.col(payload)).alias("__ql_bad"),
     )
-    out_cols = [c for c in keep if c != "value"]
-    exploded = staged.select(*out_cols, F.inline(items), F.col(_ERROR).alias("error"))
-    return exploded
+    good = F.col("__ql_e").isNull()
+    gen = F.when(good, F.col("__ql_r")).otherwise(F.array(F.lit(None).cast(element_type)))
+    ex = staged.select(*keep, *carry, F.posexplode(gen).alias("__ql_p", "__ql_x"), "__ql_e", "__ql_bad")
+    x = F.col("__ql_x")
+    value = finish(x) if finish is not None else x
+    return ex.select(
+        *keep,
+        F.when(good, F.col("__ql_p")).cast("int").alias("pos"),
+        F.when(good, value.cast("binary")).otherwise(F.col("__ql_bad")).alias("value"),
+        F.col("__ql_e").alias("error"),
+    )
+
+
+def _no_error() -> Column:
+    return F.lit(None).cast("string")
 
 
 def split_lines(df: DataFrame, payload: str = "payload", encoding: str = "UTF-8") -> DataFrame:
     """``FIXED_WIDTH``: one record per line, re-encoded in ``encoding``."""
-    return _emit(df, split_lines_expr(F.col(payload), encoding), F.lit(None).cast("string"), payload)
+    return _emit(
+        df,
+        split_lines_expr(F.col(payload), encoding),
+        _no_error(),
+        payload,
+        finish=lambda x: encode_text(x, encoding),
+    )
 
 
 def split_json(df: DataFrame, split: str | None = None, payload: str = "payload") -> DataFrame:
@@ -61,17 +90,15 @@ def split_json(df: DataFrame, split: str | None = None, payload: str = "payload"
     one record per element of the array under key ``split``, which must be the
     object's first key.  Scalar elements keep their JSON form (``"1"``, ``1``,
     ``null``)."""
-    text = decode_payload(F.col(payload))
-    staged = df.withColumn("__ql_text", text)
+    staged = df.withColumn("__ql_text", decode_payload(F.col(payload)))
     t = F.col("__ql_text")
     blank = F.trim(t) == ""
     if not split:
-        rec = jx.minified(t)
-        records = F.when(blank | rec.isNull(), F.array().cast("array<binary>")).otherwise(
-            F.array(rec.cast("binary"))
-        )
+        staged = staged.withColumn("__ql_min", F.when(~blank, jx.minified(t)))
+        rec = F.col("__ql_min")
+        records = F.when(blank, F.array().cast("array<string>")).otherwise(F.array(rec))
         error = F.when(~blank & rec.isNull(), F.lit(jx.BAD_JSON))
-        return _emit(staged, records, error, payload).drop("__ql_text")
+        return _emit(staged, records, error, payload)
     # project the two parses once, then build records/error from them
     staged = staged.withColumn("__ql_keys", F.json_object_keys(t))
     elements, _ = jx.array_elements(t, split)
@@ -84,10 +111,8 @@ def split_json(df: DataFrame, split: str | None = None, payload: str = "payload"
         .when((F.size(keys) == 0) | (F.get(keys, 0) != F.lit(split)), F.lit(jx.SPLIT_KEY_NOT_FIRST))
         .when(elems.isNull(), F.lit(jx.NOT_ARRAY))
     )
-    records = F.when(blank, F.array().cast("array<binary>")).otherwise(
-        F.transform(elems, lambda x: x.cast("binary"))
-    )
-    return _emit(staged, records, error, payload).drop("__ql_text", "__ql_keys", "__ql_elems")
+    records = F.when(blank, F.array().cast("array<string>")).otherwise(elems)
+    return _emit(staged, records, error, payload)
 
 
 def split_xml(
@@ -127,49 +152,54 @@ def split_xml(
 
     if not split:
         rec = xx.whole_message(t) if lines else t
-        records = F.when(empty, F.array().cast("array<binary>")).otherwise(F.array(rec.cast("binary")))
-        return _emit(staged, records, F.lit(None).cast("string"), payload).drop("__ql_text")
+        records = F.when(empty, F.array().cast("array<string>")).otherwise(F.array(rec))
+        return _emit(staged, records, _no_error(), payload)
 
     open_re = xx.open_tag_regex(split)
     staged = staged.withColumn(
         "__ql_m", F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=lines)), 0)
     ).withColumn("__ql_nopen", F.regexp_count(t, F.lit(open_re)))
-    single = ~t.contains("\n")
-    hdr_cols = []
-    for i, h in enumerate(headers):
-        name = f"__ql_h{i}"
-        staged = staged.withColumn(
-            name, F.regexp_extract(t, xx.element_regex(h, keep_indent=lines), 0)
-        )
-        hdr_cols.append(F.col(name))
+    carry = []
+    if lines:
+        staged = staged.withColumn("__ql_single", ~t.contains("\n"))
+        carry.append("__ql_single")
+
+    def fmt(x: Column) -> Column:
+        return xx.line_layout(x, F.col("__ql_single")) if lines else x
+
+    # header blocks: found and formatted once per message, not per record
+    hdr_cols = [F.regexp_extract(t, xx.element_regex(h, keep_indent=lines), 0) for h in headers]
+    if hdr_cols:
+        staged = staged.select("*", *[c.alias(f"__ql_h{i}") for i, c in enumerate(hdr_cols)])
+        hdr_cols = [F.col(f"__ql_h{i}") for i in range(len(hdr_cols))]
+        parts: list[Column] = [F.lit("<root>")]
+        for hc in hdr_cols:
+            parts.append(fmt(hc))
+            if lines:
+                parts.append(F.lit("\n"))
+        staged = staged.withColumn("__ql_hdr", F.concat(*parts))
+        carry.append("__ql_hdr")
     m = F.col("__ql_m")
     nested = F.exists(m, lambda x: F.regexp_count(x, F.lit(open_re)) > 1)
-    error = F.when(nested, F.lit(xx.NESTED_SPLIT)).when(
-        F.col("__ql_nopen") != F.size(m), F.lit(xx.UNCLOSED_SPLIT)
+    # a nested element always leaves a start tag without its own match, so
+    # the per-record check only runs on messages whose counts disagree
+    error = (
+        F.when(F.col("__ql_nopen") == F.size(m), _no_error())
+        .when(nested, F.lit(xx.NESTED_SPLIT))
+        .otherwise(F.lit(xx.UNCLOSED_SPLIT))
     )
     if hdr_cols:
         missing = F.lit(False)
         for hc in hdr_cols:
             missing = missing | (hc == "")
-        error = error.when(missing, F.lit(xx.HEADER_MISSING))
-
-    def fmt(x: Column) -> Column:
-        return xx.line_layout(x, single) if lines else x
+        error = F.when(missing, F.lit(xx.HEADER_MISSING)).otherwise(error)
 
     def record(x: Column) -> Column:
         if not hdr_cols:
             return fmt(x)
-        parts: list[Column] = [F.lit("<root>")]
-        for hc in hdr_cols:
-            parts.append(fmt(hc))
-            if lines:
-                parts.append(F.lit("\n"))
-        parts += [fmt(x), F.lit("</root>")]
-        return F.concat(*parts)
+        return F.concat(F.col("__ql_hdr"), fmt(x), F.lit("</root>"))
 
-    records = F.transform(m, lambda x: record(x).cast("binary"))
-    drop = ["__ql_text", "__ql_m", "__ql_nopen"] + [f"__ql_h{i}" for i in range(len(hdr_cols))]
-    return _emit(staged, records, error, payload).drop(*drop)
+    return _emit(staged, m, error, payload, finish=record, carry=carry)
 
 
 # --------------------------------------------------------------------------
@@ -235,7 +265,7 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]]) -> Splitter:
         keep = [c for c in df.columns if c not in _OUT or c == payload]
         base = df.select(*keep)
         in_schema = base.schema
-        out_fields = [f for f in in_schema.fields if f.name != "value"]
+        out_fields = [f for f in in_schema.fields if f.name not in ("value", payload)]
         out_schema = T.StructType(
             out_fields
             + [

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import chunk_hot_groups
+from ..operators.skew import chunk_hot_groups, ensure_parallelism, group_messages
 from ..schema import MQMT_DATAGRAM, MQMT_REPORT
 
 DEFAULT_MAX_ITEMS = 100_000
@@ -56,12 +56,11 @@ def order_xml_messages(
         *[_tag(c, _s(c), pretty, ind) for c in ITEM_FIELDS],
         F.lit("  </item>\n" if pretty else "</item>"),
     )
-    li = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *ITEM_FIELDS])
-    per = li.groupBy("l_orderkey", "chunk").agg(
-        F.array_join(F.array_sort(F.collect_list(item)), "").alias("items")
-    )
+    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *ITEM_FIELDS])
+    per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    m = orders.join(per, orders.o_orderkey == per.l_orderkey, "left")
+    # the item lists grow with the data: never broadcast them
+    m = orders.join(per.hint("shuffle_hash"), orders.o_orderkey == per.l_orderkey, "left")
     hind = "    " if pretty else ""
     header = F.concat(
         F.lit("  <header>\n" if pretty else "<header>"),
@@ -106,9 +105,10 @@ def order_json_messages(
     lines; ``first_key="o_orderkey"`` puts the key first (must be rejected
     by ``split_json(split="items")``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_JSON_FIELDS)
-    li = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *LINE_JSON_FIELDS])
-    elem = F.to_json(F.struct(*LINE_JSON_FIELDS), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"})
-    per = li.groupBy("l_orderkey", "chunk").agg(F.array_join(F.array_sort(F.collect_list(elem)), ",").alias("items"))
+    li = li.withColumn("l_shipdate", F.to_date("l_shipdate"))
+    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *LINE_JSON_FIELDS])
+    elem = F.to_json(F.struct(*LINE_JSON_FIELDS))
+    per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(elem)), ",").alias("items"))
     items = F.concat(F.lit('"items":['), F.col("items"), F.lit("]"))
     key = F.concat(F.lit('"o_orderkey":'), _s("l_orderkey"))
     body = F.concat(items, F.lit(","), key) if first_key == "items" else F.concat(key, F.lit(","), items)
@@ -135,8 +135,8 @@ def event_line_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAU
         F.rpad(F.col("event_type"), 16, " "),
         F.lpad(_s("value"), 24, " "),
     )
-    ev = chunk_hot_groups(ev, ["user_id", "day"], max_items, ["event_id"])
-    per = ev.groupBy("user_id", "day", "chunk").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
+    ev, chunked = chunk_hot_groups(ev, ["user_id", "day"], max_items, ["event_id"])
+    per = group_messages(ev, ["user_id", "day"], chunked, F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
     return per.select(
         F.concat_ws(":", _s("user_id"), F.date_format("day", "yyyyMMdd"), _s("chunk")).alias("msg_id"),
         F.col("text").cast("binary").alias("payload"),
@@ -147,7 +147,7 @@ def event_line_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAU
 
 def event_props_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one JSON message per event: ``props`` as is."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "props")
+    ev = ensure_parallelism(table(spark, sf_dir, "events").select("event_id", "ts", "props"))
     return ev.select(
         _s("event_id").alias("msg_id"),
         F.col("ts").alias("put_ts"),
@@ -158,7 +158,7 @@ def event_props_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one message per document, its text as UTF-8."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select(_s("doc_id").alias("msg_id"), F.col("text").cast("binary").alias("payload"), "doc_id")
 
 
@@ -169,7 +169,7 @@ def latin1(text: Column) -> Column:
 
 def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 input: one ISO-8859-1 message per conversation turn."""
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    c = ensure_parallelism(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     return c.select(
         F.concat_ws(":", _s("conv_id"), _s("turn")).alias("msg_id"),
         latin1(F.col("text")).alias("payload"),
@@ -185,7 +185,7 @@ def segmented_document_messages(spark: SparkSession, sf_dir: str, drop_last_mod:
     ``last_segment`` marks the final one.  Where ``doc_id % drop_last_mod = 0``
     the final segment is withheld, so those groups never complete.
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = F.ceil(F.char_length("text") / F.lit(SEGMENT_CHARS)).cast("int")
     idx = F.sequence(F.lit(0), n - 1)
     segs = F.transform(idx, lambda i: F.substring(F.col("text"), i * SEGMENT_CHARS + 1, SEGMENT_CHARS))
@@ -228,7 +228,9 @@ def order_line_payload() -> Column:
 def order_report_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: orders as messages; status 'P' ones are report messages whose
     correlation id is the order key."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    o = ensure_parallelism(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    )
     report = F.col("o_orderstatus") == "P"
     return o.select(
         _s("o_orderkey").alias("msg_id"),
@@ -242,7 +244,9 @@ def order_report_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_plain_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One datagram per order with the plain text payload."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    o = ensure_parallelism(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    )
     return o.select(
         _s("o_orderkey").alias("msg_id"),
         F.lit(MQMT_DATAGRAM).alias("msg_type"),
@@ -254,7 +258,7 @@ def order_plain_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6 input: ``{"vals":[<p_name>, <p_size>, null, {"brand": <p_brand>}]}`` per part."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand")
+    p = ensure_parallelism(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand"))
     name_json = F.regexp_extract(F.to_json(F.array("p_name")), "^\\[(.*)\\]$", 1)
     doc = F.concat(
         F.lit('{"vals":['),
@@ -270,13 +274,13 @@ def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_name_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11 input: one message per part, its name."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    p = ensure_parallelism(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     return p.select(_s("p_partkey").alias("msg_id"), F.col("p_name").cast("binary").alias("payload"), "p_partkey")
 
 
 def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per web page, its HTML as UTF-8."""
-    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    p = ensure_parallelism(table(spark, sf_dir, "pages").select("page_id", "html"))
     return p.select(_s("page_id").alias("msg_id"), F.col("html").cast("binary").alias("payload"), "page_id")
 
 
@@ -288,8 +292,8 @@ def order_fixed_width_messages(spark: SparkSession, sf_dir: str, max_items: int
     """Per order one message of fixed-width item lines (``ITEM_LINE_LAYOUT``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     line = F.concat(F.lpad(_s("l_linenumber"), 10, " "), F.lpad(_s("l_quantity"), 24, " "))
-    li = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", "l_linenumber", "l_quantity"])
-    per = li.groupBy("l_orderkey", "chunk").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
+    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", "l_linenumber", "l_quantity"])
+    per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
     return per.select(
         _message_id(F.col("l_orderkey"), F.col("chunk")).alias("msg_id"),
         F.col("text").cast("binary").alias("payload"),

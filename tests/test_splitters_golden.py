@@ -130,5 +130,5 @@ def test_dispatch_case_insensitive_and_unknown(spark):
 def test_output_keeps_columns_and_contract(spark):
     df = messages(spark, ["<r><i>1</i></r>"])
     out = split_xml(df.withColumn("extra", df.msg_id), split="i")
-    assert out.columns == ["msg_id", "payload", "extra", "pos", "value", "error"]
+    assert out.columns == ["msg_id", "extra", "pos", "value", "error"]
     assert dict(out.dtypes)["pos"] == "int" and dict(out.dtypes)["value"] == "binary"
