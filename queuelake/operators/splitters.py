@@ -50,16 +50,16 @@ def _emit(
     ``carry`` columns (per-message values such as a formatted header).
     """
     keep = [c for c in df.columns if c not in _OUT and c != payload and not c.startswith(_TMP)]
-    staged = df.select(
-        *keep,
-        *carry,
-        records.alias("__ql_r"),
-        error.alias("__ql_e"),
-        F.when(error.isNotNull(), F.col(payload)).alias("__ql_bad"),
-    )
+    staged = df.select(*keep, *carry, payload, records.alias("__ql_r"), error.alias("__ql_e"))
     good = F.col("__ql_e").isNull()
+    staged = staged.select(*keep, *carry, "__ql_r", "__ql_e", F.when(~good, F.col(payload)).alias("__ql_bad"))
     gen = F.when(good, F.col("__ql_r")).otherwise(F.array(F.lit(None).cast(element_type)))
-    ex = staged.select(*keep, *carry, F.posexplode(gen).alias("__ql_p", "__ql_x"), "__ql_e", "__ql_bad")
+    # posexplode_outer + a filter on the generated position instead of plain
+    # posexplode: for a non-outer explode the optimizer infers a
+    # ``size(array) > 0`` filter and pushes it below the projection, which
+    # re-evaluates the whole split expression (regex, JSON parse) twice more.
+    ex = staged.select(*keep, *carry, F.posexplode_outer(gen).alias("__ql_p", "__ql_x"), "__ql_e", "__ql_bad")
+    ex = ex.where(F.col("__ql_p").isNotNull())
     x = F.col("__ql_x")
     value = finish(x) if finish is not None else x
     return ex.select(
@@ -156,13 +156,18 @@ def split_xml(
         return _emit(staged, records, _no_error(), payload)
 
     open_re = xx.open_tag_regex(split)
-    staged = staged.withColumn(
-        "__ql_m", F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=lines)), 0)
-    ).withColumn("__ql_nopen", F.regexp_count(t, F.lit(open_re)))
     carry = []
     if lines:
         staged = staged.withColumn("__ql_single", ~t.contains("\n"))
         carry.append("__ql_single")
+        # indentation only exists in multi-line messages: skip that part of
+        # the pattern for one-line ones
+        found = F.when(
+            F.col("__ql_single"), F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=False)), 0)
+        ).otherwise(F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=True)), 0))
+    else:
+        found = F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=False)), 0)
+    staged = staged.withColumn("__ql_m", found).withColumn("__ql_nopen", F.regexp_count(t, F.lit(open_re)))
 
     def fmt(x: Column) -> Column:
         return xx.line_layout(x, F.col("__ql_single")) if lines else x

@@ -274,7 +274,7 @@ def q_queue_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 def q_parallel_scan(spark: SparkSession, d: str) -> DataFrame:
     root = shared_dir(spark, "parallel_scan", unique=True)
-    msgs = fx.order_plain_messages(spark, d).drop("o_orderkey").repartition(4)
+    msgs = fx.order_plain_messages(spark, d).drop("o_orderkey")
     write_queue(msgs, root, QMGR, QUEUE, producer="orders", seq=1)
     return _plain_value(read_queue(spark, root, QMGR, QUEUE, num_partitions=16))
 
@@ -314,12 +314,18 @@ def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str, str]:
     return f"{base}/log", f"{base}/sink", f"{base}/checkpoint"
 
 
+def _batch_files(spark: SparkSession) -> int:
+    """Files per micro-batch (``maxFilesPerTrigger``): one task per core.
+    The log itself has as many files as the producer had partitions."""
+    return max(1, int(spark.sparkContext.defaultParallelism))
+
+
 def q_stream_queue_scan(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.drain import drain
 
     log, sink, ckpt = _stream_dirs(spark, "stream_queue_scan")
-    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey").repartition(4), log, QMGR, QUEUE, "orders", 1)
-    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=2)
+    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark))
     msgs = stream.select("msg_id", message_value().alias("payload"))
     drain(header_enriched_items(msgs), sink, ckpt)
     return spark.read.parquet(sink)
@@ -329,8 +335,8 @@ def q_stream_drain_available_now(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.drain import drain
 
     log, sink, ckpt = _stream_dirs(spark, "stream_drain")
-    write_queue(fx.order_plain_messages(spark, d).drop("o_orderkey").repartition(4), log, QMGR, QUEUE, "orders", 1)
-    stream = _plain_value(read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=1))
+    write_queue(fx.order_plain_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    stream = _plain_value(read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark)))
     drain(stream, sink, ckpt)
     drain(stream, sink, ckpt)  # nothing new: adds no rows
     return spark.read.parquet(sink)
@@ -342,7 +348,7 @@ def q_stream_mq_source(spark: SparkSession, d: str) -> DataFrame:
 
     register(spark)
     log, sink, ckpt = _stream_dirs(spark, "stream_mq_source")
-    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey").repartition(4), log, QMGR, QUEUE, "orders", 1)
+    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
     raw = (
         spark.readStream.format("mq")
         .option("path", log)
@@ -360,10 +366,10 @@ def q_stream_batch_writer(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.writer import QueueBatchWriter
 
     log, sink, ckpt = _stream_dirs(spark, "stream_batch_writer")
-    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey").repartition(4), log, QMGR, QUEUE, "orders", 1)
+    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
     opts = _base_opts(path=log, fileFormat="XML", split="item", headers="header", movePath=f"{log}/../archive")
     writer = QueueBatchWriter(opts, sink, producer="orders-reader")
-    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=2)
+    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark))
     run_foreach_batch(stream, writer, ckpt)
     good = spark.read.parquet(sink)
     p = good.select(xml_struct("value", ROOT_XML_SCHEMA, corrupt=None).alias("r"))
@@ -383,8 +389,8 @@ def q_stream_assemble_segments(spark: SparkSession, d: str) -> DataFrame:
 
     log, sink, ckpt = _stream_dirs(spark, "stream_segments")
     segs = fx.segmented_document_messages(spark, d).drop("doc_id")
-    write_queue(segs.repartition(4), log, QMGR, QUEUE, "docs", 1)
-    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=2).drop("producer", "seq")
+    write_queue(segs, log, QMGR, QUEUE, "docs", 1)
+    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark)).drop("producer", "seq")
     out = assemble_segments_stream(stream).where(F.col("error").isNull())
     drain(out.select(F.col("group_id").cast("bigint").alias("doc_id"), _str("payload").alias("text")), sink, ckpt)
     return spark.read.parquet(sink)

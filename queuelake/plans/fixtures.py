@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The projected columns of a table, over at least one task per core.
+
+    A table stored as one file with one row group is read by a single task;
+    ``ensure_parallelism`` spreads it before the per-row work.  A table in
+    many files (the normal case at scale) is left alone: no shuffle.
+    """
+    return ensure_parallelism(df)
+
+
 def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
@@ -49,7 +59,7 @@ def order_xml_messages(
     ``<order><header><o_orderkey/><o_orderstatus/></header><item>..</item>..</order>``
     with items sorted as text; ``pretty`` puts every tag on its own line.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *ITEM_FIELDS)
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", *ITEM_FIELDS))
     ind = "    " if pretty else ""
     item = F.concat(
         F.lit("  <item>\n" if pretty else "<item>"),
@@ -104,7 +114,7 @@ def order_json_messages(
     """``{"items":[{lineitem columns},..],"o_orderkey":k}`` per order with
     lines; ``first_key="o_orderkey"`` puts the key first (must be rejected
     by ``split_json(split="items")``)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_JSON_FIELDS)
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_JSON_FIELDS))
     li = li.withColumn("l_shipdate", F.to_date("l_shipdate"))
     li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *LINE_JSON_FIELDS])
     elem = F.to_json(F.struct(*LINE_JSON_FIELDS))
@@ -127,8 +137,8 @@ def event_line_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAU
     """per (user_id, day) one message of fixed-width event lines joined by
     ``\\n``: event_id (20, right-aligned), event_type (16, left-aligned),
     value (24, right-aligned, shortest exact decimal text of the double)."""
-    ev = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.to_date("ts").alias("day"), "event_type", "value"
+    ev = spread(
+        table(spark, sf_dir, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type", "value")
     )
     line = F.concat(
         F.lpad(_s("event_id"), 20, " "),
@@ -147,7 +157,7 @@ def event_line_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAU
 
 def event_props_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one JSON message per event: ``props`` as is."""
-    ev = ensure_parallelism(table(spark, sf_dir, "events").select("event_id", "ts", "props"))
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "props"))
     return ev.select(
         _s("event_id").alias("msg_id"),
         F.col("ts").alias("put_ts"),
@@ -158,7 +168,7 @@ def event_props_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one message per document, its text as UTF-8."""
-    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select(_s("doc_id").alias("msg_id"), F.col("text").cast("binary").alias("payload"), "doc_id")
 
 
@@ -169,7 +179,7 @@ def latin1(text: Column) -> Column:
 
 def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 input: one ISO-8859-1 message per conversation turn."""
-    c = ensure_parallelism(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    c = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     return c.select(
         F.concat_ws(":", _s("conv_id"), _s("turn")).alias("msg_id"),
         latin1(F.col("text")).alias("payload"),
@@ -185,7 +195,7 @@ def segmented_document_messages(spark: SparkSession, sf_dir: str, drop_last_mod:
     ``last_segment`` marks the final one.  Where ``doc_id % drop_last_mod = 0``
     the final segment is withheld, so those groups never complete.
     """
-    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = F.ceil(F.char_length("text") / F.lit(SEGMENT_CHARS)).cast("int")
     idx = F.sequence(F.lit(0), n - 1)
     segs = F.transform(idx, lambda i: F.substring(F.col("text"), i * SEGMENT_CHARS + 1, SEGMENT_CHARS))
@@ -196,7 +206,11 @@ def segmented_document_messages(spark: SparkSession, sf_dir: str, drop_last_mod:
         F.col("segs"), lambda _seg, i: F.aggregate(F.slice(lens, F.lit(1), i), F.lit(0), lambda a, x: a + x)
     )
     staged = staged.select("doc_id", "n", "segs", offs.alias("offs"))
-    ex = staged.select("doc_id", "n", "offs", F.posexplode("segs").alias("i", "seg"))
+    # outer + filter: keeps the optimizer from re-evaluating ``segs`` in an
+    # inferred ``size(segs) > 0`` filter below this projection
+    ex = staged.select("doc_id", "n", "offs", F.posexplode_outer("segs").alias("i", "seg")).where(
+        F.col("i").isNotNull()
+    )
     last = F.col("i") == F.col("n") - 1
     withheld = last & (F.pmod(F.col("doc_id"), F.lit(drop_last_mod)) == 0)
     return ex.where(~withheld).select(
@@ -228,7 +242,7 @@ def order_line_payload() -> Column:
 def order_report_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: orders as messages; status 'P' ones are report messages whose
     correlation id is the order key."""
-    o = ensure_parallelism(
+    o = spread(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     )
     report = F.col("o_orderstatus") == "P"
@@ -244,7 +258,7 @@ def order_report_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_plain_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One datagram per order with the plain text payload."""
-    o = ensure_parallelism(
+    o = spread(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     )
     return o.select(
@@ -258,7 +272,7 @@ def order_plain_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6 input: ``{"vals":[<p_name>, <p_size>, null, {"brand": <p_brand>}]}`` per part."""
-    p = ensure_parallelism(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand"))
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand"))
     name_json = F.regexp_extract(F.to_json(F.array("p_name")), "^\\[(.*)\\]$", 1)
     doc = F.concat(
         F.lit('{"vals":['),
@@ -274,13 +288,13 @@ def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_name_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11 input: one message per part, its name."""
-    p = ensure_parallelism(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     return p.select(_s("p_partkey").alias("msg_id"), F.col("p_name").cast("binary").alias("payload"), "p_partkey")
 
 
 def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per web page, its HTML as UTF-8."""
-    p = ensure_parallelism(table(spark, sf_dir, "pages").select("page_id", "html"))
+    p = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
     return p.select(_s("page_id").alias("msg_id"), F.col("html").cast("binary").alias("payload"), "page_id")
 
 
@@ -290,7 +304,7 @@ ITEM_LINE_LAYOUT = [("l_linenumber", 1, 10, "int"), ("l_quantity", 11, 24, "doub
 
 def order_fixed_width_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
     """Per order one message of fixed-width item lines (``ITEM_LINE_LAYOUT``)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
     line = F.concat(F.lpad(_s("l_linenumber"), 10, " "), F.lpad(_s("l_quantity"), 24, " "))
     li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", "l_linenumber", "l_quantity"])
     per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
