@@ -53,10 +53,18 @@ def chunk_hot_groups(
 
 
 def group_messages(df: DataFrame, keys: Sequence[str], chunked: bool, agg, chunk_col: str = "chunk") -> DataFrame:
-    """``groupBy(keys [+ chunk]).agg(agg)`` with ``chunk_col`` in the output."""
-    if chunked:
-        return df.groupBy(*keys, chunk_col).agg(agg)
-    return df.groupBy(*keys).agg(agg).withColumn(chunk_col, F.lit(0))
+    """``groupBy(keys [+ chunk]).agg(agg)`` with ``chunk_col`` in the output.
+
+    The rows are hash-partitioned on the grouping columns first and the
+    aggregate reuses that partitioning, so there is still exactly one
+    exchange, but it moves the compact typed input columns instead of the
+    built record strings, and ``agg`` (string building + ``collect_list``,
+    which a map-side combine would not shrink anyway) runs on the reduce
+    side in parallel, however few splits the input has.
+    """
+    by = [*keys, chunk_col] if chunked else list(keys)
+    grouped = df.repartition(*by).groupBy(*by).agg(agg)
+    return grouped if chunked else grouped.withColumn(chunk_col, F.lit(0))
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

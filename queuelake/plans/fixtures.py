@@ -29,7 +29,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A table stored as one file with one row group is read by a single task;
     ``ensure_parallelism`` spreads it before the per-row work.  A table in
-    many files (the normal case at scale) is left alone: no shuffle.
+    many files (the normal case at scale) is left alone: no shuffle.  Used
+    for narrow builders only: grouped builders shuffle on their key anyway.
     """
     return ensure_parallelism(df)
 
@@ -59,7 +60,7 @@ def order_xml_messages(
     ``<order><header><o_orderkey/><o_orderstatus/></header><item>..</item>..</order>``
     with items sorted as text; ``pretty`` puts every tag on its own line.
     """
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", *ITEM_FIELDS))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *ITEM_FIELDS)
     ind = "    " if pretty else ""
     item = F.concat(
         F.lit("  <item>\n" if pretty else "<item>"),
@@ -114,7 +115,7 @@ def order_json_messages(
     """``{"items":[{lineitem columns},..],"o_orderkey":k}`` per order with
     lines; ``first_key="o_orderkey"`` puts the key first (must be rejected
     by ``split_json(split="items")``)."""
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_JSON_FIELDS))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_JSON_FIELDS)
     li = li.withColumn("l_shipdate", F.to_date("l_shipdate"))
     li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *LINE_JSON_FIELDS])
     elem = F.to_json(F.struct(*LINE_JSON_FIELDS))
@@ -137,9 +138,7 @@ def event_line_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAU
     """per (user_id, day) one message of fixed-width event lines joined by
     ``\\n``: event_id (20, right-aligned), event_type (16, left-aligned),
     value (24, right-aligned, shortest exact decimal text of the double)."""
-    ev = spread(
-        table(spark, sf_dir, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type", "value")
-    )
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type", "value")
     line = F.concat(
         F.lpad(_s("event_id"), 20, " "),
         F.rpad(F.col("event_type"), 16, " "),
@@ -304,7 +303,7 @@ ITEM_LINE_LAYOUT = [("l_linenumber", 1, 10, "int"), ("l_quantity", 11, 24, "doub
 
 def order_fixed_width_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
     """Per order one message of fixed-width item lines (``ITEM_LINE_LAYOUT``)."""
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     line = F.concat(F.lpad(_s("l_linenumber"), 10, " "), F.lpad(_s("l_quantity"), 24, " "))
     li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", "l_linenumber", "l_quantity"])
     per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))

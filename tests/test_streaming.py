@@ -115,3 +115,15 @@ def test_stream_segments_complete_and_pending(spark, tmp):
     drain(out, sink, ckpt)
     got = sorted((r.group_id, bytes(r.payload), r.error) for r in spark.read.parquet(sink).collect() if r.group_id == "B")
     assert got == [("B", b"xyz", None)]
+
+
+def test_clean_source_archive_moves_consumed_files(spark, tmp):
+    import glob
+
+    log, sink, ckpt, arch = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt", f"{tmp}/consumed"
+    write_queue(_xml_msgs(spark, 0, 30).repartition(3), log, "QM", "Q", "p", 1)
+    stream = read_queue_stream(spark, log, "QM", "Q", max_files_per_trigger=1, clean_source="archive", source_archive_dir=arch)
+    drain(stream.select("msg_id"), sink, ckpt)
+    assert spark.read.parquet(sink).count() == 30
+    # files of all but the last batch have been moved (the last one moves with a later batch)
+    assert len(glob.glob(f"{arch}/**/*.parquet", recursive=True)) >= 1
