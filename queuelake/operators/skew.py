@@ -3,7 +3,10 @@
 Building one message per group (an order's items, a user's events of a day)
 collects each group into one row.  A single hot key must not land whole in
 one task, so groups above ``max_rows`` are cut into ``ceil(n / max_rows)``
-chunks by a hash of the row; every other group keeps chunk 0.
+chunks by a hash of the row; every other group keeps chunk 0.  Chunks hold
+``max_rows`` rows on average (binomial spread: a few ``sqrt(max_rows)``
+more at most for large limits), so no task ever sees more than a chunk of a
+hot group.
 
 The set of hot keys has at most ``total_rows / max_rows`` entries.  It is
 broadcast when its measured size is under ``broadcast_rows``; otherwise it
@@ -21,30 +24,50 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+class HotGroups:
+    """Groups of ``keys`` with more than ``max_rows`` rows, and how many
+    chunks each needs.  Computing it costs one scan of the key columns and a
+    shuffle of per-key partial counts (map-side combined); the result is a
+    count on the driver, never the keys themselves."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], max_rows: int):
+        if max_rows < 1:
+            raise ValueError("max_rows must be positive")
+        self.keys = list(keys)
+        self.max_rows = max_rows
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        self.table = counts.where(F.col("__n") > max_rows).select(
+            *keys, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__chunks")
+        )
+        self.count = self.table.count()
+
+
 def chunk_hot_groups(
     df: DataFrame,
     keys: Sequence[str],
     max_rows: int,
     hash_cols: Sequence[str],
     chunk_col: str = "chunk",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
+    hot: HotGroups | None = None,
 ) -> tuple[DataFrame, bool]:
     """``(df with chunk_col, any_hot)``.
 
     When no group is hot, ``chunk_col`` is the literal 0 and callers should
     group by ``keys`` alone, so the aggregate stays hash-partitioned on the
-    keys and a following join on them needs no second shuffle.
+    keys and a following join on them needs no second shuffle.  ``hot`` may
+    be shared by builders that group the same table on the same keys.
     """
-    if max_rows < 1:
-        raise ValueError("max_rows must be positive")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > max_rows).select(
-        *keys, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__chunks")
-    )
-    n_hot = hot.count()
+    if hot is None:
+        hot = HotGroups(df, keys, max_rows)
+    elif hot.keys != list(keys) or hot.max_rows != max_rows:
+        raise ValueError("hot groups were computed for other keys or another limit")
+    n_hot = hot.count
+    if broadcast_rows is None:
+        broadcast_rows = DEFAULT_BROADCAST_ROWS
     if n_hot == 0:
         return df.withColumn(chunk_col, F.lit(0)), False
-    side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+    side = F.broadcast(hot.table) if n_hot <= broadcast_rows else hot.table
     joined = df.join(side, list(keys), "left")
     chunk = F.when(F.col("__chunks").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.col("__chunks")).cast("int")

@@ -166,17 +166,18 @@ def q_json_split_scalars(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_split_dispatch(spark: SparkSession, d: str) -> DataFrame:
-    xml = split_records(fx.order_xml_messages(spark, d), "xml", split="item", headers=["header"])
+    hot = fx.order_hot_groups(spark, d)  # one count for the three builders
+    xml = split_records(fx.order_xml_messages(spark, d, hot=hot), "xml", split="item", headers=["header"])
     xml = xml.select(
         F.lit("XML").alias("fmt"),
         "o_orderkey",
         xml_struct("value", ROOT_XML_SCHEMA, corrupt=None)["item"].alias("i"),
     ).select("fmt", "o_orderkey", "i.l_linenumber", "i.l_quantity")
-    js = split_records(fx.order_json_messages(spark, d), "json", split="items")
+    js = split_records(fx.order_json_messages(spark, d, hot=hot), "json", split="items")
     js = js.select(
         F.lit("JSON").alias("fmt"), "o_orderkey", json_struct("value", LINE_JSON_SCHEMA, corrupt=None).alias("i")
     ).select("fmt", "o_orderkey", "i.l_linenumber", "i.l_quantity")
-    fw = split_records(fx.order_fixed_width_messages(spark, d), "fixed_width")
+    fw = split_records(fx.order_fixed_width_messages(spark, d, hot=hot), "fixed_width")
     fw = fw.select(F.lit("FIXED_WIDTH").alias("fmt"), "o_orderkey", *fixed_width_columns("value", fx.ITEM_LINE_LAYOUT))
     return xml.unionByName(js).unionByName(fw)
 

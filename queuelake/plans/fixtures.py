@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import chunk_hot_groups, ensure_parallelism, group_messages
+from ..operators.skew import HotGroups, chunk_hot_groups, ensure_parallelism, group_messages
 from ..schema import MQMT_DATAGRAM, MQMT_REPORT
 
 DEFAULT_MAX_ITEMS = 100_000
@@ -52,8 +52,17 @@ def _message_id(key: Column, chunk: Column) -> Column:
     return F.when(chunk == 0, key.cast("string")).otherwise(F.concat_ws("-", key.cast("string"), chunk.cast("string")))
 
 
+def order_hot_groups(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> HotGroups:
+    """Orders with more than ``max_items`` lines (shared by the order builders)."""
+    return HotGroups(table(spark, sf_dir, "lineitem").select("l_orderkey"), ["l_orderkey"], max_items)
+
+
 def order_xml_messages(
-    spark: SparkSession, sf_dir: str, pretty: bool = False, max_items: int = DEFAULT_MAX_ITEMS
+    spark: SparkSession,
+    sf_dir: str,
+    pretty: bool = False,
+    max_items: int = DEFAULT_MAX_ITEMS,
+    hot: HotGroups | None = None,
 ) -> DataFrame:
     """one XML message per order (orders without lines included).
 
@@ -67,7 +76,7 @@ def order_xml_messages(
         *[_tag(c, _s(c), pretty, ind) for c in ITEM_FIELDS],
         F.lit("  </item>\n" if pretty else "</item>"),
     )
-    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *ITEM_FIELDS])
+    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *ITEM_FIELDS], hot=hot)
     per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     # the item lists grow with the data: never broadcast them
@@ -110,14 +119,18 @@ LINE_JSON_FIELDS = [
 
 
 def order_json_messages(
-    spark: SparkSession, sf_dir: str, first_key: str = "items", max_items: int = DEFAULT_MAX_ITEMS
+    spark: SparkSession,
+    sf_dir: str,
+    first_key: str = "items",
+    max_items: int = DEFAULT_MAX_ITEMS,
+    hot: HotGroups | None = None,
 ) -> DataFrame:
     """``{"items":[{lineitem columns},..],"o_orderkey":k}`` per order with
     lines; ``first_key="o_orderkey"`` puts the key first (must be rejected
     by ``split_json(split="items")``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_JSON_FIELDS)
     li = li.withColumn("l_shipdate", F.to_date("l_shipdate"))
-    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *LINE_JSON_FIELDS])
+    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *LINE_JSON_FIELDS], hot=hot)
     elem = F.to_json(F.struct(*LINE_JSON_FIELDS))
     per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(elem)), ",").alias("items"))
     items = F.concat(F.lit('"items":['), F.col("items"), F.lit("]"))
@@ -301,11 +314,15 @@ def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 ITEM_LINE_LAYOUT = [("l_linenumber", 1, 10, "int"), ("l_quantity", 11, 24, "double")]
 
 
-def order_fixed_width_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+def order_fixed_width_messages(
+    spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS, hot: HotGroups | None = None
+) -> DataFrame:
     """Per order one message of fixed-width item lines (``ITEM_LINE_LAYOUT``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     line = F.concat(F.lpad(_s("l_linenumber"), 10, " "), F.lpad(_s("l_quantity"), 24, " "))
-    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", "l_linenumber", "l_quantity"])
+    li, chunked = chunk_hot_groups(
+        li, ["l_orderkey"], max_items, ["l_orderkey", "l_linenumber", "l_quantity"], hot=hot
+    )
     per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
     return per.select(
         _message_id(F.col("l_orderkey"), F.col("chunk")).alias("msg_id"),

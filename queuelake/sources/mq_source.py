@@ -59,8 +59,12 @@ def _qdir(options: dict) -> tuple[object, str]:
     return fsys, f"{base.rstrip('/')}/{o['queuemanager']}/{o['queue']}"
 
 
-def _listing(fsys, qdir: str) -> dict[str, list[tuple[int, str, bool]]]:
-    """producer -> sorted [(seq, dir, finished)]."""
+def _listing(fsys, qdir: str, known_done: dict | None = None) -> dict[str, list[tuple[int, str, bool]]]:
+    """producer -> sorted [(seq, dir, finished)].
+
+    ``known_done`` (producer -> set of seqs) remembers appends already seen
+    finished, so a long-running stream probes ``_SUCCESS`` only for new ones.
+    """
     from pyarrow import fs
 
     out: dict[str, list[tuple[int, str, bool]]] = {}
@@ -72,8 +76,14 @@ def _listing(fsys, qdir: str) -> dict[str, list[tuple[int, str, bool]]]:
         for s in fsys.get_file_info(fs.FileSelector(p.path, allow_not_found=True)):
             if s.type != fs.FileType.Directory or not s.base_name.startswith("seq="):
                 continue
-            done = fsys.get_file_info(s.path + "/_SUCCESS").type == fs.FileType.File
-            seqs.append((int(s.base_name[len("seq="):]), s.path, done))
+            seq = int(s.base_name[len("seq="):])
+            seen = known_done.setdefault(producer, set()) if known_done is not None else None
+            done = (seen is not None and seq in seen) or (
+                fsys.get_file_info(s.path + "/_SUCCESS").type == fs.FileType.File
+            )
+            if done and seen is not None:
+                seen.add(seq)
+            seqs.append((seq, s.path, done))
         out[producer] = sorted(seqs)
     return out
 
@@ -107,17 +117,20 @@ class _FilePartition(InputPartition):
         self.path = path
 
 
-def _read_values(options: dict, partition: _FilePartition):
+def _read_values(options: dict, partition: _FilePartition, batch_rows: int = 8192):
+    """Stream one log file as Arrow batches of ``value`` (never the whole
+    file in memory)."""
     import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.parquet as pq
 
     fsys, _ = _qdir(options)
-    table = pq.read_table(partition.path, columns=["msg_type", "correl_id", "payload"], filesystem=fsys)
-    is_report = pc.fill_null(pc.equal(table["msg_type"], pa.scalar(MQMT_REPORT, pa.int32())), False)
-    value = pc.if_else(is_report, table["correl_id"], table["payload"])
-    for batch in pa.table({"value": value}).to_batches(max_chunksize=8192):
-        yield batch
+    with fsys.open_input_file(partition.path) as fh:
+        pf = pq.ParquetFile(fh)
+        for batch in pf.iter_batches(batch_size=batch_rows, columns=["msg_type", "correl_id", "payload"]):
+            is_report = pc.fill_null(pc.equal(batch.column(0), pa.scalar(MQMT_REPORT, pa.int32())), False)
+            value = pc.if_else(is_report, batch.column(1), batch.column(2))
+            yield pa.RecordBatch.from_arrays([value], names=["value"])
 
 
 class MQBatchReader(DataSourceReader):
@@ -144,17 +157,18 @@ class MQBatchReader(DataSourceReader):
 class MQStreamReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.options = dict(options)
+        self._done: dict[str, set] = {}
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
         fsys, qdir = _qdir(self.options)
-        return _latest(_listing(fsys, qdir))
+        return _latest(_listing(fsys, qdir, self._done))
 
     def partitions(self, start: dict, end: dict):
         fsys, qdir = _qdir(self.options)
-        listing = _listing(fsys, qdir)
+        listing = _listing(fsys, qdir, self._done)
         parts = []
         for producer, hi in end.items():
             lo = start.get(producer, -1)
