@@ -127,3 +127,20 @@ def test_clean_source_archive_moves_consumed_files(spark, tmp):
     assert spark.read.parquet(sink).count() == 30
     # files of all but the last batch have been moved (the last one moves with a later batch)
     assert len(glob.glob(f"{arch}/**/*.parquet", recursive=True)) >= 1
+
+
+def test_read_mq_batch_and_queue_sink(spark, tmp):
+    from queuelake.sources.kafka import kafka_shape
+    from queuelake.streaming.drain import to_sink
+
+    log = f"{tmp}/log"
+    write_queue(_xml_msgs(spark, 0, 6), log, "QM", "IN", "p", 1)
+    batch = read_mq(spark, stream=False, path=log, queue="IN", queueManager="QM", fileFormat="xml", split="i")
+    assert batch.count() == 12 and batch.where("error is not null").count() == 0
+    # records of a stream appended to another queue, one append per batch id
+    stream = read_mq(spark, path=log, queue="IN", queueManager="QM", split="i")
+    to_sink(stream, "queue", f"{tmp}/ckpt", root=log, queue_manager="QM", queue="OUT", producer="copier", keep=["msg_id"])
+    out = read_queue(spark, log, "QM", "OUT")
+    assert out.count() == 12 and {r.seq for r in out.select("seq").distinct().collect()} == {0}
+    shaped = kafka_shape(batch, "orders", key="msg_id")
+    assert shaped.columns == ["topic", "key", "value"] and dict(shaped.dtypes)["key"] == "binary"
