@@ -97,8 +97,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     small file, one row group) are repartitioned; a large input already has
     more splits than cores and is returned untouched, without a shuffle.
     """
-    spark = df.sparkSession
-    want = min_partitions or int(spark.sparkContext.defaultParallelism)
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or int(df.sparkSession.sparkContext.defaultParallelism)
+        have = df.rdd.getNumPartitions()  # planning only on a scan: no job
+    except Exception:  # Spark Connect: no RDD view; leave the plan as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)

@@ -368,7 +368,8 @@ def q_stream_batch_writer(spark: SparkSession, d: str) -> DataFrame:
 
     log, sink, ckpt = _stream_dirs(spark, "stream_batch_writer")
     write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
-    opts = _base_opts(path=log, fileFormat="XML", split="item", headers="header", movePath=f"{log}/../archive")
+    archive_dir = log.rsplit("/", 1)[0] + "/archive"
+    opts = _base_opts(path=log, fileFormat="XML", split="item", headers="header", movePath=archive_dir)
     writer = QueueBatchWriter(opts, sink, producer="orders-reader")
     stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark))
     run_foreach_batch(stream, writer, ckpt)

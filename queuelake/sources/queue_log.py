@@ -98,7 +98,10 @@ def with_partitions(df: DataFrame, num_partitions: int | None) -> DataFrame:
     a round-robin repartition."""
     if not num_partitions:
         return df
-    current = df.rdd.getNumPartitions()
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view
+        return df.repartition(num_partitions)
     if num_partitions < current:
         return df.coalesce(num_partitions)
     if num_partitions > current:
