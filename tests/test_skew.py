@@ -66,3 +66,27 @@ def test_ensure_parallelism_only_spreads_small_inputs(spark):
     assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert ensure_parallelism(many, 4) is many
+
+
+def test_hot_groups_in_json_and_fixed_width_builders(spark):
+    from queuelake.functions.parse import fixed_width_columns, json_struct
+    from queuelake.operators.splitters import split_json, split_lines
+
+    js = split_json(fx.order_json_messages(spark, SF_SMALL, max_items=3), split="items")
+    got = sorted(
+        (r.o_orderkey, r.l_linenumber, r.l_quantity)
+        for r in js.select("o_orderkey", json_struct("value", catalog.LINE_JSON_SCHEMA, corrupt=None).alias("j"))
+        .select("o_orderkey", "j.l_linenumber", "j.l_quantity")
+        .collect()
+    )
+    con = duckdb.connect()
+    want = sorted(
+        con.execute(f"SELECT l_orderkey, l_linenumber, l_quantity FROM read_parquet('{SF_SMALL}/lineitem.parquet')").fetchall()
+    )
+    assert got == want
+    ev = split_lines(fx.event_line_messages(spark, SF_SMALL, max_items=2))
+    got_ev = sorted(tuple(r) for r in ev.select(*fixed_width_columns("value", fx.EVENT_LAYOUT)).collect())
+    want_ev = sorted(
+        con.execute(f"SELECT event_id, event_type, value FROM read_parquet('{SF_SMALL}/events.parquet')").fetchall()
+    )
+    assert got_ev == want_ev
