@@ -34,6 +34,15 @@ def open_tag_regex(tag: str) -> str:
     return "<" + _quoted(tag) + "(?:\\s(?:[^>]*[^/>])?)?>"
 
 
+def start_tag_upper_bound(text: Column, tag: str) -> Column:
+    """Occurrences of the literal ``<tag``: never fewer than the real start
+    tags (it also counts ``<tagx`` and self-closing tags), and computed with a
+    plain string replace instead of a regex."""
+    _quoted(tag)
+    probe = "<" + tag
+    return ((F.length(text) - F.length(F.replace(text, F.lit(probe), F.lit("")))) / len(probe)).cast("int")
+
+
 def element_regex(tag: str, keep_indent: bool) -> str:
     """Whole element, shortest match; optionally with the indentation before it."""
     indent = "(?:^[ \\t]*)?" if keep_indent else ""
@@ -53,7 +62,7 @@ def line_layout(element: Column, single_line: Column) -> Column:
     Either way the record ends with a line break.
     """
     return F.concat(
-        F.when(single_line, F.regexp_replace(element, "><", ">\n<")).otherwise(element),
+        F.when(single_line, F.replace(element, F.lit("><"), F.lit(">\n<"))).otherwise(element),
         F.lit("\n"),
     )
 

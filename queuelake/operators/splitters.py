@@ -167,7 +167,7 @@ def split_xml(
         ).otherwise(F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=True)), 0))
     else:
         found = F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=False)), 0)
-    staged = staged.withColumn("__ql_m", found).withColumn("__ql_nopen", F.regexp_count(t, F.lit(open_re)))
+    staged = staged.withColumn("__ql_m", found).withColumn("__ql_nlit", xx.start_tag_upper_bound(t, split))
 
     def fmt(x: Column) -> Column:
         return xx.line_layout(x, F.col("__ql_single")) if lines else x
@@ -186,10 +186,15 @@ def split_xml(
         carry.append("__ql_hdr")
     m = F.col("__ql_m")
     nested = F.exists(m, lambda x: F.regexp_count(x, F.lit(open_re)) > 1)
-    # a nested element always leaves a start tag without its own match, so
-    # the per-record check only runs on messages whose counts disagree
+    # Every match holds at least one start tag of its own, and a nested or
+    # unclosed element leaves a start tag without a match.  So a message is
+    # good iff #start tags == #matches; the literal count of "<tag" bounds the
+    # start tags from above, and only when it disagrees do the exact (regex)
+    # count and the per-record nesting check run.
+    exact_ok = F.regexp_count(t, F.lit(open_re)) == F.size(m)
     error = (
-        F.when(F.col("__ql_nopen") == F.size(m), _no_error())
+        F.when(F.col("__ql_nlit") == F.size(m), _no_error())
+        .when(exact_ok, _no_error())
         .when(nested, F.lit(xx.NESTED_SPLIT))
         .otherwise(F.lit(xx.UNCLOSED_SPLIT))
     )
