@@ -26,7 +26,7 @@ from ..operators.splitters import (
     split_records,
     split_xml,
 )
-from ..options import QueueOptions, dead_letter_target
+from ..options import dead_letter_target
 from ..session import shared_dir
 from ..sources.archive import archive
 from ..sources.kafka import kafka_shape

@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.message import archive_name
 from .fs import write_once

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import messages
 from queuelake.operators.routing import route_failures, with_ack_request
