@@ -315,18 +315,19 @@ def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str, str]:
     return f"{base}/log", f"{base}/sink", f"{base}/checkpoint"
 
 
-def _batch_files(spark: SparkSession) -> int:
-    """Files per micro-batch (``maxFilesPerTrigger``): one task per core.
-    The log itself has as many files as the producer had partitions."""
-    return max(1, int(spark.sparkContext.defaultParallelism))
+def _two_batches(spark: SparkSession, append_path: str) -> int:
+    """``maxFilesPerTrigger`` that drains an append in two micro-batches,
+    whatever number of files the producer wrote (its partition count)."""
+    n = len(spark.read.parquet(append_path).inputFiles())
+    return max(1, -(-n // 2))
 
 
 def q_stream_queue_scan(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.drain import drain
 
     log, sink, ckpt = _stream_dirs(spark, "stream_queue_scan")
-    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
-    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark))
+    append = write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append))
     msgs = stream.select("msg_id", message_value().alias("payload"))
     drain(header_enriched_items(msgs), sink, ckpt)
     return spark.read.parquet(sink)
@@ -336,8 +337,8 @@ def q_stream_drain_available_now(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.drain import drain
 
     log, sink, ckpt = _stream_dirs(spark, "stream_drain")
-    write_queue(fx.order_plain_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
-    stream = _plain_value(read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark)))
+    append = write_queue(fx.order_plain_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    stream = _plain_value(read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append)))
     drain(stream, sink, ckpt)
     drain(stream, sink, ckpt)  # nothing new: adds no rows
     return spark.read.parquet(sink)
@@ -367,11 +368,11 @@ def q_stream_batch_writer(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.writer import QueueBatchWriter
 
     log, sink, ckpt = _stream_dirs(spark, "stream_batch_writer")
-    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    append = write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
     archive_dir = log.rsplit("/", 1)[0] + "/archive"
     opts = _base_opts(path=log, fileFormat="XML", split="item", headers="header", movePath=archive_dir)
     writer = QueueBatchWriter(opts, sink, producer="orders-reader")
-    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark))
+    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append))
     run_foreach_batch(stream, writer, ckpt)
     good = spark.read.parquet(sink)
     p = good.select(xml_struct("value", ROOT_XML_SCHEMA, corrupt=None).alias("r"))
@@ -391,8 +392,10 @@ def q_stream_assemble_segments(spark: SparkSession, d: str) -> DataFrame:
 
     log, sink, ckpt = _stream_dirs(spark, "stream_segments")
     segs = fx.segmented_document_messages(spark, d).drop("doc_id")
-    write_queue(segs, log, QMGR, QUEUE, "docs", 1)
-    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_batch_files(spark)).drop("producer", "seq")
+    append = write_queue(segs, log, QMGR, QUEUE, "docs", 1)
+    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append)).drop(
+        "producer", "seq"
+    )
     out = assemble_segments_stream(stream).where(F.col("error").isNull())
     drain(out.select(F.col("group_id").cast("bigint").alias("doc_id"), _str("payload").alias("text")), sink, ckpt)
     return spark.read.parquet(sink)
