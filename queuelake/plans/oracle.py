@@ -44,13 +44,13 @@ SELECT page_id, 0 AS pos,
        CASE WHEN ends_with(n, chr(10)) THEN n ELSE n || chr(10) END AS value
 FROM (SELECT page_id, regexp_replace(html, '\r\n?', chr(10), 'g') AS n FROM pages WHERE strlen(html) > 0)""",
     "xml_split_pages": r"""
-SELECT page_id, generate_subscripts(m, 1) - 1 AS pos, unnest(m) AS value, CAST(NULL AS VARCHAR) AS error
+SELECT page_id, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS pos, unnest(m) AS value, CAST(NULL AS VARCHAR) AS error
 FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li(?:\s(?:[^>]*[^/>])?)?>.*?</li>') AS m FROM pages)""",
     "split_lines": f"""
-SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS value
+SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS value
 FROM (SELECT doc_id, {_lines('text')} AS l FROM documents)""",
     "split_lines_encoding": f"""
-SELECT conv_id, turn, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS value
+SELECT conv_id, turn, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS value
 FROM (SELECT conv_id, turn, {_lines(_LATIN1)} AS l FROM conversations)""",
     "fixed_width_columns": "SELECT event_id, event_type, value FROM events",
     "json_whole": """
@@ -71,7 +71,7 @@ SELECT 'XML' AS fmt, l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lin
 UNION ALL SELECT 'JSON' AS fmt, l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem
 UNION ALL SELECT 'FIXED_WIDTH' AS fmt, l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem""",
     "custom_splitter": """
-SELECT p_partkey, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS value
+SELECT p_partkey, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS value
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""",
     "assemble_segments": """
 SELECT doc_id, text FROM documents WHERE doc_id % 10 <> 0 AND length(text) > 0""",
@@ -96,10 +96,10 @@ FROM ({_FAILING})""",
     "queue_roundtrip": f"SELECT o_orderkey, {_PLAIN} AS value FROM orders",
     "parallel_scan": f"SELECT o_orderkey, {_PLAIN} AS value FROM orders",
     "archive_fanout": f"""
-SELECT 'a1' AS archive, count(*) AS n_messages, sum(strlen({_PLAIN})) AS n_bytes,
+SELECT 'a1' AS archive, count(*) AS n_messages, CAST(sum(strlen({_PLAIN})) AS BIGINT) AS n_bytes,
        count(*) AS n_names FROM orders
 UNION ALL
-SELECT 'a2' AS archive, count(*) AS n_messages, sum(strlen({_PLAIN})) AS n_bytes,
+SELECT 'a2' AS archive, count(*) AS n_messages, CAST(sum(strlen({_PLAIN})) AS BIGINT) AS n_bytes,
        count(*) AS n_names FROM orders""",
     "archive_name": """
 SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d%H%M%S') || '_' || CAST(o_orderkey AS VARCHAR) || '_MQ_ORDERS' AS archive_name

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from tools.compare import TABLES, digest
+from tools.compare import TABLES, digest, spark_to_duck
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +28,9 @@ def test_query_matches_oracle(spark, con, key):
     ocols = [d[0] for d in rel.description]
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    stypes = {f.name: spark_to_duck(f.dataType.simpleString()) for f in df.schema.fields}
+    otypes = {d[0]: str(d[1]).upper() for d in rel.description}
+    assert stypes == otypes
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
 
