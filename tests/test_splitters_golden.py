@@ -1,6 +1,7 @@
 """Hand-traced splitter cases (exact bytes)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import messages, records
 from queuelake.operators.splitters import split_json, split_lines, split_records, split_xml
@@ -132,3 +133,21 @@ def test_output_keeps_columns_and_contract(spark):
     out = split_xml(df.withColumn("extra", df.msg_id), split="i")
     assert out.columns == ["msg_id", "extra", "pos", "value", "error"]
     assert dict(out.dtypes)["pos"] == "int" and dict(out.dtypes)["value"] == "binary"
+
+
+def test_python_splitter_contract(spark):
+    from queuelake.operators.splitters import python_splitter, register_splitter
+
+    def csv_fields(b: bytes):
+        if not b:
+            raise ValueError("empty message")
+        return b.split(b",")
+
+    register_splitter("CSVFIELDS", python_splitter(csv_fields))
+    df = messages(spark, ["a,b", "", "c"]).withColumn("extra", F.lit(1))
+    out = split_records(df, "csvfields")
+    assert out.columns == ["msg_id", "extra", "pos", "value", "error"]
+    got = records(out)
+    assert got[:2] == [("0", 0, "a", None), ("0", 1, "b", None)]
+    assert got[2][0] == "1" and got[2][1] == -1 and got[2][3].startswith("ValueError")
+    assert got[3] == ("2", 0, "c", None)
