@@ -13,8 +13,15 @@ from pyspark.sql import functions as F
 
 from ..schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 
-# Fixed value: error code of a group that can never complete.
+# Error codes of groups that can never be delivered.
 INCOMPLETE_GROUP = "INCOMPLETE_GROUP"
+GROUP_TOO_LARGE = "GROUP_TOO_LARGE"
+
+# Fixed value: the largest message a queue manager accepts (100 MiB).
+MAX_MESSAGE_BYTES = 100 * 1024 * 1024
+
+# Above this many oversized groups their ids are shuffle-joined, not broadcast.
+BROADCAST_GROUP_IDS = 1_000_000
 
 
 def _is_complete(segs):
@@ -39,7 +46,21 @@ def concat_binary(segs, field: str = "payload"):
     return F.unhex(F.array_join(F.transform(segs, lambda x: F.hex(x[field])), ""))
 
 
-def assemble_segments(df: DataFrame, keep_incomplete: bool = False) -> DataFrame:
+def _oversized(seg: DataFrame, max_message_bytes: int) -> DataFrame | None:
+    """Ids of groups whose segments add up to more than a message can hold
+    (None when there are none).  Their number is at most total bytes /
+    ``max_message_bytes``; one small job counts them first."""
+    sizes = seg.groupBy("group_id").agg(F.sum(F.octet_length("payload")).alias("__bytes"))
+    big = sizes.where(F.col("__bytes") > max_message_bytes).select("group_id")
+    n = big.count()
+    if n == 0:
+        return None
+    return F.broadcast(big) if n <= BROADCAST_GROUP_IDS else big
+
+
+def assemble_segments(
+    df: DataFrame, keep_incomplete: bool = False, max_message_bytes: int | None = MAX_MESSAGE_BYTES
+) -> DataFrame:
     """Complete logical messages, one row each, in the message schema.
 
     The grouped side is one ``groupBy(group_id)``: partial aggregation runs
@@ -50,6 +71,12 @@ def assemble_segments(df: DataFrame, keep_incomplete: bool = False) -> DataFrame
     row per group with what arrived and ``error = 'INCOMPLETE_GROUP'`` (to be
     dead-lettered); by default they are left out, like segments a queue
     manager keeps back until the whole group is there.
+
+    A group whose segments add up to more than ``max_message_bytes`` is never
+    collected (one group id reused for a third of the queue must not land in
+    one task): with ``keep_incomplete=True`` its segments come out one row
+    each with ``error = 'GROUP_TOO_LARGE'``; by default they are left out with
+    the other undeliverable groups.
     """
     other = [c for c in df.columns if c not in MESSAGE_COLUMNS]
     df = df.select(
@@ -58,6 +85,13 @@ def assemble_segments(df: DataFrame, keep_incomplete: bool = False) -> DataFrame
     )
     plain = df.where(F.col("group_id").isNull())
     seg = df.where(F.col("group_id").isNotNull())
+    too_large = None
+    big = _oversized(seg, max_message_bytes) if max_message_bytes else None
+    if big is not None:
+        too_large = seg.join(big, "group_id", "left_semi").select(
+            *MESSAGE_COLUMNS, *other, F.lit(GROUP_TOO_LARGE).alias("error")
+        )
+        seg = seg.join(big, "group_id", "left_anti")
     fields = ["seg_offset", "last_segment", "payload", "msg_id", "msg_type", "correl_id", "put_ts"] + other
     grouped = seg.groupBy("group_id").agg(
         F.array_distinct(F.array_sort(F.collect_list(F.struct(*fields)))).alias("__segs")
@@ -82,4 +116,5 @@ def assemble_segments(df: DataFrame, keep_incomplete: bool = False) -> DataFrame
         out = out.where(F.col("error").isNull()).drop("error")
         return plain.select(*MESSAGE_COLUMNS, *other).unionByName(out)
     plain = plain.select(*MESSAGE_COLUMNS, *other, F.lit(None).cast("string").alias("error"))
-    return plain.unionByName(out)
+    out = plain.unionByName(out)
+    return out if too_large is None else out.unionByName(too_large)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators.segments import INCOMPLETE_GROUP
+from ..operators.segments import GROUP_TOO_LARGE, INCOMPLETE_GROUP, MAX_MESSAGE_BYTES
 from ..schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 
 def _interval_ms(text: str) -> int:
@@ -43,7 +43,7 @@ _STATE = T.StructType(
 )
 
 
-def _make_fn(delay_ms: int):
+def _make_fn(delay_ms: int, max_message_bytes: int | None):
     def fn(key, pdfs, state):
         import pandas as pd
 
@@ -75,6 +75,19 @@ def _make_fn(delay_ms: int):
                     ts = None if pd.isna(r.put_ts) else pd.Timestamp(r.put_ts).to_pydatetime()
                     head = (r.msg_id, None if pd.isna(r.msg_type) else int(r.msg_type), r.correl_id, ts)
         order = sorted(segs)
+        if max_message_bytes and sum(len(segs[o][1]) for o in order) > max_message_bytes:
+            # a group larger than any message: hand its segments out one by
+            # one as dead letters instead of holding them in state
+            state.remove()
+            msg_id, msg_type, correl_id, put_ts = head
+            yield pd.DataFrame(
+                [
+                    [msg_id, msg_type, correl_id, group_id, o, segs[o][0], put_ts, segs[o][1], GROUP_TOO_LARGE]
+                    for o in order
+                ],
+                columns=[f.name for f in _OUT.fields],
+            )
+            return
         expect, complete = 0, True
         for i, o in enumerate(order):
             if o != expect or (segs[o][0] and i != len(order) - 1):
@@ -108,12 +121,16 @@ def _make_fn(delay_ms: int):
     return fn
 
 
-def assemble_segments_stream(df: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def assemble_segments_stream(
+    df: DataFrame, delay: str = "10 minutes", max_message_bytes: int | None = MAX_MESSAGE_BYTES
+) -> DataFrame:
     """Reassemble segmented messages of a stream (see module doc).
 
     ``delay`` is the watermark delay on ``put_ts``; a group that has not
     completed once the watermark moved ``delay`` past its last update times
-    out.
+    out.  A group holding more than ``max_message_bytes`` is released at once,
+    segment by segment, with ``error = 'GROUP_TOO_LARGE'``: state per key
+    stays bounded even if one group id floods the queue.
     """
     delay_ms = _interval_ms(delay)
     df = df.select(
@@ -127,6 +144,6 @@ def assemble_segments_stream(df: DataFrame, delay: str = "10 minutes") -> DataFr
         .withWatermark("__event_ts", delay)
     )
     out = seg.groupBy("group_id").applyInPandasWithState(
-        _make_fn(delay_ms), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+        _make_fn(delay_ms, max_message_bytes), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return plain.unionByName(out)

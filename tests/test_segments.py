@@ -49,3 +49,17 @@ def test_multibyte_boundaries(spark):
     data = text.encode()
     rows = [(f"s{i}", "G", i, i == len(data) - 1, data[i : i + 1]) for i in range(len(data))]
     assert _out(assemble_segments(_df(spark, rows))) == [("G", data)]
+
+
+def test_oversized_group_is_not_collected(spark):
+    rows = [("h%d" % i, "HOT", i * 2, i == 49, b"xx") for i in range(50)] + [
+        ("a0", "A", 0, True, b"ok"),
+    ]
+    df = _df(spark, rows)
+    assert _out(assemble_segments(df, max_message_bytes=64)) == [("A", b"ok")]
+    kept = assemble_segments(df, keep_incomplete=True, max_message_bytes=64)
+    hot = kept.where(F.col("group_id") == "HOT").collect()
+    assert len(hot) == 50 and {r.error for r in hot} == {"GROUP_TOO_LARGE"}
+    assert sorted(r.seg_offset for r in hot) == [i * 2 for i in range(50)]
+    # under the limit the same group is one message
+    assert ("HOT", b"xx" * 50) in _out(assemble_segments(df, max_message_bytes=1000))

@@ -167,3 +167,14 @@ def test_stream_equals_batch_for_every_splitter(spark, tmp, fmt, opts, payloads)
     drain(stream.select(*cols), sink, ckpt)
     key = lambda r: (r.msg_id, -1 if r.pos is None else r.pos, r.v or "", r.error or "")
     assert sorted(map(key, batch.collect())) == sorted(map(key, spark.read.parquet(sink).collect()))
+
+
+def test_stream_segments_oversized_group_released(spark, tmp):
+    rows = [("h%d" % i, "HOT", i * 2, False, b"xx") for i in range(40)]
+    df = spark.createDataFrame(rows, "msg_id string, group_id string, seg_offset int, last_segment boolean, payload binary")
+    log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
+    write_queue(df, log, "QM", "Q", "p", 1)
+    stream = read_queue_stream(spark, log, "QM", "Q").drop("producer", "seq")
+    drain(assemble_segments_stream(stream, max_message_bytes=50).select("group_id", "seg_offset", "error"), sink, ckpt)
+    got = spark.read.parquet(sink).collect()
+    assert len(got) == 40 and {r.error for r in got} == {"GROUP_TOO_LARGE"}
