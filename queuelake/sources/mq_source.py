@@ -11,6 +11,13 @@ A Python data source over the queue-log layout (see ``queue_log``):
 * a restart resumes from the checkpointed offsets, so a batch whose commit
   was not logged is replayed (at-least-once into the sink).
 
+Consumption (``consume`` option): ``keep`` (default) leaves the log as it
+is; ``delete`` or ``archive`` (with ``consumedArchive``) remove the appends of
+a batch once Spark commits it, the way a queue loses messages that were
+read.  This happens in ``commit(end)``, i.e. after the batch's sink commit;
+a high-water mark per producer (``_consumed/producer=<p>``) keeps offsets
+from moving back after the appends are gone.
+
 Rows are ``value binary``: a report message contributes its correlation id,
 any other its payload.  The schema is fixed; a different user schema is
 rejected.  Splitting into records is done with Spark expressions after the
@@ -154,17 +161,40 @@ class MQBatchReader(DataSourceReader):
         return _read_values(self.options, partition)
 
 
+def _marks(fsys, qdir: str) -> dict[str, int]:
+    """Consumed high-water marks per producer."""
+    from pyarrow import fs
+
+    out = {}
+    for f in fsys.get_file_info(fs.FileSelector(qdir + "/_consumed", allow_not_found=True)):
+        if f.type == fs.FileType.File and f.base_name.startswith("producer="):
+            with fsys.open_input_stream(f.path) as fh:
+                out[f.base_name[len("producer="):]] = int(fh.read().decode().strip())
+    return out
+
+
 class MQStreamReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.options = dict(options)
         self._done: dict[str, set] = {}
+        o = {k.lower(): v for k, v in self.options.items()}
+        self._consume = (o.get("consume") or "keep").lower()
+        if self._consume not in ("keep", "delete", "archive"):
+            raise ValueError("consume must be keep, delete or archive")
+        self._archive = o.get("consumedarchive")
+        if self._consume == "archive" and not self._archive:
+            raise ValueError("consume=archive needs option 'consumedArchive'")
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
         fsys, qdir = _qdir(self.options)
-        return _latest(_listing(fsys, qdir, self._done))
+        off = _latest(_listing(fsys, qdir, self._done))
+        if self._consume != "keep":
+            for producer, mark in _marks(fsys, qdir).items():
+                off[producer] = max(mark, off.get(producer, mark))
+        return off
 
     def partitions(self, start: dict, end: dict):
         fsys, qdir = _qdir(self.options)
@@ -181,8 +211,29 @@ class MQStreamReader(DataSourceStreamReader):
         return _read_values(self.options, partition)
 
     def commit(self, end: dict) -> None:
-        """Consumption is recorded by Spark's offset/commit logs; the queue
-        log itself is append-only, so there is nothing to delete here."""
+        """Spark has processed everything up to ``end``: with ``consume`` set,
+        remove those appends from the queue (mark first, then move/delete, so
+        a crash in between only leaves appends that are skipped anyway)."""
+        if self._consume == "keep":
+            return
+        fsys, qdir = _qdir(self.options)
+        fsys.create_dir(qdir + "/_consumed", recursive=True)
+        for producer, hi in end.items():
+            with fsys.open_output_stream(f"{qdir}/_consumed/producer={producer}") as fh:
+                fh.write(str(int(hi)).encode())
+        listing = _listing(fsys, qdir, self._done)
+        for producer, hi in end.items():
+            for seq, d, done in listing.get(producer, []):
+                if seq > hi or not done:
+                    continue
+                if self._consume == "delete":
+                    fsys.delete_dir(d)
+                else:
+                    afs, abase = _fs(self._archive)
+                    target = f"{abase.rstrip('/')}/producer={producer}/seq={seq:020d}"
+                    afs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    fsys.move(d, target)
+                self._done.get(producer, set()).discard(seq)
 
     def stop(self) -> None:
         pass

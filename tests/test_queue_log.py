@@ -68,3 +68,32 @@ def test_mq_source_skips_unfinished_and_rejects(spark, tmp):
         spark.read.format("mq").schema("x int").option("path", tmp).option("queueManager", "QM").option(
             "queue", "Q"
         ).load().count()
+
+
+def test_mq_source_consume_removes_committed_appends(spark, tmp):
+    import os
+
+    from queuelake.streaming.drain import drain
+
+    register(spark)
+    log, sink, ckpt, arch = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt", f"{tmp}/consumed"
+    reader = (
+        spark.readStream.format("mq")
+        .option("path", log)
+        .option("queueManager", "QM")
+        .option("queue", "Q")
+        .option("consume", "archive")
+        .option("consumedArchive", arch)
+    )
+    write_queue(_msgs(spark, 3), log, "QM", "Q", producer="a", seq=1)
+    drain(reader.load(), sink, ckpt)
+    write_queue(_msgs(spark, 2, 10), log, "QM", "Q", producer="a", seq=2)
+    drain(reader.load(), sink, ckpt)
+    write_queue(_msgs(spark, 1, 20), log, "QM", "Q", producer="a", seq=3)
+    drain(reader.load(), sink, ckpt)
+    assert spark.read.parquet(sink).count() == 6  # every message once
+    left = sorted(os.listdir(f"{log}/QM/Q/producer=a"))
+    assert "seq=00000000000000000001" not in left  # committed appends left the queue
+    assert os.path.isdir(f"{arch}/producer=a/seq=00000000000000000001")
+    drain(reader.load(), sink, ckpt)
+    assert spark.read.parquet(sink).count() == 6  # nothing read twice after they moved
