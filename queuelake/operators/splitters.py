@@ -272,6 +272,9 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]]) -> Splitter:
     """
 
     def splitter(df: DataFrame, payload: str = "payload", **_opts) -> DataFrame:
+        from ..session import ship_package
+
+        ship_package(df.sparkSession)
         keep = [c for c in df.columns if c not in _OUT or c == payload]
         base = df.select(*keep)
         in_schema = base.schema

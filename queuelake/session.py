@@ -77,3 +77,48 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         path = os.path.join(path, uuid.uuid4().hex)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``.
+
+    Python data sources, ``mapInArrow`` splitters and stateful functions are
+    unpickled in Python workers.  The package's own code is pickled by value,
+    and the package is also zipped once per application and added with
+    ``addPyFile`` (Spark serves it to every executor, like ``--py-files``).
+    """
+    import sys
+    import zipfile
+
+    # Classes and functions of this package are pickled by value: Python
+    # processes that never run a task (e.g. the planner of a streaming Python
+    # data source) do not see ``addPyFile`` includes.
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__.rsplit(".", 1)[0]])
+    except Exception:
+        pass
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        app = spark.conf.get("spark.app.id", "connect")
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="queuelake-pyfiles-"), "queuelake.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    try:
+        spark.sparkContext.addPyFile(zpath)
+    except Exception:  # Spark Connect
+        spark.addArtifacts(zpath, pyfile=True)
+    _SHIPPED.add(app)

@@ -271,4 +271,7 @@ class MQDataSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Make ``format("mq")`` available in this session."""
+    from ..session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(MQDataSource)

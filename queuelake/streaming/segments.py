@@ -132,6 +132,9 @@ def assemble_segments_stream(
     segment by segment, with ``error = 'GROUP_TOO_LARGE'``: state per key
     stays bounded even if one group id floods the queue.
     """
+    from ..session import ship_package
+
+    ship_package(df.sparkSession)
     delay_ms = _interval_ms(delay)
     df = df.select(
         *[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
