@@ -90,3 +90,13 @@ def test_hot_groups_in_json_and_fixed_width_builders(spark):
         con.execute(f"SELECT event_id, event_type, value FROM read_parquet('{SF_SMALL}/events.parquet')").fetchall()
     )
     assert got_ev == want_ev
+
+
+def test_json_messages_with_another_first_key_are_rejected(spark):
+    from queuelake.operators.splitters import split_json
+
+    msgs = fx.order_json_messages(spark, SF_SMALL, first_key="o_orderkey")
+    out = split_json(msgs, split="items")
+    errors = {r.error for r in out.select("error").distinct().collect()}
+    assert errors == {"SPLIT_KEY_NOT_FIRST"}
+    assert out.count() == msgs.count()  # one dead-letter row per message, nothing lost
