@@ -41,6 +41,8 @@ def route_failures(split_df: DataFrame, options: QueueOptions | Mapping[str, str
     whole payload in ``value``), stamped with the dead-letter target
     (``target_qmgr``, ``target_queue``) and, if configured, the ack request.
     Both sides are filters of the same plan: no shuffle, nothing dropped.
+    Writing both recomputes the split once per write unless ``split_df`` is
+    persisted first (``QueueBatchWriter`` does that per micro-batch).
     """
     o = _opts(options)
     target = dead_letter_target(o)
