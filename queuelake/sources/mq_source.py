@@ -7,7 +7,8 @@ A Python data source over the queue-log layout (see ``queue_log``):
   skipped);
 * ``latestOffset() == start`` -> Spark runs no batch (nothing new);
 * ``partitions(start, end)`` = one partition per parquet file of the appends
-  in between, read in parallel by the executors;
+  in between (or ``numPartitions`` partitions sharing them), read in
+  parallel by the executors;
 * a restart resumes from the checkpointed offsets, so a batch whose commit
   was not logged is replayed (at-least-once into the sink).
 
@@ -119,25 +120,38 @@ def _files(fsys, directory: str) -> list[str]:
 
 
 class _FilePartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
+    """One task's share of the log: one or more parquet files."""
+
+    def __init__(self, paths: list[str]):
+        super().__init__(paths)
+        self.paths = list(paths)
+
+
+def _group_files(options: dict, files: list[str]) -> list[_FilePartition]:
+    """One partition per file, or ``numPartitions`` partitions (S6: a fixed
+    number of parallel readers) with the files dealt out round-robin."""
+    o = {k.lower(): v for k, v in options.items()}
+    n = int(o["numpartitions"]) if o.get("numpartitions") else 0
+    if n <= 0 or n >= len(files):
+        return [_FilePartition([f]) for f in files]
+    return [_FilePartition(files[i::n]) for i in range(n)]
 
 
 def _read_values(options: dict, partition: _FilePartition, batch_rows: int = 8192):
-    """Stream one log file as Arrow batches of ``value`` (never the whole
-    file in memory)."""
+    """Stream the partition's log files as Arrow batches of ``value`` (never a
+    whole file in memory)."""
     import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.parquet as pq
 
     fsys, _ = _qdir(options)
-    with fsys.open_input_file(partition.path) as fh:
-        pf = pq.ParquetFile(fh)
-        for batch in pf.iter_batches(batch_size=batch_rows, columns=["msg_type", "correl_id", "payload"]):
-            is_report = pc.fill_null(pc.equal(batch.column(0), pa.scalar(MQMT_REPORT, pa.int32())), False)
-            value = pc.if_else(is_report, batch.column(1), batch.column(2))
-            yield pa.RecordBatch.from_arrays([value], names=["value"])
+    for path in partition.paths:
+        with fsys.open_input_file(path) as fh:
+            pf = pq.ParquetFile(fh)
+            for batch in pf.iter_batches(batch_size=batch_rows, columns=["msg_type", "correl_id", "payload"]):
+                is_report = pc.fill_null(pc.equal(batch.column(0), pa.scalar(MQMT_REPORT, pa.int32())), False)
+                value = pc.if_else(is_report, batch.column(1), batch.column(2))
+                yield pa.RecordBatch.from_arrays([value], names=["value"])
 
 
 class MQBatchReader(DataSourceReader):
@@ -148,16 +162,14 @@ class MQBatchReader(DataSourceReader):
         fsys, qdir = _qdir(self.options)
         listing = _listing(fsys, qdir)
         latest = _latest(listing)
-        parts = []
+        files = []
         for producer, seqs in listing.items():
             for seq, d, done in seqs:
                 if done and seq <= latest.get(producer, -1):
-                    parts += [_FilePartition(f) for f in _files(fsys, d)]
-        return parts or [_FilePartition("")]
+                    files += _files(fsys, d)
+        return _group_files(self.options, files) or [_FilePartition([])]
 
     def read(self, partition):
-        if not partition.path:
-            return iter(())
         return _read_values(self.options, partition)
 
 
@@ -199,13 +211,13 @@ class MQStreamReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict):
         fsys, qdir = _qdir(self.options)
         listing = _listing(fsys, qdir, self._done)
-        parts = []
+        files = []
         for producer, hi in end.items():
             lo = start.get(producer, -1)
             for seq, d, done in listing.get(producer, []):
                 if lo < seq <= hi and done:
-                    parts += [_FilePartition(f) for f in _files(fsys, d)]
-        return parts
+                    files += _files(fsys, d)
+        return _group_files(self.options, files)
 
     def read(self, partition):
         return _read_values(self.options, partition)

@@ -97,3 +97,13 @@ def test_mq_source_consume_removes_committed_appends(spark, tmp):
     assert os.path.isdir(f"{arch}/producer=a/seq=00000000000000000001")
     drain(reader.load(), sink, ckpt)
     assert spark.read.parquet(sink).count() == 6  # nothing read twice after they moved
+
+
+def test_mq_source_num_partitions(spark, tmp):
+    register(spark)
+    write_queue(_msgs(spark, 40).repartition(6), tmp, "QM", "Q", producer="a", seq=1)
+    r = spark.read.format("mq").option("path", tmp).option("queueManager", "QM").option("queue", "Q")
+    one_per_file = r.load()
+    two = r.option("numPartitions", "2").load()
+    assert two.rdd.getNumPartitions() == 2
+    assert sorted(bytes(x.value) for x in two.collect()) == sorted(bytes(x.value) for x in one_per_file.collect())
