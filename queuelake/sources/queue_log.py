@@ -68,7 +68,13 @@ def write_queue(
     producer: str = "p",
     seq: int | None = None,
 ) -> str:
-    """Append messages to a queue (batch).  Idempotent per (producer, seq)."""
+    """Append messages to a queue (batch).  Idempotent per (producer, seq).
+
+    ``seq`` defaults to the current time in microseconds.  Writers that run
+    at the same time must use different ``producer`` names: an append whose
+    (producer, seq) is already finished is skipped, by design, so a retried
+    append never adds a second copy.
+    """
     if seq is None:
         seq = time.time_ns() // 1000
     path = seq_dir(root, queue_manager, queue, producer, seq)
