@@ -6,7 +6,7 @@ Public API (see README for the full picture)::
         QueueOptions, dead_letter_target,                       # options
         message_value, archive_name,                            # column functions
         split_records, split_xml, split_json, split_lines,      # splitters
-        register_splitter, python_splitter,
+        register_splitter, python_splitter, udtf_splitter,
         parse_xml, parse_json, parse_fixed_width,               # typed views
         assemble_segments, route_failures, with_ack_request,    # message operators
         read_queue, read_queue_stream, write_queue, archive,    # queue log and sinks
@@ -26,6 +26,7 @@ from .operators.splitters import (
     split_lines,
     split_records,
     split_xml,
+    udtf_splitter,
 )
 from .options import QueueOptions, dead_letter_target
 from .sources.archive import archive
@@ -47,6 +48,7 @@ __all__ = [
     "split_lines",
     "register_splitter",
     "python_splitter",
+    "udtf_splitter",
     "parse_xml",
     "parse_json",
     "parse_fixed_width",

@@ -323,6 +323,30 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]]) -> Splitter:
     return splitter
 
 
+def udtf_splitter(tvf) -> Splitter:
+    """Wrap a Python UDTF as a splitter.
+
+    ``tvf`` is a ``@udtf`` whose ``eval(payload)`` yields ``(pos, value)``
+    rows, or ``(pos, value, error)`` rows when it reports bad messages itself
+    (an exception fails the task instead).  Applied per message with a
+    lateral join; like ``python_splitter`` it is the slow path for formats
+    the built-in expressions cannot express.
+    """
+
+    def splitter(df: DataFrame, payload: str = "payload", **_opts) -> DataFrame:
+        from ..session import ship_package
+
+        ship_package(df.sparkSession)
+        keep = [c for c in df.columns if c not in _OUT and c != payload]
+        out = df.lateralJoin(tvf(F.col(payload).outer()))
+        error = F.col("error").cast("string") if "error" in out.columns else F.lit(None).cast("string")
+        return out.select(
+            *keep, F.col("pos").cast("int").alias("pos"), F.col("value").cast("binary").alias("value"), error.alias("error")
+        )
+
+    return splitter
+
+
 __all__ = [
     "split_lines",
     "split_json",
@@ -332,4 +356,5 @@ __all__ = [
     "get_splitter",
     "splitter_names",
     "python_splitter",
+    "udtf_splitter",
 ]

@@ -151,3 +151,24 @@ def test_python_splitter_contract(spark):
     assert got[:2] == [("0", 0, "a", None), ("0", 1, "b", None)]
     assert got[2][0] == "1" and got[2][1] == -1 and got[2][3].startswith("ValueError")
     assert got[3] == ("2", 0, "c", None)
+
+
+def test_udtf_splitter(spark):
+    from pyspark.sql.functions import udtf
+
+    from queuelake.operators.splitters import register_splitter, udtf_splitter
+
+    @udtf(returnType="pos int, value binary, error string")
+    class Pipes:
+        def eval(self, payload: bytes):
+            data = bytes(payload)
+            if not data:
+                yield None, data, "EMPTY"
+                return
+            for i, part in enumerate(data.split(b"|")):
+                yield i, part, None
+
+    register_splitter("PIPES", udtf_splitter(Pipes))
+    out = split_records(messages(spark, ["a|b", ""]).withColumn("extra", F.lit(2)), "pipes")
+    assert out.columns == ["msg_id", "extra", "pos", "value", "error"]
+    assert records(out) == [("0", 0, "a", None), ("0", 1, "b", None), ("1", -1, "", "EMPTY")]
