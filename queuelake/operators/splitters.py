@@ -262,13 +262,14 @@ register_splitter(JSON_FORMAT, _json)
 register_splitter(FIXED_WIDTH_FORMAT, _lines)
 
 
-def python_splitter(func: Callable[[bytes], Iterable[bytes]]) -> Splitter:
+def python_splitter(func: Callable[[bytes], Iterable[bytes]], out_rows: int = 65_536) -> Splitter:
     """Wrap a per-message Python function as a splitter (the slow path).
 
     Runs in ``mapInArrow``: whole Arrow batches cross into Python, the input
     columns are repeated with ``take`` per record, and an exception raised by
-    ``func`` becomes that message's error row.  Spark still partitions the
-    messages; nothing is gathered on the driver.
+    ``func`` becomes that message's error row.  Output batches hold at most
+    about ``out_rows`` records.  Spark still partitions the messages; nothing
+    is gathered on the driver.
     """
 
     def splitter(df: DataFrame, payload: str = "payload", **_opts) -> DataFrame:
@@ -292,6 +293,16 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]]) -> Splitter:
         def run(batches):
             import pyarrow as pa
 
+            def emit(batch, idx, pos, vals, errs):
+                take = pa.array(idx, type=pa.int64())
+                cols = [batch.column(batch.schema.get_field_index(n)).take(take) for n in names]
+                cols += [
+                    pa.array(pos, type=pa.int32()),
+                    pa.array(vals, type=pa.binary()),
+                    pa.array(errs, type=pa.string()),
+                ]
+                return pa.RecordBatch.from_arrays(cols, names=names + ["pos", "value", "error"])
+
             for batch in batches:
                 data = batch.column(batch.schema.get_field_index(payload)).to_pylist()
                 idx, pos, vals, errs = [], [], [], []
@@ -299,24 +310,21 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]]) -> Splitter:
                     try:
                         recs = list(func(p)) if p is not None else []
                     except Exception as exc:  # whole message becomes one error row
+                        recs = None
                         idx.append(row)
                         pos.append(None)
                         vals.append(p)
                         errs.append(f"{type(exc).__name__}: {exc}"[:500])
-                        continue
-                    for j, r in enumerate(recs):
+                    for j, r in enumerate(recs or ()):
                         idx.append(row)
                         pos.append(j)
                         vals.append(bytes(r))
                         errs.append(None)
-                take = pa.array(idx, type=pa.int64())
-                cols = [batch.column(batch.schema.get_field_index(n)).take(take) for n in names]
-                cols += [
-                    pa.array(pos, type=pa.int32()),
-                    pa.array(vals, type=pa.binary()),
-                    pa.array(errs, type=pa.string()),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=names + ["pos", "value", "error"])
+                    if len(idx) >= out_rows:  # bounded output batches
+                        yield emit(batch, idx, pos, vals, errs)
+                        idx, pos, vals, errs = [], [], [], []
+                if idx:
+                    yield emit(batch, idx, pos, vals, errs)
 
         return base.mapInArrow(run, out_schema)
 
