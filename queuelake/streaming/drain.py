@@ -28,14 +28,14 @@ def read_mq(spark: SparkSession, stream: bool = True, source: str = "files", **o
         from ..sources.mq_source import register
 
         register(spark)
-        r = spark.readStream if stream else spark.read
-        raw = (
-            r.format("mq")
-            .option("path", o.path)
-            .option("queueManager", o.queue_manager)
-            .option("queue", o.queue)
-            .load()
-        )
+        r = (spark.readStream if stream else spark.read).format("mq")
+        r = r.option("path", o.path).option("queueManager", o.queue_manager).option("queue", o.queue)
+        if o.num_partitions:
+            r = r.option("numPartitions", str(o.num_partitions))
+        for key in ("consume", "consumedarchive"):
+            if o.extra.get(key):
+                r = r.option(key, o.extra[key])
+        raw = r.load()
         return split_records(raw, o.file_format, payload="value", **o.splitter_options())
     if stream:
         msgs = read_queue_stream(spark, o.path, o.queue_manager, o.queue)
