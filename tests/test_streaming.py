@@ -178,3 +178,23 @@ def test_stream_segments_oversized_group_released(spark, tmp):
     drain(assemble_segments_stream(stream, max_message_bytes=50).select("group_id", "seg_offset", "error"), sink, ckpt)
     got = spark.read.parquet(sink).collect()
     assert len(got) == 40 and {r.error for r in got} == {"GROUP_TOO_LARGE"}
+
+
+def test_batch_writer_error_queue_with_ack(spark, tmp):
+    log, out, ckpt = f"{tmp}/log", f"{tmp}/out", f"{tmp}/ckpt"
+    write_queue(_xml_msgs(spark, 0, 10, bad_every=4), log, "QM", "Q", "p", 1)
+    opts = {
+        "queue": "Q",
+        "queueManager": "QM",
+        "path": log,
+        "split": "i",
+        "error.queue": "Q.ERR",
+        "error.queueManager": "QE",
+        "ackQueue": "Q.ACK",
+    }
+    run_foreach_batch(read_queue_stream(spark, log, "QM", "Q"), QueueBatchWriter(opts, out, "r"), ckpt)
+    dead = read_queue(spark, log, "QE", "Q.ERR", schema=DEAD_LETTER_LOG_SCHEMA).collect()
+    assert sorted(int(r.msg_id) for r in dead) == [0, 4, 8]
+    assert {(r.reply_to_qmgr, r.reply_to_queue, tuple(r.report)) for r in dead} == {("QM", "Q.ACK", ("COA", "COD"))}
+    assert read_queue(spark, log, "QM", "Q.BACKOUT").count() == 0  # the error queue disables the backout queue
+    assert spark.read.parquet(out).count() == 2 * 7
