@@ -46,6 +46,30 @@ def split_lines_expr(payload: str | Column, encoding: str = "UTF-8") -> Column:
     """
     p = _c(payload)
     text = decode_payload(p, encoding)
-    body = F.regexp_replace(text, "(?:" + LINE_TERMINATOR + ")\\z", "")
-    lines = F.split(body, LINE_TERMINATOR, -1)
-    return F.when(F.octet_length(p) == 0, F.array().cast("array<string>")).otherwise(lines)
+    return F.when(F.octet_length(p) == 0, F.array().cast("array<string>")).otherwise(_lines(text))
+
+
+# The single-character line terminators other than LF.
+_OTHER_TERMINATORS = ["\r", "\u2028", "\u2029", "\u0085"]
+
+
+def _lines(text: Column) -> Column:
+    """Split ``text`` into lines without a regex in the common case.
+
+    The final terminator is cut by looking at the last one or two
+    characters; a text whose only terminator is ``\\n`` is split on that
+    literal (Java's single-character fast path).  Only texts containing
+    ``\\r``, U+2028, U+2029 or U+0085 take the regex split.
+    """
+    n = F.char_length(text)
+    last = F.substring(text, -1, 1)
+    cut = (
+        F.when(text.endswith("\r\n"), F.lit(2))
+        .when(last.isin("\n", *_OTHER_TERMINATORS), F.lit(1))
+        .otherwise(F.lit(0))
+    )
+    body = F.when(cut == 0, text).otherwise(F.substring(text, F.lit(1), n - cut))
+    exotic = F.lit(False)
+    for t in _OTHER_TERMINATORS:
+        exotic = exotic | text.contains(t)
+    return F.when(exotic, F.split(body, LINE_TERMINATOR, -1)).otherwise(F.split(body, "\n", -1))
