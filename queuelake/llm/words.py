@@ -19,23 +19,20 @@ _STEP = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
-_POWERS = np.ones(1, dtype=np.uint64)
+_POWERS = _INVERSE = np.ones(1, dtype=np.uint64)
 
 
-def _powers(base_len: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base**i`` and its inverse ``base**-i`` for i < base_len."""
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base**i`` and ``base**-i`` modulo 2**64 for i < size, at least."""
     global _POWERS, _INVERSE
-    if len(_POWERS) < base_len:
-        n = max(base_len, 2 * len(_POWERS), 1 << 16)
-        with np.errstate(over="ignore"):
-            _POWERS = np.cumprod(np.concatenate([[1], np.full(n - 1, _BASE, dtype=np.uint64)]).astype(np.uint64))
-            _INVERSE = np.cumprod(np.concatenate([[1], np.full(n - 1, _STEP, dtype=np.uint64)]).astype(np.uint64))
+    if len(_POWERS) < size:
+        n = max(size, 2 * len(_POWERS), 1 << 16)
+        steps = np.ones((2, n), dtype=np.uint64)
+        steps[:, 1:] = np.array([[_BASE], [_STEP]], dtype=np.uint64)
+        _POWERS, _INVERSE = np.cumprod(steps, axis=1, dtype=np.uint64)
     return _POWERS, _INVERSE
 
 
-_INVERSE = np.ones(1, dtype=np.uint64)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on unsigned 64-bit integers."""
     x = x ^ (x >> np.uint64(30))
