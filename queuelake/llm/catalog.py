@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from queuelake.llm.bpe import bpe_documents
 from queuelake.llm.chat import rotate_perspectives
 from queuelake.llm.frames import table
+from queuelake.llm.near_dedup import near_duplicates
 from queuelake.llm.quality import quality_decisions
 from queuelake.llm.sharding import regular_tree, shard_documents
 
@@ -28,6 +29,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_decisions(table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_bpe": op4_bpe,
+    "op7_near_dedup": op7_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
