@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from queuelake.llm.bpe import bpe_documents
 from queuelake.llm.chat import rotate_perspectives
+from queuelake.llm.fingerprints import fingerprint_documents
 from queuelake.llm.frames import table
+from queuelake.llm.licences import scan_licences
 from queuelake.llm.near_dedup import near_duplicates
 from queuelake.llm.quality import quality_decisions
 from queuelake.llm.sharding import regular_tree, shard_documents
@@ -17,6 +19,10 @@ from queuelake.llm.sharding import regular_tree, shard_documents
 SHARDS = 24
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), regular_tree(SHARDS))
 
@@ -29,6 +35,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,9 +48,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_sharding": op2_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_bpe": op4_bpe,
+    "op6_fingerprints": op6_fingerprints,
     "op7_near_dedup": op7_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
