@@ -11,6 +11,7 @@ from queuelake.llm.bpe import bpe_documents
 from queuelake.llm.chat import rotate_perspectives
 from queuelake.llm.fingerprints import fingerprint_documents
 from queuelake.llm.frames import table
+from queuelake.llm.html_density import extract_pages
 from queuelake.llm.licences import scan_licences
 from queuelake.llm.near_dedup import near_duplicates
 from queuelake.llm.quality import quality_decisions
@@ -43,6 +44,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_decisions(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op6_fingerprints": op6_fingerprints,
     "op7_near_dedup": op7_near_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op10_quality_rules": op10_quality_rules,
 }
 
