@@ -14,6 +14,7 @@ from queuelake.llm.frames import table
 from queuelake.llm.html_density import extract_pages
 from queuelake.llm.licences import scan_licences
 from queuelake.llm.near_dedup import near_duplicates
+from queuelake.llm.packing import pack_documents
 from queuelake.llm.quality import quality_decisions
 from queuelake.llm.sharding import regular_tree, shard_documents
 
@@ -36,6 +37,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_bpe": op4_bpe,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_fingerprints": op6_fingerprints,
     "op7_near_dedup": op7_near_dedup,
     "op8_html_extraction": op8_html_extraction,
