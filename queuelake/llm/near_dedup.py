@@ -10,14 +10,16 @@ similarity of the shingle sets of their whole texts.
 Two texts at the threshold share a band with probability
 ``1 - (1 - 0.75**4)**32``, about 1 - 5e-6, and more above it.
 
-Equal shingle sets are one node from the start.  Inside a band's bucket nodes
-are not paired with each other but, in rounds, with hubs: a hub is compared
-with the members that are not yet in its component and then leaves the bucket;
-a bucket is done when its members are all in one component.  So links inside a
-component are never enumerated, and none between components is missed.  The
-first hub is the member that shares most buckets with others (of copies that
-were edited apart, the text they come from); later rounds take 4, 16, 64...
-hubs, those of the smallest components first.
+Equal shingle sets are one node from the start.  Members of a band's bucket are
+not paired with each other but with a hub, the member that shares most buckets
+with others (of copies that were edited apart, the text they come from), and
+the links found make components.  Where a bucket still holds several, its
+members are dealt anew by their rarest shingles, of which linked texts have one
+in common, so that texts that only share a frequent passage part ways.  In these
+buckets hubs go on in rounds: a hub is compared with the members that are not in
+its component and then leaves; a bucket is done when its members are all in one
+component.  So links inside a component are never enumerated, and none between
+components is missed.
 """
 
 from __future__ import annotations
@@ -39,8 +41,9 @@ ROWS = 4
 PERCENT = 75
 #: Least agreeing coordinates (one byte each, of 128) for the exact check.  At
 #: similarity 0.75 about 96 agree, with a standard deviation of 4.9, so fewer
-#: than 64 are 6.5 deviations away.
-MIN_AGREE = 64
+#: than 70 are 5.3 deviations away.
+MIN_AGREE = 70
+SKETCH_SLOTS = 1 << 20
 CHUNK_SHINGLES = 1 << 15
 NO_ID = -(2**63)
 
@@ -149,7 +152,7 @@ def _members(nodes: DataFrame) -> DataFrame:
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = written(rows.join(sizes, "bucket"), "members")
     shared = members.groupBy("node").agg(F.sum("size").alias("shared"))
-    return written(members.join(shared, "node").select("bucket", "node", "n", "shared"), "members")
+    return written(members.join(shared, "node").select("bucket", "node", "n", F.lit(0).cast("long").alias("rank"), "shared"), "members")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -159,25 +162,81 @@ def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
     return written(rows.join(need, ["id0", "text_hash"]).groupBy("id0", "text_hash", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
 
 
-def _round(members: DataFrame, labels: DataFrame, tested: DataFrame | None, hubs_each: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
-    """Open members, their hubs, and the pairs to test; None when all is done."""
-    now = members.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their component, of the buckets that hold several."""
+    now = members.join(labels, "node", "left").select("bucket", "node", "n", "rank", "shared", F.coalesce("label", "node").alias("comp"))
     still = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-    members = written(now.join(still, "bucket", "left_semi").select(*now.columns), "open")
-    if members.limit(1).count() == 0:
-        return None
-    if hubs_each == 1:
-        best = members.groupBy("bucket").agg(F.max(F.struct("shared", "node", "comp", "n")).alias("h"))
+    return written(now.join(still, "bucket", "left_semi"), "open")
+
+
+def _hubs(members: DataFrame, each: int) -> DataFrame:
+    """The first round's hub of every open bucket, or up to ``each`` of them."""
+    if each == 0:
+        best = members.groupBy("bucket").agg(F.max(F.struct("shared", "node", "comp", "n", "rank")).alias("h"))
     else:
         sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
-        salted = members.join(sizes, ["bucket", "comp"]).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(hubs_each)))
-        best = salted.groupBy("bucket", "salt").agg(F.min(F.struct("size", "node", "comp", "n")).alias("h"))
-    hubs = written(best.select("bucket", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"), F.col("h.n").alias("hub_n")), "hubs")
-    met = members.join(hubs, "bucket").where((F.col("comp") != F.col("hub_comp")) & (100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n")))
-    pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        salted = members.join(sizes, ["bucket", "comp"]).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(each)))
+        best = salted.groupBy("bucket", "salt").agg(F.min(F.struct("size", "node", "comp", "n", "rank")).alias("h"))
+    return written(best.select("bucket", *[F.col(f"h.{c}").alias(f"hub_{c}") for c in ("node", "comp", "n", "rank")]), "hubs")
+
+
+def _pairs(members: DataFrame, hubs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    """Pairs of a hub and a member of another component that can be linked.
+
+    Linked sets have at least ``common = ceil(3/7 (n + hub_n))`` members in
+    common.  If the shared shingle is the first in both their orders of rarity,
+    none before it is common, so neither may have more than ``n - common``
+    before it.  (Bands have rank 0, which leaves the bound on sizes.)"""
+    common = F.ceil(F.lit(PERCENT) * (F.col("n") + F.col("hub_n")) / F.lit(100 + PERCENT))
+    fits = (F.col("rank") <= F.col("n") - common) & (F.col("hub_rank") <= F.col("hub_n") - common)
+    met = members.join(hubs, "bucket").where((F.col("comp") != F.col("hub_comp")) & fits)
+    pairs = met.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b")).distinct()
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    return members, hubs, written(pairs, "pairs")
+    return written(pairs, "pairs")
+
+
+def _frequency_sketch(texts: DataFrame) -> np.ndarray:
+    """Counters of a fixed size that shingles are hashed to: about how many of
+    the texts hold a shingle.  It only ranks shingles, so collisions are
+    harmless."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SKETCH_SLOTS, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column(1):
+                counts += np.bincount((shingle_set(text.as_py()) % np.uint64(SKETCH_SLOTS)).astype(np.int64), minlength=SKETCH_SLOTS)
+        some = np.flatnonzero(counts)
+        for a in range(0, len(some), 1 << 16):
+            at = some[a : a + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+    out = np.zeros(SKETCH_SLOTS, dtype=np.int32)
+    rows = map_batches(texts, run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out[rows["slot"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
+    return out
+
+
+def _rare_members(texts: DataFrame) -> DataFrame:
+    """(bucket, node, n, rank, shared): one row for each shingle among the rarest
+    ``n - ceil(0.75 n) + 1`` of a text.
+
+    Two linked texts have one of these in common whatever the order of rarity,
+    as long as it is the same for all texts.  A passage that many texts share
+    is not rare, so texts that have nothing else in common do not meet."""
+    frequency = _frequency_sketch(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = shingle_set(text.as_py())
+                order = np.lexsort((s, frequency[(s % np.uint64(SKETCH_SLOTS)).astype(np.int64)]))
+                rare = s[order[: len(s) - -(-PERCENT * len(s) // 100) + 1]].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(rare), pa.array(np.full(len(rare), node)), pa.array(np.full(len(rare), len(s))), pa.array(np.arange(len(rare)))], names=["bucket", "node", "n", "rank"])
+
+    rows = written(map_batches(texts, run, "bucket long, node long, n long, rank long"), "rare")
+    several = rows.groupBy("bucket").agg(F.count("*").alias("shared")).where("shared > 1")
+    return written(rows.join(several, "bucket").select("bucket", "node", "n", "rank", "shared"), "rare")
 
 
 def _merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -190,30 +249,42 @@ def _merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return written(known.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels")
 
 
+def _edges(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are linked: by signature first, then on full sets."""
+    sketched = (
+        pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
+        .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
+    )
+    likely = written(_similar_sketches(sketched), "likely")
+    both = (
+        likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    )
+    return written(_confirmed(both), "edges")
+
+
 def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label) for every node that is linked with another."""
     spark = docs.sparkSession
     sketches = nodes.select("node", "sketch")
-    left = _members(nodes)
-    texts = _texts(docs, nodes, left)
+    members = _members(nodes)
+    texts = _texts(docs, nodes, members)
     labels = spark.createDataFrame([], "node long, label long")
-    tested, hubs_each = None, 1
-    while (step := _round(left, labels, tested, hubs_each)) is not None:
-        members, hubs, pairs = step
-        tested = pairs if tested is None else written(tested.union(pairs), "tested")
-        sketched = (
-            pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
-            .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
-        )
-        likely = written(_similar_sketches(sketched), "likely")
-        both = (
-            likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-        )
-        labels = _merge(labels, written(_confirmed(both), "edges"))
-        left = members.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node", "n", "shared")
-        hubs_each *= 4
-    return labels
+    members = _open(members, labels)
+    pairs = tested = _pairs(members, _hubs(members, 0), None)
+    labels = _merge(labels, _edges(pairs, sketches, texts))
+    undecided = texts.join(_open(members, labels).select("node").distinct(), "node", "left_semi").select("node", "text")
+    members, each = _rare_members(undecided), 1
+    while True:
+        members = _open(members, labels)
+        if members.limit(1).count() == 0:
+            return labels
+        hubs = _hubs(members, each)
+        pairs = _pairs(members, hubs, tested)
+        tested = written(tested.union(pairs), "tested")
+        labels = _merge(labels, _edges(pairs, sketches, texts))
+        members = members.join(hubs.select("bucket", F.col("hub_node").alias("node")), ["bucket", "node"], "left_anti")
+        each *= 16
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
