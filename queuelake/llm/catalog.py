@@ -17,6 +17,7 @@ from queuelake.llm.near_dedup import near_duplicates
 from queuelake.llm.packing import pack_documents
 from queuelake.llm.quality import quality_decisions
 from queuelake.llm.sharding import regular_tree, shard_documents
+from queuelake.llm.toxicity import toxicity_scores
 
 SHARDS = 24
 
@@ -53,6 +54,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_decisions(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_near_dedup": op7_near_dedup,
     "op8_html_extraction": op8_html_extraction,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
