@@ -28,6 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,7 @@ PERCENT = 75
 #: than 70 are 5.3 deviations away.
 MIN_AGREE = 70
 SKETCH_SLOTS = 1 << 20
+SKETCH_BLOCK = 1 << 14
 CHUNK_SHINGLES = 1 << 15
 NO_ID = -(2**63)
 
@@ -197,23 +199,30 @@ def _pairs(members: DataFrame, hubs: DataFrame, tested: DataFrame | None) -> Dat
 
 
 def _frequency_sketch(texts: DataFrame) -> np.ndarray:
-    """Counters of a fixed size that shingles are hashed to: about how many of
-    the texts hold a shingle.  It only ranks shingles, so collisions are
-    harmless."""
+    """Counters of a fixed number that shingles are hashed to: about how many of
+    the texts hold a shingle, in eighths of a power of two, a byte each.  It only
+    ranks shingles, so collisions are harmless."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH_SLOTS, dtype=np.int64)
         for batch in batches:
             for text in batch.column(1):
-                counts += np.bincount((shingle_set(text.as_py()) % np.uint64(SKETCH_SLOTS)).astype(np.int64), minlength=SKETCH_SLOTS)
+                np.add.at(counts, (shingle_set(text.as_py()) % np.uint64(SKETCH_SLOTS)).astype(np.int64), 1)
         some = np.flatnonzero(counts)
         for a in range(0, len(some), 1 << 16):
             at = some[a : a + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
 
-    out = np.zeros(SKETCH_SLOTS, dtype=np.int32)
-    rows = map_batches(texts, run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out[rows["slot"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(SKETCH_BLOCK, dtype=np.uint8)
+        out[pdf["slot"].to_numpy() % SKETCH_BLOCK] = np.minimum(8 * np.log2(1.0 + pdf["n"].to_numpy()), 255)
+        return pd.DataFrame({"block": [int(pdf["slot"].iloc[0]) // SKETCH_BLOCK], "levels": [out.tobytes()]})
+
+    counts = map_batches(texts, run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    blocks = counts.groupBy((F.col("slot") / SKETCH_BLOCK).cast("int").alias("block")).applyInPandas(block, "block long, levels binary")
+    out = np.zeros(SKETCH_SLOTS, dtype=np.uint8)
+    for r in blocks.collect():  # SKETCH_SLOTS bytes in all
+        out[r.block * SKETCH_BLOCK : (r.block + 1) * SKETCH_BLOCK] = np.frombuffer(r.levels, dtype=np.uint8)
     return out
 
 
