@@ -23,7 +23,8 @@ from queuelake.llm.frames import map_batches
 
 LEAST, NORMAL, MOST = 32, 96, 384
 HARD_BITS, EASY_BITS = 8, 5
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 4_000
+MAX_RANGES = 100_000
 
 _GEAR = np.random.default_rng(20240301).integers(0, 2**32, size=256, dtype=np.uint32)
 
@@ -96,12 +97,13 @@ def edited(text: str, following: str) -> str:
 
 
 def _ranges(docs: DataFrame) -> list[int]:
-    """First doc_ids of ranges of about ``ROWS_PER_RANGE`` documents: ids that
-    exist, from a quantile sketch over all of them; one list entry a range."""
+    """First doc_ids of ranges of about ``ROWS_PER_RANGE`` documents (more, where
+    that would make over ``MAX_RANGES`` ranges): ids that exist, from a quantile
+    sketch over all of them."""
     n, least = docs.agg(F.count("doc_id"), F.min("doc_id")).first()
     if not n:
         return []
-    parts = max(1, round(n / ROWS_PER_RANGE), docs.sparkSession.sparkContext.defaultParallelism)
+    parts = max(1, min(round(n / ROWS_PER_RANGE), MAX_RANGES), docs.sparkSession.sparkContext.defaultParallelism)
     cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else []
     return sorted({least, *cuts})
 
