@@ -2,10 +2,15 @@
 
 No XML parser is involved (the records are parsed afterwards with
 ``from_xml``): elements are found by a regular expression on the tag name.
-Handled: attributes, whitespace before ``>``, self-closing tags (skipped),
-prefix-sharing names such as ``<itemx>`` (not matched).  Out of scope, as for
-any line scanner: tags inside CDATA sections or comments, and ``>`` inside
-attribute values.
+Handled: attributes (also with ``>`` in a quoted value), whitespace before
+``>``, self-closing tags (skipped), prefix-sharing names such as ``<itemx>``
+(not matched).  Out of scope, as for any line scanner: tags inside CDATA
+sections or comments.
+
+The work is linear in the message.  Elements are looked for only up to the last
+end tag, so from every start tag there the search ends at an end tag and goes
+on behind it; a start tag stops at the next ``<`` (XML allows none in a tag),
+so a quote that is never closed is not searched for through the message.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ _NAME = re.compile(r"^[A-Za-z_][\w.\-:]*$")
 # Error codes of the XML splitter.
 NESTED_SPLIT = "NESTED_SPLIT"
 UNCLOSED_SPLIT = "UNCLOSED_SPLIT"
+UNMATCHED_END = "UNMATCHED_END"
 HEADER_MISSING = "HEADER_MISSING"
 
 
@@ -31,7 +37,21 @@ def _quoted(tag: str) -> str:
 
 def open_tag_regex(tag: str) -> str:
     """Start tag of ``tag`` (never a self-closing one)."""
-    return "<" + _quoted(tag) + "(?:\\s(?:[^>]*[^/>])?)?>"
+    return "<" + _quoted(tag) + "(?:\\s(?:[^<>\"'/]++|\"[^<\"]*+\"|'[^<']*+'|/(?!>))*+)?>"
+
+
+def end_tag(tag: str) -> str:
+    _quoted(tag)
+    return f"</{tag}>"
+
+
+def count_literal(text: Column, literal: str) -> Column:
+    return ((F.length(text) - F.length(F.replace(text, F.lit(literal), F.lit("")))) / len(literal)).cast("int")
+
+
+def after_last_end(text: Column, tag: str) -> Column:
+    """What follows the last end tag (the whole text without one)."""
+    return F.substring_index(text, end_tag(tag), -1)
 
 
 def start_tag_upper_bound(text: Column, tag: str) -> Column:
@@ -39,8 +59,7 @@ def start_tag_upper_bound(text: Column, tag: str) -> Column:
     tags (it also counts ``<tagx`` and self-closing tags), and computed with a
     plain string replace instead of a regex."""
     _quoted(tag)
-    probe = "<" + tag
-    return ((F.length(text) - F.length(F.replace(text, F.lit(probe), F.lit("")))) / len(probe)).cast("int")
+    return count_literal(text, "<" + tag)
 
 
 def element_regex(tag: str, keep_indent: bool) -> str:

@@ -34,6 +34,10 @@ from ..schema import FIXED_WIDTH_FORMAT, JSON_FORMAT, XML_FORMAT
 _OUT = ("pos", "value", "error")
 _TMP = "__ql_"
 
+# Error codes of any splitter.
+NULL_PAYLOAD = "NULL_PAYLOAD"
+NULL_RECORD = "NULL_RECORD"  # a built-in splitter makes none
+
 
 def _emit(
     df: DataFrame,
@@ -52,6 +56,7 @@ def _emit(
     keep = [c for c in df.columns if c not in _OUT and c != payload and not c.startswith(_TMP)]
     staged = df.select(*keep, *carry, payload, records.alias("__ql_r"), error.alias("__ql_e"))
     good = F.col("__ql_e").isNull()
+    staged = staged.withColumn("__ql_e", F.when(F.col(payload).isNull(), F.lit(NULL_PAYLOAD)).otherwise(F.col("__ql_e")))
     staged = staged.select(*keep, *carry, "__ql_r", "__ql_e", F.when(~good, F.col(payload)).alias("__ql_bad"))
     gen = F.when(good, F.col("__ql_r")).otherwise(F.array(F.lit(None).cast(element_type)))
     # posexplode_outer + a filter on the generated position instead of plain
@@ -62,11 +67,14 @@ def _emit(
     ex = ex.where(F.col("__ql_p").isNotNull())
     x = F.col("__ql_x")
     value = finish(x) if finish is not None else x
+    # The record of a failed message is null.  The error reads it, so a filter
+    # on the error stays above the generator instead of running the split again.
+    failed = x.isNull()
     return ex.select(
         *keep,
-        F.when(good, F.col("__ql_p")).cast("int").alias("pos"),
-        F.when(good, value.cast("binary")).otherwise(F.col("__ql_bad")).alias("value"),
-        F.col("__ql_e").alias("error"),
+        F.when(~failed, F.col("__ql_p")).cast("int").alias("pos"),
+        F.when(failed, F.col("__ql_bad")).otherwise(value.cast("binary")).alias("value"),
+        F.when(failed, F.coalesce(F.col("__ql_e"), F.lit(NULL_RECORD))).alias("error"),
     )
 
 
@@ -133,7 +141,8 @@ def split_xml(
 
     Errors (whole message): ``NESTED_SPLIT`` when an element contains another
     element of the same name, ``UNCLOSED_SPLIT`` when a start tag has no end
-    tag, ``HEADER_MISSING`` when a header block is absent.
+    tag, ``UNMATCHED_END`` when an end tag has no start tag,
+    ``HEADER_MISSING`` when a header block is absent.
     """
     if layout not in ("lines", "raw"):
         raise ValueError("layout must be 'lines' or 'raw'")
@@ -157,23 +166,30 @@ def split_xml(
 
     open_re = xx.open_tag_regex(split)
     carry = []
+    staged = staged.withColumn("__ql_tail", xx.after_last_end(t, split))
+    tail = F.col("__ql_tail")
+    body = F.left(t, F.length(t) - F.length(tail))
     if lines:
         staged = staged.withColumn("__ql_single", ~t.contains("\n"))
         carry.append("__ql_single")
         # indentation only exists in multi-line messages: skip that part of
         # the pattern for one-line ones
         found = F.when(
-            F.col("__ql_single"), F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=False)), 0)
-        ).otherwise(F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=True)), 0))
+            F.col("__ql_single"), F.regexp_extract_all(body, F.lit(xx.element_regex(split, keep_indent=False)), 0)
+        ).otherwise(F.regexp_extract_all(body, F.lit(xx.element_regex(split, keep_indent=True)), 0))
     else:
-        found = F.regexp_extract_all(t, F.lit(xx.element_regex(split, keep_indent=False)), 0)
-    staged = staged.withColumn("__ql_m", found).withColumn("__ql_nlit", xx.start_tag_upper_bound(t, split))
+        found = F.regexp_extract_all(body, F.lit(xx.element_regex(split, keep_indent=False)), 0)
+    staged = (
+        staged.withColumn("__ql_m", found)
+        .withColumn("__ql_nlit", xx.start_tag_upper_bound(t, split))
+        .withColumn("__ql_nend", xx.count_literal(t, xx.end_tag(split)))
+    )
 
     def fmt(x: Column) -> Column:
         return xx.line_layout(x, F.col("__ql_single")) if lines else x
 
     # header blocks: found and formatted once per message, not per record
-    hdr_cols = [F.regexp_extract(t, xx.element_regex(h, keep_indent=lines), 0) for h in headers]
+    hdr_cols = [F.regexp_extract(F.left(t, F.length(t) - F.length(xx.after_last_end(t, h))), xx.element_regex(h, keep_indent=lines), 0) for h in headers]
     if hdr_cols:
         staged = staged.select("*", *[c.alias(f"__ql_h{i}") for i, c in enumerate(hdr_cols)])
         hdr_cols = [F.col(f"__ql_h{i}") for i in range(len(hdr_cols))]
@@ -186,17 +202,18 @@ def split_xml(
         carry.append("__ql_hdr")
     m = F.col("__ql_m")
     nested = F.exists(m, lambda x: F.regexp_count(x, F.lit(open_re)) > 1)
-    # Every match holds at least one start tag of its own, and a nested or
-    # unclosed element leaves a start tag without a match.  So a message is
-    # good iff #start tags == #matches; the literal count of "<tag" bounds the
-    # start tags from above, and only when it disagrees do the exact (regex)
-    # count and the per-record nesting check run.
-    exact_ok = F.regexp_count(t, F.lit(open_re)) == F.size(m)
+    # Every match ends at an end tag and holds at least one start tag.  So a
+    # message is good iff #start tags == #matches == #end tags; the literal
+    # count of "<tag" bounds the start tags from above, and only when it
+    # disagrees do the exact (regex) counts and the nesting check run.
+    n_end = F.col("__ql_nend")
+    exact_ok = (F.regexp_count(t, F.lit(open_re)) == F.size(m)) & (n_end == F.size(m))
     error = (
-        F.when(F.col("__ql_nlit") == F.size(m), _no_error())
+        F.when((F.col("__ql_nlit") == F.size(m)) & (n_end == F.size(m)), _no_error())
         .when(exact_ok, _no_error())
         .when(nested, F.lit(xx.NESTED_SPLIT))
-        .otherwise(F.lit(xx.UNCLOSED_SPLIT))
+        .when(F.regexp_count(tail, F.lit(open_re)) > 0, F.lit(xx.UNCLOSED_SPLIT))
+        .otherwise(F.lit(xx.UNMATCHED_END))
     )
     if hdr_cols:
         missing = F.lit(False)
@@ -262,13 +279,23 @@ register_splitter(JSON_FORMAT, _json)
 register_splitter(FIXED_WIDTH_FORMAT, _lines)
 
 
+def _python_records(func: Callable[[bytes], Iterable[bytes]], payload: bytes | None):
+    """(pos, value, error) of one message: all its records or one error."""
+    if payload is None:
+        return [(None, None, NULL_PAYLOAD)]
+    try:
+        return [(j, bytes(r), None) for j, r in enumerate(func(payload))]
+    except Exception as exc:  # the whole message becomes one error row
+        return [(None, payload, f"{type(exc).__name__}: {exc}")]
+
+
 def python_splitter(func: Callable[[bytes], Iterable[bytes]], out_rows: int = 65_536) -> Splitter:
     """Wrap a per-message Python function as a splitter (the slow path).
 
     Runs in ``mapInArrow``: whole Arrow batches cross into Python, the input
     columns are repeated with ``take`` per record, and an exception raised by
     ``func`` becomes that message's error row.  Output batches hold at most
-    about ``out_rows`` records.  Spark still partitions the messages; nothing
+    ``out_rows`` records.  Spark still partitions the messages; nothing
     is gathered on the driver.
     """
 
@@ -307,22 +334,14 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]], out_rows: int = 65
                 data = batch.column(batch.schema.get_field_index(payload)).to_pylist()
                 idx, pos, vals, errs = [], [], [], []
                 for row, p in enumerate(data):
-                    try:
-                        recs = list(func(p)) if p is not None else []
-                    except Exception as exc:  # whole message becomes one error row
-                        recs = None
-                        idx.append(row)
-                        pos.append(None)
-                        vals.append(p)
-                        errs.append(f"{type(exc).__name__}: {exc}"[:500])
-                    for j, r in enumerate(recs or ()):
+                    for out in _python_records(func, p):
                         idx.append(row)
-                        pos.append(j)
-                        vals.append(bytes(r))
-                        errs.append(None)
-                    if len(idx) >= out_rows:  # bounded output batches
-                        yield emit(batch, idx, pos, vals, errs)
-                        idx, pos, vals, errs = [], [], [], []
+                        pos.append(out[0])
+                        vals.append(out[1])
+                        errs.append(out[2])
+                        if len(idx) >= out_rows:  # bounded output batches
+                            yield emit(batch, idx, pos, vals, errs)
+                            idx, pos, vals, errs = [], [], [], []
                 if idx:
                     yield emit(batch, idx, pos, vals, errs)
 
