@@ -10,7 +10,7 @@ Public API (see README for the full picture)::
         parse_xml, parse_json, parse_fixed_width,               # typed views
         assemble_segments, route_failures, with_ack_request,    # message operators
         read_queue, read_queue_stream, write_queue, archive,    # queue log and sinks
-        register_mq_source, read_mq, drain, run_foreach_batch,  # streams
+        read_mq, process_mq, drain, run_foreach_batch,          # streams
         QueueBatchWriter, assemble_segments_stream,
     )
 """
@@ -31,9 +31,8 @@ from .operators.splitters import (
 from .options import QueueOptions, dead_letter_target
 from .sources.archive import archive
 from .sources.kafka import kafka_shape
-from .sources.mq_source import register as register_mq_source
 from .sources.queue_log import read_queue, read_queue_stream, write_queue
-from .streaming.drain import drain, read_mq, run_foreach_batch, to_sink
+from .streaming.drain import drain, process_mq, read_mq, run_foreach_batch, to_sink
 from .streaming.segments import assemble_segments_stream
 from .streaming.writer import QueueBatchWriter
 
@@ -60,8 +59,8 @@ __all__ = [
     "write_queue",
     "archive",
     "kafka_shape",
-    "register_mq_source",
     "read_mq",
+    "process_mq",
     "drain",
     "run_foreach_batch",
     "to_sink",

@@ -69,10 +69,6 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
         root = tempfile.mkdtemp(prefix="queuelake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-        while root.startswith("//"):
-            root = root[1:]
     path = os.path.join(root, "queuelake", *parts)
     if unique:
         path = os.path.join(path, uuid.uuid4().hex)

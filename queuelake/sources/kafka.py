@@ -6,8 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def refuse_failures(df: DataFrame) -> DataFrame:
+    """``df`` as it is, failing at run time on a row whose ``error`` is set."""
+    if "error" not in df.columns:
+        return df
+    failed = F.raise_error(F.concat(F.lit("FAILED_MESSAGE: route failures to a dead-letter queue first: "), F.col("error")))
+    return df.where(F.when(F.col("error").isNull(), F.lit(True)).otherwise(failed.cast("boolean")))
+
+
 def kafka_shape(df: DataFrame, topic: str, key: str | Column | None = None, value: str | Column = "value") -> DataFrame:
-    """``(topic, key, value)`` as the Kafka sink expects (binary key/value)."""
+    """``(topic, key, value)`` as the Kafka sink expects (binary key/value).
+
+    Rows with an ``error`` are failed messages, not records: they make the query
+    fail (``FAILED_MESSAGE``) unless they are routed away first."""
+    df = refuse_failures(df)
     k = F.col(key) if isinstance(key, str) else key
     v = F.col(value) if isinstance(value, str) else value
     return df.select(

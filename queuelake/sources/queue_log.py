@@ -5,8 +5,8 @@ Layout (one directory per queue)::
     <root>/<queueManager>/<queue>/producer=<name>/seq=<20 digits>/part-*.parquet
                                                                /_SUCCESS
 
-Every append is one directory keyed by (producer, seq) and is complete once
-``_SUCCESS`` exists.  A producer that retries an append with the same seq
+Every append is one directory keyed by (producer, seq).  It is written aside
+and renamed when finished, so readers never see a part of it.  A producer that retries an append with the same seq
 skips it, so a retried batch never adds a second copy.  Readers are Spark's
 own parquet sources (batch and streaming): column pruning, row-group
 filters on ``msg_type``/``put_ts`` and partition pruning on

@@ -13,30 +13,25 @@ from ..options import QueueOptions
 from ..sources.queue_log import read_queue, read_queue_stream
 
 
-def read_mq(spark: SparkSession, stream: bool = True, source: str = "files", **options: str) -> DataFrame:
+#: Options that ask for writes, which a plain DataFrame cannot do.
+_WRITING = ("movepath", "backoutqueue", "ackqueue", "error.queue", "error queue", "error.queuemanager")
+
+
+def read_mq(spark: SparkSession, stream: bool = True, **options: str) -> DataFrame:
     """The queue as records, split by ``fileFormat``/``split``/``headers``.
 
-    Same options as ``readStream.format("mq")`` plus ``path`` (queue-log
-    root).  ``source="files"`` reads with Spark's file source (columnar, keeps
-    ``msg_id``/``put_ts``); ``source="mq"`` goes through the registered
-    ``mq`` source (only ``value``).  Output: splitter contract columns.
+    ``path`` is the queue-log root.  Output: ``msg_id``, ``put_ts``,
+    ``producer``, ``seq`` and the splitter contract's columns, error rows
+    included.  Options that archive, route or acknowledge need a run of their
+    own: ``process_mq`` takes the same options and acts on them; here they are
+    rejected.
     """
+    asked = sorted(k for k in options if k.lower() in _WRITING)
+    if asked:
+        raise ValueError(f"read_mq only reads; use process_mq for {asked}")
     o = QueueOptions.from_dict(options)
     if not o.path:
         raise ValueError("option 'path' (queue-log root) is required")
-    if source == "mq":
-        from ..sources.mq_source import register
-
-        register(spark)
-        r = (spark.readStream if stream else spark.read).format("mq")
-        r = r.option("path", o.path).option("queueManager", o.queue_manager).option("queue", o.queue)
-        if o.num_partitions:
-            r = r.option("numPartitions", str(o.num_partitions))
-        for key in ("consume", "consumedarchive"):
-            if o.extra.get(key):
-                r = r.option(key, o.extra[key])
-        raw = r.load()
-        return split_records(raw, o.file_format, payload="value", **o.splitter_options())
     if stream:
         msgs = read_queue_stream(spark, o.path, o.queue_manager, o.queue)
     else:
@@ -45,6 +40,28 @@ def read_mq(spark: SparkSession, stream: bool = True, source: str = "files", **o
     return split_records(msgs, o.file_format, **o.splitter_options())
 
 
+def process_mq(
+    spark: SparkSession,
+    output: str,
+    checkpoint: str,
+    producer: str,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+    **options: str,
+) -> StreamingQuery:
+    """Read a queue to the end, as ``read_mq`` does, and act on every option:
+    raw messages go to each ``movePath``, failed ones whole to the backout or
+    error queue (with the acknowledgement request of ``ackQueue``), good
+    records to ``output``.  A rerun with the same checkpoint goes on where the
+    last one committed."""
+    from .writer import QueueBatchWriter
+
+    o = QueueOptions.from_dict(options)
+    writer = QueueBatchWriter(o, output, producer)
+    stream = read_queue_stream(spark, o.path, o.queue_manager, o.queue, max_files_per_trigger=max_files_per_trigger)
+    return run_foreach_batch(stream, writer, checkpoint, available_now)
+
+
 def drain(
     df: DataFrame,
     sink_path: str,
@@ -98,8 +115,11 @@ def to_sink(df: DataFrame, kind: str, checkpoint: str, **kw) -> StreamingQuery:
     if kind == "parquet":
         return drain(df, kw["path"], checkpoint)
     if kind == "queue":
+        from ..sources.kafka import refuse_failures
         from .writer import queue_append
 
+        df = refuse_failures(df)
+
         return run_foreach_batch(
             df.select(F.col(kw.get("value", "value")).alias("payload"), *kw.get("keep", [])),
             queue_append(kw["root"], kw["queue_manager"], kw["queue"], kw["producer"]),
@@ -108,4 +128,4 @@ def to_sink(df: DataFrame, kind: str, checkpoint: str, **kw) -> StreamingQuery:
     raise ValueError(f"unknown sink kind {kind!r}")
 
 
-__all__ = ["read_mq", "drain", "run_foreach_batch", "to_sink"]
+__all__ = ["read_mq", "process_mq", "drain", "run_foreach_batch", "to_sink"]

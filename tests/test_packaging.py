@@ -18,7 +18,7 @@ def test_python_routes_from_another_directory(tmp_path):
         spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
                  .config("spark.sql.shuffle.partitions", "4").getOrCreate())
         spark.sparkContext.setLogLevel("ERROR")
-        for key in ("stream_mq_source", "custom_splitter"):
+        for key in ("stream_assemble_segments", "custom_splitter"):
             print(key, E.queries()[key](spark, "/root/testdata/sf0.001").count())
         """
     )

@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from queuelake.sources.fs import write_once
-from queuelake.sources.mq_source import register
 from queuelake.sources.queue_log import read_queue, seq_dir, write_queue
 
 
@@ -31,79 +30,46 @@ def test_roundtrip_idempotent_and_partitions(spark, tmp):
     assert read_queue(spark, tmp, "QM", "EMPTY").count() == 0
 
 
-def test_write_once_overwrites_unfinished(spark, tmp):
+def test_write_once_skips_finished_and_refuses_foreign_folders(spark, tmp):
     import os
 
-    path = f"{tmp}/x"
-    os.makedirs(path)
-    open(f"{path}/junk.parquet", "w").write("partial")
-    assert write_once(_msgs(spark, 3), path)
-    assert spark.read.parquet(path).count() == 3
-    assert not write_once(_msgs(spark, 9), path)
-    assert spark.read.parquet(path).count() == 3
+    assert write_once(_msgs(spark, 3), f"{tmp}/x")
+    assert not write_once(_msgs(spark, 9), f"{tmp}/x")
+    assert spark.read.parquet(f"{tmp}/x").count() == 3
+    os.makedirs(f"{tmp}/y")
+    open(f"{tmp}/y/junk.parquet", "w").write("not ours")
+    with pytest.raises(RuntimeError):
+        write_once(_msgs(spark, 3), f"{tmp}/y")
 
 
-def test_mq_source_batch_and_report_value(spark, tmp):
-    register(spark)
-    write_queue(_msgs(spark, 4), tmp, "QM", "Q", producer="a", seq=1)
-    write_queue(_msgs(spark, 2, 100, msg_type=4), tmp, "QM", "Q", producer="a", seq=2)
-    df = spark.read.format("mq").option("path", tmp).option("queueManager", "QM").option("queue", "Q").load()
-    assert df.schema.simpleString() == "struct<value:binary>"
-    vals = sorted(bytes(r.value) for r in df.collect())
-    assert vals == sorted([b"m0", b"m1", b"m2", b"m3", b"100", b"101"])
-
-
-def test_mq_source_skips_unfinished_and_rejects(spark, tmp):
-    import os
+def test_unfinished_appends_stay_hidden(spark, tmp, monkeypatch):
+    """A crash before the rename: neither batch nor stream sees the rows."""
+    import queuelake.sources.fs as fs
+    from queuelake.sources.queue_log import read_queue_stream
+    from queuelake.streaming.drain import drain
 
-    register(spark)
     write_queue(_msgs(spark, 3), tmp, "QM", "Q", producer="a", seq=1)
-    os.makedirs(seq_dir(tmp, "QM", "Q", "a", 2))  # started, never finished
-    write_queue(_msgs(spark, 3, 10), tmp, "QM", "Q", producer="a", seq=3)  # after the gap: held back
-    r = spark.read.format("mq").option("path", tmp).option("queueManager", "QM").option("queue", "Q")
-    assert r.load().count() == 3
-    with pytest.raises(Exception):
-        r.option("split", "item").load().count()
+    with monkeypatch.context() as m:
+        m.setattr(fs, "_write_text", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            write_once(_msgs(spark, 5, 10), seq_dir(tmp, "QM", "Q", "a", 2), owner="x")
+    assert read_queue(spark, tmp, "QM", "Q").count() == 3
+    drain(read_queue_stream(spark, tmp, "QM", "Q").select("msg_id"), f"{tmp}/sink", f"{tmp}/ckpt")
+    assert spark.read.parquet(f"{tmp}/sink").count() == 3
+    write_queue(_msgs(spark, 5, 10), tmp, "QM", "Q", producer="a", seq=2)  # the retry
+    drain(read_queue_stream(spark, tmp, "QM", "Q").select("msg_id"), f"{tmp}/sink", f"{tmp}/ckpt")
+    assert read_queue(spark, tmp, "QM", "Q").count() == spark.read.parquet(f"{tmp}/sink").count() == 8
+
+
+def test_unreachable_file_system_raises(spark):
     with pytest.raises(Exception):
-        spark.read.format("mq").schema("x int").option("path", tmp).option("queueManager", "QM").option(
-            "queue", "Q"
-        ).load().count()
+        read_queue(spark, "nosuchscheme://host/logs", "QM", "Q")
 
 
-def test_mq_source_consume_removes_committed_appends(spark, tmp):
-    import os
-
-    from queuelake.streaming.drain import drain
+def test_owner_of_a_target(spark, tmp):
+    from queuelake.sources.fs import OwnershipError
 
-    register(spark)
-    log, sink, ckpt, arch = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt", f"{tmp}/consumed"
-    reader = (
-        spark.readStream.format("mq")
-        .option("path", log)
-        .option("queueManager", "QM")
-        .option("queue", "Q")
-        .option("consume", "archive")
-        .option("consumedArchive", arch)
-    )
-    write_queue(_msgs(spark, 3), log, "QM", "Q", producer="a", seq=1)
-    drain(reader.load(), sink, ckpt)
-    write_queue(_msgs(spark, 2, 10), log, "QM", "Q", producer="a", seq=2)
-    drain(reader.load(), sink, ckpt)
-    write_queue(_msgs(spark, 1, 20), log, "QM", "Q", producer="a", seq=3)
-    drain(reader.load(), sink, ckpt)
-    assert spark.read.parquet(sink).count() == 6  # every message once
-    left = sorted(os.listdir(f"{log}/QM/Q/producer=a"))
-    assert "seq=00000000000000000001" not in left  # committed appends left the queue
-    assert os.path.isdir(f"{arch}/producer=a/seq=00000000000000000001")
-    drain(reader.load(), sink, ckpt)
-    assert spark.read.parquet(sink).count() == 6  # nothing read twice after they moved
-
-
-def test_mq_source_num_partitions(spark, tmp):
-    register(spark)
-    write_queue(_msgs(spark, 40).repartition(6), tmp, "QM", "Q", producer="a", seq=1)
-    r = spark.read.format("mq").option("path", tmp).option("queueManager", "QM").option("queue", "Q")
-    one_per_file = r.load()
-    two = r.option("numPartitions", "2").load()
-    assert two.rdd.getNumPartitions() == 2
-    assert sorted(bytes(x.value) for x in two.collect()) == sorted(bytes(x.value) for x in one_per_file.collect())
+    assert write_once(_msgs(spark, 3), f"{tmp}/t", owner="one")
+    assert not write_once(_msgs(spark, 3), f"{tmp}/t", owner="one")
+    with pytest.raises(OwnershipError):
+        write_once(_msgs(spark, 3), f"{tmp}/t", owner="two")

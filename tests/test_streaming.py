@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from queuelake.functions.message import message_value
 from queuelake.operators.splitters import split_xml
 from queuelake.schema import DEAD_LETTER_LOG_SCHEMA
-from queuelake.sources.mq_source import register
 from queuelake.sources.queue_log import read_queue, read_queue_stream, write_queue
 from queuelake.streaming.drain import drain, read_mq, run_foreach_batch
 from queuelake.streaming.segments import assemble_segments_stream
@@ -73,12 +72,11 @@ def test_batch_writer_failure_replay_no_loss_no_dup(spark, tmp):
         assert arch.count() == 30 and arch.select("archive_name").distinct().count() == 30
 
 
-def test_mq_source_stream_restart(spark, tmp):
-    register(spark)
+def test_read_mq_restart_and_rejected_options(spark, tmp):
     log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
     write_queue(_xml_msgs(spark, 0, 10), log, "QM", "Q", "p", 1)
-    df = read_mq(spark, source="mq", path=log, queue="Q", queueManager="QM", split="i")
-    out = df.select(F.col("value").cast("string").alias("v"))
+    opts = {"path": log, "queue": "Q", "queueManager": "QM", "split": "i"}
+    out = read_mq(spark, **opts).select(F.col("value").cast("string").alias("v"))
     drain(out, sink, ckpt)
     assert spark.read.parquet(sink).count() == 20
     drain(out, sink, ckpt)
@@ -86,6 +84,60 @@ def test_mq_source_stream_restart(spark, tmp):
     write_queue(_xml_msgs(spark, 10, 3), log, "QM", "Q", "q", 5)
     drain(out, sink, ckpt)
     assert spark.read.parquet(sink).count() == 26
+    for extra in ({"movePath": "x"}, {"backoutQueue": "b"}, {"error.queue": "e"}, {"ackQueue": "a"}):
+        with pytest.raises(ValueError):
+            read_mq(spark, **opts, **extra)
+
+
+def test_two_readers_and_two_queues_share_targets(spark, tmp):
+    """Same output and movePath: every row stays; a new checkpoint under an old
+    name fails instead of losing its batches."""
+    from queuelake.sources.fs import OwnershipError
+    from queuelake.streaming.drain import process_mq
+
+    log, out, arch = f"{tmp}/log", f"{tmp}/out", f"{tmp}/arch"
+    write_queue(_xml_msgs(spark, 0, 3), log, "QM", "A", "p", 1)
+    write_queue(_xml_msgs(spark, 10, 3), log, "QM", "B", "p", 1)
+    opts = {"path": log, "queueManager": "QM", "split": "i", "movePath": arch}
+    process_mq(spark, out, f"{tmp}/c1", "one", queue="A", **opts)
+    process_mq(spark, out, f"{tmp}/c2", "two", queue="A", **opts)
+    process_mq(spark, out, f"{tmp}/c3", "one", queue="B", **opts)
+    assert spark.read.parquet(out).count() == 2 * 9
+    got = spark.read.parquet(arch).groupBy("reader").count().collect()
+    assert {(r.reader, r["count"]) for r in got} == {("QM-A-one", 3), ("QM-A-two", 3), ("QM-B-one", 3)}
+    with pytest.raises(Exception, match="OwnershipError"):
+        process_mq(spark, out, f"{tmp}/c4", "one", queue="A", **opts)
+    assert OwnershipError
+
+
+def test_dead_letters_keep_the_message(spark, tmp):
+    from queuelake.streaming.drain import process_mq
+
+    log = f"{tmp}/log"
+    rows = [("a", 1, bytearray(b"corr"), bytearray(b"<r><i>")), ("b", 4, bytearray(b"<i>"), bytearray(b"report body")), ("c", 8, None, None)]
+    write_queue(spark.createDataFrame(rows, "msg_id string, msg_type int, correl_id binary, payload binary"), log, "QM", "Q", "p", 1)
+    process_mq(spark, f"{tmp}/out", f"{tmp}/ckpt", "r", path=log, queueManager="QM", queue="Q", split="i", movePath=f"{tmp}/arch")
+    dead = {r.msg_id: r for r in read_queue(spark, log, "QM", "Q.BACKOUT", schema=DEAD_LETTER_LOG_SCHEMA).collect()}
+    assert {k: (r.msg_type, r.correl_id, r.payload, r.error) for k, r in dead.items()} == {
+        "a": (1, b"corr", b"<r><i>", "UNCLOSED_SPLIT"),
+        "b": (4, b"<i>", b"report body", "UNCLOSED_SPLIT"),
+        "c": (8, None, None, "NULL_PAYLOAD"),
+    }
+    assert {(r.msg_type, r.correl_id) for r in spark.read.parquet(f"{tmp}/arch").collect()} == {(1, b"corr"), (4, b"<i>"), (8, None)}
+
+
+def test_sinks_refuse_failed_messages(spark, tmp):
+    from queuelake.sources.kafka import kafka_shape
+    from queuelake.streaming.drain import to_sink
+
+    log = f"{tmp}/log"
+    write_queue(_xml_msgs(spark, 0, 4, bad_every=2), log, "QM", "Q", "p", 1)
+    opts = {"path": log, "queue": "Q", "queueManager": "QM", "split": "i"}
+    with pytest.raises(Exception, match="FAILED_MESSAGE"):
+        kafka_shape(read_mq(spark, stream=False, **opts), "t").collect()
+    with pytest.raises(Exception, match="FAILED_MESSAGE"):
+        to_sink(read_mq(spark, **opts), "queue", f"{tmp}/ckpt", root=log, queue_manager="QM", queue="OUT", producer="c")
+    assert kafka_shape(read_mq(spark, stream=False, **opts).where("error is null"), "t").count() == 4
 
 
 def test_stream_segments_complete_and_pending(spark, tmp):
