@@ -8,96 +8,98 @@ shuffle; only segmented ones are grouped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 
-# Error codes of groups that can never be delivered.
+# Error codes of groups that can not be delivered.
 INCOMPLETE_GROUP = "INCOMPLETE_GROUP"
+CONFLICTING_SEGMENTS = "CONFLICTING_SEGMENTS"
 GROUP_TOO_LARGE = "GROUP_TOO_LARGE"
 
-# Fixed value: the largest message a queue manager accepts (100 MiB).
-MAX_MESSAGE_BYTES = 100 * 1024 * 1024
+# A value of one row has to fit a JVM array, twice as hexadecimal text.  Larger
+# groups come out segment by segment, as error rows.
+MAX_MESSAGE_BYTES = 512 * 1024 * 1024
 
-# Above this many oversized groups their ids are shuffle-joined, not broadcast.
-BROADCAST_GROUP_IDS = 1_000_000
 
+def concat_binary(segs, field: str = "payload"):
+    """Concatenate the binary ``field`` of an array of structs in linear time."""
+    return F.unhex(F.array_join(F.transform(segs, lambda x: F.coalesce(F.hex(x[field]), F.lit(""))), ""))
+
+
+def _hash_sum(value: Column) -> Column:
+    return F.coalesce(F.sum(F.xxhash64(value).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
 
-def _is_complete(segs):
-    """Contiguous from byte 0, exactly one last segment and it is the final one."""
-    contiguous = F.forall(
-        F.transform(
-            segs,
-            lambda x, i: F.when(i == 0, x["seg_offset"] == 0).otherwise(
-                x["seg_offset"]
-                == F.get(segs, i - 1)["seg_offset"] + F.octet_length(F.get(segs, i - 1)["payload"])
-            ),
-        ),
-        lambda ok: ok,
+
+def group_states(seg: DataFrame, max_message_bytes: int) -> DataFrame:
+    """(group_id, error): what becomes of each group, null for a message.
+
+    Decided on offsets, lengths, digests and last marks alone, by partial
+    aggregates; no payload moves and no group is collected.  Segments that were
+    delivered again count once.  A group is complete when the segments that
+    start after 0 start where the others end (compared as sums of hashes), its
+    first starts at 0, and its only last one ends last.
+    """
+    facts = F.struct(
+        F.coalesce(F.octet_length("payload"), F.lit(0)).cast("long").alias("len"),
+        F.coalesce("last_segment", F.lit(False)).alias("last"),
+        F.coalesce(F.md5("payload"), F.lit("")).alias("digest"),
+    )
+    offset = F.coalesce(F.col("seg_offset"), F.lit(-1)).cast("long")
+    one = seg.groupBy("group_id", offset.alias("at")).agg(F.min(facts).alias("a"), F.max(facts).alias("b"))
+    end = F.col("at") + F.col("a.len")
+    g = one.groupBy("group_id").agg(
+        F.max(F.col("a") != F.col("b")).alias("conflict"),
+        F.sum("a.len").alias("total"),
+        F.min("at").alias("first"),
+        F.max(end).alias("end"),
+        F.sum(F.col("a.last").cast("int")).alias("n_last"),
+        F.max(F.when(F.col("a.last"), end)).alias("last_end"),
+        F.coalesce(F.sum(F.when(F.col("at") != 0, F.xxhash64("at").cast("decimal(38,0)"))), F.lit(0)).alias("starts"),
+        _hash_sum(end).alias("ends"),
+    )
+    joined_up = F.col("starts") == F.col("ends") - F.xxhash64("end").cast("decimal(38,0)")
+    whole = (F.col("first") == 0) & (F.col("n_last") == 1) & (F.col("last_end") == F.col("end")) & (F.col("total") == F.col("end")) & joined_up
+    return g.select(
+        "group_id",
+        F.when(F.col("conflict"), CONFLICTING_SEGMENTS)
+        .when(F.col("total") > max_message_bytes, GROUP_TOO_LARGE)
+        .when(F.coalesce(whole, F.lit(False)), F.lit(None))
+        .otherwise(INCOMPLETE_GROUP)
+        .alias("error"),
     )
-    one_last = F.size(F.filter(segs, lambda x: F.coalesce(x["last_segment"], F.lit(False)))) == 1
-    ends_last = F.coalesce(F.element_at(segs, -1)["last_segment"], F.lit(False))
-    return contiguous & one_last & ends_last
 
 
-def concat_binary(segs, field: str = "payload"):
-    """Concatenate the binary ``field`` of an array of structs in linear time."""
-    return F.unhex(F.array_join(F.transform(segs, lambda x: F.hex(x[field])), ""))
-
-
-def _oversized(seg: DataFrame, max_message_bytes: int) -> DataFrame | None:
-    """Ids of groups whose segments add up to more than a message can hold
-    (None when there are none).  Their number is at most total bytes /
-    ``max_message_bytes``; one small job counts them first."""
-    sizes = seg.groupBy("group_id").agg(F.sum(F.octet_length("payload")).alias("__bytes"))
-    big = sizes.where(F.col("__bytes") > max_message_bytes).select("group_id")
-    n = big.count()
-    if n == 0:
-        return None
-    return F.broadcast(big) if n <= BROADCAST_GROUP_IDS else big
-
-
-def assemble_segments(
-    df: DataFrame, keep_incomplete: bool = False, max_message_bytes: int | None = MAX_MESSAGE_BYTES
-) -> DataFrame:
-    """Complete logical messages, one row each, in the message schema.
-
-    The grouped side is one ``groupBy(group_id)``: partial aggregation runs
-    map-side and each group holds the segments of a single message, which
-    is one message's size at most, whatever the skew across groups.
-
-    ``keep_incomplete=True`` also returns groups that are not complete, one
-    row per group with what arrived and ``error = 'INCOMPLETE_GROUP'`` (to be
-    dead-lettered); by default they are left out, like segments a queue
-    manager keeps back until the whole group is there.
-
-    A group whose segments add up to more than ``max_message_bytes`` is never
-    collected (one group id reused for a third of the queue must not land in
-    one task): with ``keep_incomplete=True`` its segments come out one row
-    each with ``error = 'GROUP_TOO_LARGE'``; by default they are left out with
-    the other undeliverable groups.
+def assemble_segments(df: DataFrame, max_message_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
+    """Logical messages in the message schema, with ``error``.
+
+    Nothing is left out: a complete group is one row with a null error; a group
+    that is not complete is one row with what arrived and ``INCOMPLETE_GROUP``;
+    a group with different bytes at one offset (``CONFLICTING_SEGMENTS``), or
+    more bytes than a row can hold (``GROUP_TOO_LARGE``), comes out segment by
+    segment and is never collected.  Segments delivered again are taken once,
+    whatever their other columns (those of the least put time and id are kept).
+
+    One shuffle of small facts decides; one shuffle of the payloads by
+    ``group_id`` assembles, and holds one message at a time.
     """
     other = [c for c in df.columns if c not in MESSAGE_COLUMNS]
     df = df.select(
         *[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields],
         *other,
     )
-    plain = df.where(F.col("group_id").isNull())
+    no_error = F.lit(None).cast("string").alias("error")
+    plain = df.where(F.col("group_id").isNull()).select(*MESSAGE_COLUMNS, *other, no_error)
     seg = df.where(F.col("group_id").isNotNull())
-    too_large = None
-    big = _oversized(seg, max_message_bytes) if max_message_bytes else None
-    if big is not None:
-        too_large = seg.join(big, "group_id", "left_semi").select(
-            *MESSAGE_COLUMNS, *other, F.lit(GROUP_TOO_LARGE).alias("error")
-        )
-        seg = seg.join(big, "group_id", "left_anti")
-    fields = ["seg_offset", "last_segment", "payload", "msg_id", "msg_type", "correl_id", "put_ts"] + other
-    grouped = seg.groupBy("group_id").agg(
-        F.array_distinct(F.array_sort(F.collect_list(F.struct(*fields)))).alias("__segs")
-    )
-    segs = F.col("__segs")
-    first = F.get(segs, 0)
+    seg = seg.join(group_states(seg, max_message_bytes), "group_id")
+    apart = F.coalesce(F.col("error").isin(CONFLICTING_SEGMENTS, GROUP_TOO_LARGE), F.lit(False))
+    alone = seg.where(apart).select(*MESSAGE_COLUMNS, *other, "error")
+    fields = ["put_ts", "msg_id", "msg_type", "correl_id", "last_segment", "payload", *other]
+    once = seg.where(~apart).groupBy("group_id", "error", "seg_offset").agg(F.min(F.struct(*fields)).alias("s"))
+    grouped = once.groupBy("group_id", "error").agg(F.array_sort(F.collect_list(F.struct("seg_offset", "s"))).alias("segs"))
+    segs = F.transform("segs", lambda x: x["s"])
+    first = F.get(F.col("segs"), 0)["s"]
     out = grouped.select(
         first["msg_id"].alias("msg_id"),
         first["msg_type"].alias("msg_type"),
@@ -108,13 +110,6 @@ def assemble_segments(
         first["put_ts"].alias("put_ts"),
         concat_binary(segs).alias("payload"),
         *[first[c].alias(c) for c in other],
-        F.when(_is_complete(segs), F.lit(None).cast("string"))
-        .otherwise(F.lit(INCOMPLETE_GROUP))
-        .alias("error"),
+        F.col("error"),
     )
-    if not keep_incomplete:
-        out = out.where(F.col("error").isNull()).drop("error")
-        return plain.select(*MESSAGE_COLUMNS, *other).unionByName(out)
-    plain = plain.select(*MESSAGE_COLUMNS, *other, F.lit(None).cast("string").alias("error"))
-    out = plain.unionByName(out)
-    return out if too_large is None else out.unionByName(too_large)
+    return plain.unionByName(out).unionByName(alone)

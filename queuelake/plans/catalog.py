@@ -196,8 +196,8 @@ def q_custom_splitter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_assemble_segments(spark: SparkSession, d: str) -> DataFrame:
-    msgs = assemble_segments(fx.segmented_document_messages(spark, d))
-    return msgs.select(F.col("group_id").cast("bigint").alias("doc_id"), _str("payload").alias("text"))
+    msgs = assemble_segments(fx.segmented_document_messages(spark, d).drop("doc_id"))
+    return msgs.select(F.col("group_id").cast("bigint").alias("doc_id"), _str("payload").alias("text"), "error")
 
 
 def q_report_correlation_value(spark: SparkSession, d: str) -> DataFrame:
@@ -396,9 +396,15 @@ def q_stream_assemble_segments(spark: SparkSession, d: str) -> DataFrame:
     stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append)).drop(
         "producer", "seq"
     )
-    out = assemble_segments_stream(stream).where(F.col("error").isNull())
-    drain(out.select(F.col("group_id").cast("bigint").alias("doc_id"), _str("payload").alias("text")), sink, ckpt)
-    return spark.read.parquet(sink)
+    # no delay: what the two batches have not completed is given up as soon as
+    # anything else arrives, here one message of another group
+    out = assemble_segments_stream(stream, delay="0 seconds")
+    out = out.select(F.col("group_id").try_cast("bigint").alias("doc_id"), _str("payload").alias("text"), "error")
+    drain(out, sink, ckpt)
+    later = segs.limit(1).select(F.lit("later").alias("msg_id"), F.lit("later").alias("group_id"), F.lit(0).alias("seg_offset"), F.lit(True).alias("last_segment"), "payload")
+    write_queue(later, log, QMGR, QUEUE, "docs", 2)
+    drain(out, sink, ckpt)
+    return spark.read.parquet(sink).where("doc_id is not null")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

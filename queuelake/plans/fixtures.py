@@ -205,7 +205,8 @@ def segmented_document_messages(spark: SparkSession, sf_dir: str, drop_last_mod:
 
     ``seg_offset`` is the byte offset of the segment in the UTF-8 text,
     ``last_segment`` marks the final one.  Where ``doc_id % drop_last_mod = 0``
-    the final segment is withheld, so those groups never complete.
+    the final segment is withheld (of a document of one segment its mark), so
+    those groups never complete.
     """
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = F.ceil(F.char_length("text") / F.lit(SEGMENT_CHARS)).cast("int")
@@ -224,13 +225,14 @@ def segmented_document_messages(spark: SparkSession, sf_dir: str, drop_last_mod:
         F.col("i").isNotNull()
     )
     last = F.col("i") == F.col("n") - 1
-    withheld = last & (F.pmod(F.col("doc_id"), F.lit(drop_last_mod)) == 0)
+    broken = F.pmod(F.col("doc_id"), F.lit(drop_last_mod)) == 0
+    withheld = last & broken & (F.col("n") > 1)
     return ex.where(~withheld).select(
         F.concat_ws("-", _s("doc_id"), _s("i")).alias("msg_id"),
         F.lit(MQMT_DATAGRAM).alias("msg_type"),
         _s("doc_id").alias("group_id"),
         F.get(F.col("offs"), F.col("i")).alias("seg_offset"),
-        last.alias("last_segment"),
+        (last & ~broken).alias("last_segment"),
         F.col("seg").cast("binary").alias("payload"),
         "doc_id",
     )

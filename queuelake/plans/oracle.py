@@ -29,6 +29,12 @@ _PLAIN = "concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)"
 
 _LATIN1 = r"regexp_replace(text, '[^\x{00}-\x{FF}]', '?', 'g')"
 
+_SEGMENTED = """
+SELECT doc_id, CASE WHEN doc_id % 10 = 0 AND length(text) > 1024
+                    THEN left(text, CAST(1024 * (ceil(length(text) / 1024.0) - 1) AS BIGINT)) ELSE text END AS text,
+       CASE WHEN doc_id % 10 = 0 THEN 'INCOMPLETE_GROUP' END AS error
+FROM documents WHERE length(text) > 0"""
+
 ORACLE: dict[str, str] = {
     "xml_revenue_by_status": """
 SELECT o_orderstatus, count(*) AS n_items,
@@ -73,8 +79,7 @@ UNION ALL SELECT 'FIXED_WIDTH' AS fmt, l_orderkey AS o_orderkey, l_linenumber, l
     "custom_splitter": """
 SELECT p_partkey, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS value
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""",
-    "assemble_segments": """
-SELECT doc_id, text FROM documents WHERE doc_id % 10 <> 0 AND length(text) > 0""",
+    "assemble_segments": _SEGMENTED,
     "report_correlation_value": f"""
 SELECT o_orderkey,
        CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderkey AS VARCHAR) ELSE {_PLAIN} END AS value
@@ -109,6 +114,5 @@ FROM orders""",
     "stream_drain_available_now": f"SELECT o_orderkey, {_PLAIN} AS value FROM orders",
     "stream_mq_source": _HEADER_ITEMS,
     "stream_batch_writer": _HEADER_ITEMS,
-    "stream_assemble_segments": """
-SELECT doc_id, text FROM documents WHERE doc_id % 10 <> 0 AND length(text) > 0""",
+    "stream_assemble_segments": _SEGMENTED,
 }

@@ -1,13 +1,12 @@
 """Stateful reassembly of segmented messages on a stream.
 
 Per ``group_id`` the segments seen so far are kept in state.  A group is
-emitted as one message as soon as it is complete.  Timeouts run on event
-time (the put time): once the watermark passes a group's latest put time
-plus ``delay``, the group is emitted with ``error = 'INCOMPLETE_GROUP'`` and
-whatever arrived, so it can be dead-lettered instead of waiting forever.
-Event time (not processing time) keeps ``availableNow`` runs finite: Spark
-only plans an extra batch when the watermark has moved past a timeout.
-Unsegmented messages pass straight through.
+emitted as one message as soon as it is complete.  Timeouts run on the time of
+arrival (the timestamp of the micro-batch, which Spark logs, so a replay sees
+the same one): a row can not be late, whatever its put time.  Once a group has
+had no new segment for ``delay`` and later segments have arrived, it is emitted
+with an error and whatever arrived, so it can be dead-lettered instead of
+waiting forever.  Unsegmented messages pass straight through.
 """
 
 from __future__ import annotations
@@ -17,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators.segments import GROUP_TOO_LARGE, INCOMPLETE_GROUP, MAX_MESSAGE_BYTES
+from ..operators.segments import CONFLICTING_SEGMENTS, GROUP_TOO_LARGE, INCOMPLETE_GROUP, MAX_MESSAGE_BYTES
 from ..schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 
+
 def _interval_ms(text: str) -> int:
     n, unit = text.strip().split(None, 1)
     unit = unit.lower().rstrip("s")
@@ -39,114 +39,93 @@ _STATE = T.StructType(
         T.StructField("correl_id", T.BinaryType()),
         T.StructField("put_ts", T.TimestampNTZType()),
         T.StructField("latest_ms", T.LongType()),
+        T.StructField("conflict", T.BooleanType()),
     ]
 )
+_COLUMNS = [f.name for f in _OUT.fields]
+
+
+def _is_complete(segs: dict[int, tuple[bool, bytes]]) -> bool:
+    expect, order = 0, sorted(segs)
+    for i, o in enumerate(order):
+        if o != expect or segs[o][0] != (i == len(order) - 1):
+            return False
+        expect = o + len(segs[o][1])
+    return bool(order)
 
 
-def _make_fn(delay_ms: int, max_message_bytes: int | None):
+def _make_fn(delay_ms: int, max_message_bytes: int):
     def fn(key, pdfs, state):
         import pandas as pd
 
         (group_id,) = key
         if state.hasTimedOut:
-            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts, _ = state.get
+            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts, _, conflict = state.get
             state.remove()
-            yield pd.DataFrame(
-                [[msg_id, msg_type, correl_id, group_id, None, None, put_ts, b"".join(payloads), INCOMPLETE_GROUP]],
-                columns=[f.name for f in _OUT.fields],
-            )
+            code = CONFLICTING_SEGMENTS if conflict else INCOMPLETE_GROUP
+            whole = b"".join(bytes(p) for _, p in sorted(zip(offsets, payloads)))
+            yield pd.DataFrame([[msg_id, msg_type, correl_id, group_id, None, None, put_ts, whole, code]], columns=_COLUMNS)
             return
         segs: dict[int, tuple[bool, bytes]] = {}
-        head = None
-        latest = None
+        head, latest, conflict = None, 0, False
         if state.exists:
-            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts, latest = state.get
-            for o, l, p in zip(offsets, lasts, payloads):
-                segs[int(o)] = (bool(l), bytes(p))
-            head = (msg_id, msg_type, correl_id, put_ts)
+            offsets, lasts, payloads, *head, latest, conflict = state.get
+            segs = {int(o): (bool(l), bytes(p)) for o, l, p in zip(offsets, lasts, payloads)}
+        apart = []
         for pdf in pdfs:
-            ms = pdf["__event_ms"].dropna()
-            if len(ms):
-                latest = max(int(ms.max()), latest if latest is not None else int(ms.max()))
-            for r in pdf.itertuples(index=False):
-                off = int(r.seg_offset)
-                segs[off] = (bool(r.last_segment), bytes(r.payload))
-                if off == 0 or head is None:
-                    ts = None if pd.isna(r.put_ts) else pd.Timestamp(r.put_ts).to_pydatetime()
-                    head = (r.msg_id, None if pd.isna(r.msg_type) else int(r.msg_type), r.correl_id, ts)
+            latest = max(latest, int(pdf["__arrival_ms"].max()))
+            columns = [pdf[c].tolist() for c in ("seg_offset", "last_segment", "payload", "msg_id", "msg_type", "correl_id", "put_ts")]
+            for off, last, payload, msg_id, msg_type, correl_id, put_ts in zip(*columns):
+                off = -1 if pd.isna(off) else int(off)
+                kind = None if pd.isna(msg_type) else int(msg_type)
+                ts = None if pd.isna(put_ts) else pd.Timestamp(put_ts).to_pydatetime()
+                last = last is not None and not pd.isna(last) and bool(last)
+                new = (last, b"" if payload is None else bytes(payload))
+                if segs.setdefault(off, new) != new:  # kept as it came, and the group is told
+                    conflict = True
+                    apart.append([msg_id, kind, correl_id, group_id, off, last, ts, new[1], CONFLICTING_SEGMENTS])
+                if head is None or off == 0 and segs[off] is new:
+                    head = [msg_id, kind, correl_id, ts]
         order = sorted(segs)
-        if max_message_bytes and sum(len(segs[o][1]) for o in order) > max_message_bytes:
-            # a group larger than any message: hand its segments out one by
-            # one as dead letters instead of holding them in state
+        whole = None
+        if sum(len(segs[o][1]) for o in order) > max_message_bytes:
+            # more than a row can hold: segment by segment, nothing kept back
             state.remove()
-            msg_id, msg_type, correl_id, put_ts = head
-            yield pd.DataFrame(
-                [
-                    [msg_id, msg_type, correl_id, group_id, o, segs[o][0], put_ts, segs[o][1], GROUP_TOO_LARGE]
-                    for o in order
-                ],
-                columns=[f.name for f in _OUT.fields],
-            )
-            return
-        expect, complete = 0, True
-        for i, o in enumerate(order):
-            if o != expect or (segs[o][0] and i != len(order) - 1):
-                complete = False
-                break
-            expect = o + len(segs[o][1])
-        complete = complete and bool(order) and segs[order[-1]][0]
-        if complete:
+            apart += [[head[0], head[1], head[2], group_id, o, segs[o][0], head[3], segs[o][1], GROUP_TOO_LARGE] for o in order]
+        elif not conflict and _is_complete(segs):
             state.remove()
-            msg_id, msg_type, correl_id, put_ts = head
-            yield pd.DataFrame(
-                [[msg_id, msg_type, correl_id, group_id, None, None, put_ts, b"".join(segs[o][1] for o in order), None]],
-                columns=[f.name for f in _OUT.fields],
-            )
-            return
-        state.update(
-            (
-                order,
-                [segs[o][0] for o in order],
-                [segs[o][1] for o in order],
-                *head,
-                latest,
-            )
-        )
-        watermark = int(state.getCurrentWatermarkMs())
-        base = latest if latest is not None else watermark
-        state.setTimeoutTimestamp(max(base + delay_ms, watermark + 1))
-        if False:
-            yield
+            whole = [*head[:3], group_id, None, None, head[3], b"".join(segs[o][1] for o in order), None]
+        else:
+            state.update((order, [segs[o][0] for o in order], [segs[o][1] for o in order], *head, latest, conflict))
+            state.setTimeoutTimestamp(max(latest + delay_ms, int(state.getCurrentWatermarkMs()) + 1))
+        rows = apart + ([whole] if whole else [])
+        if rows:
+            yield pd.DataFrame(rows, columns=_COLUMNS)
 
     return fn
 
 
-def assemble_segments_stream(
-    df: DataFrame, delay: str = "10 minutes", max_message_bytes: int | None = MAX_MESSAGE_BYTES
-) -> DataFrame:
+def assemble_segments_stream(df: DataFrame, delay: str = "10 minutes", max_message_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
     """Reassemble segmented messages of a stream (see module doc).
 
-    ``delay`` is the watermark delay on ``put_ts``; a group that has not
-    completed once the watermark moved ``delay`` past its last update times
-    out.  A group holding more than ``max_message_bytes`` is released at once,
-    segment by segment, with ``error = 'GROUP_TOO_LARGE'``: state per key
-    stays bounded even if one group id floods the queue.
+    A group that has had no segment for ``delay`` of arrival time comes out as
+    ``INCOMPLETE_GROUP``; segments that arrive for it later make a new group,
+    which comes out as an error row of its own.  A segment delivered again is
+    taken once; other bytes at the same offset come out as
+    ``CONFLICTING_SEGMENTS`` and the group does too, after ``delay``.  A group
+    of more bytes than a row can hold is released segment by segment.  The
+    state of a group is rewritten when segments arrive for it.
     """
     from ..session import ship_package
 
     ship_package(df.sparkSession)
-    delay_ms = _interval_ms(delay)
     df = df.select(
         *[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
     )
     plain = df.where(F.col("group_id").isNull()).select(*MESSAGE_COLUMNS, F.lit(None).cast("string").alias("error"))
     seg = df.where(F.col("group_id").isNotNull()).select(*MESSAGE_COLUMNS)
-    seg = (
-        seg.withColumn("__event_ts", F.col("put_ts").cast("timestamp"))
-        .withColumn("__event_ms", F.unix_millis("__event_ts"))
-        .withWatermark("__event_ts", delay)
-    )
+    seg = seg.withColumn("__arrival", F.current_timestamp()).withColumn("__arrival_ms", F.unix_millis("__arrival")).withWatermark("__arrival", "0 seconds")
     out = seg.groupBy("group_id").applyInPandasWithState(
-        _make_fn(delay_ms, max_message_bytes), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+        _make_fn(_interval_ms(delay), max_message_bytes), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return plain.unionByName(out)

@@ -221,17 +221,56 @@ def test_stream_equals_batch_for_every_splitter(spark, tmp, fmt, opts, payloads)
     assert sorted(map(key, batch.collect())) == sorted(map(key, spark.read.parquet(sink).collect()))
 
 
+SEGMENTS = "msg_id string, group_id string, seg_offset int, last_segment boolean, payload binary, put_ts timestamp_ntz"
+
+
 def test_stream_segments_oversized_group_released(spark, tmp):
-    rows = [("h%d" % i, "HOT", i * 2, False, b"xx") for i in range(40)]
-    df = spark.createDataFrame(rows, "msg_id string, group_id string, seg_offset int, last_segment boolean, payload binary")
+    rows = [("h%d" % i, "HOT", i * 2, False, b"xx", None) for i in range(40)]
     log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
-    write_queue(df, log, "QM", "Q", "p", 1)
+    write_queue(spark.createDataFrame(rows, SEGMENTS), log, "QM", "Q", "p", 1)
     stream = read_queue_stream(spark, log, "QM", "Q").drop("producer", "seq")
-    drain(assemble_segments_stream(stream, max_message_bytes=50).select("group_id", "seg_offset", "error"), sink, ckpt)
+    drain(assemble_segments_stream(stream, max_message_bytes=50).select("group_id", "seg_offset", "payload", "error"), sink, ckpt)
     got = spark.read.parquet(sink).collect()
     assert len(got) == 40 and {r.error for r in got} == {"GROUP_TOO_LARGE"}
 
 
+def test_stream_segments_late_redelivered_and_conflicting(spark, tmp):
+    """Put times hours apart, segments again and out of order: every group comes
+    out, and as the batch operator has it."""
+    import datetime as dt
+
+    from queuelake.operators.segments import assemble_segments
+
+    day = dt.datetime(2024, 5, 1)
+    first = [("n", "NEW", 0, True, b"new", day), ("l0", "LATE", 0, False, b"la", day), ("o1", "ORDER", 2, True, b"er", day), ("x0", "CONF", 0, False, b"aa", day)]
+    second = [
+        ("l1", "LATE", 2, True, b"te", day - dt.timedelta(hours=9)),
+        ("old", "OLD", 0, True, b"old", day - dt.timedelta(days=3)),
+        ("o0", "ORDER", 0, False, b"or", day - dt.timedelta(days=1)),
+        ("x0", "CONF", 0, False, b"bb", day),
+        ("i0", "INC", 0, False, b"in", None),
+        ("i0 again", "INC", 0, False, b"in", day),
+    ]
+    log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
+    stream = lambda: assemble_segments_stream(read_queue_stream(spark, log, "QM", "Q").drop("producer", "seq"), delay="0 seconds").select("group_id", "payload", "error")
+    for seq, rows in enumerate((first, second, [("z", "Z", 0, True, b"z", day)])):
+        write_queue(spark.createDataFrame(rows, SEGMENTS), log, "QM", "Q", "p", seq)
+        if seq:
+            drain(stream(), sink, ckpt)
+    got = sorted((r.group_id, bytes(r.payload), r.error) for r in spark.read.parquet(sink).collect() if r.group_id != "Z")
+    assert got == [
+        ("CONF", b"aa", "CONFLICTING_SEGMENTS"),
+        ("CONF", b"bb", "CONFLICTING_SEGMENTS"),
+        ("INC", b"in", "INCOMPLETE_GROUP"),
+        ("LATE", b"late", None),
+        ("NEW", b"new", None),
+        ("OLD", b"old", None),
+        ("ORDER", b"orer", None),
+    ]
+    batch = assemble_segments(spark.createDataFrame(first + second, SEGMENTS)).collect()
+    assert sorted((r.group_id, bytes(r.payload), r.error) for r in batch) == got
+
+
 def test_batch_writer_error_queue_with_ack(spark, tmp):
     log, out, ckpt = f"{tmp}/log", f"{tmp}/out", f"{tmp}/ckpt"
     write_queue(_xml_msgs(spark, 0, 10, bad_every=4), log, "QM", "Q", "p", 1)
