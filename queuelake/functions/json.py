@@ -10,39 +10,69 @@ BAD_JSON = "BAD_JSON"
 NOT_OBJECT = "NOT_OBJECT"
 SPLIT_KEY_NOT_FIRST = "SPLIT_KEY_NOT_FIRST"
 NOT_ARRAY = "NOT_ARRAY"
+TRAILING_DATA = "TRAILING_DATA"
+DUPLICATE_KEY = "DUPLICATE_KEY"
+NUMBER_PRECISION = "NUMBER_PRECISION"
+
+# A number of so many characters, or with a three-digit exponent, may not come
+# out of a double as it went in.
+_LONG_NUMBER = "[0-9][0-9.]{15,}|[0-9][eE][+-]?[0-9]{3,}"
+# What a decimal of 38 digits does not hold either.
+_LOST_NUMBER = "(?:[0-9]\\.?){39,}|[0-9][0-9.]{15,}[eE]|[0-9][eE][+-]?[0-9]{3,}"
+_STRING = "\"[^\"\\\\]*+(?:\\\\.[^\"\\\\]*+)*+\""
 
 
 def _field(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def is_single_value(text: Column) -> Column:
+    """Whether a text that begins with a JSON value holds nothing else: as the
+    only element of an array and as the only member of an object (either alone
+    would take a text that closes the bracket itself)."""
+    in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.json_object_keys(F.concat(F.lit('{"k":'), text, F.lit("}")))
+    return F.coalesce((in_array == 1) & (F.size(in_object) == 1), F.lit(False))
+
+
+def has_long_number(text: Column) -> Column:
+    """A cheap test that may also see long digits inside a string."""
+    return text.rlike(_LONG_NUMBER)
+
+
+def loses_number(text: Column) -> Column:
+    """Whether a number (outside of strings) can not be kept exactly."""
+    return has_long_number(text) & F.regexp_replace(text, _STRING, '""').rlike(_LOST_NUMBER)
+
+
 def minified(text: Column) -> Column:
-    """Minified text of the first JSON value of ``text`` (nulls and key order kept).
+    """Minified text of a JSON value (nulls kept).
 
+    Key order is kept, but for values with numbers beyond a double's digits,
+    which go through Spark's variant type: exact up to 38 digits, keys sorted.
     A top-level string keeps its quotes.  Invalid JSON gives null.
     """
     t = F.trim(text)
-    return F.when(t.startswith('"'), F.to_json(F.try_parse_json(t))).otherwise(F.get_json_object(t, "$"))
-
+    exact = t.startswith('"') | has_long_number(t)
+    return F.when(exact, F.to_json(F.try_parse_json(t))).otherwise(F.get_json_object(t, "$"))
 
-def array_elements(text: Column, key: str) -> tuple[Column, Column]:
-    """(elements, keys) for ``{"<key>": [..], ...}``.
 
-    ``elements`` is array<string>, each element's minified JSON text; scalar
-    strings keep their quotes and JSON nulls come out as ``null``.
+def array_elements(text: Column, key: str) -> Column:
+    """array<string> for ``{"<key>": [..], ...}``: each element's minified JSON
+    text; scalar strings keep their quotes and JSON nulls come out as ``null``.
     """
     f = _field(key)
     strs = F.from_json(text, f"struct<{f}: array<string>>").getField(key)
-    # array<string> drops the quotes of string elements and turns null into
-    # NULL; only then is the variant view needed to put the JSON form back.
+    # array<string> drops the quotes of string elements, turns null into NULL
+    # and rounds long numbers; only then is the variant view needed.
+    long_number = has_long_number(text)
     needs_fix = F.exists(strs, lambda x: x.isNull() | ~(x.startswith("{") | x.startswith("[")))
     variants = F.from_json(text, f"struct<{f}: array<variant>>").getField(key)
     fixed = F.zip_with(
         strs,
         variants,
-        lambda s, v: F.when(F.schema_of_variant(v) == "STRING", F.to_json(v))
-        .when(s.isNull(), F.lit("null"))
+        lambda s, v: F.when(s.isNull(), F.lit("null"))
+        .when(long_number | (F.schema_of_variant(v) == "STRING"), F.to_json(v))
         .otherwise(s),
     )
-    elements = F.when(needs_fix, fixed).otherwise(strs)
-    return elements, F.json_object_keys(text)
+    return F.when(long_number | needs_fix, fixed).otherwise(strs)

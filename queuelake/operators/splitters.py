@@ -93,30 +93,43 @@ def split_lines(df: DataFrame, payload: str = "payload", encoding: str = "UTF-8"
     )
 
 
-def split_json(df: DataFrame, split: str | None = None, payload: str = "payload") -> DataFrame:
+def split_json(df: DataFrame, split: str | None = None, payload: str = "payload", encoding: str = "UTF-8") -> DataFrame:
     """``JSON``: the whole document as one minified record, or with ``split``
     one record per element of the array under key ``split``, which must be the
     object's first key.  Scalar elements keep their JSON form (``"1"``, ``1``,
-    ``null``)."""
-    staged = df.withColumn("__ql_text", decode_payload(F.col(payload)))
+    ``null``).  Numbers keep their value up to 38 digits.
+
+    Errors (whole message): ``BAD_JSON``; ``TRAILING_DATA`` when more follows
+    the first value; ``NUMBER_PRECISION`` when a number can not be kept;
+    with ``split`` also ``NOT_OBJECT``, ``SPLIT_KEY_NOT_FIRST``,
+    ``DUPLICATE_KEY`` and ``NOT_ARRAY``."""
+    staged = df.withColumn("__ql_text", decode_payload(F.col(payload), encoding))
     t = F.col("__ql_text")
     blank = F.trim(t) == ""
     if not split:
         staged = staged.withColumn("__ql_min", F.when(~blank, jx.minified(t)))
         rec = F.col("__ql_min")
         records = F.when(blank, F.array().cast("array<string>")).otherwise(F.array(rec))
-        error = F.when(~blank & rec.isNull(), F.lit(jx.BAD_JSON))
+        error = (
+            F.when(blank, F.lit(None))
+            .when(rec.isNull() & ~jx.has_long_number(t), F.lit(jx.BAD_JSON))
+            .when(rec.isNull(), F.when(F.get_json_object(t, "$").isNull(), jx.BAD_JSON).otherwise(jx.NUMBER_PRECISION))
+            .when(~jx.is_single_value(t), F.lit(jx.TRAILING_DATA))
+            .when(jx.loses_number(t), F.lit(jx.NUMBER_PRECISION))
+        )
         return _emit(staged, records, error, payload)
     # project the two parses once, then build records/error from them
     staged = staged.withColumn("__ql_keys", F.json_object_keys(t))
-    elements, _ = jx.array_elements(t, split)
-    staged = staged.withColumn("__ql_elems", F.when(F.col("__ql_keys").isNotNull(), elements))
+    staged = staged.withColumn("__ql_elems", F.when(F.col("__ql_keys").isNotNull(), jx.array_elements(t, split)))
     keys, elems = F.col("__ql_keys"), F.col("__ql_elems")
     error = (
         F.when(blank, F.lit(None))
         .when(keys.isNull() & F.get_json_object(t, "$").isNull(), F.lit(jx.BAD_JSON))
+        .when(~jx.is_single_value(t), F.lit(jx.TRAILING_DATA))
         .when(keys.isNull(), F.lit(jx.NOT_OBJECT))
         .when((F.size(keys) == 0) | (F.get(keys, 0) != F.lit(split)), F.lit(jx.SPLIT_KEY_NOT_FIRST))
+        .when(F.size(F.filter(keys, lambda k: k == split)) > 1, F.lit(jx.DUPLICATE_KEY))
+        .when(jx.loses_number(t), F.lit(jx.NUMBER_PRECISION))
         .when(elems.isNull(), F.lit(jx.NOT_ARRAY))
     )
     records = F.when(blank, F.array().cast("array<string>")).otherwise(elems)
@@ -129,6 +142,7 @@ def split_xml(
     headers: Sequence[str] | str | None = None,
     layout: str = "lines",
     payload: str = "payload",
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """``XML``: one record per element named ``split``.
 
@@ -143,6 +157,8 @@ def split_xml(
     element of the same name, ``UNCLOSED_SPLIT`` when a start tag has no end
     tag, ``UNMATCHED_END`` when an end tag has no start tag,
     ``HEADER_MISSING`` when a header block is absent.
+
+    ``encoding`` is the payload's charset; records are UTF-8.
     """
     if layout not in ("lines", "raw"):
         raise ValueError("layout must be 'lines' or 'raw'")
@@ -152,7 +168,7 @@ def split_xml(
     if len(set(headers)) != len(headers):
         raise ValueError(f"duplicate header block names in {headers}")
     lines = layout == "lines"
-    text = decode_payload(F.col(payload))
+    text = decode_payload(F.col(payload), encoding)
     if lines:
         text = xx.normalize_newlines(text)
     staged = df.withColumn("__ql_text", text)
@@ -262,12 +278,12 @@ def split_records(df: DataFrame, fileFormat: str = XML_FORMAT, payload: str = "p
     return get_splitter(fileFormat)(df, payload=payload, **options)
 
 
-def _xml(df: DataFrame, payload: str = "payload", split=None, headers=None, layout="lines", **_):
-    return split_xml(df, split=split, headers=headers, layout=layout, payload=payload)
+def _xml(df: DataFrame, payload: str = "payload", split=None, headers=None, layout="lines", encoding="UTF-8", **_):
+    return split_xml(df, split=split, headers=headers, layout=layout, payload=payload, encoding=encoding)
 
 
-def _json(df: DataFrame, payload: str = "payload", split=None, **_):
-    return split_json(df, split=split, payload=payload)
+def _json(df: DataFrame, payload: str = "payload", split=None, encoding="UTF-8", **_):
+    return split_json(df, split=split, payload=payload, encoding=encoding)
 
 
 def _lines(df: DataFrame, payload: str = "payload", encoding="UTF-8", **_):

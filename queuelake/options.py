@@ -125,7 +125,7 @@ class QueueOptions:
             out["split"] = self.split
         if self.headers:
             out["headers"] = list(self.headers)
-        if self.file_format == FIXED_WIDTH_FORMAT:
+        if self.file_format == FIXED_WIDTH_FORMAT or self.encoding != "UTF-8":
             out["encoding"] = self.encoding
         return out
 

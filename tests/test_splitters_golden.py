@@ -108,6 +108,14 @@ def test_json_split_and_scalars(spark):
         ("[1]", "NOT_OBJECT"),
         ('{"items":3}', "NOT_ARRAY"),
         ("{}", "SPLIT_KEY_NOT_FIRST"),
+        ('{"items":[1]} garbage', "TRAILING_DATA"),
+        ('{"items":[1]}\n{"items":[2]}', "TRAILING_DATA"),
+        ('{"items":[1]}, {"b":2}', "TRAILING_DATA"),
+        ('{"items":[1]}] x [', "TRAILING_DATA"),
+        ('{"items":[1]}], {"b":2}', "TRAILING_DATA"),
+        ('{"items":[1],"items":[2,3]}', "DUPLICATE_KEY"),
+        ('{"items":[1e400]}', "NUMBER_PRECISION"),
+        ('{"items":[123456789012345678901234567890123456789.5]}', "NUMBER_PRECISION"),
     ],
 )
 def test_json_split_errors(spark, doc, err):
@@ -116,7 +124,8 @@ def test_json_split_errors(spark, doc, err):
 
 def test_json_whole(spark):
     got = records(split_json(messages(spark, ['{"k": 69, "n": null}', ' "x" ', "[1, 2]", "", '{"a":1} {"b":2}'])))
-    assert [(m, v) for m, _, v, _ in got] == [("0", '{"k":69,"n":null}'), ("1", '"x"'), ("2", "[1,2]"), ("4", '{"a":1}')]
+    assert [(m, v) for m, _, v, _ in got[:3]] == [("0", '{"k":69,"n":null}'), ("1", '"x"'), ("2", "[1,2]")]
+    assert got[3:] == [("4", -1, '{"a":1} {"b":2}', "TRAILING_DATA")]
     assert records(split_json(messages(spark, ["nope"]))) == [("0", -1, "nope", "BAD_JSON")]
 
 
@@ -172,3 +181,55 @@ def test_udtf_splitter(spark):
     out = split_records(messages(spark, ["a|b", ""]).withColumn("extra", F.lit(2)), "pipes")
     assert out.columns == ["msg_id", "extra", "pos", "value", "error"]
     assert records(out) == [("0", 0, "a", None), ("0", 1, "b", None), ("1", -1, "", "EMPTY")]
+
+
+def test_json_numbers_keep_their_value(spark):
+    nums = ["12345678901234567890.12345", "0.1234567890123456789", "123456789012345678901234567890", "9007199254740993", "1.25", "-0.000001"]
+    long_text = '"' + "1" * 60 + '\\" 1e999"'
+    doc = '{"items":[' + ",".join([*nums, '{"z":' + nums[0] + "}", long_text]) + "]}"
+    from decimal import Decimal
+
+    got = [v for _, _, v, e in records(split_json(messages(spark, [doc]), split="items"))]
+    assert [Decimal(v) for v in got[:6]] == [Decimal(n) for n in nums]
+    assert got[6:] == ['{"z":' + nums[0] + "}", long_text]
+    whole = records(split_json(messages(spark, ['{"a": ' + nums[1] + "}", '{"a": 1e400}'])))
+    assert [(v, e) for _, _, v, e in whole] == [('{"a":' + nums[1] + "}", None), ('{"a": 1e400}', "NUMBER_PRECISION")]
+
+
+def test_xml_is_linear_and_quotes_are_read(spark):
+    import time
+
+    assert run_xml(spark, '<r><i a="x/>y"><b>1</b></i></r>', split="i", layout="raw") == [(0, '<i a="x/>y"><b>1</b></i>', None)]
+    assert run_xml(spark, "<r></i><i>1</i></r>", split="i")[0][2] == "UNMATCHED_END"
+    assert run_xml(spark, '<r><i a="x><b>1</b></i></r>', split="i")[0][2] == "UNMATCHED_END"
+    begin = time.time()
+    for bad in ("<i>" * 3_300_000, '<i a="' * 1_500_000 + "</i>", "<i" * 3_000_000 + "</i>"):
+        assert run_xml(spark, bad, split="i")[0][1:] in [(bad, "UNCLOSED_SPLIT"), (bad, "UNMATCHED_END")]
+    assert time.time() - begin < 60
+
+
+def test_null_payload_is_one_error_row(spark):
+    from queuelake.operators.splitters import python_splitter
+
+    df = spark.createDataFrame([("0", None)], "msg_id string, payload binary")
+    plain = python_splitter(lambda b: [b])
+    for out in (split_lines(df), split_json(df), split_json(df, split="a"), split_xml(df), split_xml(df, split="a", headers="h"), plain(df)):
+        assert [(r.pos, r.value, r.error) for r in out.collect()] == [(None, None, "NULL_PAYLOAD")]
+
+
+def test_encoding_of_xml_and_json(spark):
+    df = messages(spark, ["<r><i>é</i></r>".encode("latin-1")])
+    assert [v for _, _, v, _ in records(split_records(df, "XML", split="i", layout="raw", encoding="ISO-8859-1"))] == ["<i>é</i>"]
+    df = messages(spark, ['{"a":["é"]}'.encode("utf-16-be")])
+    assert [v for _, _, v, _ in records(split_records(df, "JSON", split="a", encoding="UTF-16BE"))] == ['"é"']
+
+
+def test_python_batches_and_whole_error_text(spark):
+    from queuelake.operators.splitters import _python_records, python_splitter
+
+    def fail(b):
+        raise ValueError("x" * 2000)
+
+    assert len(_python_records(fail, b"q")[0][2]) > 2000
+    out = python_splitter(lambda b: [b] * 2001, out_rows=100)(messages(spark, ["a", "b"]))
+    assert out.count() == 4002
