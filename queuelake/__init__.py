@@ -6,7 +6,7 @@ Public API (see README for the full picture)::
         QueueOptions, dead_letter_target,                       # options
         message_value, archive_name,                            # column functions
         split_records, split_xml, split_json, split_lines,      # splitters
-        register_splitter, python_splitter, udtf_splitter,
+        register_splitter, expression_splitter, python_splitter, udtf_splitter,
         parse_xml, parse_json, parse_fixed_width,               # typed views
         assemble_segments, route_failures, with_ack_request,    # message operators
         read_queue, read_queue_stream, write_queue, archive,    # queue log and sinks
@@ -20,6 +20,7 @@ from .functions.parse import parse_fixed_width, parse_json, parse_xml
 from .operators.routing import route_failures, with_ack_request
 from .operators.segments import assemble_segments
 from .operators.splitters import (
+    expression_splitter,
     python_splitter,
     register_splitter,
     split_json,
@@ -46,6 +47,7 @@ __all__ = [
     "split_json",
     "split_lines",
     "register_splitter",
+    "expression_splitter",
     "python_splitter",
     "udtf_splitter",
     "parse_xml",

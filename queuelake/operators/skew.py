@@ -3,15 +3,13 @@
 Building one message per group (an order's items, a user's events of a day)
 collects each group into one row.  A single hot key must not land whole in
 one task, so groups above ``max_rows`` are cut into ``ceil(n / max_rows)``
-chunks by a hash of the row; every other group keeps chunk 0.  Chunks hold
-``max_rows`` rows on average (binomial spread: a few ``sqrt(max_rows)``
-more at most for large limits), so no task ever sees more than a chunk of a
-hot group.
+chunks by a hash of the row's number (equal rows part too); every other group
+keeps chunk 0.  Chunks hold ``max_rows`` rows on average (binomial spread: a
+few ``sqrt(max_rows)`` more at most for large limits).
 
-The set of hot keys has at most ``total_rows / max_rows`` entries.  It is
-broadcast when its measured size is under ``broadcast_rows``; otherwise it
-is joined with a shuffle (and AQE's skew-join handling splits the hot
-partition).
+Everything is part of the query's own plan: the counts are a partial aggregate
+of the keys, and the table of hot groups (at most ``rows / max_rows``) meets the
+rows in an ordinary join, whose strategy and skew handling are Spark's.
 """
 
 from __future__ import annotations
@@ -21,73 +19,30 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def chunk_hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int, chunk_col: str = "chunk") -> DataFrame:
+    """``df`` with ``chunk_col``.  ``df`` should be a scan and projections: the
+    row numbers are taken before anything is shuffled, so a task that runs again
+    gives its rows the same ones."""
+    if max_rows < 1:
+        raise ValueError("max_rows must be positive")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > max_rows).select(*keys, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__chunks"))
+    numbered = df.withColumn("__row", F.xxhash64(F.monotonically_increasing_id()))
+    chunk = F.coalesce(F.pmod(F.col("__row"), F.col("__chunks")).cast("int"), F.lit(0))
+    return numbered.join(hot, list(keys), "left").withColumn(chunk_col, chunk).drop("__chunks", "__row")
 
-class HotGroups:
-    """Groups of ``keys`` with more than ``max_rows`` rows, and how many
-    chunks each needs.  Computing it costs one scan of the key columns and a
-    shuffle of per-key partial counts (map-side combined); the result is a
-    count on the driver, never the keys themselves."""
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], max_rows: int):
-        if max_rows < 1:
-            raise ValueError("max_rows must be positive")
-        self.keys = list(keys)
-        self.max_rows = max_rows
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        self.table = counts.where(F.col("__n") > max_rows).select(
-            *keys, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__chunks")
-        )
-        self.count = self.table.count()
+def group_messages(df: DataFrame, keys: Sequence[str], agg, chunk_col: str = "chunk", also: Sequence[str] = ()) -> DataFrame:
+    """``groupBy(keys, also, chunk).agg(agg)``; ``also`` depends on the keys.
 
-
-def chunk_hot_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    max_rows: int,
-    hash_cols: Sequence[str],
-    chunk_col: str = "chunk",
-    broadcast_rows: int | None = None,
-    hot: HotGroups | None = None,
-) -> tuple[DataFrame, bool]:
-    """``(df with chunk_col, any_hot)``.
-
-    When no group is hot, ``chunk_col`` is the literal 0 and callers should
-    group by ``keys`` alone, so the aggregate stays hash-partitioned on the
-    keys and a following join on them needs no second shuffle.  ``hot`` may
-    be shared by builders that group the same table on the same keys.
-    """
-    if hot is None:
-        hot = HotGroups(df, keys, max_rows)
-    elif hot.keys != list(keys) or hot.max_rows != max_rows:
-        raise ValueError("hot groups were computed for other keys or another limit")
-    n_hot = hot.count
-    if broadcast_rows is None:
-        broadcast_rows = DEFAULT_BROADCAST_ROWS
-    if n_hot == 0:
-        return df.withColumn(chunk_col, F.lit(0)), False
-    side = F.broadcast(hot.table) if n_hot <= broadcast_rows else hot.table
-    joined = df.join(side, list(keys), "left")
-    chunk = F.when(F.col("__chunks").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.col("__chunks")).cast("int")
-    )
-    return joined.withColumn(chunk_col, chunk).drop("__chunks"), True
-
-
-def group_messages(df: DataFrame, keys: Sequence[str], chunked: bool, agg, chunk_col: str = "chunk") -> DataFrame:
-    """``groupBy(keys [+ chunk]).agg(agg)`` with ``chunk_col`` in the output.
-
-    The rows are hash-partitioned on the grouping columns first and the
-    aggregate reuses that partitioning, so there is still exactly one
-    exchange, but it moves the compact typed input columns instead of the
-    built record strings, and ``agg`` (string building + ``collect_list``,
-    which a map-side combine would not shrink anyway) runs on the reduce
-    side in parallel, however few splits the input has.
+    The rows are hash-partitioned on the keys and the chunk first and the
+    aggregate reuses that partitioning: the exchange moves the compact typed
+    columns instead of the built record strings, and ``agg`` (string building +
+    ``collect_list``, which a map-side combine would not shrink anyway) runs on
+    the reduce side in parallel, however few splits the input has.
     """
-    by = [*keys, chunk_col] if chunked else list(keys)
-    grouped = df.repartition(*by).groupBy(*by).agg(agg)
-    return grouped if chunked else grouped.withColumn(chunk_col, F.lit(0))
+    return df.repartition(*keys, chunk_col).groupBy(*keys, chunk_col, *also).agg(agg)
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -295,6 +295,16 @@ register_splitter(JSON_FORMAT, _json)
 register_splitter(FIXED_WIDTH_FORMAT, _lines)
 
 
+def expression_splitter(records: Callable[[Column], Column]) -> Splitter:
+    """Wrap a column expression (payload -> array of string or binary records)
+    as a splitter: the fast path for formats that Spark's functions can cut."""
+
+    def splitter(df: DataFrame, payload: str = "payload", **_opts) -> DataFrame:
+        return _emit(df, records(F.col(payload)), _no_error(), payload)
+
+    return splitter
+
+
 def _python_records(func: Callable[[bytes], Iterable[bytes]], payload: bytes | None):
     """(pos, value, error) of one message: all its records or one error."""
     if payload is None:
@@ -398,6 +408,7 @@ __all__ = [
     "register_splitter",
     "get_splitter",
     "splitter_names",
+    "expression_splitter",
     "python_splitter",
     "udtf_splitter",
 ]

@@ -15,20 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.message import archive_name, message_value
-from ..functions.parse import fixed_width_columns, json_struct, xml_struct
+from ..functions.parse import fixed_width_columns, json_struct, parse_fixed_width, parse_json, parse_xml, xml_struct
 from ..operators.routing import route_failures
 from ..operators.segments import assemble_segments
 from ..operators.splitters import (
+    expression_splitter,
     python_splitter,
     register_splitter,
     split_json,
     split_lines,
     split_records,
     split_xml,
+    udtf_splitter,
 )
 from ..options import dead_letter_target
+from ..schema import DEAD_LETTER_LOG_SCHEMA, LOG_SCHEMA
 from ..session import shared_dir
 from ..sources.archive import archive
+from ..sources.fs import path_exists
 from ..sources.kafka import kafka_shape
 from ..sources.queue_log import read_queue, read_queue_stream, write_queue
 from . import fixtures as fx
@@ -64,7 +68,10 @@ def _base_opts(**extra) -> dict:
 
 def header_enriched_items(msgs: DataFrame, payload: str = "payload") -> DataFrame:
     """split XML on ``item`` with the ``header`` block, parse, flatten."""
-    recs = split_xml(msgs, split="item", headers=["header"], payload=payload)
+    return _header_items(split_xml(msgs, split="item", headers=["header"], payload=payload))
+
+
+def _header_items(recs: DataFrame) -> DataFrame:
     p = recs.select(xml_struct("value", ROOT_XML_SCHEMA, corrupt=None).alias("r"))
     return p.select(
         F.col("r.header.o_orderkey").alias("o_orderkey"),
@@ -117,8 +124,13 @@ def q_split_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_split_lines_encoding(spark: SparkSession, d: str) -> DataFrame:
-    recs = split_lines(fx.conversation_messages(spark, d), encoding="ISO-8859-1")
-    return recs.select("conv_id", "turn", "pos", F.decode("value", "ISO-8859-1").alias("value"))
+    msgs = fx.conversation_messages(spark, d)
+    out = None
+    for charset in ("ISO-8859-1", "UTF-16BE"):
+        recs = split_lines(msgs.where(F.col("charset") == charset), encoding=charset)
+        part = recs.select("conv_id", "turn", "pos", F.decode("value", charset).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_fixed_width_columns(spark: SparkSession, d: str) -> DataFrame:
@@ -162,22 +174,45 @@ def q_json_split_scalars(spark: SparkSession, d: str) -> DataFrame:
     return recs.select("p_partkey", "pos", _str("value").alias("value"))
 
 
+def q_json_exact_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers of 23 digits, as elements and inside of elements."""
+    recs = split_json(fx.order_exact_messages(spark, d), split="vals")
+    v = _str("value")
+    number = F.when(F.col("pos") == 0, v.try_cast("decimal(38,12)")).otherwise(json_struct("value", "x decimal(38,12)", corrupt=None)["x"])
+    return recs.select("o_orderkey", "pos", number.alias("number"))
+
+
+# ---------------------------------------------------------------- typed views of malformed records
+
+
+def q_parse_malformed(spark: SparkSession, d: str) -> DataFrame:
+    """A record that can not be parsed gives nulls, and its text where the
+    schema asks for it; the others are not touched."""
+    recs = fx.broken_records(spark, d)
+    recs = parse_json(recs, "c bigint, _corrupt_record string", value="json", into="j")
+    recs = parse_xml(recs, "c bigint, _corrupt_record string", value="xml", into="x")
+    recs = parse_fixed_width(recs, [("fixed_key", 1, 20, "bigint"), ("fixed_cust", 21, 20, "bigint")], value="fixed")
+    return recs.select(
+        "o_orderkey", F.col("j.c").alias("json_cust"), F.col("j._corrupt_record").alias("json_corrupt"),
+        F.col("x.c").alias("xml_cust"), F.col("x._corrupt_record").alias("xml_corrupt"), "fixed_key", "fixed_cust",
+    )
+
+
 # ---------------------------------------------------------------- dispatch / registry
 
 
 def q_split_dispatch(spark: SparkSession, d: str) -> DataFrame:
-    hot = fx.order_hot_groups(spark, d)  # one count for the three builders
-    xml = split_records(fx.order_xml_messages(spark, d, hot=hot), "xml", split="item", headers=["header"])
+    xml = split_records(fx.order_xml_messages(spark, d), "xml", split="item", headers=["header"])
     xml = xml.select(
         F.lit("XML").alias("fmt"),
         "o_orderkey",
         xml_struct("value", ROOT_XML_SCHEMA, corrupt=None)["item"].alias("i"),
     ).select("fmt", "o_orderkey", "i.l_linenumber", "i.l_quantity")
-    js = split_records(fx.order_json_messages(spark, d, hot=hot), "json", split="items")
+    js = split_records(fx.order_json_messages(spark, d), "json", split="items")
     js = js.select(
         F.lit("JSON").alias("fmt"), "o_orderkey", json_struct("value", LINE_JSON_SCHEMA, corrupt=None).alias("i")
     ).select("fmt", "o_orderkey", "i.l_linenumber", "i.l_quantity")
-    fw = split_records(fx.order_fixed_width_messages(spark, d, hot=hot), "fixed_width")
+    fw = split_records(fx.order_fixed_width_messages(spark, d), "fixed_width")
     fw = fw.select(F.lit("FIXED_WIDTH").alias("fmt"), "o_orderkey", *fixed_width_columns("value", fx.ITEM_LINE_LAYOUT))
     return xml.unionByName(js).unionByName(fw)
 
@@ -186,12 +221,31 @@ def _words(payload: bytes):
     return payload.split(b" ")
 
 
-def q_custom_splitter(spark: SparkSession, d: str) -> DataFrame:
-    register_splitter("WORDS", python_splitter(_words))
-    recs = split_records(fx.part_name_messages(spark, d), "words")
+def _part_words(spark: SparkSession, d: str, name: str) -> DataFrame:
+    recs = split_records(fx.part_name_messages(spark, d), name)
     return recs.select("p_partkey", "pos", _str("value").alias("value"))
 
 
+def q_custom_splitter(spark: SparkSession, d: str) -> DataFrame:
+    register_splitter("WORDS", expression_splitter(lambda p: F.split(p.cast("string"), " ")))
+    return _part_words(spark, d, "words")
+
+
+def q_custom_splitter_python(spark: SparkSession, d: str) -> DataFrame:
+    register_splitter("PYWORDS", python_splitter(_words))
+    return _part_words(spark, d, "pywords")
+
+
+def q_custom_splitter_udtf(spark: SparkSession, d: str) -> DataFrame:
+    @F.udtf(returnType="pos int, value binary")
+    class Words:
+        def eval(self, payload: bytes):
+            yield from enumerate(bytes(payload).split(b" "))
+
+    register_splitter("TVFWORDS", udtf_splitter(Words))
+    return _part_words(spark, d, "tvfwords")
+
+
 # ---------------------------------------------------------------- messages
 
 
@@ -214,16 +268,38 @@ def _dead_orders(spark: SparkSession, d: str, options: dict) -> DataFrame:
     return dead
 
 
+def _process_truncated(spark: SparkSession, d: str, name: str, **extra: str) -> DataFrame:
+    """F7 through ``process_mq``: good records, dead letters and the archive,
+    read back from where they were written."""
+    from ..streaming.drain import process_mq
+
+    log, sink, ckpt = _stream_dirs(spark, name)
+    archive_dir = log.rsplit("/", 1)[0] + "/archive"
+    append = write_queue(fx.truncated_order_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    opts = _base_opts(path=log, fileFormat="XML", split="item", movePath=archive_dir, ackQueue=ACK_QUEUE, **extra)
+    process_mq(spark, sink, ckpt, "checker", max_files_per_trigger=_two_batches(spark, append), **opts)
+    t = dead_letter_target(opts)
+    none = lambda kind: F.lit(None).cast(kind)
+    cols = ["kind", "o_orderkey", "l_linenumber", "l_quantity", "payload", "error", "reply_to"]
+    key = F.col("msg_id").cast("bigint").alias("o_orderkey")
+    item = xml_struct("value", ITEM_XML_SCHEMA, corrupt=None)
+    good = spark.read.parquet(sink).select("msg_id", item.alias("i")).select(
+        F.lit("good").alias("kind"), key, "i.l_linenumber", "i.l_quantity", none("string").alias("payload"), none("string").alias("error"), none("string").alias("reply_to"))
+    dead = read_queue(spark, log, t.queue_manager, t.queue, schema=DEAD_LETTER_LOG_SCHEMA).select(
+        F.lit(f"{t.queue_manager}/{t.queue}").alias("kind"), key, none("int").alias("l_linenumber"), none("double").alias("l_quantity"),
+        _str("payload").alias("payload"), "error", F.concat_ws("/", "reply_to_qmgr", "reply_to_queue", F.array_join("report", "+")).alias("reply_to"))
+    kept = spark.read.parquet(archive_dir).select(
+        F.lit("archive").alias("kind"), key, none("int").alias("l_linenumber"), none("double").alias("l_quantity"),
+        _str("payload").alias("payload"), none("string").alias("error"), none("string").alias("reply_to"))
+    return good.select(*cols).union(dead.select(*cols)).union(kept.select(*cols))
+
+
 def q_dead_letter_backout(spark: SparkSession, d: str) -> DataFrame:
-    dead = _dead_orders(spark, d, _base_opts())
-    return dead.select("o_orderkey", "target_qmgr", "target_queue", "error")
+    return _process_truncated(spark, d, "dead_letter_backout")
 
 
 def q_dead_letter_error_queue(spark: SparkSession, d: str) -> DataFrame:
-    dead = _dead_orders(
-        spark, d, _base_opts(**{"error.queue": ERROR_QUEUE, "error.queueManager": ERROR_QMGR})
-    )
-    return dead.select("o_orderkey", "target_qmgr", "target_queue", "error")
+    return _process_truncated(spark, d, "dead_letter_error", **{"error.queue": ERROR_QUEUE, "error.queueManager": ERROR_QMGR})
 
 
 # Option sets of the dead-letter target check.
@@ -238,17 +314,12 @@ TARGET_CONFIGS = [
 def q_dead_letter_target(spark: SparkSession, d: str) -> DataFrame:
     recs = split_xml(fx.truncated_order_messages(spark, d), split="item")
     failed = recs.where(F.col("error").isNotNull()).select("o_orderkey")
-    out = None
-    for name, extra in TARGET_CONFIGS:
-        t = dead_letter_target(_base_opts(**extra))
-        part = failed.select(
-            F.lit(name).alias("config"),
-            "o_orderkey",
-            F.lit(t.queue_manager).alias("target_qmgr"),
-            F.lit(t.queue).alias("target_queue"),
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    targets = [(name, dead_letter_target(_base_opts(**extra))) for name, extra in TARGET_CONFIGS]
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("config"), F.lit(t.queue_manager).alias("target_qmgr"), F.lit(t.queue).alias("target_queue"))
+        for name, t in targets
+    ])
+    return failed.select("o_orderkey", F.inline(rows))
 
 
 def q_ack_request(spark: SparkSession, d: str) -> DataFrame:
@@ -287,13 +358,9 @@ def q_archive_fanout(spark: SparkSession, d: str) -> DataFrame:
     archive(msgs, paths, batch_id=0, data_source=QUEUE)
     out = None
     for label, p in zip(("a1", "a2"), paths):
-        part = spark.read.parquet(p).select(F.lit(label).alias("archive"), "archive_name", "payload")
+        part = spark.read.parquet(p).select(F.lit(label).alias("archive"), "archive_name", "msg_id", "msg_type", _str("payload").alias("payload"))
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("archive").agg(
-        F.count(F.lit(1)).alias("n_messages"),
-        F.sum(F.octet_length("payload")).alias("n_bytes"),
-        F.count_distinct("archive_name").alias("n_names"),
-    )
+    return out
 
 
 def q_archive_name(spark: SparkSession, d: str) -> DataFrame:
@@ -345,21 +412,65 @@ def q_stream_drain_available_now(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_mq_source(spark: SparkSession, d: str) -> DataFrame:
-    from ..sources.mq_source import register
-    from ..streaming.drain import drain
+    """The documented options in one call: split with a header, to records."""
+    from ..streaming.drain import process_mq
 
-    register(spark)
     log, sink, ckpt = _stream_dirs(spark, "stream_mq_source")
-    write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
-    raw = (
-        spark.readStream.format("mq")
-        .option("path", log)
-        .option("queueManager", QMGR)
-        .option("queue", QUEUE)
-        .load()
-    )
-    drain(header_enriched_items(raw, payload="value"), sink, ckpt)
-    return spark.read.parquet(sink)
+    append = write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    opts = _base_opts(path=log, fileFormat="XML", split="item", headers="header", backoutQueue="ORDERS.BO")
+    process_mq(spark, sink, ckpt, "reader", max_files_per_trigger=_two_batches(spark, append), **opts)
+    return _header_items(spark.read.parquet(sink))
+
+
+def q_stream_commit_replay(spark: SparkSession, d: str) -> DataFrame:
+    """A failure after a batch's writes and before its commit: the batch runs
+    again, nothing is lost and nothing twice."""
+    from ..streaming.drain import run_foreach_batch
+    from ..streaming.writer import QueueBatchWriter
+
+    log, sink, ckpt = _stream_dirs(spark, "stream_commit_replay")
+    append = write_queue(fx.order_xml_messages(spark, d).drop("o_orderkey"), log, QMGR, QUEUE, "orders", 1)
+    writer = QueueBatchWriter(_base_opts(path=log, split="item", headers="header"), sink, producer="reader")
+    ran: list[int] = []
+
+    def fails_first(batch: DataFrame, batch_id: int) -> None:
+        writer(batch, batch_id)
+        ran.append(batch_id)
+        if len(ran) == 1:
+            raise RuntimeError("lost after the writes")
+
+    stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append))
+    try:
+        run_foreach_batch(stream, fails_first, ckpt)
+    except Exception as e:  # the failure above, wrapped by the stream
+        if "lost after the writes" not in str(e):
+            raise
+    run_foreach_batch(stream, fails_first, ckpt)
+    if ran[:2] != [0, 0]:
+        raise AssertionError(f"the first batch was not replayed: {ran}")
+    return _header_items(spark.read.parquet(sink))
+
+
+def q_stream_consume_by_moving(spark: SparkSession, d: str) -> DataFrame:
+    """Consumed files move to an archive: every message is seen once, and is
+    kept once, in the queue or the archive."""
+    from ..streaming.drain import drain
+
+    log, sink, ckpt = _stream_dirs(spark, "stream_consume")
+    moved = log.rsplit("/", 1)[0] + "/consumed"
+    msgs = fx.order_plain_messages(spark, d)
+    half = F.pmod("o_orderkey", F.lit(2))
+    for seq in (0, 1):  # two appends, all orders
+        write_queue(msgs.where(half == seq).drop("o_orderkey"), log, QMGR, QUEUE, "orders", seq)
+        stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=2, clean_source="archive", source_archive_dir=moved)
+        drain(_plain_value(stream), sink, ckpt)
+    # the file source mirrors the queue's path below the archive
+    left = read_queue(spark, log, QMGR, QUEUE).select("msg_id")
+    if path_exists(spark, moved):
+        left = left.union(spark.read.option("recursiveFileLookup", "true").schema(LOG_SCHEMA).parquet(moved).select("msg_id"))
+    kept = left.groupBy(F.col("msg_id").cast("bigint").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_kept"))
+    seen = spark.read.parquet(sink).groupBy("o_orderkey", "value").agg(F.count(F.lit(1)).alias("n_seen"))
+    return seen.join(kept, "o_orderkey", "full")
 
 
 def q_stream_batch_writer(spark: SparkSession, d: str) -> DataFrame:
@@ -374,16 +485,7 @@ def q_stream_batch_writer(spark: SparkSession, d: str) -> DataFrame:
     writer = QueueBatchWriter(opts, sink, producer="orders-reader")
     stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append))
     run_foreach_batch(stream, writer, ckpt)
-    good = spark.read.parquet(sink)
-    p = good.select(xml_struct("value", ROOT_XML_SCHEMA, corrupt=None).alias("r"))
-    return p.select(
-        F.col("r.header.o_orderkey").alias("o_orderkey"),
-        F.col("r.header.o_orderstatus").alias("o_orderstatus"),
-        F.col("r.item.l_linenumber").alias("l_linenumber"),
-        F.col("r.item.l_quantity").alias("l_quantity"),
-        F.col("r.item.l_extendedprice").alias("l_extendedprice"),
-        F.col("r.item.l_returnflag").alias("l_returnflag"),
-    )
+    return _header_items(spark.read.parquet(sink))
 
 
 def q_stream_assemble_segments(spark: SparkSession, d: str) -> DataFrame:
@@ -419,8 +521,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_whole": q_json_whole,
     "json_split": q_json_split,
     "json_split_scalars": q_json_split_scalars,
+    "json_exact_numbers": q_json_exact_numbers,
+    "parse_malformed": q_parse_malformed,
     "split_dispatch": q_split_dispatch,
     "custom_splitter": q_custom_splitter,
+    "custom_splitter_python": q_custom_splitter_python,
+    "custom_splitter_udtf": q_custom_splitter_udtf,
     "assemble_segments": q_assemble_segments,
     "report_correlation_value": q_report_correlation_value,
     "dead_letter_backout": q_dead_letter_backout,
@@ -435,6 +541,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_queue_scan": q_stream_queue_scan,
     "stream_drain_available_now": q_stream_drain_available_now,
     "stream_mq_source": q_stream_mq_source,
+    "stream_commit_replay": q_stream_commit_replay,
+    "stream_consume_by_moving": q_stream_consume_by_moving,
     "stream_batch_writer": q_stream_batch_writer,
     "stream_assemble_segments": q_stream_assemble_segments,
 }

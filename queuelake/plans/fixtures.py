@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import HotGroups, chunk_hot_groups, ensure_parallelism, group_messages
+from ..operators.skew import chunk_hot_groups, ensure_parallelism, group_messages
 from ..schema import MQMT_DATAGRAM, MQMT_REPORT
 
 DEFAULT_MAX_ITEMS = 100_000
@@ -52,17 +52,11 @@ def _message_id(key: Column, chunk: Column) -> Column:
     return F.when(chunk == 0, key.cast("string")).otherwise(F.concat_ws("-", key.cast("string"), chunk.cast("string")))
 
 
-def order_hot_groups(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> HotGroups:
-    """Orders with more than ``max_items`` lines (shared by the order builders)."""
-    return HotGroups(table(spark, sf_dir, "lineitem").select("l_orderkey"), ["l_orderkey"], max_items)
-
-
 def order_xml_messages(
     spark: SparkSession,
     sf_dir: str,
     pretty: bool = False,
     max_items: int = DEFAULT_MAX_ITEMS,
-    hot: HotGroups | None = None,
 ) -> DataFrame:
     """one XML message per order (orders without lines included).
 
@@ -76,11 +70,13 @@ def order_xml_messages(
         *[_tag(c, _s(c), pretty, ind) for c in ITEM_FIELDS],
         F.lit("  </item>\n" if pretty else "</item>"),
     )
-    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *ITEM_FIELDS], hot=hot)
-    per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"))
+    # the order's columns join its rows, not its messages: an equi-join that
+    # Spark can split where a key is hot, and the chunks stay apart after it
+    li = chunk_hot_groups(li, ["l_orderkey"], max_items)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    # the item lists grow with the data: never broadcast them
-    m = orders.join(per.hint("shuffle_hash"), orders.o_orderkey == per.l_orderkey, "left")
+    rows = orders.join(li, orders.o_orderkey == li.l_orderkey, "left").withColumn("chunk", F.coalesce("chunk", F.lit(0)))
+    items = F.array_join(F.array_sort(F.collect_list(item)), "").alias("items")
+    m = group_messages(rows, ["o_orderkey"], items, also=["o_orderstatus", "o_orderdate"])
     hind = "    " if pretty else ""
     header = F.concat(
         F.lit("  <header>\n" if pretty else "<header>"),
@@ -91,12 +87,11 @@ def order_xml_messages(
     payload = F.concat(
         F.lit("<order>\n" if pretty else "<order>"),
         header,
-        F.coalesce(F.col("items"), F.lit("")),
+        F.col("items"),
         F.lit("</order>\n" if pretty else "</order>"),
     )
-    chunk = F.coalesce(F.col("chunk"), F.lit(0))
     return m.select(
-        _message_id(F.col("o_orderkey"), chunk).alias("msg_id"),
+        _message_id(F.col("o_orderkey"), F.col("chunk")).alias("msg_id"),
         F.lit(MQMT_DATAGRAM).alias("msg_type"),
         F.col("o_orderdate").alias("put_ts"),
         payload.cast("binary").alias("payload"),
@@ -123,16 +118,15 @@ def order_json_messages(
     sf_dir: str,
     first_key: str = "items",
     max_items: int = DEFAULT_MAX_ITEMS,
-    hot: HotGroups | None = None,
 ) -> DataFrame:
     """``{"items":[{lineitem columns},..],"o_orderkey":k}`` per order with
     lines; ``first_key="o_orderkey"`` puts the key first (must be rejected
     by ``split_json(split="items")``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_JSON_FIELDS)
     li = li.withColumn("l_shipdate", F.to_date("l_shipdate"))
-    li, chunked = chunk_hot_groups(li, ["l_orderkey"], max_items, ["l_orderkey", *LINE_JSON_FIELDS], hot=hot)
+    li = chunk_hot_groups(li, ["l_orderkey"], max_items)
     elem = F.to_json(F.struct(*LINE_JSON_FIELDS))
-    per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(elem)), ",").alias("items"))
+    per = group_messages(li, ["l_orderkey"], F.array_join(F.array_sort(F.collect_list(elem)), ",").alias("items"))
     items = F.concat(F.lit('"items":['), F.col("items"), F.lit("]"))
     key = F.concat(F.lit('"o_orderkey":'), _s("l_orderkey"))
     body = F.concat(items, F.lit(","), key) if first_key == "items" else F.concat(key, F.lit(","), items)
@@ -157,8 +151,8 @@ def event_line_messages(spark: SparkSession, sf_dir: str, max_items: int = DEFAU
         F.rpad(F.col("event_type"), 16, " "),
         F.lpad(_s("value"), 24, " "),
     )
-    ev, chunked = chunk_hot_groups(ev, ["user_id", "day"], max_items, ["event_id"])
-    per = group_messages(ev, ["user_id", "day"], chunked, F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
+    ev = chunk_hot_groups(ev, ["user_id", "day"], max_items)
+    per = group_messages(ev, ["user_id", "day"], F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
     return per.select(
         F.concat_ws(":", _s("user_id"), F.date_format("day", "yyyyMMdd"), _s("chunk")).alias("msg_id"),
         F.col("text").cast("binary").alias("payload"),
@@ -184,22 +178,43 @@ def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(_s("doc_id").alias("msg_id"), F.col("text").cast("binary").alias("payload"), "doc_id")
 
 
-def latin1(text: Column) -> Column:
-    """Text as a Latin-1 producer sends it: characters outside Latin-1 become '?'."""
-    return F.encode(F.regexp_replace(text, "[^\\x{00}-\\x{FF}]", "?"), "ISO-8859-1")
+def is_latin1(text: Column) -> Column:
+    return ~text.rlike("[^\\x{00}-\\x{FF}]")
 
 
 def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P3 input: one ISO-8859-1 message per conversation turn."""
+    """P3 input: one message per conversation turn, in ISO-8859-1 where the text
+    fits and else in UTF-16BE (``charset``)."""
     c = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    fits = is_latin1(F.col("text"))
     return c.select(
         F.concat_ws(":", _s("conv_id"), _s("turn")).alias("msg_id"),
-        latin1(F.col("text")).alias("payload"),
+        F.when(fits, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-16BE")).alias("payload"),
+        F.when(fits, "ISO-8859-1").otherwise("UTF-16BE").alias("charset"),
         "conv_id",
         "turn",
     )
 
 
+def order_exact_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``{"vals":[<23-digit decimal>, {"x":<the same>}]}`` per order."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    number = F.concat((F.lit(10_000_000_000) + F.col("o_orderkey")).cast("string"), F.lit("."), F.lpad(_s("o_custkey"), 12, "0"))
+    doc = F.concat(F.lit('{"vals":['), number, F.lit(',{"x":'), number, F.lit("}]}"))
+    return o.select(_s("o_orderkey").alias("msg_id"), doc.cast("binary").alias("payload"), "o_orderkey")
+
+
+def broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per order in three formats; where ``o_orderkey % 97 = 0`` they are
+    cut or hold a number that is none."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    bad = F.pmod(F.col("o_orderkey"), F.lit(97)) == 0
+    js = F.concat(F.lit('{"c":'), _s("o_custkey"), F.when(bad, F.lit("")).otherwise(F.lit("}")))
+    xml = F.concat(F.lit("<o><c>"), _s("o_custkey"), F.when(bad, F.lit("</c>")).otherwise(F.lit("</c></o>")))
+    fixed = F.concat(F.lpad(_s("o_orderkey"), 20, " "), F.when(bad, F.lit("  x7")).otherwise(F.lpad(_s("o_custkey"), 20, " ")))
+    return o.select("o_orderkey", js.cast("binary").alias("json"), xml.cast("binary").alias("xml"), fixed.cast("binary").alias("fixed"))
+
+
 def segmented_document_messages(spark: SparkSession, sf_dir: str, drop_last_mod: int = 10) -> DataFrame:
     """every document cut into 1,024-character segments.
 
@@ -317,15 +332,13 @@ ITEM_LINE_LAYOUT = [("l_linenumber", 1, 10, "int"), ("l_quantity", 11, 24, "doub
 
 
 def order_fixed_width_messages(
-    spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS, hot: HotGroups | None = None
+    spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS
 ) -> DataFrame:
     """Per order one message of fixed-width item lines (``ITEM_LINE_LAYOUT``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     line = F.concat(F.lpad(_s("l_linenumber"), 10, " "), F.lpad(_s("l_quantity"), 24, " "))
-    li, chunked = chunk_hot_groups(
-        li, ["l_orderkey"], max_items, ["l_orderkey", "l_linenumber", "l_quantity"], hot=hot
-    )
-    per = group_messages(li, ["l_orderkey"], chunked, F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
+    li = chunk_hot_groups(li, ["l_orderkey"], max_items)
+    per = group_messages(li, ["l_orderkey"], F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))
     return per.select(
         _message_id(F.col("l_orderkey"), F.col("chunk")).alias("msg_id"),
         F.col("text").cast("binary").alias("payload"),

@@ -27,7 +27,25 @@ WHERE o_orderkey % 97 = 0 AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey =
 
 _PLAIN = "concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)"
 
-_LATIN1 = r"regexp_replace(text, '[^\x{00}-\x{FF}]', '?', 'g')"
+_ITEM = """'<item><l_linenumber>' || l_linenumber || '</l_linenumber><l_quantity>' || l_quantity || '</l_quantity><l_extendedprice>'
+ || l_extendedprice || '</l_extendedprice><l_returnflag>' || l_returnflag || '</l_returnflag></item>'"""
+
+
+def _processed(target: str) -> str:
+    """Good records, dead letters in ``target`` and the archive of F7."""
+    return f"""
+WITH m AS (
+  SELECT o_orderkey, count(l_orderkey) AS n,
+         '<order><header><o_orderkey>' || o_orderkey || '</o_orderkey><o_orderstatus>' || o_orderstatus || '</o_orderstatus></header>'
+         || coalesce(string_agg({_ITEM}, '' ORDER BY {_ITEM}), '') || '</order>' AS whole
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus),
+p AS (SELECT o_orderkey, o_orderkey % 97 = 0 AND n > 0 AS failed,
+             CASE WHEN o_orderkey % 97 = 0 THEN left(whole, length(whole) - 20) ELSE whole END AS payload FROM m)
+SELECT 'good' AS kind, o_orderkey, l_linenumber, l_quantity, CAST(NULL AS VARCHAR) AS payload, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS reply_to
+FROM p JOIN lineitem ON l_orderkey = o_orderkey WHERE NOT failed
+UNION ALL SELECT '{target}', o_orderkey, NULL, NULL, payload, 'UNCLOSED_SPLIT', 'QM1/ORDERS.ACK/COA+COD' FROM p WHERE failed
+UNION ALL SELECT 'archive', o_orderkey, NULL, NULL, payload, NULL, NULL FROM p"""
+
 
 _SEGMENTED = """
 SELECT doc_id, CASE WHEN doc_id % 10 = 0 AND length(text) > 1024
@@ -57,7 +75,7 @@ SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l)
 FROM (SELECT doc_id, {_lines('text')} AS l FROM documents)""",
     "split_lines_encoding": f"""
 SELECT conv_id, turn, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS value
-FROM (SELECT conv_id, turn, {_lines(_LATIN1)} AS l FROM conversations)""",
+FROM (SELECT conv_id, turn, {_lines('text')} AS l FROM conversations)""",
     "fixed_width_columns": "SELECT event_id, event_type, value FROM events",
     "json_whole": """
 SELECT event_id, 0 AS pos, CAST(json(props) AS VARCHAR) AS value,
@@ -72,24 +90,34 @@ SELECT p_partkey, 0 AS pos, CAST(to_json(p_name) AS VARCHAR) AS value FROM part
 UNION ALL SELECT p_partkey, 1 AS pos, CAST(p_size AS VARCHAR) AS value FROM part
 UNION ALL SELECT p_partkey, 2 AS pos, 'null' AS value FROM part
 UNION ALL SELECT p_partkey, 3 AS pos, '{"brand":' || CAST(to_json(p_brand) AS VARCHAR) || '}' AS value FROM part""",
+    "json_exact_numbers": """
+SELECT o_orderkey, pos, CAST((10000000000 + o_orderkey) || '.' || lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS DECIMAL(38,12)) AS number
+FROM orders, (VALUES (0), (1)) AS t(pos)""",
+    "parse_malformed": """
+SELECT o_orderkey, CASE WHEN ok THEN o_custkey END AS json_cust, CASE WHEN NOT ok THEN '{"c":' || o_custkey END AS json_corrupt,
+       CASE WHEN ok THEN o_custkey END AS xml_cust, CASE WHEN NOT ok THEN '<o><c>' || o_custkey || '</c>' END AS xml_corrupt,
+       o_orderkey AS fixed_key, CASE WHEN ok THEN o_custkey END AS fixed_cust
+FROM (SELECT *, o_orderkey % 97 <> 0 AS ok FROM orders)""",
     "split_dispatch": """
 SELECT 'XML' AS fmt, l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem
 UNION ALL SELECT 'JSON' AS fmt, l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem
 UNION ALL SELECT 'FIXED_WIDTH' AS fmt, l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem""",
     "custom_splitter": """
 SELECT p_partkey, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS value
+FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""",
+    "custom_splitter_python": """
+SELECT p_partkey, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS value
+FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""",
+    "custom_splitter_udtf": """
+SELECT p_partkey, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS value
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""",
     "assemble_segments": _SEGMENTED,
     "report_correlation_value": f"""
 SELECT o_orderkey,
        CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderkey AS VARCHAR) ELSE {_PLAIN} END AS value
 FROM orders""",
-    "dead_letter_backout": f"""
-SELECT o_orderkey, 'QM1' AS target_qmgr, 'ORDERS.BACKOUT' AS target_queue, 'UNCLOSED_SPLIT' AS error
-FROM ({_FAILING})""",
-    "dead_letter_error_queue": f"""
-SELECT o_orderkey, 'QMERR' AS target_qmgr, 'ORDERS.ERR' AS target_queue, 'UNCLOSED_SPLIT' AS error
-FROM ({_FAILING})""",
+    "dead_letter_backout": _processed("QM1/ORDERS.BACKOUT"),
+    "dead_letter_error_queue": _processed("QMERR/ORDERS.ERR"),
     "dead_letter_target": f"""
 SELECT 'default' AS config, o_orderkey, 'QM1' AS target_qmgr, 'ORDERS.BACKOUT' AS target_queue FROM ({_FAILING})
 UNION ALL SELECT 'backout' AS config, o_orderkey, 'QM1' AS target_qmgr, 'ORDERS.BO' AS target_queue FROM ({_FAILING})
@@ -101,11 +129,9 @@ FROM ({_FAILING})""",
     "queue_roundtrip": f"SELECT o_orderkey, {_PLAIN} AS value FROM orders",
     "parallel_scan": f"SELECT o_orderkey, {_PLAIN} AS value FROM orders",
     "archive_fanout": f"""
-SELECT 'a1' AS archive, count(*) AS n_messages, CAST(sum(strlen({_PLAIN})) AS BIGINT) AS n_bytes,
-       count(*) AS n_names FROM orders
-UNION ALL
-SELECT 'a2' AS archive, count(*) AS n_messages, CAST(sum(strlen({_PLAIN})) AS BIGINT) AS n_bytes,
-       count(*) AS n_names FROM orders""",
+SELECT archive, strftime(o_orderdate, '%Y%m%d%H%M%S') || '_' || CAST(o_orderkey AS VARCHAR) || '_MQ_ORDERS' AS archive_name, CAST(o_orderkey AS VARCHAR) AS msg_id,
+       8 AS msg_type, {_PLAIN} AS payload
+FROM orders, (VALUES ('a1'), ('a2')) AS t(archive)""",
     "archive_name": """
 SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d%H%M%S') || '_' || CAST(o_orderkey AS VARCHAR) || '_MQ_ORDERS' AS archive_name
 FROM orders""",
@@ -113,6 +139,8 @@ FROM orders""",
     "stream_queue_scan": _HEADER_ITEMS,
     "stream_drain_available_now": f"SELECT o_orderkey, {_PLAIN} AS value FROM orders",
     "stream_mq_source": _HEADER_ITEMS,
+    "stream_commit_replay": _HEADER_ITEMS,
+    "stream_consume_by_moving": f"SELECT o_orderkey, {_PLAIN} AS value, 1::BIGINT AS n_seen, 1::BIGINT AS n_kept FROM orders",
     "stream_batch_writer": _HEADER_ITEMS,
     "stream_assemble_segments": _SEGMENTED,
 }

