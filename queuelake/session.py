@@ -16,15 +16,10 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None, app: str = "queuelake") -> SparkSession:
-    """A local session for the bench and tools.
-
-    Splitting and parsing are CPU-bound per row, and the shuffles in front of
-    them (building messages from tables) are small here, so AQE's coalescing
-    would pack the work into as few tasks as there are cores and leave the
-    tail on the slowest one.  Locally we keep ``4 x cores`` uncoalesced
-    shuffle partitions instead; on a cluster, size ``spark.sql.shuffle.
-    partitions`` / the advisory partition size for the data as usual.
-    """
+    """A local session for the bench and tools: ``4 x cores`` shuffle
+    partitions, which Spark coalesces as usual.  On a cluster, size
+    ``spark.sql.shuffle.partitions`` and the advisory partition size for the
+    data."""
     if shuffle_partitions is None:
         n = (os.cpu_count() or 8) if str(cpus) == "*" else int(cpus)
         shuffle_partitions = 4 * int(n)
@@ -35,7 +30,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
