@@ -46,6 +46,7 @@ PERCENT = 75
 MIN_AGREE = 70
 SKETCH_SLOTS = 1 << 20
 SKETCH_BLOCK = 1 << 14
+BROADCAST_NODES = 250_000
 CHUNK_SHINGLES = 1 << 15
 NO_ID = -(2**63)
 
@@ -158,8 +159,14 @@ def _members(nodes: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, text): one text of each node that has a candidate."""
+    """(node, text): one text of each node that has a candidate.
+
+    Up to ``BROADCAST_NODES`` of them (a few MB) the nodes are sent to the
+    texts, so that only their texts are shuffled; beyond that both sides are."""
     need = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "id0", "text_hash")
+    need = written(need, "need")
+    if need.count() <= BROADCAST_NODES:
+        need = F.broadcast(need)
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id0"), F.xxhash64("text").alias("text_hash"), "text")
     return written(rows.join(need, ["id0", "text_hash"]).groupBy("id0", "text_hash", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
 
