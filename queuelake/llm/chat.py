@@ -16,22 +16,53 @@ UNKNOWN = "unknown"
 END = "<|end|>\n"
 
 
-def _block_rows(turns: DataFrame, per_block: int) -> DataFrame:
-    """(conv_id, tb, rb) -> ordered turns, at most ``per_block`` of them.
+KEY = ["conv", "no_conv", "tb"]
 
-    tb counts runs of ``per_block`` turn numbers; rb splits a run further where
-    turn numbers repeat, so a dialogue of any length never meets in one row.
-    """
-    t = turns.select(
+
+def _keyed(turns: DataFrame, per_block: int) -> DataFrame:
+    """Turns with their dialogue (never null) and tb, the run of ``per_block``
+    turn numbers they fall into."""
+    return turns.select(
         "conv_id",
+        F.coalesce(F.col("conv_id"), F.lit(0)).alias("conv"),
+        F.col("conv_id").isNull().alias("no_conv"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.floor(F.col("turn") / F.lit(per_block)).cast("long"), F.lit(-(2**62))).alias("tb"),
         F.when(F.coalesce(F.col("role"), F.lit("")) == "", UNKNOWN).otherwise(F.col("role")).alias("role"),
+        ((F.coalesce(F.col("role"), F.lit("")) != "") & (F.col("role") != SYSTEM)).alias("speaks"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    place = F.row_number().over(Window.partitionBy("conv_id", "tb").orderBy(F.col("turn").asc_nulls_first(), "role", "text")) - 1
+
+
+def _blocks(t: DataFrame, per_block: int) -> DataFrame:
+    """(dialogue, tb, rb) -> ordered turns, at most ``per_block`` of them: rb
+    splits a run further where turn numbers repeat, so a dialogue of any length
+    never meets in one row.  This is the only shuffle of the texts."""
+    place = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.col("turn").asc_nulls_first(), "role", "text")) - 1
     t = t.withColumn("place", place).withColumn("rb", F.floor(F.col("place") / per_block).cast("long"))
-    return t.groupBy("conv_id", "tb", "rb").agg(F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
+    return t.groupBy(*KEY, "conv_id", "rb").agg(F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
+
+
+def _starts(t: DataFrame, per_block: int) -> DataFrame:
+    """(dialogue, tb, speaker, chars_before, blocks_before): where a run of
+    turns starts in each speaker's rendering.  Lengths and counts by role are
+    enough, so no text moves."""
+    by_role = t.groupBy(*KEY, "role", "speaks").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    run = by_role.groupBy(*KEY).agg(F.collect_list(F.struct("role", "n", "chars")).alias("roles"), F.sum("n").alias("n"))
+    speakers = by_role.where("speaks").select("conv", "no_conv", F.col("role").alias("speaker")).distinct()
+
+    def size(acc: Column, r: Column) -> Column:
+        head, _ = _segment(F.struct(r["role"].alias("role"), F.lit("").alias("text")), F.col("speaker"))
+        return acc + r["chars"] + r["n"] * (F.length(head) + F.lit(len(END)))
+
+    both = run.join(speakers, ["conv", "no_conv"])
+    sized = both.select(*KEY, "speaker", F.aggregate("roles", F.lit(0).cast("long"), size).alias("size"), F.ceil(F.col("n") / per_block).alias("blocks"))
+    before = Window.partitionBy("conv", "no_conv", "speaker").orderBy("tb").rowsBetween(Window.unboundedPreceding, -1)
+    return sized.select(
+        *KEY, "speaker",
+        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("chars_before"),
+        F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("blocks_before"),
+    )
 
 
 def _segment(turn: Column, speaker: Column) -> tuple[Column, Column]:
@@ -60,12 +91,8 @@ def rotate_perspectives(turns: DataFrame, per_block: int = TURNS_PER_BLOCK) -> D
     does the system role.  A null conv_id is a dialogue of its own.  An empty
     table gives no rows; other columns are not read.
     """
-    blocks = _block_rows(turns, per_block)
-    speakers = (
-        turns.where((F.coalesce(F.col("role"), F.lit("")) != "") & (F.col("role") != SYSTEM))
-        .select(F.col("conv_id").alias("__conv"), F.col("role").alias("speaker")).distinct()
-    )
-    both = blocks.join(speakers, F.col("conv_id").eqNullSafe(F.col("__conv"))).drop("__conv")
+    t = _keyed(turns, per_block)
+    both = _blocks(t, per_block).join(_starts(t, per_block), KEY)
 
     def add(acc: Column, turn: Column) -> Column:
         head, body = _segment(turn, F.col("speaker"))
@@ -81,17 +108,17 @@ def rotate_perspectives(turns: DataFrame, per_block: int = TURNS_PER_BLOCK) -> D
 
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("masked"), F.array().cast("array<string>").alias("spans"))
     state = both.select(
-        "conv_id", "speaker", "tb", "rb",
+        *KEY, "conv_id", "speaker", "rb", "chars_before", "blocks_before",
         F.size("turns").alias("n_turns"),
         F.array_join(F.transform("turns", lambda t: F.concat(*_segment(t, F.col("speaker")))), "").alias("rendered"),
         F.aggregate("turns", zero, add).alias("mask"),
     )
-    dialogue = Window.partitionBy("conv_id", "speaker").orderBy("tb", "rb")
-    before = F.sum(F.col("mask.n")).over(dialogue.rowsBetween(Window.unboundedPreceding, -1))
+    run = Window.partitionBy(*KEY, "speaker").orderBy("rb")
+    here = F.coalesce(F.sum(F.col("mask.n")).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return state.select(
         "conv_id", "speaker",
-        (F.row_number().over(dialogue) - 1).cast("long").alias("block"),
-        F.coalesce(before, F.lit(0)).cast("long").alias("start_char"),
+        (F.col("blocks_before") + F.col("rb")).cast("long").alias("block"),
+        (F.col("chars_before") + here).cast("long").alias("start_char"),
         F.col("n_turns").cast("long").alias("n_turns"),
         "rendered",
         F.array_join("mask.spans", ",").alias("mask_spans"),
