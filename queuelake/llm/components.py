@@ -17,12 +17,11 @@ def components(edges: DataFrame) -> DataFrame:
     only a count of changed labels reaches the driver.
     """
     both = written(edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select("b", "a")).distinct(), "edges")
-    labels = written(both.groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("root")), "labels")
+    labels = both.groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("root"))
     while True:
         ends = labels.select(F.col("v").alias("w"), F.col("root").alias("seen"))
         near = both.join(ends, "w").groupBy("v").agg(F.min("seen").alias("near"))
         step = labels.join(near, "v").select("v", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        step = written(step, "labels")
         jump = step.select(F.col("v").alias("root"), F.col("root").alias("far"))
         labels = written(step.join(jump, "root", "left").select("v", "old", F.least("root", F.coalesce("far", "root")).alias("root")), "labels")
         if labels.where("old <> root").limit(1).count() == 0:

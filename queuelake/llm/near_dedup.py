@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -149,13 +150,14 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n, shared): members of buckets of two and more, and how
-    many places the node shares with others over all its buckets."""
+    """(bucket, node, n, rank, shared, comp): members of buckets of two and
+    more; shared is how many places the node's buckets have for others.  Every
+    node is a component still."""
     rows = nodes.select(F.explode("bands").alias("bucket"), "node", F.col("n_shingles").alias("n"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = written(rows.join(sizes, "bucket"), "members")
     shared = members.groupBy("node").agg(F.sum("size").alias("shared"))
-    return written(members.join(shared, "node").select("bucket", "node", "n", F.lit(0).cast("long").alias("rank"), "shared"), "members")
+    return members.join(shared, "node").select("bucket", "node", "n", F.lit(0).cast("long").alias("rank"), "shared", F.col("node").alias("comp"))
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -189,7 +191,7 @@ def _hubs(members: DataFrame, each: int) -> DataFrame:
     return written(best.select("bucket", *[F.col(f"h.{c}").alias(f"hub_{c}") for c in ("node", "comp", "n", "rank")]), "hubs")
 
 
-def _pairs(members: DataFrame, hubs: DataFrame, tested: DataFrame | None) -> DataFrame:
+def _pairs(members: DataFrame, hubs: DataFrame, tested: list[DataFrame]) -> DataFrame:
     """Pairs of a hub and a member of another component that can be linked.
 
     Linked sets have at least ``common = ceil(3/7 (n + hub_n))`` members in
@@ -200,8 +202,8 @@ def _pairs(members: DataFrame, hubs: DataFrame, tested: DataFrame | None) -> Dat
     fits = (F.col("rank") <= F.col("n") - common) & (F.col("hub_rank") <= F.col("hub_n") - common)
     met = members.join(hubs, "bucket").where((F.col("comp") != F.col("hub_comp")) & fits)
     pairs = met.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b")).distinct()
-    if tested is not None:
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    if tested:
+        pairs = pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
     return written(pairs, "pairs")
 
 
@@ -271,7 +273,7 @@ def _edges(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame
         pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
         .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
     )
-    likely = written(_similar_sketches(sketched), "likely")
+    likely = _similar_sketches(sketched)
     both = (
         likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
@@ -286,9 +288,8 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     members = _members(nodes)
     texts = _texts(docs, nodes, members)
     labels = spark.createDataFrame([], "node long, label long")
-    members = _open(members, labels)
-    pairs = tested = _pairs(members, _hubs(members, 0), None)
-    labels = _merge(labels, _edges(pairs, sketches, texts))
+    tested = [_pairs(members, _hubs(members, 0), [])]
+    labels = _merge(labels, _edges(tested[-1], sketches, texts))
     undecided = texts.join(_open(members, labels).select("node").distinct(), "node", "left_semi").select("node", "text")
     members, each = _rare_members(undecided), 1
     while True:
@@ -297,8 +298,11 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
         hubs = _hubs(members, each)
         pairs = _pairs(members, hubs, tested)
-        tested = written(tested.union(pairs), "tested")
-        labels = _merge(labels, _edges(pairs, sketches, texts))
+        if pairs.limit(1).count():
+            tested.append(pairs)
+            edges = _edges(pairs, sketches, texts)
+            if edges.limit(1).count():
+                labels = _merge(labels, edges)
         members = members.join(hubs.select("bucket", F.col("hub_node").alias("node")), ["bucket", "node"], "left_anti")
         each *= 16
 
