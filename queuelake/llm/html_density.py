@@ -32,6 +32,7 @@ CLOSES_P = set("address article aside blockquote center details dialog dir div d
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
            "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
            "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SCOPE = set("html body article section main div table td th li ul ol blockquote aside nav header footer form button figure".split())
 
 #: Words in a class, id or role that name what is not the article.
@@ -113,8 +114,8 @@ def parse(page: str) -> Node:
             continue
         if tag in CLOSES_P:
             close({"p"}, SCOPE)
-            if tag[0] == "h" and tag[1:].isdigit():
-                close({f"h{i}" for i in range(1, 7)}, SCOPE)
+            if tag in HEADINGS:
+                close(HEADINGS, SCOPE)
         if tag in IMPLIED:
             close(*IMPLIED[tag])
         node = Node(tag, stack[-1], _left_out(tag, m[3] or ""))
@@ -181,7 +182,7 @@ def _content(root: Node) -> list[Node]:
         path.append(node)
     threshold = min(n.density for n in path)
     # beside the path, blocks as dense as the path's least dense one belong to
-    # the article too, and so does the text that stands next to them
+    # the article too, and so do headings, which are short by nature
     on_path = set(map(id, path))
     top = path[-1]
     out, todo = [], [top]
@@ -191,7 +192,7 @@ def _content(root: Node) -> list[Node]:
             out.append(node)
         elif id(node) in on_path:
             todo.extend(x for x in reversed(node.items) if isinstance(x, Node) and not x.out)
-        elif node.density >= threshold or node.tag in INLINE:
+        elif node.density >= threshold or node.tag in INLINE or node.tag in HEADINGS:
             out.append(node)
     return out
 

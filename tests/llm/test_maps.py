@@ -93,6 +93,12 @@ def test_article_beats_links_and_its_sparse_blocks_stay():
     assert html_density.main_text(page) == f"{words.strip()}\nOk.\n{words.strip()}"
 
 
+def test_headings_beside_the_densest_block_stay():
+    words = "plain words of the article that go on " * 12
+    page = f"<body><div id=content><h1>A title</h1><div class=body>{f'<p>{words}</p>' * 9}</div></div><div class=comments><p>{words}</p></div></body>"
+    assert html_density.main_text(page) == "\n".join(["A title", *[words.strip()] * 9])
+
+
 def test_pages_of_the_table(spark):
     from queuelake.llm.catalog import op8_html_extraction
 
