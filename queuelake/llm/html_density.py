@@ -4,9 +4,10 @@ The page becomes a tree.  Scripts, styles, comments and the elements that by
 their tag, role, class or id are menus, headers, footers, sidebars, notices,
 adverts, forms or reader comments are left out.  Every block gets a density:
 characters per tag, weighed by the share of characters and tags inside links.
-The block whose children have the greatest sum of densities holds the article;
-the least density on the path from the body to it is the threshold for further
-blocks beside that path.
+The block whose children have the greatest sum of densities lies in the article:
+the article or main element around it, or else the page.  All of that stays but
+lists of links beside the block.  Outside of an article or main element the
+least density on the path to the block is the threshold for further blocks.
 """
 
 from __future__ import annotations
@@ -25,13 +26,14 @@ from queuelake.llm.frames import map_batches
 #: Element names of the HTML standard, by their part here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
-LEFT_OUT = set("head script style noscript template iframe object svg canvas nav header footer aside form button select option textarea dialog menu noembed noframes xmp math audio video map".split())
+LEFT_OUT = set("head title script style noscript template iframe object svg canvas nav header footer aside form button select option textarea dialog menu noembed noframes xmp math audio video map".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 #: What an opening tag closes besides, and the elements that bound the search.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
            "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
            "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
+ARTICLE = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SCOPE = set("html body article section main div table td th li ul ol blockquote aside nav header footer form button figure".split())
 
@@ -168,36 +170,60 @@ def weigh(root: Node) -> list[Node]:
     return nodes
 
 
-def _content(root: Node) -> list[Node]:
-    """The article's subtrees in page order."""
+def _many_links(node: Node) -> bool:
+    """Several links that hold most of the text, as in an unmarked menu."""
+    return node.link_tags > 2 and 2 * node.link_chars > node.chars
+
+
+def _content(root: Node) -> list[Node | str | None]:
+    """The article's subtrees and bare texts in page order; None ends a block."""
     nodes = weigh(root)
-    body = next((n for n in nodes if n.tag == "body"), root)
     blocks = [n for n in nodes if n.tag not in INLINE and n.chars]
     best = max(blocks, key=lambda n: n.sum, default=None)
     if best is None:
         return []
-    path, node = [best], best
-    while node is not body and node.parent is not None:
-        node = node.parent
-        path.append(node)
-    threshold = min(n.density for n in path)
-    # beside the path, blocks as dense as the path's least dense one belong to
-    # the article too, and so do headings, which are short by nature
-    on_path = set(map(id, path))
-    top = path[-1]
-    out, todo = [], [top]
+    path = [best]
+    while path[-1].parent is not None:
+        path.append(path[-1].parent)
+    body = next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1)
+    threshold = min(n.density for n in path[: body + 1])
+    # what is the article as a whole: the outermost article or main around the
+    # block, else the page, and the other articles of the page
+    whole, todo = [next((n for n in reversed(path) if n.tag in ARTICLE), root)], [root]
     while todo:
         node = todo.pop()
-        if node is best:
-            out.append(node)
-        elif id(node) in on_path:
-            todo.extend(x for x in reversed(node.items) if isinstance(x, Node) and not x.out)
-        elif node.density >= threshold or node.tag in INLINE or node.tag in HEADINGS:
-            out.append(node)
+        if node.tag in ARTICLE and node.chars and not _many_links(node):
+            whole.append(node)
+        else:
+            todo.extend(x for x in node.items if isinstance(x, Node) and not x.out)
+    on_path, above = set(map(id, path)), set()
+    for node in whole:
+        while node is not None and id(node) not in above:
+            above.add(id(node))
+            node = node.parent
+    wholes = set(map(id, whole))
+    out: list[Node | str | None] = []
+    walk: list[tuple[Node | str | None, bool]] = [(root, False)]
+    while walk:
+        x, inside = walk.pop()
+        if x is None or isinstance(x, str):
+            out.append(x)
+        elif x.out:
+            continue
+        elif x is best:
+            out.append(x)
+        elif id(x) in on_path or id(x) in above:
+            inside = inside or id(x) in wholes
+            ends = [(None, inside)] if x.tag not in INLINE else []
+            walk.extend([*ends, *((y, inside) for y in reversed(x.items)), *ends])
+        elif x.tag in INLINE or x.tag in HEADINGS or x.density >= threshold or inside and not _many_links(x):
+            # outside, blocks as dense as the path's least dense one belong to
+            # the article too, and so do headings, which are short by nature
+            out.append(x)
     return out
 
 
-def _blocks(node: Node, out: list[list[str]]) -> None:
+def _blocks(node: Node | str | None, out: list[list[str]]) -> None:
     """Texts of ``node``, a list for each block; inline elements join in."""
     todo: list[Node | str | None] = [node]
     while todo:

@@ -99,6 +99,24 @@ def test_headings_beside_the_densest_block_stay():
     assert html_density.main_text(page) == "\n".join(["A title", *[words.strip()] * 9])
 
 
+def test_all_of_the_article_stays():
+    def ps(n, chars, tag="p"):
+        return [(c * chars) for c in "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrstuvwxyz"[:n]], "".join(f"<{tag}>{c * chars}</{tag}>" for c in "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrstuvwxyz"[:n])
+
+    (a, a_html), (b, b_html), (items, items_html) = ps(6, 400), ps(6, 200), ps(40, 60, "li")
+    for wrap in ("<article>%s</article>", "<main>%s</main>", "<body><div>%s</div></body>", "%s"):
+        # sections of unlike density, a list denser than the paragraphs, short ones
+        assert html_density.main_text(wrap % f"<h1>Title</h1><section>{a_html}</section><section>{b_html}</section>").split("\n") == ["Title", *a, *b]
+        assert html_density.main_text(wrap % f"<p>Short.</p><ul>{items_html}</ul><p>Two.</p><div><p>Deep.</p></div>").split("\n") == ["Short.", *items, "Two.", "Deep."]
+        # bare text beside and within blocks
+        assert html_density.main_text(wrap % f"Lead <i>text</i> here<div>{a_html}</div>tail<div>bare<div>{b_html}</div></div>").split("\n") == ["Lead text here", *a, "tail", "bare", *b]
+    # articles of a page beside each other, and what is not one
+    links = "".join(f"<li><a href=/{i}>a link of the page {i}</a></li>" for i in range(9))
+    page = f"<body><ul>{links}</ul><div><article>{a_html}</article></div><div><article>{b_html}</article><article><p>Last.</p></article></div><div>Login <p>off</div></body>"
+    assert html_density.main_text(page).split("\n") == [*a, *b, "Last."]
+    assert html_density.main_text(f"<article><p>Text</p><div>{a_html}</div><ul>{links}</ul><p><a href=x>One link</a></p></article>").split("\n") == ["Text", *a, "One link"]
+
+
 def test_pages_of_the_table(spark):
     from queuelake.llm.catalog import op8_html_extraction
 
