@@ -2,8 +2,9 @@
 
 The page becomes a tree.  Scripts, styles, comments and the elements that by
 their tag, role, class or id are menus, headers, footers, sidebars, notices,
-adverts, forms or reader comments are left out.  Every block gets a density:
-characters per tag, weighed by the share of characters and tags inside links.
+adverts, forms or reader comments are left out, unless one holds the article
+itself.  Every block gets a density: characters per tag, weighed by the share of
+characters and tags inside links.
 The block whose children have the greatest sum of densities lies in the article:
 the article or main element around it, or else the page.  All of that stays but
 lists of links beside the block.  Outside of an article or main element the
@@ -26,7 +27,9 @@ from queuelake.llm.frames import map_batches
 #: Element names of the HTML standard, by their part here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
-LEFT_OUT = set("head title script style noscript template iframe object svg canvas nav header footer aside form button select option textarea dialog menu noembed noframes xmp math audio video map".split())
+LEFT_OUT = set("head title script style noscript template iframe object svg canvas button select option textarea noembed noframes xmp math audio video map".split())
+BESIDE_TAGS, FORM_TAGS = set("nav header footer aside".split()), set("form dialog menu".split())
+HEAD_PARTS = set("base basefont bgsound link meta noframes noscript script style template title".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 #: What an opening tag closes besides, and the elements that bound the search.
@@ -48,35 +51,61 @@ comment comments commentlist respond reply replies disqus discussion
 share sharing social toolbar search form hidden complementary contentinfo
 """.split())
 
+#: Those of them for reader comments; words that turn a name's meaning around;
+#: and last words of a name that only say which part of the thing it is.
+COMMENTS_WORDS = set("comment comments commentlist respond reply replies disqus discussion".split())
+NEGATED = set("no not non has have with without hide".split())
+PARTS = set("""
+area list lists wrapper wrap container box bar block section panel slot unit item items inner outer group row col
+left right top bottom primary secondary thread links buttons icons posts articles stories news
+""".split())
+#: How an element is left out: by a name, or by one of the tags for what stands
+#: beside an article, unless it holds the article; as reader comments, unless
+#: there is no other text; as what is never text.
+BY_NAME, BESIDE, COMMENTS, NEVER = 1, 2, 3, 4
+
 _TOKEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "items", "out", "chars", "tags", "link_chars", "link_tags", "density", "sum", "parent")
+    __slots__ = ("tag", "items", "out", "own", "chars", "tags", "link_chars", "link_tags", "density", "sum", "parent")
 
-    def __init__(self, tag: str, parent: "Node | None", out: bool = False):
+    def __init__(self, tag: str, parent: "Node | None", out: int = 0):
         self.tag, self.parent, self.out = tag, parent, out
         self.items: list[Node | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.own = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _left_out(tag: str, attributes: str) -> bool:
+def _named(name: str) -> int:
+    """How a class, id or role leaves out: by its last word but for PARTS
+    (site-footer, sidebar-left), so neither no-sidebar nor related-work does."""
+    words = _WORDS.findall(name)
+    if not NEGATED.isdisjoint(words):
+        return 0
+    while len(words) > 1 and (words[-1] in PARTS or len(words[-1]) == 1):
+        words.pop()
+    if not words or words[-1] not in BOILERPLATE:
+        return 0
+    return COMMENTS if words[-1] in COMMENTS_WORDS else BY_NAME
+
+
+def _left_out(tag: str, attributes: str) -> int:
     if tag in LEFT_OUT:
-        return True
+        return NEVER
+    out = BESIDE if tag in BESIDE_TAGS else BY_NAME if tag in FORM_TAGS else 0
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return out
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         if name in ("class", "id", "role"):
-            words = set(_WORDS.findall(html.unescape(m[2] or m[3] or m[4] or "").lower()))
-            if words & BOILERPLATE:
-                return True
+            for token in html.unescape(m[2] or m[3] or m[4] or "").lower().split():
+                out = max(out, _named(token))
         elif name == "hidden" or name == "aria-hidden" and (m[2] or m[3] or m[4]) == "true":
-            return True
-    return False
+            out = max(out, BY_NAME)
+    return out
 
 
 def parse(page: str) -> Node:
@@ -102,6 +131,8 @@ def parse(page: str) -> Node:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text:
+            if stack[-1].tag == "head" and text.strip():
+                close({"head"}, set())
             stack[-1].items.append(html.unescape(text) if "&" in text else text)
         if not m:
             break
@@ -110,10 +141,14 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if m[1] or m[4]:
+            if tag in ("html", "body"):  # what follows belongs to the body
+                continue
             close({tag}, SCOPE - {tag} if tag in INLINE or tag == "p" else set())
             continue
-        if tag in ("html", "body") and open_tags[tag]:
+        if tag in ("html", "body") and open_tags[tag] or tag == "head" and stack[-1].tag != "html":
             continue
+        if tag == "body" or stack[-1].tag == "head" and tag not in HEAD_PARTS:
+            close({"head"}, set())
         if tag in CLOSES_P:
             close({"p"}, SCOPE)
             if tag in HEADINGS:
@@ -130,9 +165,50 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not (m[3] or "").endswith("/"):
             stack.append(node)
             open_tags[tag] += 1
+    _spare(root)
     return root
 
 
+def _spare(root: Node) -> None:
+    """Takes back what would leave out the article: elements that hold a main
+    element and, where every article is left out or the page has none, those
+    that hold most of the page's text outside of links, and those around the
+    first article if most of that text is left out."""
+    nodes, hid, linked, todo = [], {}, {}, [root]
+    while todo:
+        node = todo.pop()
+        if node.out == NEVER:
+            continue
+        nodes.append(node)
+        node.own = sum(len(" ".join(x.split())) for x in node.items if isinstance(x, str))
+        above = node.parent
+        hid[node] = max(node.out, hid[above] if above else 0)
+        linked[node] = node.tag == "a" or above is not None and linked[above]
+        todo.extend(x for x in reversed(node.items) if isinstance(x, Node))
+    if not any(hid.values()):
+        return
+    for least in (COMMENTS, NEVER):  # comments count where nothing else does
+        plain = {n: 0 if linked[n] or hid[n] >= least else n.own for n in nodes}
+        total = sum(plain.values())
+        if total:
+            break
+    seen = sum(x for n, x in plain.items() if not hid[n])
+    main = {n: n.tag == "main" for n in nodes}
+    for node in reversed(nodes):
+        if node.parent:
+            plain[node.parent] += plain[node]
+            main[node.parent] |= main[node]
+    stands = any(plain[n] for n in nodes if n.tag in ARTICLE and (not hid[n] or n.tag == "main" and hid[n] < least))
+    for node in nodes:
+        if 0 < node.out < least and (main[node] or 2 * plain[node] > total and not stands):
+            node.out = 0
+    if 2 * seen <= total and not stands:
+        node = next((n for n in nodes if n.tag == "article" and hid[n] == BY_NAME), None)
+        while node is not None:
+            node.out = 0
+            node = node.parent
+
+
 def _nodes(root: Node) -> list[Node]:
     """The nodes that are not left out, parents first."""
     out, todo = [], [root]
@@ -149,10 +225,9 @@ def weigh(root: Node) -> list[Node]:
     """Densities and density sums of every node that is not left out."""
     nodes = _nodes(root)
     for node in reversed(nodes):
+        node.chars += node.own
         for x in node.items:
-            if isinstance(x, str):
-                node.chars += len(" ".join(x.split()))
-            elif not x.out:
+            if isinstance(x, Node) and not x.out:
                 node.chars += x.chars
                 node.tags += x.tags + 1
                 node.link_chars += x.chars if x.tag == "a" else x.link_chars

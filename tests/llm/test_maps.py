@@ -117,6 +117,32 @@ def test_all_of_the_article_stays():
     assert html_density.main_text(f"<article><p>Text</p><div>{a_html}</div><ul>{links}</ul><p><a href=x>One link</a></p></article>").split("\n") == ["Text", *a, "One link"]
 
 
+def test_what_holds_the_article_stays():
+    words = "plain words of the article that go on " * 12
+    want = "\n".join([words.strip()] * 3)
+    text = f"<p>{words}</p>" * 3
+    for page in (
+        f"<html><head><title>t</title><body>{text}",
+        f"<html><head><title>t</title>{text}",
+        f"<head><meta charset=x><title>t</title>{words}<p>{words}</head><p>{words}</p>",
+        f"<title>t</title><body></body>{text}</html>",
+        *(f"<body><div {x}>{text}</div><div class=footer>foot</div>" for x in ("class='content no-sidebar'", "class='has-sidebar'", "class=legal-text", "id=related-work", "id=tabs")),
+        *(f"<body><div class=sidebar-left><{x}>{text}</{x}></div>" for x in ("article", "main", "div")),
+        f"<body class=has-nav><form id=aspnetForm><nav><a href=/>menu</a> menu</nav><div>{text}</div><aside>beside</aside></form>",
+        f"<body><nav>{text}",
+        # an article with less text than what stands around it
+        f"<body><form><article>{text}</article><div class=cookie-banner>{words * 2}</div></form><div class='ad-slot'>{words}</div>",
+        f"<body><div class=modal><main>{text}</main></div><div class=popup>{words * 9}</div>",
+    ):
+        assert html_density.main_text(page) == want, page[:80]
+    marked = ("class=site-footer", "id=main-nav", "class='x sidebar-left'", "class=comment-list", "class=ad-1", "id=cookie-banner", "role=banner", "hidden")
+    for out in marked:
+        assert html_density.main_text(f"<body><div>{text}</div><div {out}><p>other words</p></div>") == want, out
+    # reader comments stay out however long, and so do articles in them
+    comments = f"<div id=comments>{f'<article>{text}</article>' * 5}</div>"
+    assert html_density.main_text(f"<body><div>{text}</div>{comments}") == want
+
+
 def test_pages_of_the_table(spark):
     from queuelake.llm.catalog import op8_html_extraction
 
