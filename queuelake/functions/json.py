@@ -17,8 +17,9 @@ NUMBER_PRECISION = "NUMBER_PRECISION"
 # A number of so many characters, or with a three-digit exponent, may not come
 # out of a double as it went in.
 _LONG_NUMBER = "[0-9][0-9.]{15,}|[0-9][eE][+-]?[0-9]{3,}"
-# What a decimal of 38 digits does not hold either.
-_LOST_NUMBER = "(?:[0-9]\\.?){39,}|[0-9][0-9.]{15,}[eE]|[0-9][eE][+-]?[0-9]{3,}"
+# What a decimal of 38 digits may not hold as written either.
+_HARD_NUMBER = "(?:[0-9]\\.?){39,}|[0-9][0-9.]{15,}[eE]|[0-9][eE][+-]?[0-9]{3,}"
+_NUMBER = "(?:0|[1-9][0-9]*+)(?:\\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"
 _STRING = "\"[^\"\\\\]*+(?:\\\\.[^\"\\\\]*+)*+\""
 
 
@@ -40,9 +41,53 @@ def has_long_number(text: Column) -> Column:
     return text.rlike(_LONG_NUMBER)
 
 
+def _digits(number: Column) -> tuple[Column, Column]:
+    """A number without sign as (d, p): d has no zeros at its ends, the value
+    is 0.d * 10**p; p is null for an exponent beyond an int."""
+    whole = F.regexp_extract(number, "^[0-9]+", 0)
+    exponent = F.regexp_extract(number, "[eE]([+-]?[0-9]+)", 1)
+    digits = F.concat(whole, F.regexp_extract(number, "\\.([0-9]+)", 1))
+    kept = F.ltrim(digits, F.lit("0"))
+    place = F.length(whole) + F.when(exponent == "", 0).otherwise(exponent.try_cast("int").cast("bigint"))
+    return F.rtrim(kept, F.lit("0")), place - (F.length(digits) - F.length(kept))
+
+
+def _kept_by_double(number: Column) -> Column:
+    (d, p), (dd, pp) = _digits(number), _digits(number.try_cast("double").cast("string"))
+    return (d == "") | F.coalesce((d == dd) & (p == pp), F.lit(False))
+
+
+def _fits_decimal(number: Column) -> Column:
+    d, p = _digits(number)
+    return F.coalesce((F.greatest(F.length(d), p) <= 38) & (F.length(d) - p <= 38), F.lit(False))
+
+
+def _plain(number: Column) -> Column:
+    """Without exponent and needless zeros; only for what fits a decimal."""
+    d, p = _digits(number)
+    p = p.cast("int")
+    return (
+        F.when(p <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -p), d))
+        .when(p >= F.length(d), F.concat(d, F.repeat(F.lit("0"), p - F.length(d))))
+        .otherwise(F.concat(F.substr(d, F.lit(1), p), F.lit("."), F.substr(d, p + 1)))
+    )
+
+
 def loses_number(text: Column) -> Column:
-    """Whether a number (outside of strings) can not be kept exactly."""
-    return has_long_number(text) & F.regexp_replace(text, _STRING, '""').rlike(_LOST_NUMBER)
+    """Whether a number (outside of strings) can not be kept exactly, neither
+    by a decimal of 38 digits nor by a double."""
+    bare = F.regexp_replace(text, _STRING, '""')
+    numbers = F.regexp_extract_all(bare, F.lit(_NUMBER), 0)
+    lost = F.exists(numbers, lambda x: x.rlike(_HARD_NUMBER) & ~_fits_decimal(x) & ~_kept_by_double(x))
+    return has_long_number(text) & F.when(bare.rlike(_HARD_NUMBER), lost).otherwise(F.lit(False))
+
+
+def _writable(text: Column) -> Column:
+    """``text`` with the numbers that a decimal holds but not as written, and
+    a double does not, written out plainly; strings and all else as it is."""
+    parts = F.regexp_extract_all(text, F.lit(f"(?s){_STRING}|{_NUMBER}|[^\"0-9]++|."), 0)
+    fixed = F.transform(parts, lambda x: F.when(x.rlike("^[0-9]") & x.rlike(_HARD_NUMBER) & _fits_decimal(x) & ~_kept_by_double(x), _plain(x)).otherwise(x))
+    return F.when(text.rlike(_HARD_NUMBER), F.array_join(fixed, "")).otherwise(text)
 
 
 def minified(text: Column) -> Column:
@@ -54,7 +99,7 @@ def minified(text: Column) -> Column:
     """
     t = F.trim(text)
     exact = t.startswith('"') | has_long_number(t)
-    return F.when(exact, F.to_json(F.try_parse_json(t))).otherwise(F.get_json_object(t, "$"))
+    return F.when(exact, F.to_json(F.try_parse_json(_writable(t)))).otherwise(F.get_json_object(t, "$"))
 
 
 def array_elements(text: Column, key: str) -> Column:
@@ -67,7 +112,7 @@ def array_elements(text: Column, key: str) -> Column:
     # and rounds long numbers; only then is the variant view needed.
     long_number = has_long_number(text)
     needs_fix = F.exists(strs, lambda x: x.isNull() | ~(x.startswith("{") | x.startswith("[")))
-    variants = F.from_json(text, f"struct<{f}: array<variant>>").getField(key)
+    variants = F.from_json(_writable(text), f"struct<{f}: array<variant>>").getField(key)
     fixed = F.zip_with(
         strs,
         variants,

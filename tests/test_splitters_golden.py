@@ -196,6 +196,29 @@ def test_json_numbers_keep_their_value(spark):
     assert [(v, e) for _, _, v, e in whole] == [('{"a":' + nums[1] + "}", None), ('{"a": 1e400}', "NUMBER_PRECISION")]
 
 
+def test_json_numbers_with_exponents_are_kept_where_they_can_be(spark):
+    from decimal import Decimal
+
+    kept = ["1.234567890123456E-5", "1.2345678901234567E10", "-1.2345678901234567891E+3", "1e100", "-2.5E-300", "1.7976931348623157e308",
+            "12345678901234567890123456789E-38", "1234567890123456789E19", "0." + "0" * 30 + "12345678", "1" + "0" * 60, "12345678901234567890.1" + "0" * 30,
+            "0e999", "0.0000000000000000000000E99999999999", "1.50000000000000000E1", "123456789.0123456789012345678901E-7"]
+    text = '"1.2345678901234567E10 \\" 1e999"'
+    doc = '{"items":[' + ",".join([*kept, '{"z":[' + kept[1] + "]}", text]) + "]}"
+    got = records(split_json(messages(spark, [doc]), split="items"))
+    assert [e for *_, e in got] == [None] * len(got)
+    assert [Decimal(v) for _, _, v, _ in got[: len(kept)]] == [Decimal(n) for n in kept]
+    assert Decimal(got[-2][2][6:-2]) == Decimal(kept[1]) and got[-1][2] == text
+    whole = records(split_json(messages(spark, ['{"a": ' + n + "}" for n in kept])))
+    assert sorted(Decimal(v[5:-1]) for _, _, v, _ in whole) == sorted(Decimal(n) for n in kept)
+    lost = ["1e400", "1e-400", "1.2345678901234567891E-30", "12345678901234567890E20", "1.2345678901234567891E99999999999", "9" * 39]
+    for split in ("items", None):
+        got = records(split_json(messages(spark, ['{"items":[1,' + n + "]}" for n in lost]), split=split))
+        assert [(p, e) for _, p, _, e in got] == [(-1, "NUMBER_PRECISION")] * len(lost)
+    broken = ["01.2345678901234567E10", "1.2345678901234567E", "1.5.2345678901234567e3", "1.2345678901234567E10 2"]
+    got = records(split_json(messages(spark, ['{"items":[' + n + "]}" for n in broken]), split="items"))
+    assert [(p, e) for _, p, _, e in got] == [(-1, "BAD_JSON")] * len(broken)
+
+
 def test_xml_is_linear_and_quotes_are_read(spark):
     import time
 
