@@ -99,13 +99,25 @@ def edited(text: str, following: str) -> str:
 def _ranges(docs: DataFrame) -> list[int]:
     """First doc_ids of ranges of about ``ROWS_PER_RANGE`` documents (more, where
     that would make over ``MAX_RANGES`` ranges): ids that exist, from a quantile
-    sketch over all of them."""
-    n, least = docs.agg(F.count("doc_id"), F.min("doc_id")).first()
+    sketch over all of them.  The sketch holds doubles, so where ids are beyond
+    2**53 its quantiles are replaced by the least id from each of them on."""
+    n, least, most = docs.agg(F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
     if not n:
         return []
     parts = max(1, min(round(n / ROWS_PER_RANGE), MAX_RANGES), docs.sparkSession.sparkContext.defaultParallelism)
     cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else []
-    return sorted({least, *cuts})
+    if max(-least, most) <= 2**53 or not cuts:
+        return sorted({least, *cuts})
+    bounds = np.unique(np.array(cuts, dtype=np.int64))
+
+    def leasts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.sort(batch.column(0).drop_null().to_numpy())
+            parts, at = np.unique(np.searchsorted(bounds, ids, side="right"), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int32)), pa.array(ids[at])], names=["part", "doc_id"])
+
+    firsts = map_batches(docs.select("doc_id"), leasts, "part int, doc_id long").groupBy("part").agg(F.min("doc_id")).collect()
+    return sorted(r[1] for r in firsts)
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -129,13 +141,13 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Range of each row, and again of the first rows, as followers."""
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            known = ~np.asarray(batch.column(0).is_null())
-            where = np.full(len(ids), -1, dtype=np.int32)
-            exact = ids[known].astype(np.int64) if known.any() else np.zeros(0, dtype=np.int64)
+            known = np.asarray(batch.column(0).is_valid())
+            where = np.full(len(known), -1, dtype=np.int32)
+            # with nulls in, the column would come as float64, which rounds ids
+            exact = batch.column(0).drop_null().to_numpy()
             where[known] = np.searchsorted(firsts, exact, side="right") - 1
             where[~known] = np.arange((~known).sum()) % parts
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(where), pa.array(np.zeros(len(ids), dtype=np.int32))], names=["doc_id", "text", "part", "follows"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(where), pa.array(np.zeros(len(known), dtype=np.int32))], names=["doc_id", "text", "part", "follows"])
             edge = np.flatnonzero(known)[np.isin(exact, firsts)]
             if len(edge):
                 some = batch.take(pa.array(edge))
@@ -151,6 +163,9 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
             return (doc_id, len(text), hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest(), written_out(own), written_out(theirs),
                     containment(own, theirs), containment(own, after[1]) if after else None)
 
+        def no_next(doc_id: int) -> RuntimeError:
+            return RuntimeError(f"document {doc_id} has no next one: the table changed between two reads")
+
         waiting: tuple | None = None  # part, doc_id, text, chunks: wants its next
         for batch in batches:
             out = []
@@ -163,8 +178,12 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
                     out.append(row(*waiting[1:], (text, own)))
                     waiting = None
                 if not follows:
+                    if waiting:
+                        raise no_next(waiting[1])
                     waiting = (part, doc_id, text, own)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+        if waiting:
+            raise no_next(waiting[1])
 
     dealt = map_batches(rows, places, "doc_id long, text string, part int, follows int")
     # of the followers only the first by text is the next document

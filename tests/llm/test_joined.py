@@ -154,6 +154,18 @@ def test_fingerprints_of_repeated_and_null_ids(spark, docs_of):
     assert {r.edited_sha256 for r in out} == want
 
 
+def test_fingerprints_of_great_ids_among_null_ids(spark, docs_of):
+    rng = np.random.default_rng(7)
+    ids = sorted({*(2**63 - 1 - rng.integers(0, 4000, 600)).tolist(), *rng.integers(-(2**63), 2**63 - 1, 600).tolist()})
+    text = {i: f"text {i} " * 9 for i in ids}
+    rows = [*text.items(), *((None, f"null id {i}") for i in range(300))]
+    out = fingerprints.fingerprint_documents(docs_of([rows[i] for i in rng.permutation(len(rows))])).collect()
+    assert sorted(r.doc_id for r in out if r.doc_id is not None) == ids and len(out) == len(rows)
+    edits = {r.doc_id: r.edited_sha256 for r in out}
+    for i, j in zip(ids, [*ids[1:], ids[0]]):
+        assert edits[i] == hashlib.sha256(fingerprints.edited(text[i], text[j]).encode()).hexdigest()
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(2)
     text = " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(3000))
