@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from queuelake.llm.frames import table, written
-from queuelake.llm.near_dedup import keep_one_of_each
+from queuelake.llm.near_dedup import keep_one_row_of_each
 from queuelake.llm.packing import pack_documents
 from queuelake.llm.quality import keep_good
 from queuelake.llm.toxicity import keep_clean
@@ -29,8 +29,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates, that of least doc_id."""
-    return keep_one_of_each(docs)
+    """One row of each component of near duplicates, of the least doc_id."""
+    return keep_one_row_of_each(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuelake.llm.components import components
@@ -307,6 +307,24 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         each *= 16
 
 
+def _grouped(docs: DataFrame) -> DataFrame:
+    """What ``near_duplicates`` gives, and group: a number for the documents of
+    a component, also of one without ids; null for texts without shingles."""
+    sig = written(_signatures(docs), "signatures")
+    sets = sig.where("key is not null").groupBy("key").agg(
+        F.min("doc_id").alias("first_id"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id0"), "text_hash", "n_shingles", "sketch", "bands")).alias("one"),
+    )
+    nodes = written(sets.select(F.monotonically_increasing_id().alias("node"), "key", "first_id", "one.*"), "nodes")
+    named = nodes.select("node", "key", "first_id").join(_labels(docs, nodes), "node", "left")
+    shared = named.where("label is not null").groupBy("label").agg(F.min("first_id").alias("least"))
+    least = F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("least"))
+    named = named.join(shared, "label", "left").select("key", least.alias("component"), F.coalesce("label", "node").alias("group"))
+    out = sig.select("doc_id", "text_hash", "n_shingles", "key").join(named, "key", "left")
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash", "group")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Component of every document: doc_id, n_shingles, component_id, kept and
     text_hash (xxhash64 of the text, to tell rows of one doc_id apart).
@@ -318,18 +336,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     that repeat doc_id and text are one document.  Other columns are not read;
     an empty table gives no rows.
     """
-    sig = written(_signatures(docs), "signatures")
-    sets = sig.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first_id"),
-        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id0"), "text_hash", "n_shingles", "sketch", "bands")).alias("one"),
-    )
-    nodes = written(sets.select(F.monotonically_increasing_id().alias("node"), "key", "first_id", "one.*"), "nodes")
-    named = nodes.select("node", "key", "first_id").join(_labels(docs, nodes), "node", "left")
-    shared = named.where("label is not null").groupBy("label").agg(F.min("first_id").alias("least"))
-    named = named.join(shared, "label", "left").select("key", F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("least")).alias("component"))
-    out = sig.select("doc_id", "text_hash", "n_shingles", "key").join(named, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")
+    return _grouped(docs).drop("group")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
@@ -338,3 +345,36 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     gone = written(gone, "dropped")
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__hash"]), "left_anti")
+
+
+def keep_one_row_of_each(docs: DataFrame) -> DataFrame:
+    """Like ``keep_one_of_each``, but of rows that repeat the kept doc_id, or
+    that have none, one row of a component stays.  Texts without shingles are in
+    no component: of these, rows that repeat doc_id and text are one document,
+    and rows without doc_id all stay.
+
+    Texts move only where ids repeat, and copies meet in a partial aggregate.
+    """
+    rows = written(_grouped(docs).select("doc_id", "text_hash", "kept", "group"), "grouped")
+    alone = F.when(F.col("group").isNull(), F.col("text_hash"))
+    kept = rows.where("kept and (group is not null or doc_id is not null)").withColumn("alone", alone)
+    counts = kept.groupBy("group", "alone", "doc_id").agg(F.count("*").alias("n"), F.min("text_hash").alias("first"))
+    repeated = written(counts.where("n > 1").drop("n"), "repeated")
+    gone = rows.where("not kept").select("doc_id", "text_hash")
+    any_repeated = repeated.limit(1).count() > 0
+    if any_repeated:
+        of = repeated.where("group is not null").select(F.col("group").alias("of"), "first")
+        others = kept.join(of, (F.col("group") == F.col("of")) & (F.col("text_hash") != F.col("first")))
+        gone = gone.union(others.select("doc_id", "text_hash"))
+    gone = written(gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "dropped")
+
+    def same(other: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(other["__id"]) & (F.xxhash64(docs["text"]) == other["__hash"])
+
+    left = docs.join(gone, same(gone), "left_anti")
+    if not any_repeated:
+        return left
+    some = repeated.select(F.col("doc_id").alias("__id"), F.col("first").alias("__hash"))
+    copies = docs.join(some, same(some), "left_semi")
+    one = copies.groupBy(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash")).agg(F.first(F.struct(*docs.columns)).alias("__row"))
+    return left.join(some, same(some), "left_anti").union(one.select("__row.*"))

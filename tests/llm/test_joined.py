@@ -251,6 +251,21 @@ def test_near_dedup_of_nulls_and_repeats(spark, docs_of):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark, docs_of):
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen".split()
+    a, b, c = (" ".join(f"{w}{k}" for w in words * 3) for k in "abc")
+    rows = [*[(5, a)] * 9, (5, a.upper()), (None, a), (9, a), *[(None, b)] * 3, (None, b.upper()), (5, c), (5, c), (4, None), (4, None), (4, " "), (None, None), (None, None), (8, "x " * 90)]
+    out = near_dedup.keep_one_row_of_each(docs_of(rows))
+    assert out.columns == docs_of(rows).columns
+    got = sorted((str(r.doc_id), (r.text or "null").lower()) for r in out.collect())
+    assert got == sorted([("5", a), ("None", b), ("5", c), ("4", "null"), ("4", " "), ("None", "null"), ("None", "null"), ("8", "x " * 90)])
+    import corpus_pipeline
+
+    assert corpus_pipeline.near_dedup(spark, docs_of(rows), SF).count() == len(got)
+    assert near_dedup.keep_one_row_of_each(docs_of([(1, a), (2, a), (3, b)])).count() == 2
+    assert near_dedup.keep_one_row_of_each(docs_of(rows).limit(0)).count() == 0
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 4000).astype(np.uint64)
