@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from queuelake.llm.bpe import bpe_documents
 from queuelake.llm.chat import rotate_perspectives
+from queuelake.llm.decontamination import contamination_digest, find_contamination
 from queuelake.llm.fingerprints import fingerprint_documents
 from queuelake.llm.frames import table
 from queuelake.llm.html_density import extract_pages
 from queuelake.llm.licences import scan_licences
 from queuelake.llm.near_dedup import near_duplicates
+from queuelake.llm.oracles import DECONTAMINATION, REPAIR, VARIANTS
 from queuelake.llm.packing import pack_documents
 from queuelake.llm.quality import quality_decisions
+from queuelake.llm.repair import repair_damaged
 from queuelake.llm.sharding import regular_tree, shard_documents
 from queuelake.llm.toxicity import toxicity_scores
+from queuelake.llm.variants import spelling_variants
 
 SHARDS = 24
 
@@ -62,6 +66,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_decisions(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_sharding": op2_sharding,
@@ -73,9 +89,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_decontamination": op11_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_decontamination": DECONTAMINATION,
+    "op12_spelling_variants": VARIANTS,
+    "op13_conversation_repair": REPAIR,
     "op3_chat_formatting": """
 WITH t AS (
   SELECT conv_id, turn, CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS role, coalesce(text, '') AS text,
