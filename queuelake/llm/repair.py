@@ -289,15 +289,19 @@ def _choose(blocks: DataFrame) -> DataFrame:
 
 
 def repair_turns(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
+    """``repair_faulty`` of turns (conv_id, turn, role, text, at) without their faults."""
+    return repair_faulty(written(faults(turns), "faults"), block_turns)
+
+
+def repair_faulty(rows: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """The repaired conversations, in blocks: conv_id, part and seq (the order of
     a conversation's blocks), whole (it is the only one), first, last and illegal
     (initials before the repair), cost, audit, and turns (role, text) as repaired.
 
-    ``turns`` has conv_id (long or string), turn, role, text (not null) and at
-    (what breaks ties of turn).  A conversation that has no row has no block.
+    ``rows`` has conv_id (long or string), turn, role, text (not null), at (what
+    breaks ties of turn) and fault.  A conversation that has no row has no block.
     """
-    ship_package(turns.sparkSession)
-    rows = written(faults(turns), "faults")
+    ship_package(rows.sparkSession)
     blocks = written(_blocks(rows, block_turns), "blocks")
     short = blocks.where("whole").select("*", F.get("items", F.lit(0)).alias("item"), F.lit("").alias("tail"))
     long = blocks.where("not whole")
@@ -320,7 +324,7 @@ def repair_turns(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
 
     names = ["conv_id", "part", "seq", "whole", "first", "last", "illegal", "cost", "audit", "turns"]
     fields = [*[_BLOCK.field(c) for c in names[1:7]], pa.field("cost", pa.int64()), pa.field("audit", pa.string()), _BLOCK.field("turns")]
-    kind = turns.schema["conv_id"].dataType.simpleString()
+    kind = rows.schema["conv_id"].dataType.simpleString()
     ddl = f"conv_id {kind}, part long, seq long, whole boolean, first string, last string, illegal long, cost long, audit string, turns array<struct<role: string, text: string>>"
     return short.unionByName(joined).select("conv_id", "part", "seq", "whole", "first", "last", "illegal", "turns", "item", "tail").mapInArrow(apply, ddl)
 
@@ -398,16 +402,15 @@ def repair_damaged(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFram
     audit and the digest of an empty string; an empty table gives no rows.  Other
     columns are not read.
     """
-    rows = written(damage(turns.select("conv_id", "turn", "role", "text")), "damaged")
-    repaired = written(repair_turns(rows, block_turns), "repaired")
+    rows = written(faults(damage(turns.select("conv_id", "turn", "role", "text"))), "faults")
+    repaired = written(repair_faulty(rows, block_turns), "repaired")
     said = F.array_join(F.transform("turns", lambda t: F.concat_ws(":", t["role"], t["text"])), "\n")
     one = repaired.where("whole").select("conv_id", "cost", "audit", F.sha2(said.cast("binary"), 256).alias("repaired_sha256"), "illegal")
     digests = one.unionByName(_digests(repaired.where("not whole"))).withColumnRenamed("conv_id", "id")
-    gaps = rows.groupBy("conv_id").agg(
+    stats = rows.groupBy(F.col("conv_id").alias("gid")).agg(
         F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).cast("long").alias("gaps"),
+        *[F.count_if(F.col("fault") == c).alias(c) for c in ("blank", "duplicate", "truncated")],
     )
-    fault = faults(rows).groupBy("conv_id").agg(*[F.count_if(F.col("fault") == c).alias(c) for c in ("blank", "duplicate", "truncated")])
-    stats = gaps.withColumnRenamed("conv_id", "gid").join(fault, F.col("gid").eqNullSafe(F.col("conv_id"))).drop("conv_id")
     base = turns.select("conv_id").distinct()
     out = base.join(stats, F.col("conv_id").eqNullSafe(F.col("gid")), "left").join(digests, F.col("conv_id").eqNullSafe(F.col("id")), "left")
     zero = F.lit(0).cast("long")
