@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.message import archive_name, message_value
 from ..functions.parse import fixed_width_columns, json_struct, parse_fixed_width, parse_json, parse_xml, xml_struct
+from ..operators.groups import complete_messages
 from ..operators.routing import route_failures
 from ..operators.segments import assemble_segments
 from ..operators.splitters import (
@@ -29,8 +30,8 @@ from ..operators.splitters import (
     udtf_splitter,
 )
 from ..options import dead_letter_target
-from ..schema import DEAD_LETTER_LOG_SCHEMA, LOG_SCHEMA
-from ..session import shared_dir
+from ..schema import DEAD_LETTER_LOG_SCHEMA, GROUP_LOG_SCHEMA, LOG_SCHEMA
+from ..session import shared_dir, stateful_session
 from ..sources.archive import archive
 from ..sources.fs import path_exists
 from ..sources.kafka import kafka_shape
@@ -493,6 +494,7 @@ def q_stream_assemble_segments(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.segments import assemble_segments_stream
 
     log, sink, ckpt = _stream_dirs(spark, "stream_segments")
+    spark = stateful_session(spark, spark.sparkContext.defaultParallelism)
     segs = fx.segmented_document_messages(spark, d).drop("doc_id")
     append = write_queue(segs, log, QMGR, QUEUE, "docs", 1)
     stream = read_queue_stream(spark, log, QMGR, QUEUE, max_files_per_trigger=_two_batches(spark, append)).drop(
@@ -509,6 +511,42 @@ def q_stream_assemble_segments(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(sink).where("doc_id is not null")
 
 
+def _group_rows(df: DataFrame, key: str = "conv_id") -> DataFrame:
+    return df.select(F.col("group_id").try_cast("bigint").alias(key), "msg_seq", "last_in_group", _str("payload").alias("payload"), "error")
+
+
+def q_message_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as groups of messages, every second one in segments, with
+    gaps, repeats, lost last marks and segments, and messages that differ."""
+    return _group_rows(complete_messages(fx.grouped_turn_messages(spark, d)))
+
+
+def q_message_groups_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as groups of their lines, with the tables' own gaps and clashes."""
+    return _group_rows(complete_messages(fx.order_line_groups(spark, d)), "o_orderkey")
+
+
+def q_stream_message_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The groups of whole messages over three appends: the last ones arrive late,
+    and what they do not complete is given up once something else arrives."""
+    from ..streaming.drain import drain
+    from ..streaming.groups import release_groups_stream
+
+    log, sink, ckpt = _stream_dirs(spark, "stream_groups")
+    spark = stateful_session(spark, spark.sparkContext.defaultParallelism)
+    msgs = fx.grouped_turn_messages(spark, d, segments=False)
+    end = msgs.groupBy(F.col("group_id").alias("of")).agg(F.max("msg_seq").alias("end"))
+    msgs = msgs.join(end, F.col("group_id") == F.col("of")).drop("of")
+    late = F.col("msg_seq") == F.col("end")
+    later = F.struct(F.lit("later").alias("msg_id"), F.lit("later").alias("group_id"), F.lit(1).alias("msg_seq"), F.lit(True).alias("last_in_group"), F.lit(b"").alias("payload"))
+    appends = [msgs.where(~late).drop("end"), msgs.where(late).drop("end"), spark.range(1).select(later.alias("m")).select("m.*")]
+    for seq, append in enumerate(appends):
+        write_queue(append, log, QMGR, QUEUE, "turns", seq)
+        stream = read_queue_stream(spark, log, QMGR, QUEUE, schema=GROUP_LOG_SCHEMA).drop("producer", "seq")
+        drain(_group_rows(release_groups_stream(stream, delay="0 seconds")), sink, ckpt)
+    return spark.read.parquet(sink).where("conv_id is not null")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_revenue_by_status": q_xml_revenue_by_status,
     "xml_split": q_xml_split,
@@ -545,4 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_consume_by_moving": q_stream_consume_by_moving,
     "stream_batch_writer": q_stream_batch_writer,
     "stream_assemble_segments": q_stream_assemble_segments,
+    "message_groups": q_message_groups,
+    "message_groups_orders": q_message_groups_orders,
+    "stream_message_groups": q_stream_message_groups,
 }

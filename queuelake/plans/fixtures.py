@@ -253,6 +253,69 @@ def segmented_document_messages(spark: SparkSession, sf_dir: str, drop_last_mod:
     )
 
 
+def grouped_turn_messages(spark: SparkSession, sf_dir: str, segments: bool = True) -> DataFrame:
+    """Conversations as message groups: turn t is message t + 1, the last turn
+    carries the last mark.  With ``segments`` every second message is cut into
+    two segments.
+
+    Faults, by ``conv_id``: where 11 divides it message 2 is withheld, 13 the
+    last mark, 17 a second message 1 differs, 7 message 1 comes twice, 19 message
+    2 lacks its second segment.
+    """
+    c = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    ends = c.groupBy(F.col("conv_id").alias("of")).agg(F.max("turn").alias("end"))
+    c = c.join(ends, F.col("conv_id") == F.col("of"))
+    no = (F.col("turn") + 1).cast("int")
+
+    def every(n: int) -> Column:
+        return F.pmod("conv_id", F.lit(n)) == 0
+
+    first = no == 1
+    copies = F.concat(
+        F.array(F.struct(F.lit("").alias("mark"), F.col("text").alias("text"))),
+        F.when(first & every(7), F.array(F.struct(F.lit("again").alias("mark"), F.col("text").alias("text")))).otherwise(F.array()),
+        F.when(first & every(17), F.array(F.struct(F.lit("other").alias("mark"), F.concat("text", F.lit("!")).alias("text")))).otherwise(F.array()),
+    )
+    m = c.where(~(every(11) & (no == 2))).select("conv_id", no.alias("msg_seq"), ((F.col("turn") == F.col("end")) & ~every(13)).alias("last_in_group"), F.inline(copies))
+    cut = (F.length("text") >= 2) & (F.pmod("msg_seq", F.lit(2)) == 0) if segments else F.lit(False)
+    half = F.floor(F.length("text") / 2).cast("int")
+    head, tail = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+    part = "struct<at: int, last: boolean, text: string>"
+    parts = F.when(
+        cut,
+        F.concat(
+            F.array(F.struct(F.lit(0), F.lit(False), head).cast(part)),
+            F.when(every(19) & (F.col("msg_seq") == 2), F.array().cast(f"array<{part}>")).otherwise(F.array(F.struct(F.octet_length(head), F.lit(True), tail).cast(part))),
+        ),
+    ).otherwise(F.array(F.struct(F.lit(None), F.lit(None), F.col("text")).cast(part)))
+    m = m.select("conv_id", "msg_seq", "last_in_group", "mark", F.inline(parts).alias("at", "last", "part"))
+    return m.select(
+        F.concat_ws("-", "conv_id", "msg_seq", "mark", "at").alias("msg_id"),
+        F.lit(MQMT_DATAGRAM).alias("msg_type"),
+        _s("conv_id").alias("group_id"),
+        F.col("at").alias("seg_offset"),
+        F.col("last").alias("last_segment"),
+        F.col("part").cast("binary").alias("payload"),
+        "msg_seq",
+        "last_in_group",
+    )
+
+
+def order_line_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as message groups, as they come: a message per line, numbered by
+    ``l_linenumber``; the greatest number carries the last mark.  The tables
+    leave numbers out and give several lines one number."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    ends = li.groupBy(F.col("l_orderkey").alias("of")).agg(F.max("l_linenumber").alias("end"))
+    li = li.join(ends, F.col("l_orderkey") == F.col("of"))
+    return li.select(
+        _s("l_orderkey").alias("group_id"),
+        F.col("l_linenumber").cast("int").alias("msg_seq"),
+        (F.col("l_linenumber") == F.col("end")).alias("last_in_group"),
+        F.concat_ws("|", "l_partkey", "l_quantity").cast("binary").alias("payload"),
+    )
+
+
 def truncated_order_messages(spark: SparkSession, sf_dir: str, mod: int = 97, cut: int = 20) -> DataFrame:
     """F1 where the final ``cut`` bytes are lost for ``o_orderkey % mod = 0``."""
     f1 = order_xml_messages(spark, sf_dir)

@@ -53,7 +53,38 @@ SELECT doc_id, CASE WHEN doc_id % 10 = 0 AND length(text) > 1024
        CASE WHEN doc_id % 10 = 0 THEN 'INCOMPLETE_GROUP' END AS error
 FROM documents WHERE length(text) > 0"""
 
+
+def _released(messages: str, key: str) -> str:
+    """Group states of ``messages`` (key, no, last, payload, broken), by definition."""
+    return f"""
+WITH m AS ({messages}),
+g AS (
+  SELECT {key}, bool_or(n_payloads > 1) AS clash, bool_or(broken) AS broken, count(*) AS n, min(no) AS lo, max(no) AS hi,
+         count(*) FILTER (last) AS n_last, max(no) FILTER (last) AS last_at
+  FROM (SELECT {key}, no, bool_or(last) AS last, bool_or(broken) AS broken, count(DISTINCT payload) AS n_payloads FROM m GROUP BY {key}, no) GROUP BY {key}),
+s AS (
+  SELECT {key}, clash, CASE WHEN clash THEN 'CONFLICTING_MESSAGES'
+                            WHEN lo = 1 AND hi = n AND n_last = 1 AND last_at = n AND NOT broken THEN NULL ELSE 'INCOMPLETE_MESSAGE_GROUP' END AS error FROM g)
+SELECT DISTINCT {key}, CAST(no AS INTEGER) AS msg_seq, last AS last_in_group, payload, CASE WHEN broken THEN 'INCOMPLETE_GROUP' ELSE error END AS error
+FROM m JOIN s USING ({key})"""
+
+
+def _turn_groups(segments: bool) -> str:
+    broken = "conv_id % 19 = 0 AND turn = 1 AND length(text) >= 2" if segments else "false"
+    return _released(f"""
+  SELECT conv_id, no, last, CASE WHEN broken THEN left(said, length(said) // 2) ELSE said END AS payload, broken FROM (
+    SELECT conv_id, turn + 1 AS no, turn = max(turn) OVER (PARTITION BY conv_id) AND conv_id % 13 <> 0 AS last, {broken} AS broken,
+           unnest(list_concat([text], CASE WHEN turn = 0 AND conv_id % 7 = 0 THEN [text] ELSE [] END,
+                              CASE WHEN turn = 0 AND conv_id % 17 = 0 THEN [text || '!'] ELSE [] END)) AS said
+    FROM conversations) WHERE NOT (conv_id % 11 = 0 AND no = 2)""", "conv_id")
+
+
 ORACLE: dict[str, str] = {
+    "message_groups": _turn_groups(True),
+    "stream_message_groups": _turn_groups(False),
+    "message_groups_orders": _released("""
+  SELECT l_orderkey AS o_orderkey, l_linenumber AS no, l_linenumber = max(l_linenumber) OVER (PARTITION BY l_orderkey) AS last,
+         l_partkey || '|' || l_quantity AS payload, false AS broken FROM lineitem""", "o_orderkey"),
     "xml_revenue_by_status": """
 SELECT o_orderstatus, count(*) AS n_items,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_qty,

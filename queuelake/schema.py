@@ -36,12 +36,19 @@ MESSAGE_SCHEMA = T.StructType(
 )
 MESSAGE_COLUMNS = [f.name for f in MESSAGE_SCHEMA.fields]
 
+# A message's place in a message group (see operators.groups).
+GROUP_FIELDS = [
+    T.StructField("msg_seq", T.IntegerType()),
+    T.StructField("last_in_group", T.BooleanType()),
+]
+
 # Queue-log partition columns (see sources.queue_log).
 LOG_PARTITION_FIELDS = [
     T.StructField("producer", T.StringType()),
     T.StructField("seq", T.LongType()),
 ]
 LOG_SCHEMA = T.StructType(MESSAGE_SCHEMA.fields + LOG_PARTITION_FIELDS)
+GROUP_LOG_SCHEMA = T.StructType(MESSAGE_SCHEMA.fields + GROUP_FIELDS + LOG_PARTITION_FIELDS)
 
 # Raw output of the registered ``mq`` source.
 VALUE_SCHEMA = T.StructType([T.StructField("value", T.BinaryType())])

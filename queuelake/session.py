@@ -69,6 +69,28 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return path
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session beside ``spark`` whose state store is RocksDB, with its time zone
+    and ``partitions`` shuffle partitions (its own, if not given): ``spark``'s
+    options are not touched.  State is kept per shuffle partition, in a number
+    that a checkpoint never changes: size it for the cluster's cores."""
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    beside.conf.set("spark.sql.shuffle.partitions", partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    beside.conf.set(_PROVIDER, ROCKSDB)
+    return beside
+
+
+def require_rocksdb(spark: SparkSession) -> None:
+    """Map state and timers need RocksDB; say so before the stream starts."""
+    if spark.conf.get(_PROVIDER, None) != ROCKSDB:
+        raise ValueError(f"set {_PROVIDER} to {ROCKSDB}, or read the stream with session.stateful_session(spark)")
+
+
 _SHIPPED: set[str] = set()
 
 

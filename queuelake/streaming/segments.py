@@ -1,108 +1,57 @@
 """Stateful reassembly of segmented messages on a stream.
 
-Per ``group_id`` the segments seen so far are kept in state.  A group is
-emitted as one message as soon as it is complete.  Timeouts run on the time of
-arrival (the timestamp of the micro-batch, which Spark logs, so a replay sees
-the same one): a row can not be late, whatever its put time.  Once a group has
-had no new segment for ``delay`` and later segments have arrived, it is emitted
-with an error and whatever arrived, so it can be dead-lettered instead of
-waiting forever.  Unsegmented messages pass straight through.
+Per ``group_id`` every segment is one entry of keyed state (see
+``streaming.parts``).  A group is emitted as one message as soon as it is
+complete.  Once it has had no new segment for ``delay`` of arrival time and
+later segments have arrived, it is emitted with an error and whatever arrived,
+so it can be dead-lettered instead of waiting forever.  Unsegmented messages
+pass straight through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.segments import CONFLICTING_SEGMENTS, GROUP_TOO_LARGE, INCOMPLETE_GROUP, MAX_MESSAGE_BYTES
 from ..schema import MESSAGE_COLUMNS, MESSAGE_SCHEMA
+from .parts import Part, Rule, Totals, collect_parts
+
+
+class Segments(Rule):
+    conflicting, incomplete = CONFLICTING_SEGMENTS, INCOMPLETE_GROUP
+
+    def __init__(self, max_message_bytes: int):
+        self.max_message_bytes = max_message_bytes
+
+    def end(self, no: int, part: Part) -> int:
+        return no + len(part.payload or b"")
+
+    def may_be_whole(self, t: Totals) -> bool:
+        return t.n_last == 1 and t.size == t.last_end
 
+    def is_whole(self, ends: dict[int, int]) -> bool:
+        expect = 0
+        for no in sorted(ends):
+            if no != expect:
+                return False
+            expect = ends[no]
+        return True
 
-def _interval_ms(text: str) -> int:
-    n, unit = text.strip().split(None, 1)
-    unit = unit.lower().rstrip("s")
-    # Milliseconds per unit.
-    scale = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
-    return int(float(n) * scale[unit])
-
-
-_OUT = T.StructType(MESSAGE_SCHEMA.fields + [T.StructField("error", T.StringType())])
-_STATE = T.StructType(
-    [
-        T.StructField("offsets", T.ArrayType(T.IntegerType())),
-        T.StructField("lasts", T.ArrayType(T.BooleanType())),
-        T.StructField("payloads", T.ArrayType(T.BinaryType())),
-        T.StructField("msg_id", T.StringType()),
-        T.StructField("msg_type", T.IntegerType()),
-        T.StructField("correl_id", T.BinaryType()),
-        T.StructField("put_ts", T.TimestampNTZType()),
-        T.StructField("latest_ms", T.LongType()),
-        T.StructField("conflict", T.BooleanType()),
-    ]
-)
-_COLUMNS = [f.name for f in _OUT.fields]
-
-
-def _is_complete(segs: dict[int, tuple[bool, bytes]]) -> bool:
-    expect, order = 0, sorted(segs)
-    for i, o in enumerate(order):
-        if o != expect or segs[o][0] != (i == len(order) - 1):
-            return False
-        expect = o + len(segs[o][1])
-    return bool(order)
-
-
-def _make_fn(delay_ms: int, max_message_bytes: int):
-    def fn(key, pdfs, state):
-        import pandas as pd
-
-        (group_id,) = key
-        if state.hasTimedOut:
-            offsets, lasts, payloads, msg_id, msg_type, correl_id, put_ts, _, conflict = state.get
-            state.remove()
-            code = CONFLICTING_SEGMENTS if conflict else INCOMPLETE_GROUP
-            whole = b"".join(bytes(p) for _, p in sorted(zip(offsets, payloads)))
-            yield pd.DataFrame([[msg_id, msg_type, correl_id, group_id, None, None, put_ts, whole, code]], columns=_COLUMNS)
-            return
-        segs: dict[int, tuple[bool, bytes]] = {}
-        head, latest, conflict = None, 0, False
-        if state.exists:
-            offsets, lasts, payloads, *head, latest, conflict = state.get
-            segs = {int(o): (bool(l), bytes(p)) for o, l, p in zip(offsets, lasts, payloads)}
-        apart = []
-        for pdf in pdfs:
-            latest = max(latest, int(pdf["__arrival_ms"].max()))
-            columns = [pdf[c].tolist() for c in ("seg_offset", "last_segment", "payload", "msg_id", "msg_type", "correl_id", "put_ts")]
-            for off, last, payload, msg_id, msg_type, correl_id, put_ts in zip(*columns):
-                off = -1 if pd.isna(off) else int(off)
-                kind = None if pd.isna(msg_type) else int(msg_type)
-                ts = None if pd.isna(put_ts) else pd.Timestamp(put_ts).to_pydatetime()
-                last = last is not None and not pd.isna(last) and bool(last)
-                new = (last, b"" if payload is None else bytes(payload))
-                if segs.setdefault(off, new) != new:  # kept as it came, and the group is told
-                    conflict = True
-                    apart.append([msg_id, kind, correl_id, group_id, off, last, ts, new[1], CONFLICTING_SEGMENTS])
-                if head is None or off == 0 and segs[off] is new:
-                    head = [msg_id, kind, correl_id, ts]
-        order = sorted(segs)
-        whole = None
-        if sum(len(segs[o][1]) for o in order) > max_message_bytes:
-            # more than a row can hold: segment by segment, nothing kept back
-            state.remove()
-            apart += [[head[0], head[1], head[2], group_id, o, segs[o][0], head[3], segs[o][1], GROUP_TOO_LARGE] for o in order]
-        elif not conflict and _is_complete(segs):
-            state.remove()
-            whole = [*head[:3], group_id, None, None, head[3], b"".join(segs[o][1] for o in order), None]
-        else:
-            state.update((order, [segs[o][0] for o in order], [segs[o][1] for o in order], *head, latest, conflict))
-            state.setTimeoutTimestamp(max(latest + delay_ms, int(state.getCurrentWatermarkMs()) + 1))
-        rows = apart + ([whole] if whole else [])
-        if rows:
-            yield pd.DataFrame(rows, columns=_COLUMNS)
-
-    return fn
+    def oversized(self, t: Totals) -> str | None:
+        return GROUP_TOO_LARGE if t.size > self.max_message_bytes else None
+
+    def one(self, key: str, no: int, part: Part, error: str | None) -> Row:
+        return Row(msg_id=part.msg_id, msg_type=part.msg_type, correl_id=part.correl_id, group_id=key, seg_offset=no, last_segment=part.last, put_ts=part.put_ts, payload=part.payload or b"", error=error)
+
+    def out(self, key: str, parts: Iterator[tuple[int, Part]], error: str | None) -> Iterator[Row]:
+        head, whole = None, bytearray()
+        for no, part in parts:
+            head = head or part
+            whole += part.payload or b""
+        yield Row(msg_id=head.msg_id, msg_type=head.msg_type, correl_id=head.correl_id, group_id=key, seg_offset=None, last_segment=None, put_ts=head.put_ts, payload=bytes(whole), error=error)
 
 
 def assemble_segments_stream(df: DataFrame, delay: str = "10 minutes", max_message_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
@@ -113,19 +62,14 @@ def assemble_segments_stream(df: DataFrame, delay: str = "10 minutes", max_messa
     which comes out as an error row of its own.  A segment delivered again is
     taken once; other bytes at the same offset come out as
     ``CONFLICTING_SEGMENTS`` and the group does too, after ``delay``.  A group
-    of more bytes than a row can hold is released segment by segment.  The
-    state of a group is rewritten when segments arrive for it.
-    """
-    from ..session import ship_package
+    of more bytes than a row can hold is released segment by segment.  A
+    segment is written to state once.
 
-    ship_package(df.sparkSession)
+    The session's state store has to be RocksDB (``session.stateful_session``).
+    """
     df = df.select(
         *[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
     )
     plain = df.where(F.col("group_id").isNull()).select(*MESSAGE_COLUMNS, F.lit(None).cast("string").alias("error"))
-    seg = df.where(F.col("group_id").isNotNull()).select(*MESSAGE_COLUMNS)
-    seg = seg.withColumn("__arrival", F.current_timestamp()).withColumn("__arrival_ms", F.unix_millis("__arrival")).withWatermark("__arrival", "0 seconds")
-    out = seg.groupBy("group_id").applyInPandasWithState(
-        _make_fn(_interval_ms(delay), max_message_bytes), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return plain.unionByName(out)
+    seg = df.where(F.col("group_id").isNotNull())
+    return plain.unionByName(collect_parts(seg, Segments(max_message_bytes), delay))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from queuelake.functions.message import message_value
 from queuelake.operators.splitters import split_xml
 from queuelake.schema import DEAD_LETTER_LOG_SCHEMA
+from queuelake.session import stateful_session
 from queuelake.sources.queue_log import read_queue, read_queue_stream, write_queue
 from queuelake.streaming.drain import drain, read_mq, run_foreach_batch
 from queuelake.streaming.segments import assemble_segments_stream
@@ -150,7 +151,7 @@ def test_stream_segments_complete_and_pending(spark, tmp):
     df = spark.createDataFrame(rows, "msg_id string, group_id string, seg_offset int, last_segment boolean, payload binary")
     log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
     write_queue(df, log, "QM", "Q", "p", 1)
-    stream = read_queue_stream(spark, log, "QM", "Q").drop("producer", "seq")
+    stream = read_queue_stream(stateful_session(spark, 2), log, "QM", "Q").drop("producer", "seq")
     out = assemble_segments_stream(stream).select("group_id", "payload", "error")
     drain(out, sink, ckpt)
     got = sorted((r.group_id or "", bytes(r.payload), r.error) for r in spark.read.parquet(sink).collect())
@@ -228,7 +229,7 @@ def test_stream_segments_oversized_group_released(spark, tmp):
     rows = [("h%d" % i, "HOT", i * 2, False, b"xx", None) for i in range(40)]
     log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
     write_queue(spark.createDataFrame(rows, SEGMENTS), log, "QM", "Q", "p", 1)
-    stream = read_queue_stream(spark, log, "QM", "Q").drop("producer", "seq")
+    stream = read_queue_stream(stateful_session(spark, 2), log, "QM", "Q").drop("producer", "seq")
     drain(assemble_segments_stream(stream, max_message_bytes=50).select("group_id", "seg_offset", "payload", "error"), sink, ckpt)
     got = spark.read.parquet(sink).collect()
     assert len(got) == 40 and {r.error for r in got} == {"GROUP_TOO_LARGE"}
@@ -252,7 +253,7 @@ def test_stream_segments_late_redelivered_and_conflicting(spark, tmp):
         ("i0 again", "INC", 0, False, b"in", day),
     ]
     log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
-    stream = lambda: assemble_segments_stream(read_queue_stream(spark, log, "QM", "Q").drop("producer", "seq"), delay="0 seconds").select("group_id", "payload", "error")
+    stream = lambda: assemble_segments_stream(read_queue_stream(stateful_session(spark, 2), log, "QM", "Q").drop("producer", "seq"), delay="0 seconds").select("group_id", "payload", "error")
     for seq, rows in enumerate((first, second, [("z", "Z", 0, True, b"z", day)])):
         write_queue(spark.createDataFrame(rows, SEGMENTS), log, "QM", "Q", "p", seq)
         if seq:
