@@ -1,7 +1,18 @@
-"""Column expressions that cut JSON payloads into element records."""
+"""Column expressions that cut JSON payloads into element records.
+
+Elements are sliced from the payload, not parsed and written again: numbers and
+strings come out exactly as they went in, only white space between tokens goes.
+Spark's parser decides what is JSON; regular expressions give the places.  In
+them a string is one token (so brackets and commas inside of strings do not
+count), and a container is what lies between balanced brackets, nested to
+``MAX_DEPTH`` levels.  Every quantifier is possessive: one pass, no backtracking,
+no recursion but for the nesting.
+"""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,19 +23,26 @@ SPLIT_KEY_NOT_FIRST = "SPLIT_KEY_NOT_FIRST"
 NOT_ARRAY = "NOT_ARRAY"
 TRAILING_DATA = "TRAILING_DATA"
 DUPLICATE_KEY = "DUPLICATE_KEY"
-NUMBER_PRECISION = "NUMBER_PRECISION"
 
-# A number of so many characters, or with a three-digit exponent, may not come
-# out of a double as it went in.
-_LONG_NUMBER = "[0-9][0-9.]{15,}|[0-9][eE][+-]?[0-9]{3,}"
-# What a decimal of 38 digits may not hold as written either.
-_HARD_NUMBER = "(?:[0-9]\\.?){39,}|[0-9][0-9.]{15,}[eE]|[0-9][eE][+-]?[0-9]{3,}"
-_NUMBER = "(?:0|[1-9][0-9]*+)(?:\\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"
-_STRING = "\"[^\"\\\\]*+(?:\\\\.[^\"\\\\]*+)*+\""
+#: Deeper payloads are BAD_JSON.
+MAX_DEPTH = 100
 
+_WS = "[ \\t\\r\\n]*+"
+_STRING = "\"[^\"\\\\\\x00-\\x1F]*+(?:\\\\.[^\"\\\\\\x00-\\x1F]*+)*+\""
+# What a document holds outside of strings and brackets: numbers, true, false,
+# null, commas, colons, white space.  Spark's parser also takes single quotes,
+# which are no JSON.
+_BARE = "[-+.0-9eEtrufalsn:, \\t\\r\\n]"
+_SCALAR = f"(?:{_STRING}|-?+[0-9][-+.0-9eE]*+|true|false|null)"
 
-def _field(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+
+@lru_cache
+def _container(opening: str = "[\\[{]", closing: str = "[\\]}]", depth: int = MAX_DEPTH) -> str:
+    """A balanced container; which bracket closes which is the parser's to check."""
+    inner = f"[\\[{{](?:{_BARE}++|{_STRING})*+[\\]}}]"
+    for _ in range(depth - 2):
+        inner = f"[\\[{{](?:{_BARE}++|{_STRING}|{inner})*+[\\]}}]"
+    return f"{opening}(?:{_BARE}++|{_STRING}|{inner})*+{closing}"
 
 
 def is_single_value(text: Column) -> Column:
@@ -36,88 +54,44 @@ def is_single_value(text: Column) -> Column:
     return F.coalesce((in_array == 1) & (F.size(in_object) == 1), F.lit(False))
 
 
-def has_long_number(text: Column) -> Column:
-    """A cheap test that may also see long digits inside a string."""
-    return text.rlike(_LONG_NUMBER)
-
+def is_one_container(text: Column) -> Column:
+    """Whether the text is one array or object by its brackets and tokens."""
+    return text.rlike(f"\\A{_WS}{_container()}{_WS}\\z")
 
-def _digits(number: Column) -> tuple[Column, Column]:
-    """A number without sign as (d, p): d has no zeros at its ends, the value
-    is 0.d * 10**p; p is null for an exponent beyond an int."""
-    whole = F.regexp_extract(number, "^[0-9]+", 0)
-    exponent = F.regexp_extract(number, "[eE]([+-]?[0-9]+)", 1)
-    digits = F.concat(whole, F.regexp_extract(number, "\\.([0-9]+)", 1))
-    kept = F.ltrim(digits, F.lit("0"))
-    place = F.length(whole) + F.when(exponent == "", 0).otherwise(exponent.try_cast("int").cast("bigint"))
-    return F.rtrim(kept, F.lit("0")), place - (F.length(digits) - F.length(kept))
 
+def is_scalar(text: Column) -> Column:
+    """Whether the text is one string, number or literal."""
+    return text.rlike(f"\\A{_WS}{_SCALAR}{_WS}\\z") & F.get_json_object(F.concat(F.lit("["), text, F.lit("]")), "$").isNotNull()
 
-def _kept_by_double(number: Column) -> Column:
-    (d, p), (dd, pp) = _digits(number), _digits(number.try_cast("double").cast("string"))
-    return (d == "") | F.coalesce((d == dd) & (p == pp), F.lit(False))
 
+def is_document(text: Column) -> Column:
+    """Whether the text is one strict JSON value."""
+    parsed = F.json_object_keys(text).isNotNull() | F.json_array_length(text).isNotNull()
+    return F.when(text.rlike(f"\\A{_WS}[\\[{{]"), parsed & is_one_container(text)).otherwise(is_scalar(text))
 
-def _fits_decimal(number: Column) -> Column:
-    d, p = _digits(number)
-    return F.coalesce((F.greatest(F.length(d), p) <= 38) & (F.length(d) - p <= 38), F.lit(False))
 
+def why_not(text: Column) -> Column:
+    """The error code of a text that is no document (evaluated for such alone)."""
+    begins = F.get_json_object(text, "$").isNotNull() & ~text.contains("'")
+    return F.when(begins & ~is_single_value(text), F.lit(TRAILING_DATA)).otherwise(F.lit(BAD_JSON))
 
-def _plain(number: Column) -> Column:
-    """Without exponent and needless zeros; only for what fits a decimal."""
-    d, p = _digits(number)
-    p = p.cast("int")
-    return (
-        F.when(p <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -p), d))
-        .when(p >= F.length(d), F.concat(d, F.repeat(F.lit("0"), p - F.length(d))))
-        .otherwise(F.concat(F.substr(d, F.lit(1), p), F.lit("."), F.substr(d, p + 1)))
-    )
 
-
-def loses_number(text: Column) -> Column:
-    """Whether a number (outside of strings) can not be kept exactly, neither
-    by a decimal of 38 digits nor by a double."""
-    bare = F.regexp_replace(text, _STRING, '""')
-    numbers = F.regexp_extract_all(bare, F.lit(_NUMBER), 0)
-    lost = F.exists(numbers, lambda x: x.rlike(_HARD_NUMBER) & ~_fits_decimal(x) & ~_kept_by_double(x))
-    return has_long_number(text) & F.when(bare.rlike(_HARD_NUMBER), lost).otherwise(F.lit(False))
+def minified(text: Column) -> Column:
+    """A valid document without the white space between its tokens."""
+    bare = F.regexp_replace(text, f"({_STRING})|[ \\t\\r\\n]++", "$1")
+    return F.when(text.rlike("[ \\t\\r\\n]"), bare).otherwise(text)
 
 
-def _writable(text: Column) -> Column:
-    """``text`` with the numbers that a decimal holds but not as written, and
-    a double does not, written out plainly; strings and all else as it is."""
-    parts = F.regexp_extract_all(text, F.lit(f"(?s){_STRING}|{_NUMBER}|[^\"0-9]++|."), 0)
-    fixed = F.transform(parts, lambda x: F.when(x.rlike("^[0-9]") & x.rlike(_HARD_NUMBER) & _fits_decimal(x) & ~_kept_by_double(x), _plain(x)).otherwise(x))
-    return F.when(text.rlike(_HARD_NUMBER), F.array_join(fixed, "")).otherwise(text)
+def first_array(text: Column) -> Column:
+    """The array under the first key of a valid object, as written; an empty
+    string when the value is none."""
+    head = f"\\A{_WS}\\{{{_WS}{_STRING}{_WS}:{_WS}"
+    return F.regexp_extract(text, f"{head}({_container('\\[', '\\]', MAX_DEPTH - 1)})", 1)
 
 
-def minified(text: Column) -> Column:
-    """Minified text of a JSON value (nulls kept).
-
-    Key order is kept, but for values with numbers beyond a double's digits,
-    which go through Spark's variant type: exact up to 38 digits, keys sorted.
-    A top-level string keeps its quotes.  Invalid JSON gives null.
-    """
-    t = F.trim(text)
-    exact = t.startswith('"') | has_long_number(t)
-    return F.when(exact, F.to_json(F.try_parse_json(_writable(t)))).otherwise(F.get_json_object(t, "$"))
-
-
-def array_elements(text: Column, key: str) -> Column:
-    """array<string> for ``{"<key>": [..], ...}``: each element's minified JSON
-    text; scalar strings keep their quotes and JSON nulls come out as ``null``.
-    """
-    f = _field(key)
-    strs = F.from_json(text, f"struct<{f}: array<string>>").getField(key)
-    # array<string> drops the quotes of string elements, turns null into NULL
-    # and rounds long numbers; only then is the variant view needed.
-    long_number = has_long_number(text)
-    needs_fix = F.exists(strs, lambda x: x.isNull() | ~(x.startswith("{") | x.startswith("[")))
-    variants = F.from_json(_writable(text), f"struct<{f}: array<variant>>").getField(key)
-    fixed = F.zip_with(
-        strs,
-        variants,
-        lambda s, v: F.when(s.isNull(), F.lit("null"))
-        .when(long_number | (F.schema_of_variant(v) == "STRING"), F.to_json(v))
-        .otherwise(s),
-    )
-    return F.when(long_number | needs_fix, fixed).otherwise(strs)
+def elements(array: Column) -> Column:
+    """array<string>: the elements of a valid array's text, as written but for
+    white space between tokens.  ``"1"`` keeps its quotes, null is ``null``."""
+    body = F.substring(array, F.lit(2), F.length(array) - 2)
+    token = f"{_STRING}|{_container(depth=MAX_DEPTH - 2)}|[-+.0-9A-Za-z]++"
+    return F.regexp_extract_all(minified(body), F.lit(token), 0)

@@ -32,7 +32,7 @@ def _text(value: str | Column) -> Column:
 
 
 def json_struct(value: str | Column, schema: str, corrupt: str | None = "_corrupt_record") -> Column:
-    opts = {"mode": "PERMISSIVE"}
+    opts = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     if corrupt:
         opts["columnNameOfCorruptRecord"] = corrupt
     return F.from_json(_text(value), schema, opts)

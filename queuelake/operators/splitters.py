@@ -36,7 +36,18 @@ _TMP = "__ql_"
 
 # Error codes of any splitter.
 NULL_PAYLOAD = "NULL_PAYLOAD"
-NULL_RECORD = "NULL_RECORD"  # a built-in splitter makes none
+# The records of a custom splitter: none at all, or a null one among them.
+BAD_RECORDS = "BAD_RECORDS"
+NULL_RECORD = "NULL_RECORD"
+
+
+def _kept(df: DataFrame, payload: str) -> list[str]:
+    """The columns that a splitter hands on.  One that its own would replace
+    raises: nothing is dropped in silence."""
+    clash = [c for c in df.columns if c in _OUT and c != payload]
+    if clash:
+        raise ValueError(f"rename {clash} before splitting: the splitter's own columns are {list(_OUT)}")
+    return [c for c in df.columns if c != payload and not c.startswith(_TMP)]
 
 
 def _emit(
@@ -53,7 +64,7 @@ def _emit(
     ``finish`` maps the exploded element to the record bytes; it may use the
     ``carry`` columns (per-message values such as a formatted header).
     """
-    keep = [c for c in df.columns if c not in _OUT and c != payload and not c.startswith(_TMP)]
+    keep = _kept(df, payload)
     staged = df.select(*keep, *carry, payload, records.alias("__ql_r"), error.alias("__ql_e"))
     good = F.col("__ql_e").isNull()
     staged = staged.withColumn("__ql_e", F.when(F.col(payload).isNull(), F.lit(NULL_PAYLOAD)).otherwise(F.col("__ql_e")))
@@ -94,46 +105,40 @@ def split_lines(df: DataFrame, payload: str = "payload", encoding: str = "UTF-8"
 
 
 def split_json(df: DataFrame, split: str | None = None, payload: str = "payload", encoding: str = "UTF-8") -> DataFrame:
-    """``JSON``: the whole document as one minified record, or with ``split``
-    one record per element of the array under key ``split``, which must be the
-    object's first key.  Scalar elements keep their JSON form (``"1"``, ``1``,
-    ``null``).  Numbers keep their value up to 38 digits.
-
-    Errors (whole message): ``BAD_JSON``; ``TRAILING_DATA`` when more follows
-    the first value; ``NUMBER_PRECISION`` when a number can not be kept;
-    with ``split`` also ``NOT_OBJECT``, ``SPLIT_KEY_NOT_FIRST``,
+    """``JSON``: the whole document as one record, or with ``split`` one record
+    per element of the array under key ``split``, which must be the object's
+    first key.  Records are cut from the payload: numbers and strings stay as
+    they are written, white space between tokens goes.  Scalar elements keep
+    their JSON form (``"1"``, ``1``, ``null``).
+
+    Errors (whole message): ``BAD_JSON``, also for single quotes and more than
+    ``functions.json.MAX_DEPTH`` levels; ``TRAILING_DATA`` when more follows the
+    first value; with ``split`` also ``NOT_OBJECT``, ``SPLIT_KEY_NOT_FIRST``,
     ``DUPLICATE_KEY`` and ``NOT_ARRAY``."""
     staged = df.withColumn("__ql_text", decode_payload(F.col(payload), encoding))
     t = F.col("__ql_text")
     blank = F.trim(t) == ""
+    none = F.array().cast("array<string>")
     if not split:
-        staged = staged.withColumn("__ql_min", F.when(~blank, jx.minified(t)))
-        rec = F.col("__ql_min")
-        records = F.when(blank, F.array().cast("array<string>")).otherwise(F.array(rec))
-        error = (
-            F.when(blank, F.lit(None))
-            .when(rec.isNull() & ~jx.has_long_number(t), F.lit(jx.BAD_JSON))
-            .when(rec.isNull(), F.when(F.get_json_object(t, "$").isNull(), jx.BAD_JSON).otherwise(jx.NUMBER_PRECISION))
-            .when(~jx.is_single_value(t), F.lit(jx.TRAILING_DATA))
-            .when(jx.loses_number(t), F.lit(jx.NUMBER_PRECISION))
-        )
-        return _emit(staged, records, error, payload)
-    # project the two parses once, then build records/error from them
-    staged = staged.withColumn("__ql_keys", F.json_object_keys(t))
-    staged = staged.withColumn("__ql_elems", F.when(F.col("__ql_keys").isNotNull(), jx.array_elements(t, split)))
-    keys, elems = F.col("__ql_keys"), F.col("__ql_elems")
+        staged = staged.withColumn("__ql_ok", ~blank & jx.is_document(t))
+        ok = F.col("__ql_ok")
+        records = F.when(blank, none).otherwise(F.array(F.when(ok, jx.minified(t))))
+        return _emit(staged, records, F.when(~blank & ~ok, jx.why_not(t)), payload)
+    # the parse and the slice are projected once, then records and error read them
+    staged = staged.withColumn("__ql_keys", F.when(jx.is_one_container(t), F.json_object_keys(t)))
+    keys = F.col("__ql_keys")
+    mine = (F.get(keys, 0) == F.lit(split)) & (F.size(F.filter(keys, lambda k: k == split)) == 1)
+    staged = staged.withColumn("__ql_array", F.when(mine, jx.first_array(t)))
+    array = F.col("__ql_array")
     error = (
-        F.when(blank, F.lit(None))
-        .when(keys.isNull() & F.get_json_object(t, "$").isNull(), F.lit(jx.BAD_JSON))
-        .when(~jx.is_single_value(t), F.lit(jx.TRAILING_DATA))
+        F.when(blank | (array != ""), F.lit(None))
+        .when(keys.isNull() & ~jx.is_document(t), jx.why_not(t))
         .when(keys.isNull(), F.lit(jx.NOT_OBJECT))
         .when((F.size(keys) == 0) | (F.get(keys, 0) != F.lit(split)), F.lit(jx.SPLIT_KEY_NOT_FIRST))
         .when(F.size(F.filter(keys, lambda k: k == split)) > 1, F.lit(jx.DUPLICATE_KEY))
-        .when(jx.loses_number(t), F.lit(jx.NUMBER_PRECISION))
-        .when(elems.isNull(), F.lit(jx.NOT_ARRAY))
+        .otherwise(F.lit(jx.NOT_ARRAY))
     )
-    records = F.when(blank, F.array().cast("array<string>")).otherwise(elems)
-    return _emit(staged, records, error, payload)
+    return _emit(staged, F.when(blank, none).otherwise(F.when(array != "", jx.elements(array))), error, payload)
 
 
 def split_xml(
@@ -297,10 +302,16 @@ register_splitter(FIXED_WIDTH_FORMAT, _lines)
 
 def expression_splitter(records: Callable[[Column], Column]) -> Splitter:
     """Wrap a column expression (payload -> array of string or binary records)
-    as a splitter: the fast path for formats that Spark's functions can cut."""
+    as a splitter: the fast path for formats that Spark's functions can cut.
+
+    A null array of a payload that is not null is one ``BAD_RECORDS`` row, a null
+    among the records one ``NULL_RECORD`` row, each with the whole payload."""
 
     def splitter(df: DataFrame, payload: str = "payload", **_opts) -> DataFrame:
-        return _emit(df, records(F.col(payload)), _no_error(), payload)
+        staged = df.withColumn("__ql_found", records(F.col(payload)))
+        found = F.col("__ql_found")
+        error = F.when(found.isNull(), BAD_RECORDS).when(F.exists(found, lambda x: x.isNull()), NULL_RECORD)
+        return _emit(staged, found, error, payload)
 
     return splitter
 
@@ -310,7 +321,13 @@ def _python_records(func: Callable[[bytes], Iterable[bytes]], payload: bytes | N
     if payload is None:
         return [(None, None, NULL_PAYLOAD)]
     try:
-        return [(j, bytes(r), None) for j, r in enumerate(func(payload))]
+        records = func(payload)
+        if records is None:
+            return [(None, payload, BAD_RECORDS)]
+        records = list(records)
+        if any(r is None for r in records):
+            return [(None, payload, NULL_RECORD)]
+        return [(j, bytes(r), None) for j, r in enumerate(records)]
     except Exception as exc:  # the whole message becomes one error row
         return [(None, payload, f"{type(exc).__name__}: {exc}")]
 
@@ -329,8 +346,7 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]], out_rows: int = 65
         from ..session import ship_package
 
         ship_package(df.sparkSession)
-        keep = [c for c in df.columns if c not in _OUT or c == payload]
-        base = df.select(*keep)
+        base = df.select(*_kept(df, payload), payload)
         in_schema = base.schema
         out_fields = [f for f in in_schema.fields if f.name not in ("value", payload)]
         out_schema = T.StructType(
@@ -376,26 +392,49 @@ def python_splitter(func: Callable[[bytes], Iterable[bytes]], out_rows: int = 65
     return splitter
 
 
+def _checked(handler: type) -> type:
+    """``handler`` with whole messages: all its rows, or one error row."""
+
+    class Checked(handler):
+        def eval(self, payload: bytes):
+            if payload is None:
+                yield None, None, NULL_PAYLOAD
+                return
+            payload = bytes(payload)
+            try:
+                rows = handler.eval(self, payload)
+                rows = None if rows is None else [(*r, None)[:3] for r in rows]
+            except Exception as exc:
+                rows, error = [], f"{type(exc).__name__}: {exc}"
+            else:
+                error = BAD_RECORDS if rows is None else NULL_RECORD if any(v is None and e is None for _, v, e in rows) else None
+            if error is None:
+                yield from rows
+            else:
+                yield None, payload, error
+
+    return Checked
+
+
 def udtf_splitter(tvf) -> Splitter:
     """Wrap a Python UDTF as a splitter.
 
     ``tvf`` is a ``@udtf`` whose ``eval(payload)`` yields ``(pos, value)``
-    rows, or ``(pos, value, error)`` rows when it reports bad messages itself
-    (an exception fails the task instead).  Applied per message with a
-    lateral join; like ``python_splitter`` it is the slow path for formats
-    the built-in expressions cannot express.
+    rows, or ``(pos, value, error)`` rows when it reports bad messages itself.
+    A null payload, a null value, an ``eval`` that gives nothing at all and an
+    exception are one error row each, with the whole payload.  Applied per
+    message with a lateral join; like ``python_splitter`` it is the slow path
+    for formats the built-in expressions cannot express.
     """
 
     def splitter(df: DataFrame, payload: str = "payload", **_opts) -> DataFrame:
         from ..session import ship_package
 
         ship_package(df.sparkSession)
-        keep = [c for c in df.columns if c not in _OUT and c != payload]
-        out = df.lateralJoin(tvf(F.col(payload).outer()))
-        error = F.col("error").cast("string") if "error" in out.columns else F.lit(None).cast("string")
-        return out.select(
-            *keep, F.col("pos").cast("int").alias("pos"), F.col("value").cast("binary").alias("value"), error.alias("error")
-        )
+        keep = _kept(df, payload)
+        checked = F.udtf(_checked(tvf.func), returnType="pos int, value binary, error string")
+        out = df.withColumnRenamed(payload, "__ql_payload").select(*keep, "__ql_payload").lateralJoin(checked(F.col("__ql_payload").outer()))
+        return out.select(*keep, "pos", "value", "error")
 
     return splitter
 

@@ -9,6 +9,7 @@ fresh folder below the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -183,6 +184,12 @@ def q_json_exact_numbers(spark: SparkSession, d: str) -> DataFrame:
     return recs.select("o_orderkey", "pos", number.alias("number"))
 
 
+def q_json_lexemes(spark: SparkSession, d: str) -> DataFrame:
+    """Elements as written, white space apart; what is no strict JSON whole."""
+    recs = split_json(fx.part_lexeme_messages(spark, d), split="vals")
+    return recs.select("p_partkey", "pos", _str("value").alias("value"), "error")
+
+
 # ---------------------------------------------------------------- typed views of malformed records
 
 
@@ -247,6 +254,35 @@ def q_custom_splitter_udtf(spark: SparkSession, d: str) -> DataFrame:
     return _part_words(spark, d, "tvfwords")
 
 
+def _json_words(payload: bytes):
+    try:
+        words = json.loads(payload)
+    except ValueError:
+        return None
+    return [w if w is None else w.encode() for w in words]
+
+
+def q_custom_splitter_faults(spark: SparkSession, d: str) -> DataFrame:
+    """The same faults through the three routes: each is one row of the whole
+    message, nothing else of it comes out."""
+
+    @F.udtf(returnType="pos int, value binary")
+    class Words:
+        def eval(self, payload: bytes):
+            words = _json_words(payload)
+            return None if words is None else list(enumerate(words))
+
+    register_splitter("JSONWORDS_EXPRESSION", expression_splitter(lambda p: F.from_json(p.cast("string"), "array<string>")))
+    register_splitter("JSONWORDS_PYTHON", python_splitter(_json_words))
+    register_splitter("JSONWORDS_UDTF", udtf_splitter(Words))
+    out = None
+    for route in ("expression", "python", "udtf"):
+        recs = split_records(fx.part_faulty_messages(spark, d), f"jsonwords_{route}")
+        part = recs.select(F.lit(route).alias("route"), "p_partkey", "pos", _str("value").alias("value"), "error")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---------------------------------------------------------------- messages
 
 
@@ -560,11 +596,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_split": q_json_split,
     "json_split_scalars": q_json_split_scalars,
     "json_exact_numbers": q_json_exact_numbers,
+    "json_lexemes": q_json_lexemes,
     "parse_malformed": q_parse_malformed,
     "split_dispatch": q_split_dispatch,
     "custom_splitter": q_custom_splitter,
     "custom_splitter_python": q_custom_splitter_python,
     "custom_splitter_udtf": q_custom_splitter_udtf,
+    "custom_splitter_faults": q_custom_splitter_faults,
     "assemble_segments": q_assemble_segments,
     "report_correlation_value": q_report_correlation_value,
     "dead_letter_backout": q_dead_letter_backout,

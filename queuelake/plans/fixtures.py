@@ -378,6 +378,31 @@ def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(_s("p_partkey").alias("msg_id"), doc.cast("binary").alias("payload"), "p_partkey")
 
 
+def part_lexeme_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON as people write it, per part: white space, numbers that no double
+    keeps, strings that look like containers.  Where 5 divides ``p_partkey`` the
+    quotes are single ones, where 7 does the bracket is not closed."""
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+    key, size = _s("p_partkey"), _s("p_size")
+    good = F.concat(
+        F.lit('{ "vals" : [ "{'), key, F.lit('}" , "[1", '), size, F.lit('.50,\n 1e'), size, F.lit('00, "a \\" ],'), key, F.lit('" , { "k" : [ 0.10, "' ), size, F.lit('}" ] } ] , "z" : [] }'),
+    )
+    single = F.concat(F.lit("{'vals':["), key, F.lit("]}"))
+    doc = F.when(F.col("p_partkey") % 5 == 0, single).when(F.col("p_partkey") % 7 == 0, F.concat(F.lit('{"vals":['), key, F.lit("}"))).otherwise(good)
+    return p.select(key.alias("msg_id"), doc.cast("binary").alias("payload"), "p_partkey")
+
+
+def part_faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 faults: the words of a part's name as a JSON array.  Where 5 divides
+    ``p_partkey`` the payload is null, where 7 does it is no array, where 11 does
+    a null is among the words."""
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
+    words = F.split("p_name", " ")
+    k = F.col("p_partkey")
+    doc = F.when(k % 5 == 0, F.lit(None)).when(k % 7 == 0, F.lit("oops")).when(k % 11 == 0, F.lit('["a",null]')).otherwise(F.to_json(words))
+    return p.select(_s("p_partkey").alias("msg_id"), doc.cast("binary").alias("payload"), "p_partkey")
+
+
 def part_name_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11 input: one message per part, its name."""
     p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name"))

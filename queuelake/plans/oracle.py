@@ -124,6 +124,22 @@ UNION ALL SELECT p_partkey, 3 AS pos, '{"brand":' || CAST(to_json(p_brand) AS VA
     "json_exact_numbers": """
 SELECT o_orderkey, pos, CAST((10000000000 + o_orderkey) || '.' || lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS DECIMAL(38,12)) AS number
 FROM orders, (VALUES (0), (1)) AS t(pos)""",
+    "json_lexemes": """
+SELECT p_partkey, CAST(u.pos AS INTEGER) AS pos, u.value AS value, CAST(NULL AS VARCHAR) AS error
+FROM part, unnest([{'pos': 0, 'value': '"{' || p_partkey || '}"'}, {'pos': 1, 'value': '"[1"'}, {'pos': 2, 'value': p_size || '.50'},
+                   {'pos': 3, 'value': '1e' || p_size || '00'}, {'pos': 4, 'value': '"a \\" ],' || p_partkey || '"'},
+                   {'pos': 5, 'value': '{"k":[0.10,"' || p_size || '}"]}'}]) AS t(u)
+WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0
+UNION ALL
+SELECT p_partkey, NULL, CASE WHEN p_partkey % 5 = 0 THEN '{''vals'':[' || p_partkey || ']}' ELSE '{"vals":[' || p_partkey || '}' END, 'BAD_JSON'
+FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 7 = 0""",
+    "custom_splitter_faults": """
+WITH k AS (
+  SELECT route, p_partkey, string_split(p_name, ' ') AS w,
+         CASE WHEN p_partkey % 5 = 0 THEN 'NULL_PAYLOAD' WHEN p_partkey % 7 = 0 THEN 'BAD_RECORDS' WHEN p_partkey % 11 = 0 THEN 'NULL_RECORD' END AS error
+  FROM part, (VALUES ('expression'), ('python'), ('udtf')) AS r(route))
+SELECT route, p_partkey, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS value, CAST(NULL AS VARCHAR) AS error FROM k WHERE error IS NULL
+UNION ALL SELECT route, p_partkey, NULL, CASE error WHEN 'BAD_RECORDS' THEN 'oops' WHEN 'NULL_RECORD' THEN '["a",null]' END, error FROM k WHERE error IS NOT NULL""",
     "parse_malformed": """
 SELECT o_orderkey, CASE WHEN ok THEN o_custkey END AS json_cust, CASE WHEN NOT ok THEN '{"c":' || o_custkey END AS json_corrupt,
        CASE WHEN ok THEN o_custkey END AS xml_cust, CASE WHEN NOT ok THEN '<o><c>' || o_custkey || '</c>' END AS xml_corrupt,
