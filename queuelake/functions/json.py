@@ -76,17 +76,26 @@ def why_not(text: Column) -> Column:
     return F.when(begins & ~is_single_value(text), F.lit(TRAILING_DATA)).otherwise(F.lit(BAD_JSON))
 
 
+def has_one_first_key(keys: Column, key: str) -> Column:
+    """Whether ``key`` is the first of an object's keys and no other; null keys: no."""
+    return F.coalesce((F.get(keys, F.lit(0)) == F.lit(key)) & (F.size(F.array_remove(keys, key)) == F.size(keys) - 1), F.lit(False))
+
+
+def has_space(text: Column) -> Column:
+    return text.contains(" ") | text.contains("\n") | text.contains("\t") | text.contains("\r")
+
+
 def minified(text: Column) -> Column:
     """A valid document without the white space between its tokens."""
-    bare = F.regexp_replace(text, f"({_STRING})|[ \\t\\r\\n]++", "$1")
-    return F.when(text.rlike("[ \\t\\r\\n]"), bare).otherwise(text)
+    return F.when(has_space(text), F.regexp_replace(text, f"({_STRING})|[ \\t\\r\\n]++", "$1")).otherwise(text)
 
 
 def first_array(text: Column) -> Column:
-    """The array under the first key of a valid object, as written; an empty
-    string when the value is none."""
+    """The array under the first key of a text that is one object by its brackets
+    and tokens, as written; an empty string where it is none."""
     head = f"\\A{_WS}\\{{{_WS}{_STRING}{_WS}:{_WS}"
-    return F.regexp_extract(text, f"{head}({_container('\\[', '\\]', MAX_DEPTH - 1)})", 1)
+    rest = f"{_WS}(?:,(?:{_BARE}++|{_STRING}|{_container(depth=MAX_DEPTH - 1)})*+)?+\\}}{_WS}\\z"
+    return F.regexp_extract(text, f"{head}({_container('\\[', '\\]', MAX_DEPTH - 1)}){rest}", 1)
 
 
 def elements(array: Column) -> Column:

@@ -124,21 +124,21 @@ def split_json(df: DataFrame, split: str | None = None, payload: str = "payload"
         ok = F.col("__ql_ok")
         records = F.when(blank, none).otherwise(F.array(F.when(ok, jx.minified(t))))
         return _emit(staged, records, F.when(~blank & ~ok, jx.why_not(t)), payload)
-    # the parse and the slice are projected once, then records and error read them
-    staged = staged.withColumn("__ql_keys", F.when(jx.is_one_container(t), F.json_object_keys(t)))
-    keys = F.col("__ql_keys")
-    mine = (F.get(keys, 0) == F.lit(split)) & (F.size(F.filter(keys, lambda k: k == split)) == 1)
-    staged = staged.withColumn("__ql_array", F.when(mine, jx.first_array(t)))
+    # the slice and the parse are projected once, then records and error read them
+    staged = staged.withColumn("__ql_array", jx.first_array(t))
     array = F.col("__ql_array")
+    staged = staged.withColumn("__ql_keys", F.when(array != "", F.json_object_keys(t)))
+    staged = staged.withColumn("__ql_good", jx.has_one_first_key(F.col("__ql_keys"), split))
+    good, keys = F.col("__ql_good"), F.json_object_keys(t)
     error = (
-        F.when(blank | (array != ""), F.lit(None))
-        .when(keys.isNull() & ~jx.is_document(t), jx.why_not(t))
+        F.when(blank | good, F.lit(None))
+        .when(~jx.is_document(t), jx.why_not(t))
         .when(keys.isNull(), F.lit(jx.NOT_OBJECT))
         .when((F.size(keys) == 0) | (F.get(keys, 0) != F.lit(split)), F.lit(jx.SPLIT_KEY_NOT_FIRST))
-        .when(F.size(F.filter(keys, lambda k: k == split)) > 1, F.lit(jx.DUPLICATE_KEY))
+        .when(~jx.has_one_first_key(keys, split), F.lit(jx.DUPLICATE_KEY))
         .otherwise(F.lit(jx.NOT_ARRAY))
     )
-    return _emit(staged, F.when(blank, none).otherwise(F.when(array != "", jx.elements(array))), error, payload)
+    return _emit(staged, F.when(blank, none).when(good, jx.elements(array)), error, payload)
 
 
 def split_xml(
