@@ -17,6 +17,7 @@ Public API (see README for the full picture)::
 
 from .functions.message import archive_name, message_value
 from .functions.parse import parse_fixed_width, parse_json, parse_xml
+from .operators.groups import complete_messages, in_group_order, release_groups
 from .operators.routing import route_failures, with_ack_request
 from .operators.segments import assemble_segments
 from .operators.splitters import (
@@ -30,10 +31,13 @@ from .operators.splitters import (
     udtf_splitter,
 )
 from .options import QueueOptions, dead_letter_target
+from .session import stateful_session
 from .sources.archive import archive
+from .sources.files import read_files, read_files_stream
 from .sources.kafka import kafka_shape
 from .sources.queue_log import read_queue, read_queue_stream, write_queue
 from .streaming.drain import drain, process_mq, read_mq, run_foreach_batch, to_sink
+from .streaming.groups import release_groups_stream
 from .streaming.segments import assemble_segments_stream
 from .streaming.writer import QueueBatchWriter
 
@@ -68,4 +72,11 @@ __all__ = [
     "to_sink",
     "QueueBatchWriter",
     "assemble_segments_stream",
+    "release_groups",
+    "release_groups_stream",
+    "complete_messages",
+    "in_group_order",
+    "read_files",
+    "read_files_stream",
+    "stateful_session",
 ]

@@ -34,6 +34,7 @@ from ..options import dead_letter_target
 from ..schema import DEAD_LETTER_LOG_SCHEMA, GROUP_LOG_SCHEMA, LOG_SCHEMA
 from ..session import shared_dir, stateful_session
 from ..sources.archive import archive
+from ..sources.files import read_files, read_files_stream
 from ..sources.fs import path_exists
 from ..sources.kafka import kafka_shape
 from ..sources.queue_log import read_queue, read_queue_stream, write_queue
@@ -411,9 +412,36 @@ def q_kafka_shape(spark: SparkSession, d: str) -> DataFrame:
     return k.select("topic", _str("key").alias("key"), _str("value").alias("value"))
 
 
+#: Files beyond it are error rows in the checks.
+SMALL_FILE = 400
+
+
+def _file_rows(files: DataFrame) -> DataFrame:
+    key = F.regexp_extract("msg_id", "s_suppkey=([0-9]+)/", 1).cast("bigint")
+    return files.select(key.alias("s_suppkey"), _str("payload").alias("value"), "n_bytes", "error")
+
+
+def q_file_messages(spark: SparkSession, d: str) -> DataFrame:
+    """A file per supplier, read as messages; the longer ones as error rows."""
+    path = shared_dir(spark, "file_messages", unique=True)
+    fx.write_supplier_files(spark, d, path)
+    return _file_rows(read_files(spark, path, glob="part-*", max_file_bytes=SMALL_FILE))
+
+
 # ---------------------------------------------------------------- streams
 
 
+def q_stream_file_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The same files as a stream, drained twice: every file comes once."""
+    from ..streaming.drain import drain
+
+    path, sink, ckpt = _stream_dirs(spark, "stream_files")
+    fx.write_supplier_files(spark, d, path)
+    for _ in range(2):
+        drain(_file_rows(read_files_stream(spark, path, glob="part-*", max_file_bytes=SMALL_FILE)), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
 def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str, str]:
     base = shared_dir(spark, name, unique=True)
     return f"{base}/log", f"{base}/sink", f"{base}/checkpoint"
@@ -614,6 +642,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_fanout": q_archive_fanout,
     "archive_name": q_archive_name,
     "kafka_shape": q_kafka_shape,
+    "file_messages": q_file_messages,
+    "stream_file_messages": q_stream_file_messages,
     "stream_queue_scan": q_stream_queue_scan,
     "stream_drain_available_now": q_stream_drain_available_now,
     "stream_mq_source": q_stream_mq_source,

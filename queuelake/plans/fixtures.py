@@ -378,6 +378,12 @@ def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(_s("p_partkey").alias("msg_id"), doc.cast("binary").alias("payload"), "p_partkey")
 
 
+def write_supplier_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A text file per supplier below ``path``: its name, ``s_suppkey % 50`` times."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.repeat("s_name", (F.col("s_suppkey") % 50).cast("int")).alias("value"))
+    s.repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+
+
 def part_lexeme_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON as people write it, per part: white space, numbers that no double
     keeps, strings that look like containers.  Where 5 divides ``p_partkey`` the

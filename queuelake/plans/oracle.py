@@ -79,7 +79,13 @@ def _turn_groups(segments: bool) -> str:
     FROM conversations) WHERE NOT (conv_id % 11 = 0 AND no = 2)""", "conv_id")
 
 
+_FILES = """
+SELECT s_suppkey, CASE WHEN n <= 400 THEN value END AS value, n AS n_bytes, CASE WHEN n > 400 THEN 'FILE_TOO_LARGE' END AS error
+FROM (SELECT s_suppkey, repeat(s_name, s_suppkey % 50) || chr(10) AS value, CAST(strlen(s_name) * (s_suppkey % 50) + 1 AS BIGINT) AS n FROM supplier)"""
+
 ORACLE: dict[str, str] = {
+    "file_messages": _FILES,
+    "stream_file_messages": _FILES,
     "message_groups": _turn_groups(True),
     "stream_message_groups": _turn_groups(False),
     "message_groups_orders": _released("""
