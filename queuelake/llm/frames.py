@@ -31,6 +31,13 @@ def row_struct(df: DataFrame, name: str = "row") -> Column:
     return F.struct(*[column(c) for c in df.columns]).alias(name)
 
 
+def texts(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch, from the column of that name or from ``row``."""
+    if "text" in batch.schema.names:
+        return batch.column(batch.schema.names.index("text"))
+    return batch.column(batch.schema.names.index("row")).field("text")
+
+
 def from_struct(df: DataFrame, like: DataFrame, name: str = "row") -> DataFrame:
     return df.select(*[F.col(name).getField(c).alias(c) for c in like.columns])
 

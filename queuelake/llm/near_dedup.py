@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuelake.llm.components import components
-from queuelake.llm.frames import map_batches, written
+from queuelake.llm.frames import from_struct, map_batches, row_struct, written
 from queuelake.llm.words import mix64, shingle_set
 
 BANDS = 32
@@ -342,9 +342,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without all but one document of each
     component."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
     gone = written(gone, "dropped")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__hash"]), "left_anti")
+    kept = docs.select(row_struct(docs)).join(gone, F.col("row.doc_id").eqNullSafe(gone["id"]) & (F.xxhash64(F.col("row.text")) == gone["hash"]), "left_anti")
+    return from_struct(kept, docs)
 
 
 def keep_one_row_of_each(docs: DataFrame) -> DataFrame:
@@ -366,15 +367,16 @@ def keep_one_row_of_each(docs: DataFrame) -> DataFrame:
         of = repeated.where("group is not null").select(F.col("group").alias("of"), "first")
         others = kept.join(of, (F.col("group") == F.col("of")) & (F.col("text_hash") != F.col("first")))
         gone = gone.union(others.select("doc_id", "text_hash"))
-    gone = written(gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "dropped")
+    gone = written(gone.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct(), "dropped")
+    whole = docs.select(row_struct(docs))
 
     def same(other: DataFrame) -> Column:
-        return docs["doc_id"].eqNullSafe(other["__id"]) & (F.xxhash64(docs["text"]) == other["__hash"])
+        return F.col("row.doc_id").eqNullSafe(other["id"]) & (F.xxhash64(F.col("row.text")) == other["hash"])
 
-    left = docs.join(gone, same(gone), "left_anti")
+    left = whole.join(gone, same(gone), "left_anti")
     if not any_repeated:
-        return left
-    some = repeated.select(F.col("doc_id").alias("__id"), F.col("first").alias("__hash"))
-    copies = docs.join(some, same(some), "left_semi")
-    one = copies.groupBy(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash")).agg(F.first(F.struct(*docs.columns)).alias("__row"))
-    return left.join(some, same(some), "left_anti").union(one.select("__row.*"))
+        return from_struct(left, docs)
+    some = repeated.select(F.col("doc_id").alias("id"), F.col("first").alias("hash"))
+    copies = whole.join(some, same(some), "left_semi")
+    one = copies.groupBy(F.col("row.doc_id"), F.xxhash64("row.text")).agg(F.first("row").alias("row")).select("row")
+    return from_struct(left.join(some, same(some), "left_anti").union(one), docs)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from queuelake.llm.frames import map_batches, written
+from queuelake.llm.frames import from_struct, map_batches, row_struct, texts, written
 
 WINDOWS = (5, 6)
 CATEGORIES = ("explicit", "coded", "toxic")
@@ -267,15 +267,14 @@ def probabilities(model: Model, finder: Finder, text: str | None) -> list[float]
 
 
 def with_toxicity(docs: DataFrame, model: Model, name: str) -> DataFrame:
-    """``docs`` with a struct column ``name``: the categories' probabilities
-    and ``is_toxic``."""
-    at = docs.columns.index("text")
+    """``docs`` (with a column ``text``, or ``row`` of ``row_struct``) and a
+    struct column ``name``: the categories' probabilities and ``is_toxic``."""
     kind = T.StructType([*(T.StructField(c, T.DoubleType()) for c in CATEGORIES), T.StructField("is_toxic", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(model.windows)
         for batch in batches:
-            p = np.array([probabilities(model, finder, t.as_py()) for t in batch.column(at)]).reshape(-1, len(CATEGORIES))
+            p = np.array([probabilities(model, finder, t.as_py()) for t in texts(batch)]).reshape(-1, len(CATEGORIES))
             cols = [*(pa.array(np.ascontiguousarray(p[:, i])) for i in range(len(CATEGORIES))), pa.array(p[:, -1] >= model.threshold)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.StructArray.from_arrays(cols, names=[*CATEGORIES, "is_toxic"])], names=[*batch.schema.names, name])
 
@@ -297,4 +296,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that are not toxic."""
-    return with_toxicity(docs, train(docs, labels), "__t").where("not __t.is_toxic").select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = with_toxicity(docs.select(row_struct(docs)), train(docs.select("doc_id", "text"), labels), "t")
+    return from_struct(scored.where("not t.is_toxic"), docs)
