@@ -147,8 +147,8 @@ d AS (
   SELECT * EXCLUDE (lines), CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          [{'m': 's', 'v': 1000 * n_symbols // greatest(word_chars, 1), 'least': 10},
-          {'m': 'd', 'v': 1000 * (len(lines) - len(list_distinct(lines))) // greatest(len(lines), 1), 'least': 250},
-          {'m': 'l', 'v': 100 * word_chars // greatest(n_words, 1), 'least': 200}] AS ms
+          {'m': 'd', 'v': 1000 * (len(lines) - len(list_distinct(lines))) // greatest(len(lines), 1), 'least': 50},
+          {'m': 'l', 'v': 100 * word_chars // greatest(n_words, 1), 'least': 8}] AS ms
   FROM c),
 v AS (SELECT row_id, lang, source, base_failed, u.m.m AS m, u.m.v AS v, u.m.least AS least FROM d, unnest(ms) AS u(m)),
 k AS (
@@ -159,7 +159,7 @@ q AS (
   UNION ALL SELECT 1, lang, NULL, m, count(*), quantile_disc(b, 0.25), quantile_disc(b, 0.75) FROM n GROUP BY lang, m
   UNION ALL SELECT 0, NULL, NULL, m, count(*), quantile_disc(b, 0.25), quantile_disc(b, 0.75) FROM n GROUP BY m),
 f AS (
-  SELECT k.row_id, bool_and(coalesce(v BETWEEN q1 - 3 * greatest(q3 - q1, least) AND q3 + 3 * greatest(q3 - q1, least), true)) AS inside
+  SELECT k.row_id, bool_and(coalesce(v BETWEEN q1 - 4 * greatest(q3 - q1, least) AND q3 + 4 * greatest(q3 - q1, least), true)) AS inside
   FROM (SELECT k.*, CASE WHEN a.t >= 100 THEN a.q1 WHEN l.t >= 100 THEN l.q1 ELSE e.q1 END AS q1,
                     CASE WHEN a.t >= 100 THEN a.q3 WHEN l.t >= 100 THEN l.q3 ELSE e.q3 END AS q3
         FROM k LEFT JOIN q a ON a.lvl = 2 AND a.m = k.m AND a.lang IS NOT DISTINCT FROM k.lang AND a.source IS NOT DISTINCT FROM k.source

@@ -7,8 +7,9 @@ add up, so sketches merge in any order, are pre-aggregated before the shuffle,
 and give the same quantiles however the input is partitioned.
 
 A document is rejected when a metric lies beyond the outer fences of its group,
-``SPREADS`` times the spread between the quartiles (at least the metric's
-least spread) away from them.  Groups of fewer than ``MIN_GROUP`` documents use
+``SPREADS`` times the spread between the quartiles away from them.  The least
+spreads only keep a group apart whose quartiles are one value: that of the word
+length is a bucket's width, below the spread of any language.  Groups of fewer than ``MIN_GROUP`` documents use
 the merged sketch of their language, and languages of fewer the merged sketch
 of all documents.
 """
@@ -25,13 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from queuelake.llm.frames import map_batches, written
+from queuelake.llm.frames import from_struct, map_batches, row_struct, texts, written
 from queuelake.llm.words import _SPACE, SHINGLE_WORDS, as_bytes, span_hashes, window_hashes, word_bounds
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_GROUP = 100
-SPREADS = 3
+SPREADS = 4
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -44,8 +45,8 @@ class Metric(NamedTuple):
 
 METRICS = [
     Metric("symbol_permille", "1000 * n_symbols div greatest(word_chars, 1)", 10),
-    Metric("dup_line_permille", "1000 * n_dup_lines div greatest(n_lines, 1)", 250),
-    Metric("word_centichars", "100 * word_chars div greatest(n_words, 1)", 200),
+    Metric("dup_line_permille", "1000 * n_dup_lines div greatest(n_lines, 1)", 50),
+    Metric("word_centichars", "100 * word_chars div greatest(n_words, 1)", 8),
 ]
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
@@ -82,12 +83,12 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 
 def with_counts(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a struct column ``name`` of the counts of ``text``."""
-    at = docs.columns.index("text")
+    """``docs`` (with a column ``text``, or ``row`` of ``row_struct``) and a
+    struct column ``name`` of the text's counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([text_counts(t) for t in batch.column(at).to_pylist()], dtype=np.int64).reshape(-1, len(COUNTS))
+            rows = np.array([text_counts(t) for t in texts(batch).to_pylist()], dtype=np.int64).reshape(-1, len(COUNTS))
             counts = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(len(COUNTS))], names=COUNTS)
             yield pa.RecordBatch.from_arrays([*batch.columns, counts], names=[*batch.schema.names, name])
 
@@ -159,15 +160,16 @@ def thresholds(sketches: DataFrame) -> DataFrame:
 
 
 def judged(counted: DataFrame, limits: DataFrame, counts: str = "") -> DataFrame:
-    """``counted`` with the limits of its group and ``__kept``.
+    """``counted`` (lang, source and the counts) with the limits of its group and
+    ``is_kept``.
 
     A group without limits (all its documents fail the base rules) keeps none
     that the base rules have not already rejected."""
-    t = limits.withColumnsRenamed({"lang": "__lang", "source": "__source"})
+    t = limits.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     inside = [F.coalesce(metric(m, counts).between(F.col(f"low_{m.name}"), F.col(f"high_{m.name}")), F.lit(True)) for m in METRICS]
     return (
-        counted.join(t, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
-        .withColumn("__kept", ~base_failed(counts) & reduce(lambda a, b: a & b, inside))
+        counted.join(t, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left")
+        .withColumn("is_kept", ~base_failed(counts) & reduce(lambda a, b: a & b, inside))
     )
 
 
@@ -181,7 +183,7 @@ def quality_decisions(docs: DataFrame) -> DataFrame:
     counted = with_counts(docs.select("doc_id", "text", "lang", "source"), "counts").select("doc_id", "lang", "source", "counts.*")
     counted = written(counted, "quality")
     out = judged(counted, thresholds(sketch(counted)))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), F.col("__kept").alias("kept"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), F.col("is_kept").alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -191,4 +193,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     second, which joins only the small table of limits and moves no text."""
     counted = with_counts(docs.select("text", "lang", "source"), "counts").select("lang", "source", "counts.*")
     limits = written(thresholds(sketch(counted)), "limits")
-    return judged(with_counts(docs, "__counts"), limits, "__counts").where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = with_counts(docs.select(row_struct(docs)), "counts").select("row", "row.lang", "row.source", "counts")
+    return from_struct(judged(rows, limits, "counts").where("is_kept"), docs)
