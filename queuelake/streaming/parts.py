@@ -8,13 +8,14 @@ number of micro-batches.  What makes a whole, and what comes out of it, is a
 (``streaming.groups``).
 
 A part delivered again counts once.  Other content at the same number comes out
-at once as an error, and the key is told.  Every key ends: whole, or given up by
+at once as an error, once too, and the key is told.  Every key ends: whole, or given up by
 a timer once it has had no new part for ``delay`` of arrival time (the timestamp
 of the micro-batch, which Spark logs, so a replay sees the same one).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,6 +37,10 @@ class Part(NamedTuple):
     payload: bytes | None
     error: str | None
 
+    def content(self) -> tuple[bool, bytes, str | None]:
+        """What makes two deliveries of a number the same part."""
+        return self.last, bytes(self.payload or b""), self.error
+
 
 class Totals(NamedTuple):
     """Of the parts of a key."""
@@ -57,6 +62,8 @@ _I, _L, _S, _B = T.IntegerType(), T.LongType(), T.StringType(), T.BinaryType()
 _PART = _struct(msg_id=_S, msg_type=_I, correl_id=_B, put_ts=T.TimestampNTZType(), last=T.BooleanType(), payload=_B, error=_S)
 _TOTALS = _struct(n=_I, size=_L, n_last=_I, last_end=_L, latest_ms=_L, bad=_S, timer_ms=_L)
 _NUMBER = _struct(no=_I)
+_CLASH = _struct(no=_I, digest=_S)
+_SEEN = _struct(seen=T.BooleanType())
 
 
 class Rule:
@@ -101,6 +108,7 @@ class PartCollector(StatefulProcessor):
         self.handle = handle
         self.parts = handle.getMapState("parts", _NUMBER, _PART)
         self.totals = handle.getValueState("totals", _TOTALS)
+        self.clashes = handle.getMapState("clashes", _CLASH, _SEEN)
 
     def _in_order(self) -> Iterator[tuple[int, Part]]:
         """One part at a time: the key's own limit of memory is a part."""
@@ -110,6 +118,8 @@ class PartCollector(StatefulProcessor):
     def _drop(self, t: Totals) -> None:
         self.parts.clear()
         self.totals.clear()
+        if t.bad:
+            self.clashes.clear()
         if t.timer_ms >= 0:
             self.handle.deleteTimer(t.timer_ms)
 
@@ -124,9 +134,12 @@ class PartCollector(StatefulProcessor):
             t = t._replace(latest_ms=max(t.latest_ms, row["__arrival_ms"]))
             if self.parts.containsKey((no,)):
                 known = Part(*self.parts.getValue((no,)))
-                if (known.last, bytes(known.payload or b""), known.error) != (part.last, payload or b"", part.error):
+                if known.content() != part.content():
                     t = t._replace(bad=rule.conflicting)
-                    yield rule.one(key, no, part, rule.conflicting)
+                    clash = (no, hashlib.md5(repr(part.content()).encode()).hexdigest())
+                    if not self.clashes.containsKey(clash):
+                        self.clashes.updateValue(clash, (True,))
+                        yield rule.one(key, no, part, rule.conflicting)
                 continue
             self.parts.updateValue((no,), tuple(part))
             t = t._replace(

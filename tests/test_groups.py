@@ -130,6 +130,16 @@ def test_stream_gives_up_what_is_late(spark, tmp):
     assert got(spark.read.parquet(sink)) == [("A", 1, b"1", None), ("A", 2, b"2", None), ("B", 1, b"1", "INCOMPLETE_MESSAGE_GROUP")]
 
 
+def test_what_differs_comes_out_once_whatever_comes_first(spark, tmp):
+    log, sink, ckpt = f"{tmp}/log", f"{tmp}/sink", f"{tmp}/ckpt"
+    one, other = ("a1", "A", 1, False, b"1"), ("a1", "A", 1, False, b"one")
+    for seq, rows in enumerate([[one], [other], [one, other, other], [("z1", "Z", 1, True, b"z")]]):
+        write_queue(frame(spark, rows), log, "QM", "Q", "p", seq)
+        drain(stream(spark, log).select("group_id", "msg_seq", "payload", "error"), sink, ckpt) if seq > 1 else None
+    clash = "CONFLICTING_MESSAGES"
+    assert got(spark.read.parquet(sink).where("group_id = 'A'")) == [("A", 1, b"1", clash), ("A", 1, b"one", clash)]
+
+
 def test_state_needs_rocksdb_and_leaves_the_session_alone(spark, tmp):
     write_queue(frame(spark, CASES[:3]), f"{tmp}/log", "QM", "Q", "p", 0)
     plain = read_queue_stream(spark, f"{tmp}/log", "QM", "Q", schema=GROUP_LOG_SCHEMA)
