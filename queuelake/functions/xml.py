@@ -4,8 +4,10 @@ No XML parser is involved (the records are parsed afterwards with
 ``from_xml``): elements are found by a regular expression on the tag name.
 Handled: attributes (also with ``>`` in a quoted value), whitespace before
 ``>``, self-closing tags (skipped), prefix-sharing names such as ``<itemx>``
-(not matched).  Out of scope, as for any line scanner: tags inside CDATA
-sections or comments.
+(not matched).  Tags inside comments, CDATA sections and processing
+instructions are text: in messages that hold such spans, their ``<`` is masked by
+a character XML does not allow, one for one, while elements are looked for, and
+put back into the records.  Out of scope: tags inside a DOCTYPE.
 
 The work is linear in the message.  Elements are looked for only up to the last
 end tag, so from every start tag there the search ends at an end tag and goes
@@ -27,6 +29,14 @@ NESTED_SPLIT = "NESTED_SPLIT"
 UNCLOSED_SPLIT = "UNCLOSED_SPLIT"
 UNMATCHED_END = "UNMATCHED_END"
 HEADER_MISSING = "HEADER_MISSING"
+UNCLOSED_SPAN = "UNCLOSED_SPAN"
+ILLEGAL_CHARACTER = "ILLEGAL_CHARACTER"
+
+# Stands for a "<" that is no markup; XML 1.0 allows it nowhere.
+_MASK = "\x01"
+# Comments, CDATA sections, processing instructions; one that never ends runs to the end.
+_SPAN = r"(?s)<!--.*?(?:-->|\z)|<!\[CDATA\[.*?(?:\]\]>|\z)|<\?.*?(?:\?>|\z)"
+_WHOLE_SPAN = r"(?s)^(?:<!--.*-->|<!\[CDATA\[.*\]\]>|<\?.*\?>)\z"
 
 
 def _quoted(tag: str) -> str:
@@ -54,6 +64,36 @@ def after_last_end(text: Column, tag: str) -> Column:
     return F.substring_index(text, end_tag(tag), -1)
 
 
+def has_spans(text: Column) -> Column:
+    """Whether the text holds a comment, CDATA section or processing instruction
+    (the declaration a document begins with apart: no tag fits into it)."""
+    return text.contains("<!--") | text.contains("<![CDATA[") | (F.locate("<?", text, 2) > 0) | text.rlike("^<\\?(?!xml\\s)")
+
+
+def spans(text: Column) -> Column:
+    """The spans from left to right: what begins inside of one is its text."""
+    return F.regexp_extract_all(text, F.lit(_SPAN), 0)
+
+
+def mask_spans(text: Column, found: Column) -> Column:
+    """The text with every ``<`` inside of ``found`` masked but for the one that
+    begins a span; as long as it was, character by character."""
+    def inside(piece: Column, span: Column) -> Column:
+        return F.concat(piece, F.coalesce(F.concat(F.lit("<"), F.translate(F.substring(span, 2, 2**31 - 1), "<", _MASK)), F.lit("")))
+
+    return F.array_join(F.zip_with(F.split(text, _SPAN, -1), found, inside), "")
+
+
+def unmask(text: Column) -> Column:
+    return F.translate(text, _MASK, "<")
+
+
+def span_error(text: Column, found: Column) -> Column:
+    """Why a text with spans can not be masked, or null."""
+    last = F.element_at(found, -1)
+    return F.when(text.contains(_MASK), F.lit(ILLEGAL_CHARACTER)).when(~last.rlike(_WHOLE_SPAN), F.lit(UNCLOSED_SPAN))
+
+
 def start_tag_upper_bound(text: Column, tag: str) -> Column:
     """Occurrences of the literal ``<tag``: never fewer than the real start
     tags (it also counts ``<tagx`` and self-closing tags), and computed with a

@@ -161,7 +161,10 @@ def split_xml(
     Errors (whole message): ``NESTED_SPLIT`` when an element contains another
     element of the same name, ``UNCLOSED_SPLIT`` when a start tag has no end
     tag, ``UNMATCHED_END`` when an end tag has no start tag,
-    ``HEADER_MISSING`` when a header block is absent.
+    ``HEADER_MISSING`` when a header block is absent.  What looks like a tag
+    inside a comment, CDATA section or processing instruction is text and stays
+    as written in the record around it; one that never ends is ``UNCLOSED_SPAN``,
+    and U+0001 (no XML character) beside such spans ``ILLEGAL_CHARACTER``.
 
     ``encoding`` is the payload's charset; records are UTF-8.
     """
@@ -186,7 +189,14 @@ def split_xml(
         return _emit(staged, records, _no_error(), payload)
 
     open_re = xx.open_tag_regex(split)
-    carry = []
+    staged = staged.withColumn("__ql_spans", xx.has_spans(t))
+    masked = F.col("__ql_spans")
+    staged = staged.withColumn("__ql_found", F.when(masked, xx.spans(t)))
+    staged = staged.withColumns({
+        "__ql_unfit": F.when(masked, xx.span_error(t, F.col("__ql_found"))),
+        "__ql_text": F.when(masked, xx.mask_spans(t, F.col("__ql_found"))).otherwise(t),
+    })
+    carry = ["__ql_spans"]
     staged = staged.withColumn("__ql_tail", xx.after_last_end(t, split))
     tail = F.col("__ql_tail")
     body = F.left(t, F.length(t) - F.length(tail))
@@ -242,10 +252,11 @@ def split_xml(
             missing = missing | (hc == "")
         error = F.when(missing, F.lit(xx.HEADER_MISSING)).otherwise(error)
 
+    error = F.when(F.col("__ql_unfit").isNotNull(), F.col("__ql_unfit")).otherwise(error)
+
     def record(x: Column) -> Column:
-        if not hdr_cols:
-            return fmt(x)
-        return F.concat(F.col("__ql_hdr"), fmt(x), F.lit("</root>"))
+        whole = F.concat(F.col("__ql_hdr"), fmt(x), F.lit("</root>")) if hdr_cols else fmt(x)
+        return F.when(masked, xx.unmask(whole)).otherwise(whole)
 
     return _emit(staged, m, error, payload, finish=record, carry=carry)
 

@@ -191,6 +191,13 @@ def q_json_lexemes(spark: SparkSession, d: str) -> DataFrame:
     return recs.select("p_partkey", "pos", _str("value").alias("value"), "error")
 
 
+def q_xml_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Records beside comments, CDATA and instructions that hold the same tag; a
+    message whose comment never ends comes out whole."""
+    recs = split_xml(fx.document_span_messages(spark, d), split="line", layout="raw")
+    return recs.select("doc_id", "pos", F.when(F.col("error").isNull(), _str("value")).alias("value"), "error")
+
+
 # ---------------------------------------------------------------- typed views of malformed records
 
 
@@ -617,6 +624,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_header_enrich": q_xml_header_enrich,
     "xml_whole": q_xml_whole,
     "xml_split_pages": q_xml_split_pages,
+    "xml_spans": q_xml_spans,
     "split_lines": q_split_lines,
     "split_lines_encoding": q_split_lines_encoding,
     "fixed_width_columns": q_fixed_width_columns,

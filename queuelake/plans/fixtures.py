@@ -421,6 +421,20 @@ def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(_s("page_id").alias("msg_id"), F.col("html").cast("binary").alias("payload"), "page_id")
 
 
+def document_span_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One XML message per document: a line with its text in CDATA, beside lines
+    inside of a comment, an instruction and the CDATA itself; the comment of every
+    11th document never ends."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("]]>"), F.lit("]] >"))
+    payload = F.concat(
+        F.lit("<d><!-- <line>"), F.col("lang"), F.when(F.col("doc_id") % 11 == 0, F.lit("</line>")).otherwise(F.lit("</line> -->")),
+        F.lit("<line n='1'><![CDATA[<line>"), text, F.lit("</line>]]></line><?draft <line>"), _s("doc_id"),
+        F.lit("?><line>"), _s("doc_id"), F.lit("</line></d>"),
+    )
+    return spread(d).select(_s("doc_id").alias("msg_id"), payload.cast("binary").alias("payload"), "doc_id")
+
+
 # Fixed-width layout of order item lines: (name, 1-based start, length, type).
 ITEM_LINE_LAYOUT = [("l_linenumber", 1, 10, "int"), ("l_quantity", 11, 24, "double")]
 

@@ -107,6 +107,14 @@ FROM (SELECT page_id, regexp_replace(html, '\r\n?', chr(10), 'g') AS n FROM page
     "xml_split_pages": r"""
 SELECT page_id, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS pos, unnest(m) AS value, CAST(NULL AS VARCHAR) AS error
 FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li(?:\s(?:[^>]*[^/>])?)?>.*?</li>') AS m FROM pages)""",
+    "xml_spans": """
+SELECT doc_id, CAST(u.pos AS INTEGER) AS pos, u.value AS value, CAST(NULL AS VARCHAR) AS error
+FROM documents, unnest([
+  {'pos': 0, 'value': '<line n=''1''><![CDATA[<line>' || replace(coalesce(text, ''), ']]>', ']] >') || '</line>]]></line>'},
+  {'pos': 1, 'value': '<line>' || doc_id || '</line>'}]) AS t(u)
+WHERE doc_id % 11 <> 0
+UNION ALL
+SELECT doc_id, NULL, NULL, 'UNCLOSED_SPAN' FROM documents WHERE doc_id % 11 = 0""",
     "split_lines": f"""
 SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS value
 FROM (SELECT doc_id, {_lines('text')} AS l FROM documents)""",

@@ -1,5 +1,7 @@
 """Hand-traced splitter cases (exact bytes)."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,8 +272,6 @@ def test_custom_splitters_lose_no_message(spark):
 
 
 def test_xml_is_linear_and_quotes_are_read(spark):
-    import time
-
     assert run_xml(spark, '<r><i a="x/>y"><b>1</b></i></r>', split="i", layout="raw") == [(0, '<i a="x/>y"><b>1</b></i>', None)]
     assert run_xml(spark, "<r></i><i>1</i></r>", split="i")[0][2] == "UNMATCHED_END"
     assert run_xml(spark, '<r><i a="x><b>1</b></i></r>', split="i")[0][2] == "UNMATCHED_END"
@@ -281,6 +281,42 @@ def test_xml_is_linear_and_quotes_are_read(spark):
     assert time.time() - begin < 60
 
 
+@pytest.mark.parametrize(
+    "payload,expected",
+    [
+        ("<r><!-- <i>x</i> --></r>", []),
+        ("<r><!-- <i>x</i> --><i>1</i></r>", [(0, "<i>1</i>", None)]),
+        ("<r><!-- <i> --><i>1</i><?p </i>?></r>", [(0, "<i>1</i>", None)]),
+        ("<r><i>a<!-- <i>x</i> -->b</i></r>", [(0, "<i>a<!-- <i>x</i> -->b</i>", None)]),
+        ("<r><i><![CDATA[</i><i><<]]></i><i><![CDATA[]]></i></r>", [(0, "<i><![CDATA[</i><i><<]]></i>", None), (1, "<i><![CDATA[]]></i>", None)]),
+        ("<r><i><![CDATA[<!-- ]]>1</i><!-- <![CDATA[ --><i>2</i></r>", [(0, "<i><![CDATA[<!-- ]]>1</i>", None), (1, "<i>2</i>", None)]),
+        ('<?xml version="1.0"?><r><?i <i>?><i>1</i></r>', [(0, "<i>1</i>", None)]),
+        ("<?i <i>?><i>1</i>", [(0, "<i>1</i>", None)]),
+        ("<r><i>&lt;!-- 5 ]]&gt; --&gt;</i></r>", [(0, "<i>&lt;!-- 5 ]]&gt; --&gt;</i>", None)]),
+        ("<r><!--\u00e9\U0001F600<i>--><i>\U0001F600<!--<--></i></r>", [(0, "<i>\U0001F600<!--<--></i>", None)]),
+        ("<r><i>1</i><!-- <i>2</i></r>", "UNCLOSED_SPAN"),
+        ("<r><i>1</i><!--> <i>2</i></r>", "UNCLOSED_SPAN"),
+        ("<r><i><![CDATA[x]></i></r>", "UNCLOSED_SPAN"),
+        ("<r><i>\x01<!-- x --></i></r>", "ILLEGAL_CHARACTER"),
+        ("<r><i>\x01</i></r>", [(0, "<i>\x01</i>", None)]),
+        ("<r><i>1<!-- </i> --></r>", "UNCLOSED_SPLIT"),
+    ],
+)
+def test_xml_spans_hold_no_tags(spark, payload, expected):
+    got = run_xml(spark, payload, split="i", layout="raw")
+    assert got == ([(-1, payload, expected)] if isinstance(expected, str) else expected)
+
+
+def test_xml_spans_in_lines_and_headers(spark):
+    got = run_xml(spark, "<r><!--<h>0</h>--><h>7<!--<i>--></h><i><a>1</a><![CDATA[<a><b>]]></i></r>", split="i", headers="h")
+    assert got == [(0, "<root><h>7<!--<i>-->\n</h>\n\n<i>\n<a>1</a>\n<![CDATA[<a><b>]]>\n</i>\n</root>", None)]
+    begin = time.time()
+    for bad in ("<!--" * 2_000_000, "<![CDATA[<i>" * 800_000, "<r>" + "<!-- <i> -->" * 800_000 + "<i>1</i></r>"):
+        out = run_xml(spark, bad, split="i", layout="raw")
+        assert out == [(0, "<i>1</i>", None)] if bad.endswith("r>") else out[0][2] == "UNCLOSED_SPAN"
+    assert time.time() - begin < 60
+
+
 def test_null_payload_is_one_error_row(spark):
     from queuelake.operators.splitters import python_splitter
 
