@@ -5,10 +5,17 @@ their tag, role, class or id are menus, headers, footers, sidebars, notices,
 adverts, forms or reader comments are left out, unless one holds the article
 itself.  Every block gets a density: characters per tag, weighed by the share of
 characters and tags inside links.
-The block whose children have the greatest sum of densities lies in the article:
-the article or main element around it, or else the page.  All of that stays but
-lists of links beside the block.  Outside of an article or main element the
-least density on the path to the block is the threshold for further blocks.
+The block whose children have the greatest sum of densities lies in the article.
+The least density on the path from it to the body is the threshold.
+
+With an article or main element around the block, that one stays as a whole;
+blocks outside of it stay that reach the threshold.  Otherwise the article is
+the outermost block on the path that holds prose of its own (bare text,
+paragraphs, lists) beside the path, or else the densest block itself: all in it
+stays, and of the blocks beside the path those that reach a quarter of the
+threshold (``SPARSE``), so sections of unlike length stay together while
+teasers, side columns and footers go, marked or not.  In both, lists of links go,
+and so do divisions with several links below a quarter of the threshold.
 """
 
 from __future__ import annotations
@@ -40,9 +47,18 @@ ARTICLE = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SCOPE = set("html body article section main div table td th li ul ol blockquote aside nav header footer form button figure".split())
 
+#: What prose stands in, and what only divides a page up.
+PROSE = set("p pre blockquote ul ol dl li dt dd figure table".split())
+DIVISIONS = {"div", "section"}
+#: The share of the threshold below which a block is sparse.
+SPARSE = 0.25
+#: Least base of the density's logarithm: near 1, as without links, a few words
+#: would count more than a page.
+LEAST_BASE = 2.0
+
 #: Words in a class, id or role that name what is not the article.
 BOILERPLATE = set("""
-ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored promo promotion banner
+ad ads advert adverts advertisement advertising adbox adslot adsbygoogle sponsor sponsored promo promotion banner
 nav navbar navigation menu breadcrumb breadcrumbs pagination pager tabs toc
 header masthead footer footnotes colophon copyright legal
 sidebar aside rail widget widgets related recommended recommendations
@@ -58,6 +74,7 @@ NEGATED = set("no not non has have with without hide".split())
 PARTS = set("""
 area list lists wrapper wrap container box bar block section panel slot unit item items inner outer group row col
 left right top bottom primary secondary thread links buttons icons posts articles stories news
+frame tools
 """.split())
 #: How an element is left out: by a name, or by one of the tags for what stands
 #: beside an article, unless it holds the article; as reader comments, unless
@@ -66,7 +83,8 @@ BY_NAME, BESIDE, COMMENTS, NEVER = 1, 2, 3, 4
 
 _TOKEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_WORDS = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
@@ -81,8 +99,8 @@ class Node:
 
 def _named(name: str) -> int:
     """How a class, id or role leaves out: by its last word but for PARTS
-    (site-footer, sidebar-left), so neither no-sidebar nor related-work does."""
-    words = _WORDS.findall(name)
+    (site-footer, sidebarLeft), so neither no-sidebar nor related-work does."""
+    words = [w.lower() for w in _WORDS.findall(name)]
     if not NEGATED.isdisjoint(words):
         return 0
     while len(words) > 1 and (words[-1] in PARTS or len(words[-1]) == 1):
@@ -101,9 +119,9 @@ def _left_out(tag: str, attributes: str) -> int:
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         if name in ("class", "id", "role"):
-            for token in html.unescape(m[2] or m[3] or m[4] or "").lower().split():
+            for token in html.unescape(m[2] or m[3] or m[4] or "").split():
                 out = max(out, _named(token))
-        elif name == "hidden" or name == "aria-hidden" and (m[2] or m[3] or m[4]) == "true":
+        elif name == "style" and _NOT_SHOWN.search(html.unescape(m[2] or m[3] or m[4] or "")) or name == "hidden" or name == "aria-hidden" and (m[2] or m[3] or m[4]) == "true":
             out = max(out, BY_NAME)
     return out
 
@@ -239,7 +257,7 @@ def weigh(root: Node) -> list[Node]:
             plain = max(node.chars - node.link_chars, 1)
             base = math.log(node.chars / plain * node.link_chars + share * node.chars + math.e)
             inside = node.chars / max(node.link_chars, 1) * max(node.tags, 1) / max(node.link_tags, 1)
-            node.density = node.chars / max(node.tags, 1) * math.log(max(inside, 1.0) + 1e-9, max(base, 1.0 + 1e-6)) if inside > 1 else 0.0
+            node.density = node.chars / max(node.tags, 1) * math.log(max(inside, 1.0) + 1e-9, max(base, LEAST_BASE)) if inside > 1 else 0.0
     for node in nodes:
         node.sum = sum(x.density for x in node.items if isinstance(x, Node) and not x.out and x.tag not in INLINE)
     return nodes
@@ -250,6 +268,14 @@ def _many_links(node: Node) -> bool:
     return node.link_tags > 2 and 2 * node.link_chars > node.chars
 
 
+def _own_prose(node: Node, path: set[int]) -> bool:
+    """Whether a node of the path holds prose beside the path itself."""
+    return any(
+        bool(x.strip()) if isinstance(x, str) else x.tag in INLINE | PROSE and not x.out and x.chars > 0 and id(x) not in path and not _many_links(x)
+        for x in node.items
+    )
+
+
 def _content(root: Node) -> list[Node | str | None]:
     """The article's subtrees and bare texts in page order; None ends a block."""
     nodes = weigh(root)
@@ -262,21 +288,22 @@ def _content(root: Node) -> list[Node | str | None]:
         path.append(path[-1].parent)
     body = next((i for i, n in enumerate(path) if n.tag == "body"), len(path) - 1)
     threshold = min(n.density for n in path[: body + 1])
-    # what is the article as a whole: the outermost article or main around the
-    # block, else the page, and the other articles of the page
-    whole, todo = [next((n for n in reversed(path) if n.tag in ARTICLE), root)], [root]
+    on_path, above = set(map(id, path)), set()
+    # what is the article as a whole, and the other articles of the page
+    article = next((n for n in reversed(path) if n.tag in ARTICLE), None)
+    whole, todo = [best, article or next(n for n in reversed(path) if n is best or _own_prose(n, on_path))], [root]
     while todo:
         node = todo.pop()
         if node.tag in ARTICLE and node.chars and not _many_links(node):
             whole.append(node)
         else:
             todo.extend(x for x in node.items if isinstance(x, Node) and not x.out)
-    on_path, above = set(map(id, path)), set()
     for node in whole:
         while node is not None and id(node) not in above:
             above.add(id(node))
             node = node.parent
     wholes = set(map(id, whole))
+    beside = threshold if article else SPARSE * threshold
     out: list[Node | str | None] = []
     walk: list[tuple[Node | str | None, bool]] = [(root, False)]
     while walk:
@@ -285,15 +312,17 @@ def _content(root: Node) -> list[Node | str | None]:
             out.append(x)
         elif x.out:
             continue
-        elif x is best:
-            out.append(x)
         elif id(x) in on_path or id(x) in above:
             inside = inside or id(x) in wholes
             ends = [(None, inside)] if x.tag not in INLINE else []
             walk.extend([*ends, *((y, inside) for y in reversed(x.items)), *ends])
-        elif x.tag in INLINE or x.tag in HEADINGS or x.density >= threshold or inside and not _many_links(x):
-            # outside, blocks as dense as the path's least dense one belong to
-            # the article too, and so do headings, which are short by nature
+        elif x.tag in INLINE or x.tag in HEADINGS:  # short by nature
+            out.append(x)
+        elif inside:
+            gone = x.tag in DIVISIONS and x.link_tags > 1 and x.density < SPARSE * threshold
+            if not gone and (not _many_links(x) or x.parent is best and x.tag not in DIVISIONS):
+                out.append(x)
+        elif x.density >= beside:
             out.append(x)
     return out
 

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
@@ -117,6 +118,54 @@ def test_all_of_the_article_stays():
     assert html_density.main_text(f"<article><p>Text</p><div>{a_html}</div><ul>{links}</ul><p><a href=x>One link</a></p></article>").split("\n") == ["Text", *a, "One link"]
 
 
+def mixed_pages():
+    """Pages of divisions without a telling name: the article, as one run or as
+    sections, beside teasers, a side column and a footer; with what must stay."""
+    rng = np.random.default_rng(3)
+
+    def prose(n):
+        return " ".join("".join(rng.choice(list("aeioulmnrst"), rng.integers(2, 9))) for _ in range(n))
+
+    for i in range(60):
+        paragraphs = [prose(int(rng.integers(30, 110))) for _ in range(int(rng.integers(6, 14)))]
+        html_of = "".join(f"<p>{x}</p>" for x in paragraphs)
+        if i % 3 == 1:
+            cut = len(paragraphs) // 2
+            html_of = "".join(f"<section>{''.join(f'<p>{x}</p>' for x in part)}</section>" for part in (paragraphs[:cut], paragraphs[cut:]))
+        if i % 3 == 2:
+            html_of = f"<p>Short.</p>{html_of}<p>Last words.</p>"
+            paragraphs = ["Short.", *paragraphs, "Last words."]
+        teasers = "".join(f"<div><a href=/{j}>{prose(3)}</a><div><span>{prose(4)}</span><div>{prose(2)}</div></div></div>" for j in range(6))
+        side = "".join(f"<div><div>{prose(2)}</div><div>{prose(1)}</div></div>" for _ in range(5))
+        foot = f"<div><div>{prose(2)}</div><div><a href=/i>{prose(1)}</a></div></div>"
+        around = (f"<div>{html_of}</div><div>{teasers}</div>", f"<div><div>{side}</div><div>{html_of}</div></div>", f"<div>{html_of}</div>")[i // 3 % 3]
+        yield f"<html><body>{around}{foot}</body></html>", paragraphs
+
+
+def test_densities_decide_on_pages_without_an_article_element(monkeypatch):
+    pages = list(mixed_pages())
+    for page, want in pages:
+        assert html_density.main_text(page).split("\n") == want
+    weigh, rng = html_density.weigh, np.random.default_rng(5)
+
+    def by_chance(root):
+        nodes = weigh(root)
+        for node in nodes:
+            node.density, node.sum = rng.random(), rng.random()
+        return nodes
+
+    monkeypatch.setattr(html_density, "weigh", by_chance)
+    changed = sum(html_density.main_text(page).split("\n") != want for page, want in pages)
+    assert changed >= 0.9 * len(pages)
+
+
+def test_link_divisions_in_an_article_go():
+    words = "plain words of the article that go on " * 12
+    teaser = "".join(f"<div><a href=/{i}>next</a><div><span>{i} min</span> by someone</div></div>" for i in range(6))
+    page = f"<article><p>{words}</p><div>{teaser}</div><p>{words}</p><div>Aside from that.</div></article>"
+    assert html_density.main_text(page) == f"{words.strip()}\n{words.strip()}\nAside from that."
+
+
 def test_what_holds_the_article_stays():
     words = "plain words of the article that go on " * 12
     want = "\n".join([words.strip()] * 3)
@@ -135,7 +184,8 @@ def test_what_holds_the_article_stays():
         f"<body><div class=modal><main>{text}</main></div><div class=popup>{words * 9}</div>",
     ):
         assert html_density.main_text(page) == want, page[:80]
-    marked = ("class=site-footer", "id=main-nav", "class='x sidebar-left'", "class=comment-list", "class=ad-1", "id=cookie-banner", "role=banner", "hidden")
+    marked = ("class=userComments", "id=commentForm", "class=cookieConsent", "class=siteFooter", "id=google_ads_frame1", "class=adsbygoogle",
+              "class=post-share-tools", 'style="color:red; display: none"', "class=site-footer", "id=main-nav", "class='x sidebar-left'", "class=comment-list", "class=ad-1", "id=cookie-banner", "role=banner", "hidden")
     for out in marked:
         assert html_density.main_text(f"<body><div>{text}</div><div {out}><p>other words</p></div>") == want, out
     # reader comments stay out however long, and so do articles in them
