@@ -38,6 +38,7 @@ from ..sources.files import read_files, read_files_stream
 from ..sources.fs import path_exists
 from ..sources.kafka import kafka_shape
 from ..sources.queue_log import read_queue, read_queue_stream, write_queue
+from ..sources.xml_files import read_xml_files
 from . import fixtures as fx
 
 # The queue names the checks use.
@@ -435,6 +436,15 @@ def q_file_messages(spark: SparkSession, d: str) -> DataFrame:
     return _file_rows(read_files(spark, path, glob="part-*", max_file_bytes=SMALL_FILE))
 
 
+def q_xml_file_records(spark: SparkSession, d: str) -> DataFrame:
+    """A document per nation in a file, read in pieces: a record per customer with
+    the file's header; a file without one is an error."""
+    path = shared_dir(spark, "xml_files", unique=True)
+    fx.write_nation_documents(spark, d, path)
+    recs = read_xml_files(spark, path, "customer", headers="header", glob="part-*")
+    return recs.select(F.regexp_extract("file", "c_nationkey=(\\d+)", 1).cast("long").alias("c_nationkey"), _str("value").alias("value"), "error")
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -651,6 +661,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_name": q_archive_name,
     "kafka_shape": q_kafka_shape,
     "file_messages": q_file_messages,
+    "xml_file_records": q_xml_file_records,
     "stream_file_messages": q_stream_file_messages,
     "stream_queue_scan": q_stream_queue_scan,
     "stream_drain_available_now": q_stream_drain_available_now,

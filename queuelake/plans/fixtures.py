@@ -435,6 +435,20 @@ def document_span_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(d).select(_s("doc_id").alias("msg_id"), payload.cast("binary").alias("payload"), "doc_id")
 
 
+def write_nation_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """One XML document per nation, a file each: a header with its key, then its
+    customers; the header of every fifth nation is missing."""
+    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
+    item = F.concat(F.lit("  <customer>\n    <key>"), _s("c_custkey"), F.lit("</key>\n  </customer>"))
+    rows = c.select("c_nationkey", F.lit(1).alias("part"), F.col("c_custkey").alias("k"), item.alias("value"))
+    n = c.select("c_nationkey").distinct()
+    nation = _s("c_nationkey")
+    head = F.when(F.col("c_nationkey") % 5 == 0, F.lit("<nation>")).otherwise(F.concat(F.lit("<nation>\n<header>\n  <nation>"), nation, F.lit("</nation>\n</header>")))
+    ends = [n.select("c_nationkey", F.lit(part).alias("part"), F.lit(None).cast("long").alias("k"), v.alias("value")) for part, v in ((0, head), (2, F.lit("</nation>")))]
+    docs = rows.unionByName(ends[0]).unionByName(ends[1]).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "part", "k")
+    docs.select("c_nationkey", "value").write.partitionBy("c_nationkey").mode("overwrite").text(path)
+
+
 # Fixed-width layout of order item lines: (name, 1-based start, length, type).
 ITEM_LINE_LAYOUT = [("l_linenumber", 1, 10, "int"), ("l_quantity", 11, 24, "double")]
 

@@ -85,6 +85,15 @@ FROM (SELECT s_suppkey, repeat(s_name, s_suppkey % 50) || chr(10) AS value, CAST
 
 ORACLE: dict[str, str] = {
     "file_messages": _FILES,
+    "xml_file_records": """
+WITH f AS (
+  SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, c_nationkey % 5 = 0 AS broken,
+         concat_ws(chr(10), '<root><header>', '  <nation>' || c_nationkey || '</nation>', '</header>', '', '') AS head,
+         concat_ws(chr(10), '  <customer>', '    <key>' || c_custkey || '</key>', '  </customer>', '</root>') AS item
+  FROM customer)
+SELECT c_nationkey, head || item AS value, CAST(NULL AS VARCHAR) AS error FROM f WHERE NOT broken
+UNION ALL
+SELECT DISTINCT c_nationkey, CAST(NULL AS VARCHAR), 'HEADER_MISSING' FROM f WHERE broken""",
     "stream_file_messages": _FILES,
     "message_groups": _turn_groups(True),
     "stream_message_groups": _turn_groups(False),
