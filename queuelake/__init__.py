@@ -37,6 +37,7 @@ from .sources.files import read_files, read_files_stream
 from .sources.kafka import kafka_shape
 from .sources.queue_log import read_queue, read_queue_stream, write_queue
 from .sources.xml_files import read_xml_files
+from .streaming.confirmations import confirmations
 from .streaming.drain import drain, process_mq, read_mq, run_foreach_batch, to_sink
 from .streaming.groups import release_groups_stream
 from .streaming.segments import assemble_segments_stream
@@ -80,5 +81,6 @@ __all__ = [
     "read_files",
     "read_files_stream",
     "read_xml_files",
+    "confirmations",
     "stateful_session",
 ]

@@ -39,6 +39,7 @@ from ..sources.fs import path_exists
 from ..sources.kafka import kafka_shape
 from ..sources.queue_log import read_queue, read_queue_stream, write_queue
 from ..sources.xml_files import read_xml_files
+from ..streaming.confirmations import confirmations
 from . import fixtures as fx
 
 # The queue names the checks use.
@@ -459,6 +460,30 @@ def q_stream_file_messages(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def _confirmed(df: DataFrame) -> DataFrame:
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return df.select(F.col("msg_id").cast("long").alias("o_orderkey"), "kind", day("put_ts").alias("put"), day("confirmed_ts").alias("confirmed"))
+
+
+def q_confirmations(spark: SparkSession, d: str) -> DataFrame:
+    """Reports matched to the dead letters of the orders, as a batch."""
+    return _confirmed(confirmations(*fx.order_letters_and_reports(spark, d)))
+
+
+def q_stream_confirmations(spark: SparkSession, d: str) -> DataFrame:
+    """The same from two streams: what is not confirmed comes out once the
+    watermarks have passed the bound."""
+    from ..streaming.drain import drain
+
+    path, sink, ckpt = _stream_dirs(spark, "stream_confirmations")
+    inputs = []
+    for name, df in zip(("dead", "reports"), fx.order_letters_and_reports(spark, d)):
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        inputs.append(spark.readStream.schema(df.schema).parquet(f"{path}/{name}"))
+    drain(confirmations(*inputs, delay="12 hours"), sink, ckpt)
+    return _confirmed(spark.read.parquet(sink))
+
+
 def _stream_dirs(spark: SparkSession, name: str) -> tuple[str, str, str]:
     base = shared_dir(spark, name, unique=True)
     return f"{base}/log", f"{base}/sink", f"{base}/checkpoint"
@@ -663,6 +688,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_messages": q_file_messages,
     "xml_file_records": q_xml_file_records,
     "stream_file_messages": q_stream_file_messages,
+    "confirmations": q_confirmations,
+    "stream_confirmations": q_stream_confirmations,
     "stream_queue_scan": q_stream_queue_scan,
     "stream_drain_available_now": q_stream_drain_available_now,
     "stream_mq_source": q_stream_mq_source,

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import chunk_hot_groups, ensure_parallelism, group_messages
-from ..schema import MQMT_DATAGRAM, MQMT_REPORT
+from ..schema import MQMT_DATAGRAM, MQMT_REPORT, REPORT_CONFIRM_ON_ARRIVAL, REPORT_CONFIRM_ON_DELIVERY
+from ..streaming.confirmations import MQFB_COA, MQFB_COD
 
 DEFAULT_MAX_ITEMS = 100_000
 SEGMENT_CHARS = 1024
@@ -449,6 +450,24 @@ def write_nation_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
     docs.select("c_nationkey", "value").write.partitionBy("c_nationkey").mode("overwrite").text(path)
 
 
+def order_letters_and_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A dead letter per order that asks for both reports, and the reports: arrival
+    a day later for two orders in three, delivery 0 to 9 days later for three in
+    four; those of every second order come twice."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").cast("timestamp_ntz").alias("d")))
+    key = F.col("o_orderkey")
+    dead = o.select(_s("o_orderkey").alias("msg_id"), F.col("d").alias("put_ts"), F.array(F.lit(REPORT_CONFIRM_ON_ARRIVAL), F.lit(REPORT_CONFIRM_ON_DELIVERY)).alias("report"))
+    later = lambda days: F.col("d") + F.make_dt_interval(days.cast("int"))
+    kinds = [(MQFB_COA, key % 3 != 0, F.lit(1)), (MQFB_COD, key % 4 != 1, key % 10)]
+    sent = F.array(*[F.when(came, F.struct(F.lit(code).alias("feedback"), later(days).alias("put_ts"))) for code, came, days in kinds])
+    copies = F.explode(F.sequence(F.lit(0), (1 - key % 2).cast("int")))
+    reports = o.select(key, F.explode(F.array_compact(sent)).alias("r")).select(key, "r", copies.alias("copy")).select(
+        F.concat_ws("-", key, "r.feedback").alias("msg_id"), F.lit(MQMT_REPORT).alias("msg_type"), key.cast("string").cast("binary").alias("correl_id"),
+        "r.feedback", "r.put_ts",
+    )
+    return dead, reports
+
+
 # Fixed-width layout of order item lines: (name, 1-based start, length, type).
 ITEM_LINE_LAYOUT = [("l_linenumber", 1, 10, "int"), ("l_quantity", 11, 24, "double")]
 

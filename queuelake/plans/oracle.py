@@ -83,8 +83,23 @@ _FILES = """
 SELECT s_suppkey, CASE WHEN n <= 400 THEN value END AS value, n AS n_bytes, CASE WHEN n > 400 THEN 'FILE_TOO_LARGE' END AS error
 FROM (SELECT s_suppkey, repeat(s_name, s_suppkey % 50) || chr(10) AS value, CAST(strlen(s_name) * (s_suppkey % 50) + 1 AS BIGINT) AS n FROM supplier)"""
 
+def _confirmations(given_up: str) -> str:
+    """Reports of the orders' dead letters, on time or not; ``given_up``: when
+    what is not confirmed comes out."""
+    return f"""
+WITH r AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, kind,
+         CAST(CASE WHEN kind = 'COA' AND o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) + 1
+                   WHEN kind = 'COD' AND o_orderkey % 4 <> 1 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 AS INTEGER) END AS DATE) AS came
+  FROM orders, (VALUES ('COA'), ('COD')) AS t(kind))
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, kind, strftime(d, '%Y-%m-%d') AS put, CASE WHEN came <= d + 7 THEN strftime(came, '%Y-%m-%d') END AS confirmed
+FROM r WHERE came <= d + 7 OR ({given_up})"""
+
+
 ORACLE: dict[str, str] = {
     "file_messages": _FILES,
+    "confirmations": _confirmations("true"),
+    "stream_confirmations": _confirmations("d + 7 < (SELECT least(max(d), max(came)) FROM r)"),
     "xml_file_records": """
 WITH f AS (
   SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, c_nationkey % 5 = 0 AS broken,
