@@ -67,7 +67,9 @@ def after_last_end(text: Column, tag: str) -> Column:
 def has_spans(text: Column) -> Column:
     """Whether the text holds a comment, CDATA section or processing instruction
     (the declaration a document begins with apart: no tag fits into it)."""
-    return text.contains("<!--") | text.contains("<![CDATA[") | (F.locate("<?", text, 2) > 0) | text.rlike("^<\\?(?!xml\\s)")
+    declared = F.substring(text, 1, 6).isin("<?xml ", "<?xml\t", "<?xml\r", "<?xml\n")
+    instruction = text.contains("<?") & ((F.locate("<?", text, 2) > 0) | (text.startswith("<?") & ~declared))
+    return text.contains("<!--") | text.contains("<![CDATA[") | instruction
 
 
 def spans(text: Column) -> Column:
