@@ -32,7 +32,7 @@ from ..operators.splitters import (
 )
 from ..options import dead_letter_target
 from ..schema import DEAD_LETTER_LOG_SCHEMA, GROUP_LOG_SCHEMA, LOG_SCHEMA
-from ..session import shared_dir, stateful_session
+from ..session import listing_session, shared_dir, stateful_session
 from ..sources.archive import archive
 from ..sources.files import read_files, read_files_stream
 from ..sources.fs import path_exists
@@ -455,6 +455,7 @@ def q_stream_file_messages(spark: SparkSession, d: str) -> DataFrame:
 
     path, sink, ckpt = _stream_dirs(spark, "stream_files")
     fx.write_supplier_files(spark, d, path)
+    spark = listing_session(spark)
     for _ in range(2):
         drain(_file_rows(read_files_stream(spark, path, glob="part-*", max_file_bytes=SMALL_FILE)), sink, ckpt)
     return spark.read.parquet(sink)

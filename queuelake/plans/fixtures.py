@@ -380,9 +380,14 @@ def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_supplier_files(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """A text file per supplier below ``path``: its name, ``s_suppkey % 50`` times."""
+    """A text file per supplier below ``path``: its name, ``s_suppkey % 50`` times.
+
+    A file costs the same whatever it holds: the number of tasks is given, or
+    Spark would see few bytes and have one task write every file.
+    """
     s = table(spark, sf_dir, "supplier").select("s_suppkey", F.repeat("s_name", (F.col("s_suppkey") % 50).cast("int")).alias("value"))
-    s.repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    s = s.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "s_suppkey")
+    s.write.partitionBy("s_suppkey").text(path)
 
 
 def part_lexeme_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,18 +73,33 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
+def _beside(spark: SparkSession, partitions: int | str | None = None) -> SparkSession:
+    """A new session with ``spark``'s time zone and shuffle partitions."""
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    beside.conf.set("spark.sql.shuffle.partitions", partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    return beside
+
+
 def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session beside ``spark`` whose state store is RocksDB, with its time zone
     and ``partitions`` shuffle partitions (its own, if not given): ``spark``'s
     options are not touched.  State is kept per shuffle partition, in a number
     that a checkpoint never changes: size it for the cluster's cores."""
-    beside = spark.newSession()
-    beside.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    beside.conf.set("spark.sql.shuffle.partitions", partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    beside = _beside(spark, partitions)
     beside.conf.set(_PROVIDER, ROCKSDB)
     return beside
 
 
+def listing_session(spark: SparkSession, tasks: int | None = None) -> SparkSession:
+    """A session beside ``spark`` that lists folders in ``tasks`` tasks (as many as
+    shuffle partitions, if not given).  Spark's own limit is 10,000: a task for
+    every folder or file of a queue of small files, at each listing."""
+    beside = _beside(spark)
+    beside.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks or spark.conf.get("spark.sql.shuffle.partitions"))
+    return beside
+
+
 def require_rocksdb(spark: SparkSession) -> None:
     """Map state and timers need RocksDB; say so before the stream starts."""
     if spark.conf.get(_PROVIDER, None) != ROCKSDB:

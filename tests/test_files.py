@@ -6,6 +6,8 @@ import os
 from pyspark.sql import functions as F
 
 from queuelake.operators.splitters import split_lines
+from queuelake.plans import fixtures as fx
+from queuelake.session import listing_session
 from queuelake.sources.files import FILE_TOO_LARGE, read_files, read_files_stream
 from queuelake.streaming.drain import drain
 
@@ -67,3 +69,25 @@ def test_put_time_is_utc_in_any_zone(spark, tmp):
         assert read_files(spark, tmp).select(F.col("put_ts").cast("string")).first()[0] == "2023-11-14 22:13:20"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_small_files_are_written_by_many_tasks(spark, tmp):
+    fx.write_supplier_files(spark, "/root/testdata/sf0.001", f"{tmp}/files")
+    tasks = {os.path.basename(r.msg_id).split("-")[1] for r in read_files(spark, f"{tmp}/files", glob="part-*").collect()}
+    assert len(tasks) > 1  # few bytes, but a cost per file
+
+
+def test_many_folders_are_listed_in_few_tasks(spark, tmp):
+    for i in range(40):
+        put(tmp, f"d{i}/a", b"1")
+    beside = listing_session(spark, tasks=4)
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    try:
+        files = read_files(beside, tmp)
+        tracker = sc.statusTracker()
+        listed = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert listed and max(listed) <= 4
+    assert files.count() == 40
