@@ -477,6 +477,8 @@ def q_stream_confirmations(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.drain import drain
 
     path, sink, ckpt = _stream_dirs(spark, "stream_confirmations")
+    # the rows within the bound are state: on disk, in a store per core
+    spark = stateful_session(spark, spark.sparkContext.defaultParallelism)
     inputs = []
     for name, df in zip(("dead", "reports"), fx.order_letters_and_reports(spark, d)):
         df.write.mode("overwrite").parquet(f"{path}/{name}")

@@ -1,10 +1,13 @@
 """Reports matched to dead letters, in batch and on streams."""
 
 import datetime as dt
+import glob
+import os
 
 import pytest
 from pyspark.sql.types import StructType
 
+from queuelake.plans import catalog
 from queuelake.streaming.confirmations import MQFB_COA, MQFB_COD, confirmations
 from queuelake.streaming.drain import drain
 
@@ -61,3 +64,12 @@ def test_stream_gives_what_is_not_confirmed_after_the_bound(spark, tmp):
     assert run() == sorted(WANT, key=str)  # the newest letter still waits
     with pytest.raises(ValueError, match="both"):
         confirmations(read("dead", DEAD), spark.createDataFrame(CAME, REPORTS))
+
+
+def test_the_query_keeps_its_state_on_disk(spark, tmp, monkeypatch):
+    monkeypatch.setattr(catalog, "shared_dir", lambda *_, **__: tmp)
+    assert catalog.q_stream_confirmations(spark, "/root/testdata/sf0.001").count() > 0
+    stores = glob.glob(f"{tmp}/checkpoint/state/*/[0-9]*")
+    assert len({os.path.basename(s) for s in stores}) == spark.sparkContext.defaultParallelism
+    assert glob.glob(f"{tmp}/checkpoint/state/**/*.changelog", recursive=True)
+    assert not glob.glob(f"{tmp}/checkpoint/state/**/*.delta", recursive=True)
