@@ -434,7 +434,7 @@ def q_file_messages(spark: SparkSession, d: str) -> DataFrame:
     """A file per supplier, read as messages; the longer ones as error rows."""
     path = shared_dir(spark, "file_messages", unique=True)
     fx.write_supplier_files(spark, d, path)
-    return _file_rows(read_files(spark, path, glob="part-*", max_file_bytes=SMALL_FILE))
+    return _file_rows(read_files(listing_session(spark), path, glob="part-*", max_file_bytes=SMALL_FILE))
 
 
 def q_xml_file_records(spark: SparkSession, d: str) -> DataFrame:
