@@ -56,7 +56,9 @@ def end_tag(tag: str) -> str:
 
 
 def count_literal(text: Column, literal: str) -> Column:
-    return ((F.length(text) - F.length(F.replace(text, F.lit(literal), F.lit("")))) / len(literal)).cast("int")
+    # in bytes: counting characters is a pass over the text
+    n = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(literal), F.lit("")))
+    return (n / len(literal.encode())).cast("int")
 
 
 def after_last_end(text: Column, tag: str) -> Column:
@@ -64,12 +66,18 @@ def after_last_end(text: Column, tag: str) -> Column:
     return F.substring_index(text, end_tag(tag), -1)
 
 
+def up_to_last_end(text: Column, tail: Column) -> Column:
+    """The text without its ``tail`` (see ``after_last_end``), cut by bytes."""
+    n = F.octet_length(text) - F.octet_length(tail)
+    return F.substring(text.cast("binary"), F.lit(1), n).cast("string")
+
+
 def has_spans(text: Column) -> Column:
     """Whether the text holds a comment, CDATA section or processing instruction
     (the declaration a document begins with apart: no tag fits into it)."""
     declared = F.substring(text, 1, 6).isin("<?xml ", "<?xml\t", "<?xml\r", "<?xml\n")
     instruction = text.contains("<?") & ((F.locate("<?", text, 2) > 0) | (text.startswith("<?") & ~declared))
-    return text.contains("<!--") | text.contains("<![CDATA[") | instruction
+    return (text.contains("<!") & (text.contains("<!--") | text.contains("<![CDATA["))) | instruction
 
 
 def spans(text: Column) -> Column:
@@ -105,9 +113,11 @@ def start_tag_upper_bound(text: Column, tag: str) -> Column:
 
 
 def element_regex(tag: str, keep_indent: bool) -> str:
-    """Whole element, shortest match; optionally with the indentation before it."""
+    """Whole element, shortest match; optionally with the indentation before it.
+    It goes from ``<`` to ``<``: ``.*?`` would try the end tag at every character."""
     indent = "(?:^[ \\t]*)?" if keep_indent else ""
-    return "(?sm)" + indent + open_tag_regex(tag) + ".*?</" + _quoted(tag) + ">"
+    end = f"/{_quoted(tag)}>"
+    return "(?sm)" + indent + open_tag_regex(tag) + f"[^<]*(?:<(?!{end})[^<]*)*+<{end}"
 
 
 def normalize_newlines(text: Column) -> Column:

@@ -199,7 +199,7 @@ def split_xml(
     carry = ["__ql_spans"]
     staged = staged.withColumn("__ql_tail", xx.after_last_end(t, split))
     tail = F.col("__ql_tail")
-    body = F.left(t, F.length(t) - F.length(tail))
+    body = xx.up_to_last_end(t, tail)
     if lines:
         staged = staged.withColumn("__ql_single", ~t.contains("\n"))
         carry.append("__ql_single")
@@ -220,7 +220,7 @@ def split_xml(
         return xx.line_layout(x, F.col("__ql_single")) if lines else x
 
     # header blocks: found and formatted once per message, not per record
-    hdr_cols = [F.regexp_extract(F.left(t, F.length(t) - F.length(xx.after_last_end(t, h))), xx.element_regex(h, keep_indent=lines), 0) for h in headers]
+    hdr_cols = [F.regexp_extract(xx.up_to_last_end(t, xx.after_last_end(t, h)), xx.element_regex(h, keep_indent=lines), 0) for h in headers]
     if hdr_cols:
         staged = staged.select("*", *[c.alias(f"__ql_h{i}") for i, c in enumerate(hdr_cols)])
         hdr_cols = [F.col(f"__ql_h{i}") for i in range(len(hdr_cols))]

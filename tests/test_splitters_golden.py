@@ -1,11 +1,13 @@
 """Hand-traced splitter cases (exact bytes)."""
 
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import messages, records
+from queuelake.functions import xml as xx
 from queuelake.operators.splitters import split_json, split_lines, split_records, split_xml
 
 N = "\n"
@@ -342,3 +344,19 @@ def test_python_batches_and_whole_error_text(spark):
     assert len(_python_records(fail, b"q")[0][2]) > 2000
     out = python_splitter(lambda b: [b] * 2001, out_rows=100)(messages(spark, ["a", "b"]))
     assert out.count() == 4002
+
+
+def test_an_element_is_found_from_tag_to_tag(spark):
+    rng = random.Random(7)
+    bits = ["<i>", "</i>", "<i a='>'>", "<ix>", "</ix>", "<i/>", "</i >", "é\U0001f600", "\n  ", "<", ">", "x"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(30))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for indent in (False, True):
+        regex = xx.element_regex("i", keep_indent=indent)
+        assert ".*?" not in regex  # it would try the end tag at every character
+        plain = "(?sm)" + ("(?:^[ \\t]*)?" if indent else "") + xx.open_tag_regex("i") + ".*?</i>"
+        found, want = (F.regexp_extract_all("t", F.lit(r), F.lit(0)) for r in (regex, plain))
+        assert df.where(~found.eqNullSafe(want)).count() == 0
+    body = xx.up_to_last_end(F.col("t"), xx.after_last_end(F.col("t"), "i"))
+    got = [(r.t, r.b) for r in df.select("t", body.alias("b")).collect()]
+    assert all(b == "".join(t.rpartition("</i>")[:2]) for t, b in got)
