@@ -1,9 +1,11 @@
 """Keyed state that collects the numbered parts of a whole.
 
 ``PartCollector`` is a ``transformWithState`` processor: each part of a key is
-one entry of a map state, written once when it arrives, beside one small row of
-totals.  So the state written grows linearly with a key's parts, whatever their
-number of micro-batches.  What makes a whole, and what comes out of it, is a
+one entry of a map state, written once, beside one small row of totals.  So the
+state written grows linearly with a key's parts, whatever their number of
+micro-batches.  Every call of the state is a round trip to the JVM, so the parts of
+a micro-batch are held, up to a bound, until all have arrived: what is whole by
+then never reaches the state.  What makes a whole, and what comes out of it, is a
 ``Rule``: segments of a message (``streaming.segments``) or messages of a group
 (``streaming.groups``).
 
@@ -100,9 +102,15 @@ class Rule:
         return T.StructType(MESSAGE_SCHEMA.fields + self.extra)
 
 
+#: What is held of a key's new parts; beyond it they go to state as they arrive.
+HELD_BYTES = 1 << 20
+HELD_PARTS = 1024
+
+
 class PartCollector(StatefulProcessor):
-    def __init__(self, rule: Rule, delay_ms: int):
+    def __init__(self, rule: Rule, delay_ms: int, held_bytes: int = HELD_BYTES, held_parts: int = HELD_PARTS):
         self.rule, self.delay_ms = rule, delay_ms
+        self.held_bytes, self.held_parts = held_bytes, held_parts
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -110,14 +118,22 @@ class PartCollector(StatefulProcessor):
         self.totals = handle.getValueState("totals", _TOTALS)
         self.clashes = handle.getMapState("clashes", _CLASH, _SEEN)
 
-    def _in_order(self) -> Iterator[tuple[int, Part]]:
-        """One part at a time: the key's own limit of memory is a part."""
-        for no in sorted(k[0] for k in self.parts.keys()):
-            yield no, Part(*self.parts.getValue((no,)))
+    def _in_order(self, held: dict[int, Part], stored: bool) -> Iterator[tuple[int, Part]]:
+        """One part of the state at a time: beside what is held, the key's own limit
+        of memory is a part."""
+        for no in sorted([*held, *(k[0] for k in self.parts.keys())] if stored else held):
+            yield no, held[no] if no in held else Part(*self.parts.getValue((no,)))
 
-    def _drop(self, t: Totals) -> None:
-        self.parts.clear()
-        self.totals.clear()
+    def _store(self, held: dict[int, Part]) -> None:
+        for no, part in held.items():
+            self.parts.updateValue((no,), tuple(part))
+        held.clear()
+
+    def _drop(self, t: Totals, stored: bool = True, known: bool = True) -> None:
+        if stored:
+            self.parts.clear()
+        if known:
+            self.totals.clear()
         if t.bad:
             self.clashes.clear()
         if t.timer_ms >= 0:
@@ -125,23 +141,32 @@ class PartCollector(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         (key,), rule = key, self.rule
-        t = Totals(*self.totals.get()) if self.totals.exists() else Totals()
+        before = self.totals.get()
+        known = stored = before is not None
+        t = Totals(*before) if known else Totals()
+        held, held_bytes = {}, 0
         for row in rows:
             no = -1 if row[rule.number] is None else int(row[rule.number])
             payload = None if row["payload"] is None else bytes(row["payload"])
             correl = None if row["correl_id"] is None else bytes(row["correl_id"])
             part = Part(row["msg_id"], row["msg_type"], correl, row["put_ts"], bool(row[rule.last]), payload, row["error"])
             t = t._replace(latest_ms=max(t.latest_ms, row["__arrival_ms"]))
-            if self.parts.containsKey((no,)):
-                known = Part(*self.parts.getValue((no,)))
-                if known.content() != part.content():
+            first = held.get(no)
+            if first is None and stored and self.parts.containsKey((no,)):
+                first = Part(*self.parts.getValue((no,)))
+            if first is not None:
+                if first.content() != part.content():
                     t = t._replace(bad=rule.conflicting)
                     clash = (no, hashlib.md5(repr(part.content()).encode()).hexdigest())
                     if not self.clashes.containsKey(clash):
                         self.clashes.updateValue(clash, (True,))
                         yield rule.one(key, no, part, rule.conflicting)
                 continue
-            self.parts.updateValue((no,), tuple(part))
+            held[no] = part
+            held_bytes += len(payload or b"")
+            if held_bytes > self.held_bytes or len(held) > self.held_parts:
+                self._store(held)
+                stored, held_bytes = True, 0
             t = t._replace(
                 n=t.n + 1,
                 size=t.size + len(payload or b""),
@@ -151,13 +176,14 @@ class PartCollector(StatefulProcessor):
             )
         too_large = rule.oversized(t)
         if too_large:
-            for no, part in self._in_order():
+            for no, part in self._in_order(held, stored):
                 yield rule.one(key, no, part, too_large)
-            self._drop(t)
-        elif not t.bad and rule.may_be_whole(t) and rule.is_whole({no: rule.end(no, part) for no, part in self._in_order()}):
-            yield from rule.out(key, self._in_order(), None)
-            self._drop(t)
+            self._drop(t, stored, known)
+        elif not t.bad and rule.may_be_whole(t) and rule.is_whole({no: rule.end(no, part) for no, part in self._in_order(held, stored)}):
+            yield from rule.out(key, self._in_order(held, stored), None)
+            self._drop(t, stored, known)
         else:
+            self._store(held)
             if t.timer_ms >= 0:
                 self.handle.deleteTimer(t.timer_ms)
             # one more: nothing is given up before anything later has arrived
@@ -167,7 +193,7 @@ class PartCollector(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         t = Totals(*self.totals.get())
-        yield from self.rule.out(key[0], self._in_order(), t.bad or self.rule.incomplete)
+        yield from self.rule.out(key[0], self._in_order({}, True), t.bad or self.rule.incomplete)
         self._drop(t._replace(timer_ms=-1))
 
     def close(self) -> None:

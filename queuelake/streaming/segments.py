@@ -1,7 +1,7 @@
 """Stateful reassembly of segmented messages on a stream.
 
-Per ``group_id`` every segment is one entry of keyed state (see
-``streaming.parts``).  A group is emitted as one message as soon as it is
+Per ``group_id`` every segment that waits for others is one entry of keyed state
+(see ``streaming.parts``).  A group is emitted as one message as soon as it is
 complete.  Once it has had no new segment for ``delay`` of arrival time and
 later segments have arrived, it is emitted with an error and whatever arrived,
 so it can be dead-lettered instead of waiting forever.  Unsegmented messages
@@ -63,7 +63,7 @@ def assemble_segments_stream(df: DataFrame, delay: str = "10 minutes", max_messa
     taken once; other bytes at the same offset come out as
     ``CONFLICTING_SEGMENTS`` and the group does too, after ``delay``.  A group
     of more bytes than a row can hold is released segment by segment.  A
-    segment is written to state once.
+    segment is written to state once, if its micro-batch does not complete the group.
 
     The session's state store has to be RocksDB (``session.stateful_session``).
     """

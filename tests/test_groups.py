@@ -13,7 +13,8 @@ from queuelake.session import stateful_session
 from queuelake.sources.queue_log import read_queue_stream, write_queue
 from queuelake.streaming.drain import drain
 from queuelake.streaming.groups import release_groups_stream
-from queuelake.streaming.segments import assemble_segments_stream
+from queuelake.streaming.parts import PartCollector
+from queuelake.streaming.segments import Segments, assemble_segments_stream
 
 SCHEMA = "msg_id string, group_id string, msg_seq int, last_in_group boolean, payload binary, seg_offset int, last_segment boolean"
 
@@ -174,3 +175,89 @@ def test_fixture_holds_every_kind_of_group(spark):
     kinds = {r.error: r["count"] for r in out.groupBy("error").count().collect()}
     assert set(kinds) == {None, "INCOMPLETE_MESSAGE_GROUP", "CONFLICTING_MESSAGES", "INCOMPLETE_GROUP"}
     assert min(kinds.values()) > 0
+
+
+class Calls:
+    """A processor's handle and its states, in memory: counts every call."""
+
+    def __init__(self):
+        self.n, self.states = 0, {}
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, State(self))
+
+    getValueState = getMapState
+
+    def registerTimer(self, at):
+        self.n += 1
+
+    deleteTimer = registerTimer
+
+
+class State:
+    def __init__(self, calls):
+        self.calls, self.kept = calls, {}
+
+    def _call(self, result=None):
+        self.calls.n += 1
+        return result
+
+    def containsKey(self, k):
+        return self._call(k in self.kept)
+
+    def getValue(self, k):
+        return self._call(self.kept[k])
+
+    def updateValue(self, k, v):
+        self._call(self.kept.update({k: v}))
+
+    def keys(self):
+        return self._call(list(self.kept))
+
+    def clear(self):
+        self._call(self.kept.clear())
+
+    def exists(self):
+        return self._call(None in self.kept)
+
+    def get(self):
+        return self._call(self.kept.get(None))
+
+    def update(self, v):
+        self._call(self.kept.update({None: v}))
+
+
+class Clock:
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def collect(batches, **bounds):
+    """(what comes out, calls of the state, entries left) of one group's batches."""
+    processor, calls = PartCollector(Segments(1 << 20), 0, **bounds), Calls()
+    processor.init(calls)
+    out = []
+    for rows in batches:
+        rows = [dict(zip(("seg_offset", "last_segment", "payload"), r), msg_id="m", msg_type=8, correl_id=None, put_ts=None, error=None, __arrival_ms=1) for r in rows]
+        out += [(r.seg_offset, r.payload, r.error) for r in processor.handleInputRows(("G",), iter(rows), Clock())]
+    return out, calls.n, sum(len(s.kept) for s in calls.states.values())
+
+
+def test_a_message_that_arrives_at_once_is_not_written_to_state():
+    whole = [(k, k == 49, b"x") for k in range(50)]
+    out, calls, left = collect([whole[::-1] + whole[:3]])
+    assert (out, left) == ([(None, b"x" * 50, None)], 0)
+    assert calls == 1  # whether the group is known
+
+
+def test_parts_beyond_the_bound_and_of_other_batches_come_out_alike():
+    whole = [(2 * k, k == 9, b"%d%d" % (k, k)) for k in range(10)]
+    clash = (4, False, b"??")
+    for batches in ([whole], [whole[::2], whole[1::2]], [whole[:3], whole[2:]]):
+        plain = collect(batches)
+        for bounds in ({"held_parts": 1}, {"held_bytes": 5}, {"held_parts": 4}):
+            out, _, left = collect(batches, **bounds)
+            assert (out, left) == (plain[0], plain[2]) == ([(None, b"00112233445566778899", None)], 0)
+    for bounds in ({}, {"held_parts": 1}):
+        out, _, left = collect([whole[:4] + [clash, clash], [clash], whole[4:]], **bounds)
+        assert out == [(4, b"??", "CONFLICTING_SEGMENTS")] and left == 12  # parts, totals, the clash
