@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 SUCCESS = "_SUCCESS"
 OWNER = "_owner"
 
+# Fixed value: a Parquet row group is read by one task, whatever the number of
+# splits of its file.  Spark's 128 MB hold a whole file of compressed messages, so a
+# batch of few files would keep few cores busy.
+ROW_GROUP_BYTES = 4 << 20
+
 
 class OwnershipError(RuntimeError):
     """A finished target belongs to another reader or checkpoint."""
@@ -74,6 +79,8 @@ def write_once(df: DataFrame, path: str, fmt: str = "parquet", owner: str | None
     parent, name = path.rsplit("/", 1)
     staging = f"{parent}/_staging-{uuid.uuid4().hex}/{name}"
     w = df.write.format(fmt)
+    if fmt == "parquet":
+        options = {"parquet.block.size": ROW_GROUP_BYTES, **options}
     for k, v in options.items():
         w = w.option(k, v)
     w.save(staging)

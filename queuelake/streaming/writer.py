@@ -60,7 +60,8 @@ class QueueBatchWriter:
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         owner = checkpoint_identity(batch_df)
-        msgs = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        # read once for the split (persisted below) and once for every archive
+        msgs = batch_df.persist(StorageLevel.MEMORY_AND_DISK) if self.o.move_paths else batch_df
         split = None
         try:
             if self.o.move_paths:
@@ -92,4 +93,5 @@ class QueueBatchWriter:
         finally:
             if split is not None:
                 split.unpersist()
-            msgs.unpersist()
+            if self.o.move_paths:
+                msgs.unpersist()

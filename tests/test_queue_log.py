@@ -73,3 +73,16 @@ def test_owner_of_a_target(spark, tmp):
     assert not write_once(_msgs(spark, 3), f"{tmp}/t", owner="one")
     with pytest.raises(OwnershipError):
         write_once(_msgs(spark, 3), f"{tmp}/t", owner="two")
+
+
+def test_a_file_of_the_queue_is_read_by_several_tasks(spark, tmp):
+    """A row group is read by one task: a file has one for every few megabytes."""
+    import pyarrow.parquet as pq
+
+    noise = F.unhex(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.sha2(F.concat_ws("-", "id", i), 256)), ""))
+    write_queue(spark.range(6000).coalesce(1).select(noise.alias("payload")), tmp, "QM", "Q", "p", 1)
+    [path] = read_queue(spark, tmp, "QM", "Q").inputFiles()
+    file = pq.ParquetFile(path.removeprefix("file://"))
+    assert file.metadata.num_rows == 6000 and file.num_row_groups >= 3
+    rows = spark.read.option("basePath", f"{tmp}/QM/Q").parquet(path)
+    assert rows.select("payload").distinct().count() == 6000
