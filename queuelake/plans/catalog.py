@@ -424,6 +424,9 @@ def q_kafka_shape(spark: SparkSession, d: str) -> DataFrame:
 #: Files beyond it are error rows in the checks.
 SMALL_FILE = 400
 
+#: Files of a micro-batch: the driver holds their names and states several times.
+FILES_A_BATCH = 50_000
+
 
 def _file_rows(files: DataFrame) -> DataFrame:
     key = F.regexp_extract("msg_id", "s_suppkey=([0-9]+)/", 1).cast("bigint")
@@ -457,7 +460,8 @@ def q_stream_file_messages(spark: SparkSession, d: str) -> DataFrame:
     fx.write_supplier_files(spark, d, path)
     spark = listing_session(spark)
     for _ in range(2):
-        drain(_file_rows(read_files_stream(spark, path, glob="part-*", max_file_bytes=SMALL_FILE)), sink, ckpt)
+        files = read_files_stream(spark, path, glob="part-*", max_file_bytes=SMALL_FILE, max_files_per_trigger=FILES_A_BATCH)
+        drain(_file_rows(files), sink, ckpt)
     return spark.read.parquet(sink)
 
 

@@ -10,11 +10,17 @@ group has at most ``max_items`` rows, several otherwise.
 
 from __future__ import annotations
 
+import itertools
+import os
+
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import chunk_hot_groups, ensure_parallelism, group_messages
 from ..schema import MQMT_DATAGRAM, MQMT_REPORT, REPORT_CONFIRM_ON_ARRIVAL, REPORT_CONFIRM_ON_DELIVERY
+from ..session import ship_package
+from ..sources.fs import local_path
 from ..streaming.confirmations import MQFB_COA, MQFB_COD
 
 DEFAULT_MAX_ITEMS = 100_000
@@ -379,6 +385,41 @@ def part_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(_s("p_partkey").alias("msg_id"), doc.cast("binary").alias("payload"), "p_partkey")
 
 
+def _write_local_files(rows: DataFrame, key: str, folder: str) -> None:
+    """What ``partitionBy(key).text`` writes to a disk, as text lines of the other
+    column: a file per key and task, in a folder per key.
+
+    Hadoop's local file system without its native library starts a process for
+    the mode of every folder, file and checksum; Python's calls start none.
+    """
+    ship_package(rows.sparkSession)
+    os.makedirs(folder)
+
+    def run(batches):
+        import pyarrow as pa
+
+        task = TaskContext.get()
+        name = f"part-{task.partitionId():05d}.txt"
+        pairs = (p for b in batches for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        n = 0
+        for k, lines in itertools.groupby(pairs, key=lambda p: p[0]):
+            at = f"{folder}/{key}={'__HIVE_DEFAULT_PARTITION__' if k is None else k}"
+            try:
+                os.mkdir(at)
+            except FileExistsError:  # of an earlier attempt
+                pass
+            # whole once it has its name, whatever attempts of the task there are
+            staged = f"{at}/.{name}-{task.taskAttemptId()}"
+            with open(staged, "wb") as f:
+                f.writelines((v or b"") + b"\n" for _, v in lines)
+            os.replace(staged, f"{at}/{name}")
+            n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    value = next(c for c in rows.columns if c != key)
+    rows.sortWithinPartitions(key).select(key, F.col(value).cast("binary")).mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+
+
 def write_supplier_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """A text file per supplier below ``path``: its name, ``s_suppkey % 50`` times.
 
@@ -387,7 +428,11 @@ def write_supplier_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """
     s = table(spark, sf_dir, "supplier").select("s_suppkey", F.repeat("s_name", (F.col("s_suppkey") % 50).cast("int")).alias("value"))
     s = s.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "s_suppkey")
-    s.write.partitionBy("s_suppkey").text(path)
+    folder = local_path(spark, path)
+    if folder is None:
+        s.write.partitionBy("s_suppkey").text(path)
+    else:
+        _write_local_files(s, "s_suppkey", folder)
 
 
 def part_lexeme_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

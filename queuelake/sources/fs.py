@@ -31,6 +31,14 @@ def _fs(spark: SparkSession, path: str):
     return hp.getFileSystem(spark._jsc.hadoopConfiguration()), hp  # noqa: SLF001
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` as the operating system names it, if it is on a disk that Hadoop's
+    local file system reaches; else None."""
+    fs, hp = _fs(spark, path)
+    uri = fs.makeQualified(hp).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there; an unreachable file system raises."""
     fs, hp = _fs(spark, path)

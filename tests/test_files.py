@@ -3,9 +3,11 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from queuelake.operators.splitters import split_lines
+from queuelake.plans import catalog
 from queuelake.plans import fixtures as fx
 from queuelake.session import listing_session
 from queuelake.sources.files import FILE_TOO_LARGE, read_files, read_files_stream
@@ -91,3 +93,43 @@ def test_many_folders_are_listed_in_few_tasks(spark, tmp):
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert listed and max(listed) <= 4
     assert files.count() == 40
+
+
+def test_files_on_a_disk_are_what_spark_would_write(spark, tmp):
+    names = [(1, "a"), (2, None), (50, "b"), (51, "é"), (51, "x"), (None, "c")]
+    spark.createDataFrame(names, "s_suppkey long, s_name string").write.parquet(f"{tmp}/in/supplier.parquet")
+    text = F.repeat("s_name", (F.col("s_suppkey") % 50).cast("int")).alias("value")
+    spark.read.parquet(f"{tmp}/in/supplier.parquet").select("s_suppkey", text).repartition(4, "s_suppkey").write.partitionBy("s_suppkey").text(f"{tmp}/spark")
+    fx.write_supplier_files(spark, f"{tmp}/in", f"{tmp}/files")
+
+    def lines(folder):
+        return sorted((r.msg_id.split("/")[-2], sorted(bytes(r.payload).split(b"\n"))) for r in read_files(spark, folder, glob="part-*").collect())
+
+    assert lines(f"{tmp}/files") == lines(f"{tmp}/spark")
+    beside = [f for _, _, fs in os.walk(f"{tmp}/files") for f in fs if not f.startswith("part-")]
+    assert beside == []  # neither checksums, each with processes for its mode, nor parts of files
+    with pytest.raises(FileExistsError):
+        fx.write_supplier_files(spark, f"{tmp}/in", f"{tmp}/files")
+    spark.createDataFrame([], "s_suppkey long, s_name string").write.parquet(f"{tmp}/none/supplier.parquet")
+    fx.write_supplier_files(spark, f"{tmp}/none", f"{tmp}/empty")
+    assert lines(f"{tmp}/empty") == []
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp):
+    for i in range(100):
+        put(tmp, f"d{i}/a", b"1")
+    beside = listing_session(spark)
+    beside.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    files = read_files(beside, tmp)
+    assert files.rdd.getNumPartitions() <= 2 * max(spark.sparkContext.defaultParallelism, 10)  # two scans, by length
+    assert files.count() == 100
+
+
+def test_files_are_drained_in_bounded_batches(spark, tmp, monkeypatch):
+    monkeypatch.setattr(catalog, "FILES_A_BATCH", 4)
+    monkeypatch.setattr(catalog, "_stream_dirs", lambda *_: (f"{tmp}/log", f"{tmp}/sink", f"{tmp}/checkpoint"))
+    out = catalog.q_stream_file_messages(spark, "/root/testdata/sf0.001")
+    keys = [r.s_suppkey for r in out.collect()]
+    expected = [r.s_suppkey for r in fx.table(spark, "/root/testdata/sf0.001", "supplier").collect()]
+    assert sorted(keys) == sorted(expected)
+    assert len([f for f in os.listdir(f"{tmp}/checkpoint/commits") if f.isdigit()]) == -(-len(expected) // 4)
